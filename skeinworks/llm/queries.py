@@ -3,7 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from skeinworks.llm import language_id, toxicity
+from skeinworks.llm._common import crc_mod
+from skeinworks.llm.chat_format import conversation_digests, with_probe
+from skeinworks.llm.html_extract import main_texts
 from skeinworks.llm.token_counts import token_counts
 from skeinworks.llm.word_bpe import encode_digests
 from skeinworks.session import table
@@ -23,9 +28,35 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), limit=1024)
 
 
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_digests(with_probe(table(spark, sf_dir, "conversations")), vocabulary("byte_bpe_50k.json"))
+
+
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_texts(table(spark, sf_dir, "pages"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), learn=crc_mod("doc_id", 3) != 1)
+    scored = toxicity.toxicity(docs, model)
+    return scored.select("doc_id", (crc_mod("doc_id", 3) == 1).alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    net = language_id.train(docs, learn=crc_mod("doc_id", 4) != 2)
+    found = language_id.identify(docs, net)
+    return found.select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
     "op5_bpe_encoding": op5_bpe_encoding,
     "op6_token_counts": op6_token_counts,
+    "op7_chat_format": op7_chat_format,
+    "op8_html_extraction": op8_html_extraction,
+    "op9_toxicity": op9_toxicity,
+    "op10_language_id": op10_language_id,
 }
 
 #: DuckDB SQL where SQL can express a query.
