@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from skeinworks.llm import language_id, toxicity
 from skeinworks.llm._common import crc_mod
 from skeinworks.llm.chat_format import conversation_digests, with_probe
+from skeinworks.llm.fingerprints import edited_fingerprints
 from skeinworks.llm.html_extract import main_texts
+from skeinworks.llm.packing import pack
 from skeinworks.llm.token_counts import token_counts
 from skeinworks.llm.word_bpe import encode_digests
 from skeinworks.session import table
@@ -20,6 +22,14 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), length=1024)
+
+
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op5_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
@@ -51,6 +61,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_packing": op2_packing,
+    "op3_fingerprints": op3_fingerprints,
     "op5_bpe_encoding": op5_bpe_encoding,
     "op6_token_counts": op6_token_counts,
     "op7_chat_format": op7_chat_format,
