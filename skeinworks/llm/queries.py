@@ -10,6 +10,7 @@ from skeinworks.llm._common import crc_mod
 from skeinworks.llm.chat_format import conversation_digests, with_probe
 from skeinworks.llm.fingerprints import edited_fingerprints
 from skeinworks.llm.html_extract import main_texts
+from skeinworks.llm.jaccard_join import near_duplicate_classes
 from skeinworks.llm.packing import pack
 from skeinworks.llm.token_counts import token_counts
 from skeinworks.llm.word_bpe import encode_digests
@@ -30,6 +31,10 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_classes(table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
 def op5_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
@@ -63,6 +68,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_packing": op2_packing,
     "op3_fingerprints": op3_fingerprints,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_bpe_encoding": op5_bpe_encoding,
     "op6_token_counts": op6_token_counts,
     "op7_chat_format": op7_chat_format,
