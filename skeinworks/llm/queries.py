@@ -13,6 +13,7 @@ from skeinworks.llm.html_extract import main_texts
 from skeinworks.llm.jaccard_join import near_duplicate_classes
 from skeinworks.llm.packing import pack
 from skeinworks.llm.token_counts import token_counts
+from skeinworks.llm.topk_search import top_k
 from skeinworks.llm.word_bpe import encode_digests
 from skeinworks.session import table
 
@@ -23,6 +24,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), length=1024)
 
@@ -66,6 +71,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_topk_search": op1_topk_search,
     "op2_packing": op2_packing,
     "op3_fingerprints": op3_fingerprints,
     "op4_jaccard_join": op4_jaccard_join,
@@ -78,4 +84,17 @@ QUERIES = {
 }
 
 #: DuckDB SQL where SQL can express a query.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_topk_search": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+            FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0),
+        r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+    """,
+}
