@@ -17,8 +17,8 @@ from skeinworks.session import materialise, ship, table
 
 
 def identified_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without a letter and those of which no learned language has half of the probability."""
-    return language_id.keep_identified(docs, language_id.train(docs, learn=crc_mod("doc_id", 4) != 2), least=0.5)
+    """Drops texts without a letter and those whose likeliest language has a probability below 0.3."""
+    return language_id.keep_identified(docs, language_id.train(docs, learn=crc_mod("doc_id", 4) != 2), least=0.3)
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -198,7 +198,7 @@ def identify(docs: DataFrame, net: ByteConvNet, id_column: str = "doc_id", text_
     return rows.mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, net: ByteConvNet, least: float = 0.5, text_column: str = "text") -> DataFrame:
+def keep_identified(docs: DataFrame, net: ByteConvNet, least: float = 0.3, text_column: str = "text") -> DataFrame:
     """The rows, all columns as they are, whose text has a letter and a class of probability ``least`` or more."""
     ready(docs)
 
