@@ -32,7 +32,7 @@ from skeinworks.operators.components import connected_components
 #: Counters of the sketch (fixed) and of a block of it that travels as one row.
 COUNTERS, BLOCK = 1 << 20, 1 << 14
 #: Cost of a list entry, with what verifying takes, against that of an enumerated subset; sizes considered for the boundary.
-SCAN_COST, LARGEST_LIGHT = 6, 40
+SCAN_COST, LARGEST_LIGHT = 12, 40
 #: Lists up to this length are paired at once.
 SHORT_LIST = 16
 ABSENT = (1 << 63) - 1  # stands for a null id: never the least
