@@ -1,0 +1,215 @@
+"""Exact numbers as written in exercises: parsing, arithmetic forms, carry and borrow.
+
+Integer tests are DataFrame expressions. What needs Unicode normalisation or rationals is a plain
+Python function with an Arrow-batched UDF around it.
+"""
+
+from __future__ import annotations
+
+import re
+import unicodedata
+from decimal import Decimal
+from fractions import Fraction
+from typing import NamedTuple
+
+import pandas as pd
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# The vocabulary of fraction types, operations and operand forms, and what each implies.
+FRACTION_TYPES = ["几分之一", "几分之几", "真分数", "假分数", "带分数"]
+ANY_FRACTION = "分数"
+FRACTION_IMPLIES = {
+    "真分数": ["几分之几", "几分之一"],
+    "几分之几": ["几分之一"],
+    "假分数": ["真分数", "几分之几", "几分之一"],
+    "带分数": ["真分数", "几分之几", "几分之一"],
+}
+OPERATIONS = ["加法", "减法", "乘法", "除法"]
+OPERATION_ALIASES = {"加": "加法", "减": "减法", "乘": "乘法", "除": "除法", "+": "加法", "-": "减法", "×": "乘法", "÷": "除法"}
+OPERATION_TAGS = {
+    "加法": ["整数", "进位", "小数", "小数·位数不同", "分数·同分母", "分数·异分母", "分数·带分数"],
+    "减法": ["整数", "退位", "小数", "小数·位数不同", "分数·同分母", "分数·异分母", "分数·带分数"],
+    "乘法": ["整数·表内", "整数·乘数一位数", "整数·乘数两位数", "整数·乘数三位数及以上", "小数·乘整数", "小数·乘小数", "分数·乘整数", "分数·乘分数"],
+    "除法": ["整数·表内", "整数·除数一位数", "整数·除数两位数", "整数·除数三位数及以上", "整数·有余数", "整数·商为小数", "小数·除以整数", "小数·除数是小数", "分数·除以整数", "分数·除数是分数"],
+}
+#: The first four tags of multiplication and division are a ladder: a higher one implies the lower ones.
+LADDERS = {op: OPERATION_TAGS[op][:4] for op in ("乘法", "除法")}
+TAG_IMPLIES = {
+    "加法": {"进位": "整数", "小数·位数不同": "小数", "分数·异分母": "分数·同分母"},
+    "减法": {"退位": "整数", "小数·位数不同": "小数", "分数·异分母": "分数·同分母"},
+    "乘法": {"小数·乘小数": "小数·乘整数", "分数·乘分数": "分数·乘整数"},
+    "除法": {"小数·除数是小数": "小数·除以整数", "分数·除数是分数": "分数·除以整数"},
+}
+
+
+class Number(NamedTuple):
+    kind: str  # int, dec, frac or mixed
+    value: Fraction
+    places: int = 0
+    numerator: int = 0  # as written, of the fraction part
+    denominator: int = 1
+    whole: int = 0
+
+
+_WRITTEN = re.compile(r"(?P<i>\d+)|(?P<d>\d+\.(?P<p>\d+))|(?P<n>\d+)\s*/\s*(?P<m>\d+)|(?P<w>\d+)\s*[又\s+]?\s*(?P<wn>\d+)\s*/\s*(?P<wm>\d+)")
+
+
+def parse_number(text: str | None) -> Number | None:
+    """Integer, decimal, fraction or mixed number; sign and thousands separators are dropped; None if it is none of these."""
+    if text is None:
+        return None
+    m = _WRITTEN.fullmatch(unicodedata.normalize("NFKC", str(text)).strip().replace(",", "").lstrip("-"))
+    if m is None:
+        return None
+    g = m.groupdict()
+    if g["i"]:
+        return Number("int", Fraction(int(g["i"])))
+    if g["d"]:
+        return Number("dec", Fraction(Decimal(g["d"])), places=len(g["p"]))
+    whole, n, d = int(g["w"] or 0), int(g["n"] or g["wn"]), int(g["m"] or g["wm"])
+    if not d:
+        return None
+    return Number("mixed" if g["w"] else "frac", whole + Fraction(n, d), numerator=n, denominator=d, whole=whole)
+
+
+def fraction_type(x: Number | None) -> str | None:
+    if x is None or x.kind not in ("frac", "mixed"):
+        return None
+    if x.kind == "mixed":
+        return "带分数"
+    return "假分数" if x.numerator >= x.denominator else "几分之一" if x.numerator == 1 else "几分之几"
+
+
+def normal_operation(op: str) -> str | None:
+    op = op.strip()
+    return op if op in OPERATIONS else OPERATION_ALIASES.get(op)
+
+
+def significant_digits(n: int) -> int:
+    """Digits without trailing zeros; 0 has one."""
+    return max(1, len(str(abs(n)).rstrip("0")))
+
+
+def _columns(a: int, b: int):
+    a, b = str(a)[::-1], str(b)[::-1]
+    return [(int(x), int(y)) for x, y in zip(a.ljust(len(b), "0"), b.ljust(len(a), "0"), strict=True)]
+
+
+def carries(a: int, b: int) -> bool:
+    """Sums up to 10, and of tens up to 100, do not count."""
+    return not (a + b <= 10 or a % 10 == b % 10 == 0 and a + b <= 100) and any(x + y >= 10 for x, y in _columns(a, b))
+
+
+def borrows(a: int, b: int) -> bool:
+    """Minuends up to 10, and tens from tens, do not count."""
+    a, b = max(a, b), min(a, b)
+    return not (a <= 10 or a % 10 == b % 10 == 0) and any(x < y for x, y in _columns(a, b))
+
+
+class Analysis(NamedTuple):
+    forms: list[str]
+    integers: list[int]
+    places: int
+    fraction_types: list[str]
+
+
+def analyse_operation(op: str, left: str, right: str, mode: str | None = None) -> Analysis | None:
+    """Operand forms, integers that occur (with the result), decimal places and fraction types of one operation.
+
+    None if an operand or the operation is not understood, and for integer division by zero.
+    """
+    op = normal_operation(op) or op
+    x, y = parse_number(left), parse_number(right)
+    if x is None or y is None or op not in OPERATIONS:
+        return None
+    a, b = x.value, y.value
+    fractions = [z for z in (x, y) if z.kind in ("frac", "mixed")]
+    decimals = [z for z in (x, y) if z.kind == "dec"]
+    plain = not fractions and not decimals
+    if op == "除法" and plain and b == 0:
+        return None
+    integers = [int(z.value) for z in (x, y) if z.kind in ("int", "dec")] + [z.whole for z in (x, y) if z.kind == "mixed"]
+    result = {"加法": lambda: a + b, "减法": lambda: abs(a - b), "乘法": lambda: a * b, "除法": lambda: a / b if b else None}[op]()
+    if result is not None and (result.denominator == 1 or op == "除法" and plain):
+        integers.append(int(result))
+    forms: list[str] = []
+    if op in ("加法", "减法"):
+        if fractions:
+            forms = ["分数·带分数"] * any(z.kind == "mixed" for z in fractions) + ["分数·异分母" if len({z.denominator for z in fractions}) > 1 else "分数·同分母"]
+        elif decimals:
+            forms = ["小数"] + ["小数·位数不同"] * (x.places != y.places)
+        else:
+            regroups = carries(int(a), int(b)) if op == "加法" else borrows(int(a), int(b))
+            forms = ["整数"] + [OPERATION_TAGS[op][1]] * regroups
+    else:
+        times = op == "乘法"
+        if fractions:
+            forms = [("分数·乘分数" if len(fractions) == 2 else "分数·乘整数") if times else "分数·除数是分数" if y in fractions else "分数·除以整数"]
+        elif decimals:
+            forms = [("小数·乘小数" if len(decimals) == 2 else "小数·乘整数") if times else "小数·除数是小数" if y.kind == "dec" else "小数·除以整数"]
+        else:
+            table = a <= 9 and b <= 9 if times else a <= 81 and b <= 9
+            digits = min(significant_digits(int(a)), significant_digits(int(b))) if times else significant_digits(int(b))
+            forms = [LADDERS[op][0 if table else min(digits, 3)]]
+            if not times and a % b:
+                forms += {"decimal_quotient": ["整数·商为小数"], "remainder": ["整数·有余数"], None: ["整数·有余数"]}.get(mode, [])
+    return Analysis(sorted(set(forms)), integers, max(x.places, y.places), sorted({fraction_type(z) for z in fractions}))
+
+
+def fraction_closure(types: set[str]) -> set[str]:
+    return types.union(*(FRACTION_IMPLIES.get(t, []) for t in types))
+
+
+def operation_closure(op: str, tags: set[str]) -> set[str]:
+    """Adds the ladder below the highest tag, then what each tag implies in one step."""
+    ladder = LADDERS.get(op, [])
+    top = max((ladder.index(t) for t in tags if t in ladder), default=-1)
+    out = tags | set(ladder[: top + 1])
+    return out | {TAG_IMPLIES[op][t] for t in out if t in TAG_IMPLIES.get(op, {})}
+
+
+# ---- DataFrame expressions
+
+
+def has_carry(a: Column, b: Column) -> Column:
+    """carries() of non-negative bigint columns: some column of digits (of the powers up to 10^18) reaches ten."""
+    power = lambda i: F.pow(F.lit(10), i).cast("bigint")
+    column = F.exists(F.sequence(F.lit(0), F.lit(17)), lambda i: (F.floor(a / power(i)) % 10) + (F.floor(b / power(i)) % 10) >= 10)
+    return ~((a + b <= 10) | ((a % 10 == 0) & (b % 10 == 0) & (a + b <= 100))) & column
+
+
+def has_borrow(a: Column, b: Column) -> Column:
+    hi, lo = F.greatest(a, b), F.least(a, b)
+    power = lambda i: F.pow(F.lit(10), i).cast("bigint")
+    column = F.exists(F.sequence(F.lit(0), F.lit(17)), lambda i: (F.floor(hi / power(i)) % 10) < (F.floor(lo / power(i)) % 10))
+    return ~((hi <= 10) | ((hi % 10 == 0) & (lo % 10 == 0))) & column
+
+
+def digits(n: Column) -> Column:
+    """significant_digits() of a bigint column."""
+    return F.greatest(F.lit(1), F.length(F.regexp_replace(F.abs(n).cast("string"), "0+$", "")))
+
+
+NUMBER = T.StructType([T.StructField("kind", T.StringType()), T.StructField("value", T.StringType()), T.StructField("places", T.IntegerType()), T.StructField("fraction_type", T.StringType())])
+
+
+@F.pandas_udf(NUMBER)
+def parse_number_udf(text: pd.Series) -> pd.DataFrame:
+    found = [parse_number(t) for t in text]
+    return pd.DataFrame([(None, None, None, None) if x is None else (x.kind, str(x.value), x.places, fraction_type(x)) for x in found], columns=["kind", "value", "places", "fraction_type"])
+
+
+ANALYSIS = T.StructType([T.StructField("forms", T.ArrayType(T.StringType())), T.StructField("integers", T.ArrayType(T.LongType())), T.StructField("places", T.IntegerType()), T.StructField("fraction_types", T.ArrayType(T.StringType()))])
+
+
+@F.pandas_udf(ANALYSIS)
+def analyse_operation_udf(op: pd.Series, left: pd.Series, right: pd.Series, mode: pd.Series) -> pd.DataFrame:
+    found = [analyse_operation(o, a, b, m) for o, a, b, m in zip(op, left, right, mode, strict=True)]
+    return pd.DataFrame([(None, None, None, None) if x is None else tuple(x) for x in found], columns=["forms", "integers", "places", "fraction_types"])
+
+
+@F.pandas_udf(T.StringType())
+def nfkc(text: pd.Series) -> pd.Series:
+    return text.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
