@@ -35,20 +35,20 @@ def attached_singletons(rows: DataFrame, base: list[str], dims: list[str], item:
     out_type = f"{item} {dict(rows.dtypes)[item]}, {group} {dict(rows.dtypes)[group]}"
 
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(item)
-        members = {g: part[dims].values.tolist() for g, part in pdf.groupby(group, sort=True)}
-        own = dict(zip(pdf[item], pdf[group], strict=True))
-        for i, g, *_ in pdf[[item, group]].itertuples(index=False):
-            if len(members.get(g, [])) != 1:
+        rows = sorted(zip(pdf[item], pdf[group], pdf[dims].itertuples(index=False, name=None), strict=True), key=lambda r: r[0])
+        members: dict = {}
+        for _, g, values in rows:
+            members.setdefault(g, []).append(values)
+        own = {}
+        for i, g, mine in rows:
+            own[i] = g
+            if len(members.get(g, ())) != 1:
                 continue
-            mine = members[g][0]
-            others = [(sum(sum(x == y for x, y in zip(mine, m, strict=True)) for m in ms) / len(ms), len(ms), name) for name, ms in members.items() if name != g and len(ms) > 1]
-            if not others:
-                continue
-            target = min(others, key=lambda o: (-o[0], -o[1], o[2]))[2]
-            members[target].append(mine)
-            del members[g]
-            own[i] = target
+            others = [(sum(x == y for m in ms for x, y in zip(mine, m, strict=True)) / len(ms), len(ms), name) for name, ms in members.items() if name != g and len(ms) > 1]
+            if others:
+                own[i] = min(others, key=lambda o: (-o[0], -o[1], o[2]))[2]
+                members[own[i]].append(mine)
+                del members[g]
         return pd.DataFrame({item: list(own), group: list(own.values())})
 
     return rows.groupBy(*base).applyInPandas(walk, out_type)

@@ -6,31 +6,33 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+from skeinworks.plans import fixtures
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def sql(name: str, text: str, oracle: str | None = None, tables: tuple[str, ...] = ()) -> None:
-    """Registers SQL that Spark runs over temporary views; ``oracle`` if DuckDB needs another wording."""
+def sql(name: str, text: str, other: str | None = None) -> None:
+    """Registers SQL over the stand-ins; ``other`` if DuckDB needs another wording."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        for t in tables:
-            spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
+        fixtures.views(spark, sf_dir, text)
         return spark.sql(text)
 
-    QUERIES[name], ORACLES[name] = run, oracle or text
-
-
-sql(
-    "learned_before",
-    """
-    WITH intro AS (
-        SELECT l.l_partkey AS p_partkey, min(o.o_orderdate) AS first_seen
-        FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY l.l_partkey)
-    SELECT p.p_brand AS thread, count(*) AS learned, min(p.p_partkey) AS first_kp, max(p.p_partkey) AS last_kp
-    FROM intro i JOIN part p ON p.p_partkey = i.p_partkey
-    WHERE i.first_seen < TIMESTAMP '1995-06-17 00:00:00'
-    GROUP BY p.p_brand
-    """,
-    tables=("lineitem", "orders", "part"),
-)
+    QUERIES[name], ORACLES[name] = run, fixtures.oracle(other or text)
+
+
+def query(oracle: str | None = None) -> Callable[[Query], Query]:
+    """Registers a function of operators under its name, with its DuckDB SQL if there is one."""
+
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if oracle:
+            ORACLES[f.__name__] = fixtures.oracle(oracle)
+        return f
+
+    return add
+
+
+from skeinworks.plans import aggregates, graphs, lattices, lookups, statistics, texts  # noqa: E402, F401

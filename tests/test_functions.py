@@ -1,0 +1,108 @@
+"""Golden cases of the scalar functions and of generation."""
+
+from decimal import Decimal
+from fractions import Fraction
+
+import pytest
+from hypothesis import given
+from hypothesis import strategies as st
+
+from skeinworks.functions import generate, mining, numbers
+from skeinworks.functions.numbers import analyse_operation, fraction_closure, operation_closure, parse_number
+
+
+@pytest.mark.parametrize(
+    ("op", "a", "b", "forms"),
+    [
+        ("+", "28", "15", {"整数", "进位"}), ("+", "3", "7", {"整数"}), ("-", "52", "27", {"整数", "退位"}), ("×", "12", "5", {"整数·乘数一位数"}), ("÷", "13", "4", {"整数·表内", "整数·有余数"}),
+        ("+", "1/4", "3/4", {"分数·同分母"}), ("+", "1/2", "1/3", {"分数·异分母"}), ("÷", "1.5", "0.3", {"小数·除数是小数"}), ("×", "230", "400", {"整数·乘数一位数"}), ("×", "1/2", "3", {"分数·乘整数"}),
+        ("加法", "1又1/2", "1/2", {"分数·带分数", "分数·同分母"}), ("-", "1.25", "0.5", {"小数", "小数·位数不同"}),
+    ],
+)
+def test_operand_forms(op, a, b, forms):
+    assert set(analyse_operation(op, a, b).forms) == forms
+
+
+def test_unparsable_operations():
+    assert analyse_operation("+", "x", "1") is None and analyse_operation("÷", "4", "0") is None and analyse_operation("mod", "1", "2") is None
+
+
+@pytest.mark.parametrize(("text", "kind", "value"), [("１２", "int", 12), ("-3", "int", 3), ("1,200", "int", 1200), ("0.50", "dec", Fraction(1, 2)), ("3/4", "frac", Fraction(3, 4)), ("1又1/2", "mixed", Fraction(3, 2)), ("2 1/3", "mixed", Fraction(7, 3))])
+def test_numbers_as_written(text, kind, value):
+    got = parse_number(text)
+    assert (got.kind, got.value) == (kind, value)
+
+
+def test_no_numbers():
+    assert [parse_number(t) for t in (None, "", "1/0", "a1", "1.2.3")] == [None] * 5
+
+
+@given(st.integers(0, 10**9), st.integers(0, 10**9))
+def test_carry_is_some_column_over_nine(a, b):
+    exempt = a + b <= 10 or (a % 10 == 0 and b % 10 == 0 and a + b <= 100)
+    digits = any((a // 10**i) % 10 + (b // 10**i) % 10 >= 10 for i in range(11))
+    assert numbers.carries(a, b) == (not exempt and digits)
+
+
+def test_carry_expressions_equal_functions(spark):
+    from pyspark.sql import functions as F
+
+    pairs = [(a, b) for a in (0, 5, 9, 10, 12, 52, 95, 100, 230, 999, 10**15) for b in (0, 1, 5, 8, 10, 27, 90, 400, 10**12 + 7)]
+    rows = spark.createDataFrame(pairs, "a long, b long").select("a", "b", numbers.has_carry(F.col("a"), F.col("b")).alias("c"), numbers.has_borrow(F.col("a"), F.col("b")).alias("d"), numbers.digits(F.col("b")).alias("n")).collect()
+    assert all((r.c, r.d, r.n) == (numbers.carries(r.a, r.b), numbers.borrows(r.a, r.b), numbers.significant_digits(r.b)) for r in rows)
+
+
+def test_closures():
+    assert fraction_closure({"真分数"}) == {"真分数", "几分之几", "几分之一"}
+    assert operation_closure("乘法", {"整数·乘数两位数"}) == {"整数·表内", "整数·乘数一位数", "整数·乘数两位数"}
+    assert operation_closure("加法", {"进位"}) == {"进位", "整数"} and operation_closure("乘法", {"小数·乘小数"}) == {"小数·乘小数", "小数·乘整数"}
+
+
+def test_rendering():
+    text, missing = generate.render("{a}÷{b}={quotient}……{remainder} {a+b} \\frac{1}{2} {zz}", {"a": 17, "b": 5})
+    assert text == "17÷5=______……______ 22 \\frac{1}{2} {zz}" and missing == ["zz"]
+    assert generate.render("{{x}} {a}", {"a": Fraction(1, 2)})[0] == "{x} 1/2"
+    assert generate.render("{c}", {"c": "at {a}", "a": 3})[0] == "at 3"
+    assert generate.unresolved_placeholders("{a} {b} {a+b} {ans} {q}", ["a", "b"]) == ["q"]
+
+
+def test_expressions_are_exact_and_closed():
+    ev = generate.evaluate
+    assert ev("a/b+0.5", {"a": 1, "b": 3}) == Fraction(5, 6) and ev("6/3", {}) == 2 and ev("0.1+0.2", {}) == Decimal("0.3") and ev("2**8", {}) == 256
+    for bad in ("2**9", "__import__('os')", "a.b", "(lambda: 1)()", "[1,2]", "x"):
+        with pytest.raises(ValueError):
+            ev(bad, {"a": 1})
+    assert ev("a % b == 0 and a > b", {"a": 6, "b": 3}, logic=True) is True
+
+
+def test_display_and_equality():
+    assert [generate.display(v) for v in (True, Fraction(3, 4), Decimal("1E+2"), [1, 2], None)] == ["正确", "3/4", "100", "1，2", None]
+    eq = generate.answers_equal
+    assert eq("0.5", Fraction(1, 2)) and eq("1又1/2", "3/2") and eq("对", True) and eq("A b", "a B") and eq([1, "2"], "1,2") and not eq("1", "2") and not eq(True, "错")
+
+
+CARD = {"id": "c", "template": "{a}+{b}={answer}", "slots": {"a": {"type": "int", "min": 1, "max": 9}, "b": {"type": "decimal", "min": "0.1", "max": "0.9", "places": 1}}, "constraints": ["a > 3"], "solver": "def solve(a, b):\n    return a + b"}
+
+
+def test_seeds_reproduce():
+    first, again = generate.instantiate(CARD, 3), generate.instantiate(CARD, 3)
+    assert first == again and Decimal(first["answer"]) == first["params"]["a"] + Decimal(first["params"]["b"]) and first["params"]["a"] > 3
+    assert 0.5 < generate.acceptance(CARD["slots"], CARD["constraints"], 500) < 0.8
+    with pytest.raises(generate.Unsatisfiable):
+        generate.instantiate(CARD | {"constraints": ["a > 99"]}, 1)
+
+
+@pytest.mark.parametrize("code", ["import os\ndef solve(a): return 1", "def solve(a): return open('/etc/passwd')", "def solve(a): return ().__class__", "def solve(a): return eval('1')", "x =", "def solve(a): return 0.5", "def solve(a): return 1 / 0"])
+def test_refused_solvers(code):
+    assert "error" in generate.solve_all(code, {"a": "int"}, [{"a": 1}])[0]
+
+
+def test_solver_timeout():
+    assert generate.solve_all("def solve(a):\n    while True: pass", {"a": "int"}, [{"a": 1}], seconds=1) == [{"error": "timeout"}]
+
+
+def test_mining():
+    assert mining.mine_operations("计算 3+4×5，13÷4=3……1，10×10方格，7.5-2") == [("乘法", "4", "5", None), ("除法", "13", "4", "remainder"), ("减法", "7.5", "2", None)]
+    assert mining.mine_fraction_types("1/2和3又1/4，真分数") == ["几分之一", "带分数", "真分数"]
+    assert mining.mine_units("长5cm，3米，m", {"cm": "厘米", "米": "米", "m": "米"}) == ["厘米", "米"]
+    assert mining.mine_terms("直角三角形", {"三角形": "三角形", "直角三角形": "直角三角形"}) == ["直角三角形"]
