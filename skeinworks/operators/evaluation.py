@@ -58,10 +58,10 @@ def krippendorff_alpha(ratings: DataFrame, unit: str, label: str) -> DataFrame:
 
 def bcubed(rows: DataFrame, item: str, gold: str, pred: str) -> DataFrame:
     """Mean over items of the share of its predicted (gold) cluster that is in both: sizes and overlaps are counts, no pairs."""
-    both = rows.groupBy(gold, pred).agg(F.count(F.lit(1)).alias("o"))
-    g = rows.groupBy(gold).agg(F.count(F.lit(1)).alias("g"))
-    p = rows.groupBy(pred).agg(F.count(F.lit(1)).alias("p"))
-    total = both.join(g, gold).join(p, pred).agg(F.sum(F.col("o") * F.col("o") / F.col("p")).alias("sp"), F.sum(F.col("o") * F.col("o") / F.col("g")).alias("sr"), F.sum("o").alias("n"))
+    both = rows.groupBy(gold, pred).agg(F.count(F.lit(1)).alias("_o"))
+    g = both.groupBy(gold).agg(F.sum("_o").alias("_g"))
+    p = both.groupBy(pred).agg(F.sum("_o").alias("_p"))
+    total = both.join(g, gold).join(p, pred).agg(F.sum(F.col("_o") * F.col("_o") / F.col("_p")).alias("sp"), F.sum(F.col("_o") * F.col("_o") / F.col("_g")).alias("sr"), F.sum("_o").alias("n"))
     out = total.select("n", F.round(F.col("sp") / F.col("n"), 4).alias("precision"), F.round(F.col("sr") / F.col("n"), 4).alias("recall"))
     return out.withColumn("f1", f1(F.col("precision"), F.col("recall")))
 

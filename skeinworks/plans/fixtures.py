@@ -34,7 +34,7 @@ VIEWS = {
         SELECT a.node AS src, b.node AS dst, 'prerequisite' AS type
         FROM ranked_point a JOIN ranked_point b ON a.thread = b.thread AND a.domain = b.domain AND b.n > a.n AND b.n <= a.n + 2
         WHERE floor(a.n / 8.0) = floor(b.n / 8.0) AND (b.n = a.n + 1 OR a.n % 3 = 0)""",
-    "first_line": "SELECT lesson_id AS item_id, min(line * 1000000000 + kp_id) % 1000000000 AS prim FROM holds GROUP BY lesson_id",
+    "first_line": "SELECT lesson_id AS item_id, min(CAST(line AS BIGINT) * 1000000000 + kp_id) % 1000000000 AS prim FROM holds GROUP BY lesson_id",
     "item_ref": "SELECT f.item_id, f.prim, h.kp_id AS other FROM first_line f JOIN holds h ON f.item_id = h.lesson_id AND f.prim <> h.kp_id",
     "fact": """
         SELECT 'quantity' AS dimension, CAST(NULL AS STRING) AS op, CAST(NULL AS STRING) AS token, CAST(max(li.l_quantity) AS BIGINT) AS num, l.position

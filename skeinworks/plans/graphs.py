@@ -144,7 +144,7 @@ def gap_edges_inserted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.inserted(e.where("src % 3 <> 0"), new)
 
 
-@query("WITH both AS (SELECT src, dst FROM edge UNION ALL SELECT dst, src FROM edge WHERE src % 2 = 0) SELECT b.src, b.dst FROM both b JOIN point p ON p.node = b.src JOIN point q ON q.node = b.dst WHERE NOT EXISTS (SELECT 1 FROM both r WHERE r.src = b.dst AND r.dst = b.src) OR p.grade < q.grade")
+@query("WITH two AS (SELECT src, dst FROM edge UNION ALL SELECT dst, src FROM edge WHERE src % 2 = 0) SELECT b.src, b.dst FROM two b JOIN point p ON p.node = b.src JOIN point q ON q.node = b.dst WHERE NOT EXISTS (SELECT 1 FROM two r WHERE r.src = b.dst AND r.dst = b.src) OR p.grade < q.grade")
 def mutual_edges_resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _edges(spark, sf_dir).select("src", "dst")
     both = e.union(e.where("src % 2 = 0").select("dst", "src"))

@@ -132,7 +132,7 @@ def failure_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluation.failure_examples(_labelled(spark, sf_dir).withColumn("category", c), "category", "doc_id")
 
 
-@query("SELECT event_type, avg(value) AS value, 50.0 AS threshold, 'min' AS direction, avg(value) >= 50.0 AS passed FROM events GROUP BY event_type")
+@query("SELECT event_type, avg(value) AS value, CAST(50 AS DOUBLE) AS threshold, 'min' AS direction, avg(value) >= 50.0 AS passed FROM events GROUP BY event_type")
 def headline_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = frame(spark, sf_dir, "events").groupBy("event_type").agg(F.avg("value").alias("value")).withColumn("threshold", F.lit(50.0)).withColumn("direction", F.lit("min"))
     return evaluation.gates(rows)

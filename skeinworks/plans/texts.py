@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skeinworks.functions.generate import instantiate_many
-from skeinworks.operators import retrieval
+from skeinworks.operators import probes, retrieval
 from skeinworks.plans.catalogue import query, sql
 from skeinworks.plans.fixtures import frame
 
@@ -122,7 +122,7 @@ def cosine_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.crossJoin(F.broadcast(q)).select(F.col("vec_id").alias("doc_id"), F.round(retrieval.cosine(F.col("embedding"), F.col("q")), 6).alias("sim"))
 
 
-@query("SELECT node, CASE WHEN size % 6 <> 0 AND domain IN ('PROMO', 'SMALL') THEN CASE WHEN grade <> 3 THEN 0.05 WHEN semester <> 'b' THEN 0.5 ELSE 1.0 END ELSE 0.0 END AS score FROM point")
+@query("SELECT node, CAST(CASE WHEN size % 6 <> 0 AND domain IN ('PROMO', 'SMALL') THEN CASE WHEN grade <> 3 THEN 0.05 WHEN semester <> 'b' THEN 0.5 ELSE 1.0 END ELSE 0.0 END AS DOUBLE) AS score FROM point")
 def search_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
     score = retrieval.scope_score(F.col("grade"), F.col("semester"), F.lit(3), F.lit("b"), F.col("domain").isin("PROMO", "SMALL"), F.col("size") % 6 != 0)
     return frame(spark, sf_dir, "point").select("node", score.alias("score"))
@@ -161,3 +161,13 @@ def generation_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = instantiate_many(_cards(spark, sf_dir))
     top = F.get_json_object("params", "$.a").cast("int")
     return made.groupBy("card_id").agg(F.count(F.lit(1)).alias("n"), F.count("problem").alias("made"), F.count_if(top <= 30).alias("in_bounds"))
+
+
+@query()
+def bounds_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exercises of each card held against an early lesson, whose bound is the largest quantity so far."""
+    cards = _cards(spark, sf_dir).select("card_id", "card").distinct()
+    facts = frame(spark, sf_dir, "fact").withColumn("dimension", F.when(F.col("dimension") == "quantity", "integer_domain").otherwise(F.col("dimension")))
+    lessons = frame(spark, sf_dir, "lesson").select("lesson_id", "position", "unit_id")
+    first = lessons.agg(F.min_by("lesson_id", "position").alias("lesson_id"))
+    return probes.bounds_probe(probes.generated_needs(cards), cards.select("card_id").crossJoin(F.broadcast(first)), facts, lessons)

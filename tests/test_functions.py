@@ -106,3 +106,30 @@ def test_mining():
     assert mining.mine_fraction_types("1/2和3又1/4，真分数") == ["几分之一", "带分数", "真分数"]
     assert mining.mine_units("长5cm，3米，m", {"cm": "厘米", "米": "米", "m": "米"}) == ["厘米", "米"]
     assert mining.mine_terms("直角三角形", {"三角形": "三角形", "直角三角形": "直角三角形"}) == ["直角三角形"]
+
+
+def test_cards():
+    from skeinworks.functions import cards
+
+    card = {"template": "{a}个苹果和{b}个梨一共多少个？", "slots": {"a": {"type": "int", "min": 1, "max": 9}, "b": {"type": "int", "min": 1, "max": 9}}, "verifiable_type": "program", "solution_steps": [], "solver": "def solve(a, b):\n    return a + b",
+            "examples": [{"problem": "3个苹果和4个梨一共多少个？", "answer": "7", "params": {"a": 3, "b": 4}}, {"problem": "5个苹果和2个梨一共多少个？", "answer": "7", "params": {"a": 5, "b": 2}}]}
+    envelope = {"integer_digits": [1, 1], "decimal_places": [0, 0]}
+    assert cards.valid_card(card) and cards.card_problems(card, envelope, ["小明有几支铅笔"]) == []
+    assert cards.card_problems(card | {"slots": card["slots"] | {"a": {"type": "int", "min": 1, "max": 99}}}, envelope, []) == ["a: more integer digits than observed"]
+    assert cards.card_problems(card, envelope, ["3个苹果和4个梨一共多少个？"])[0].startswith("example 1: too close")
+    assert cards.card_problems(card | {"solver": "def solve(a, b):\n    return a"}, envelope, []) == ["example 1: another answer", "example 2: another answer"]
+    assert cards.card_problems(card | {"constraints": ["a > 99"]}, envelope, []) == ["example 1: breaks a constraint", "example 2: breaks a constraint"]
+    assert not cards.valid_card({}) and not cards.valid_card(card | {"examples": []})
+    assert [cards.item_form(t) for t in ("画一个圆", "判断对错", "计算", "x")] == ["draw", "judge", "compute", "other"]
+
+
+def test_sanitised_and_features():
+    from skeinworks.functions import cards
+
+    units = {"cm": "厘米", "厘米": "厘米", "升": "升"}
+    kept, dropped = cards.sanitised({"integer_domain_max": "100", "decimal_max_places": 9, "fraction_types": ["真分数", "x"], "operation_operand_forms": {"加法": ["进位", "y"], "z": []}, "units_of_measure": ["CM", "升(L)", "个"], "concepts": ["面", "面积"], "geometry_vocab": ["形状", "圆柱"]}, units, generic=["形状"])
+    assert kept["integer_domain_max"] == 100 and kept["decimal_max_places"] is None and kept["fraction_types"] == {"真分数"} and kept["operation_forms"] == {"加法": {"进位"}} and kept["units_of_measure"] == {"厘米", "升"} and kept["concepts"] == {"面积"} and kept["geometry_vocab"] == {"圆柱"}
+    assert dropped == {"fraction_types": ["x"], "operation_forms": ["加法:y", "z"], "units_of_measure": ["个"], "concepts": ["面"], "geometry_vocab": ["形状"]}
+    assert cards.params_features({"a": 12, "b": "0.25", "c": "3/4", "d": "5"}, {"d": {"type": "choice"}}) == {"integer_max": 12, "decimal_places": 2, "fraction_types": ["几分之几"]}
+    got = cards.instance_features({"text": "长5cm，3+4=", "operand_features": {"number_types": ["分数"], "integer_digits": 2, "requires_carry_or_borrow": True}}, units, {"长方形": "长方形"})
+    assert (got["integer_max"], got["fraction_types"], got["units_of_measure"], got["operations"]) == (10, ["分数"], ["厘米"], [("加法", "3", "4", None)])
