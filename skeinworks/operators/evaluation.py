@@ -144,3 +144,25 @@ def condition_label(*cases: tuple[Column, str], other: str) -> Column:
     for test, name in cases:
         out = F.when(test, name) if out is None else out.when(test, name)
     return F.lit(other) if out is None else out.otherwise(other)
+
+
+def pair_scores(gold: DataFrame, pred: DataFrame) -> DataFrame:
+    """``tp, fp, fn, precision, recall, f1`` of predicted pairs ``a, b`` against gold ones."""
+    both = gold.select("a", "b").distinct().withColumn("g", F.lit(True)).join(pred.select("a", "b").distinct().withColumn("p", F.lit(True)), ["a", "b"], "full")
+    return precision_recall(both, "g", "p")
+
+
+def closure_scores(gold: DataFrame, pred: DataFrame) -> DataFrame:
+    """Scores of predicted edges ``src, dst`` against gold pairs, both with everything that follows from them."""
+    from skeinworks.operators.graph import closure
+
+    named = lambda df: closure(df).select(F.col("src").alias("a"), F.col("dst").alias("b"))
+    return pair_scores(named(gold), named(pred))
+
+
+def candidate_recall(gold: DataFrame, candidates: DataFrame) -> DataFrame:
+    """``k, n, p, lo, hi``: the share of gold pairs ``a, b`` that blocking keeps, in whichever order."""
+    low = lambda df: df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    hit = low(gold).join(low(candidates).withColumn("_c", F.lit(1)), ["a", "b"], "left")
+    counts = hit.agg(F.count("_c").alias("k"), F.count(F.lit(1)).alias("n"))
+    return counts.withColumn("w", wilson(F.col("k"), F.col("n"))).select("k", "n", "w.*")

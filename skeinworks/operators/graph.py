@@ -219,3 +219,27 @@ def relations(edges: DataFrame, node: str = "node") -> DataFrame:
     out = edges.select(F.col("src").alias(node), "type", F.col("dst").alias("other"), F.lit("out").alias("direction"))
     return out.union(edges.select(F.col("dst").alias(node), "type", F.col("src").alias("other"), F.lit("in").alias("direction")))
 
+
+
+def violations(edges: DataFrame, points: DataFrame) -> DataFrame:
+    """Broken rules as ``rule, src, dst``: missing ends, self loops, repeated and mutual edges, edges against the order, nodes on cycles, wrong ``is_direct`` marks.
+
+    ``edges``: ``src, dst, is_direct``; ``points``: ``node, position``. A sound graph gives no rows.
+    """
+    e = edges.select("src", "dst", "is_direct")
+    pair = e.select("src", "dst").distinct()
+    ids = points.select("node").distinct()
+
+    def rule(name: str, rows: DataFrame) -> DataFrame:
+        return rows.select(F.lit(name).alias("rule"), "src", "dst")
+
+    known = adjacency(pair, ids)
+    out = rule("missing end", pair.join(known, ["src", "dst"], "left_anti"))
+    out = out.union(rule("self loop", pair.where("src = dst")))
+    out = out.union(rule("repeated", e.groupBy("src", "dst").count().where("count > 1")))
+    out = out.union(rule("mutual", pair.join(pair.select(F.col("dst").alias("src"), F.col("src").alias("dst")), ["src", "dst"]).where("src < dst")))
+    out = out.union(rule("against order", order_conflicts(pair, points)))
+    closed = closure(pair)
+    out = out.union(rule("cycle", closed.where("src = dst")))
+    marked = transitive_reduction(pair, closed).withColumnRenamed("is_direct", "_right")
+    return out.union(rule("wrong mark", e.distinct().join(marked, ["src", "dst"]).where("coalesce(is_direct, true) <> _right")))

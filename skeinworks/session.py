@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -46,7 +48,12 @@ def shared_dir(spark: SparkSession) -> str:
     path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
         current = sc._jsc.sc().getCheckpointDir()
-        path = current.get() if current.isDefined() else f"file://{tempfile.mkdtemp(prefix='skeinworks-')}"
+        if current.isDefined():
+            path = current.get()
+        else:
+            own = tempfile.mkdtemp(prefix="skeinworks-")
+            atexit.register(shutil.rmtree, own, ignore_errors=True)
+            path = f"file://{own}"
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(path)
     return path.rstrip("/")
@@ -57,13 +64,24 @@ def materialise(df: DataFrame, name: str = "step") -> DataFrame:
 
     Cuts lineage: a lost executor costs no recomputation of ``df``, and a
     result that is read more than once is computed once. The table stays
-    until the owner of the shared folder removes it.
+    until ``forget`` or the owner of the shared folder removes it.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_written: list[str] = []
+
+
+def forget(spark: SparkSession) -> None:
+    """Deletes the tables that this process has written to the shared folder. Results that still read them must have been saved."""
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -133,3 +133,11 @@ def test_sanitised_and_features():
     assert cards.params_features({"a": 12, "b": "0.25", "c": "3/4", "d": "5"}, {"d": {"type": "choice"}}) == {"integer_max": 12, "decimal_places": 2, "fraction_types": ["几分之几"]}
     got = cards.instance_features({"text": "长5cm，3+4=", "operand_features": {"number_types": ["分数"], "integer_digits": 2, "requires_carry_or_borrow": True}}, units, {"长方形": "长方形"})
     assert (got["integer_max"], got["fraction_types"], got["units_of_measure"], got["operations"]) == (10, ["分数"], ["厘米"], [("加法", "3", "4", None)])
+
+
+def test_given_parameters():
+    got = generate.instantiate_with(CARD, {"a": 2, "b": "0.5"})
+    assert got["problem"] == "2+0.5=______" and got["answer"] == "2.5" and got["warnings"] == ["the parameters break a constraint"]
+    with pytest.raises(ValueError):
+        generate.instantiate_with(CARD, {"a": 2})
+    assert [generate.as_list(v) for v in (None, "x", ["a", "b"])] == [[], ["x"], ["a", "b"]]

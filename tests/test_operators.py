@@ -247,3 +247,29 @@ def test_curation(spark):
     log = spark.createDataFrame([(1, "ok", "old"), (2, "failed", "old")], "id int, status string, o string")
     new = spark.createDataFrame([(1, "ok", "new"), (2, "ok", "new"), (3, "ok", "new")], "id int, status string, o string")
     assert rows(curation.appended(log, new)) == {(1, "ok", "old"), (2, "ok", "new"), (3, "ok", "new")}
+
+
+def test_graph_violations(spark):
+    points = spark.createDataFrame([(i, i) for i in range(1, 6)], "node int, position int")
+    good = spark.createDataFrame([(1, 2, True), (2, 3, True), (1, 3, False)], "src int, dst int, is_direct boolean")
+    assert graph.violations(good, points).count() == 0
+    bad = good.union(spark.createDataFrame([(4, 4, True), (5, 9, True), (3, 2, True), (2, 3, True)], "src int, dst int, is_direct boolean"))
+    found = {r.rule for r in graph.violations(bad, points).collect()}
+    assert {"missing end", "self loop", "repeated", "mutual", "against order", "cycle"} <= found
+
+
+def test_pair_and_closure_scores(spark):
+    gold = spark.createDataFrame([(1, 2), (2, 3)], "src int, dst int")
+    pred = spark.createDataFrame([(1, 2), (1, 3), (4, 5)], "src int, dst int")
+    r = evaluation.closure_scores(gold, pred).first()
+    assert (r.tp, r.fp, r.fn, r.f1) == (2, 1, 1, 0.6667)
+    named = lambda df: df.select(F.col("src").alias("a"), F.col("dst").alias("b"))
+    c = evaluation.candidate_recall(named(gold), named(pred)).first()
+    assert (c.k, c.n, c.p) == (1, 2, 0.5)
+
+
+def test_local_points(spark):
+    one = spark.createDataFrame([("p1", "l2"), ("p2", None)], "id string, introduced_in string")
+    two = spark.createDataFrame([("p1", "l1")], "id string, introduced_in string")
+    places = spark.createDataFrame([("l1", 0), ("l2", 1)], "lesson_id string, position int")
+    assert {(r.key, r.seq) for r in candidates.local_points([("b", one), ("c", two)], places).collect()} == {("c::p1", 0), ("b::p1", 1), ("b::p2", 2)}
