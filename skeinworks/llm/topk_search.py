@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from skeinworks.llm._common import batches, bounded_sample, materialise, partitions, ready
 
-#: Pivots, annuli of each; vectors in the sample that both are fitted on; rows of a slice of a cell; queries of a block.
-PIVOTS, ANNULI, SAMPLE, SLICE, QUERY_BLOCK = 32, 16, 2048, 4096, 4096
+#: Pivots, annuli of each; vectors in the sample that both are fitted on; queries of a block.
+PIVOTS, ANNULI, SAMPLE, QUERY_BLOCK = 32, 16, 2048, 4096
 #: Distances are floating-point: bounds are widened by this share.
 SLACK = 1e-6
 
@@ -118,7 +118,7 @@ class Cells:
 
 
 def build(vectors: DataFrame) -> tuple[DataFrame, Layout, Cells]:
-    """The index as a table in the shared folder (``cell, slice, distance, vec_id, v``) and what the driver knows of it."""
+    """The index as a table in the shared folder (``cell, distance, vec_id, v``) and what the driver knows of it."""
     spark = ready(vectors)
     sizes = vectors.select(F.length("v").alias("n"), F.expr("v").alias("v")).mapInArrow(_norms, "n long, norm double").agg(F.max("n").alias("n"), F.max("norm").alias("norm")).first()
     dim, norm = (sizes.n or 0) // 8, float(sizes.norm or 0)
@@ -130,9 +130,9 @@ def build(vectors: DataFrame) -> tuple[DataFrame, Layout, Cells]:
             cell, distance = layout.cells(matrix(batch.column(1).to_pylist(), dim))
             yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), pa.array(distance), *batch.columns], names=["cell", "distance", "vec_id", "v"])
 
-    # A hot cell is dealt out in as many slices as there are partitions; the sort lets readers skip cells.
-    keyed = vectors.mapInArrow(key, "cell int, distance double, vec_id long, v binary").withColumn("slice", F.pmod(F.xxhash64("vec_id"), F.lit(partitions(spark))).cast("int"))
-    index = materialise(keyed.repartition(partitions(spark), "slice").sortWithinPartitions("cell", "distance", "vec_id"), "pivot-index")
+    # Rows are dealt out by id, so a hot cell is spread; the sort lets readers skip cells.
+    keyed = vectors.mapInArrow(key, "cell int, distance double, vec_id long, v binary")
+    index = materialise(keyed.repartition(partitions(spark), "vec_id").sortWithinPartitions("cell", "distance", "vec_id"), "pivot-index")
     known = index.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("distance").alias("low"), F.max("distance").alias("high")).collect()
     known.sort(key=lambda r: r.cell)
     return index, layout, Cells(*(np.array([r[i] for r in known], dtype=t) for i, t in enumerate((np.int64, np.int64, float, float))))
