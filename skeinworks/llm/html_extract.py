@@ -4,9 +4,9 @@ The page is cut into blocks at block-level tags. The first pass looks at a block
 headers, footers, asides, forms, hidden parts and boxes whose class or id says so), its share of
 words in links, its length and its share of stop words, and calls it good, bad, or undecided (short,
 or long without stop words). In the second pass undecided blocks take the label of the nearest
-decided blocks on both sides; where these differ, the nearer one decides, then the share of stop
-words. Where the page marks its article, blocks outside it are bad and those inside are decided
-among themselves.
+decided blocks on both sides, in their own container if there are any; where these differ, the
+nearer one decides, then the share of stop words. Where the page marks its article, blocks outside
+it are bad and those inside are decided among themselves.
 """
 
 from __future__ import annotations
@@ -29,6 +29,8 @@ BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup "
     "hr html legend li main menu nav ol optgroup p pre section summary table tbody td tfoot th thead tr ul".split()
 )
+#: Elements that hold text but do not set it apart from their siblings.
+PLAIN = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd ul ol dl blockquote pre center address figure figcaption table tbody thead tfoot tr td th caption".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 MAIN = frozenset(("article", "main"))
 #: Parts of class, id and role names that mark boilerplate.
@@ -63,6 +65,7 @@ class Block:
     in_main: int  # number of the enclosing article, 0 if none
     heading: bool
     linked: int  # characters inside links
+    container: int  # number of the enclosing element that is no paragraph, heading or cell
     label: int = OPEN
     stop: float = 0.0
     words: int = 0
@@ -74,6 +77,7 @@ class _Open:
     bad: bool
     skip: bool
     main: int
+    container: int
 
 
 def _hidden_or_boiler(tag: str, attrs: str, in_main: bool) -> tuple[bool, bool]:
@@ -92,7 +96,7 @@ def blocks(page: str) -> list[Block]:
     found: list[Block] = []
     stack: list[_Open] = []
     parts: list[str] = []
-    linked = links = mains = 0
+    linked = links = mains = containers = 0
     heading = False
 
     def flush() -> None:
@@ -101,7 +105,7 @@ def blocks(page: str) -> list[Block]:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
                 top = stack[-1] if stack else None
-                found.append(Block(text, bool(top and top.bad), top.main if top else 0, heading, linked))
+                found.append(Block(text, bool(top and top.bad), top.main if top else 0, heading, linked, top.container if top else 0))
             parts.clear()
         linked = 0
 
@@ -156,20 +160,21 @@ def blocks(page: str) -> list[Block]:
                 heading = tag in ("h1", "h2", "h3", "h4", "h5", "h6")
             if tag in VOID or m.group(3).rstrip().endswith("/"):
                 continue
-            top = stack[-1] if stack else _Open("", False, False, 0)
+            top = stack[-1] if stack else _Open("", False, False, 0, 0)
             boiler, hidden = _hidden_or_boiler(tag, m.group(3), top.main > 0)
             main = top.main
             if tag in MAIN and not top.main and not (boiler or top.bad):
                 mains += 1
                 main = mains
-            stack.append(_Open(tag, top.bad or boiler, top.skip or hidden or tag in SKIPPED, main))
+            containers += tag not in PLAIN
+            stack.append(_Open(tag, top.bad or boiler, top.skip or hidden or tag in SKIPPED, main, top.container if tag in PLAIN else containers))
         elif m.group(3):
             # An inline element is followed only if it hides or marks its content.
-            top = stack[-1] if stack else _Open("", False, False, 0)
+            top = stack[-1] if stack else _Open("", False, False, 0, 0)
             boiler, hidden = _hidden_or_boiler(tag, m.group(3), top.main > 0)
             if (boiler or hidden) and tag not in VOID and not m.group(3).rstrip().endswith("/"):
                 flush()
-                stack.append(_Open(tag, top.bad or boiler, top.skip or hidden, top.main))
+                stack.append(_Open(tag, top.bad or boiler, top.skip or hidden, top.main, top.container))
     flush()
     return found
 
@@ -186,35 +191,43 @@ def first_pass(found: list[Block]) -> None:
             b.label = BAD
         elif b.words >= SHORT and b.stop >= STOP_HIGH or b.words >= LONG and b.stop >= STOP_LOW:
             b.label = GOOD
-        elif not article and b.words >= LONG and b.stop < STOP_LOW / 4:
-            b.label = BAD
         else:
             b.label = OPEN
 
 
-def second_pass(found: list[Block]) -> None:
-    """Undecided blocks take the label of the nearest decided neighbours.
-
-    Inside a marked article only its own blocks are neighbours, and one without any is good;
-    elsewhere one without any is good if it is a heading or has stop words, else bad.
-    """
+def _nearest(found: list[Block], place) -> tuple[list[int | None], list[int | None]]:
+    """For each block, the nearest decided ones before and after it of the same place. In an article, bad blocks are no neighbours."""
     n = len(found)
-    before, after = [None] * n, [None] * n
+    before: list[int | None] = [None] * n
+    after: list[int | None] = [None] * n
     for order, into in ((range(n), before), (range(n - 1, -1, -1), after)):
-        last: dict[int, int] = {}
+        last: dict = {}
         for i in order:
             b = found[i]
-            into[i] = last.get(b.in_main)
+            into[i] = last.get(place(b))
             if b.label != OPEN and not (b.in_main and b.label == BAD):
-                last[b.in_main] = i
+                last[place(b)] = i
+    return before, after
+
+
+def second_pass(found: list[Block]) -> None:
+    """Undecided blocks take the label of the nearest decided neighbours, those of their own container first.
+
+    Inside a marked article only its own blocks are neighbours, and one without any is good;
+    elsewhere one without any is good if it is a heading or has stop words, else bad.
+    """
+    own = _nearest(found, lambda b: (b.in_main, b.container))
+    wide = _nearest(found, lambda b: b.in_main)
     labels = []
     for i, b in enumerate(found):
-        if b.label != OPEN:
-            labels.append(b.label)
-            continue
+        before, after = own if own[0][i] is not None or own[1][i] is not None else wide
         sides = [j for j in (before[i], after[i]) if j is not None]
         decided = {found[j].label for j in sides}
-        if b.heading and after[i] is not None:
+        if b.label != OPEN:
+            labels.append(b.label)
+        elif b.words >= LONG and own[0][i] is own[1][i] is None:
+            labels.append(GOOD)  # a long text without links, among nothing that is decided
+        elif b.heading and after[i] is not None:
             labels.append(found[after[i]].label)
         elif len(decided) == 1:
             labels.append(decided.pop())
