@@ -80,7 +80,7 @@ def swapped(text: str, terms: list[str]) -> Iterator[tuple[set[str], set[str]]]:
             yield found, {known.get(w, w) for w in found}
 
 
-def fit(texts: list[tuple[set[str], int]], pairs: list[tuple[set[str], set[str]]], balance: float = 0.05, ridge: float = 0.02, least: int = 3, steps: int = 600) -> ToxicModel:
+def fit(texts: list[tuple[set[str], int]], pairs: list[tuple[set[str], set[str]]], balance: float = 0.05, ridge: float = 0.02, least: int = 3, steps: int = 2000) -> ToxicModel:
     """``texts``: words and label; ``pairs``: words of labelled sentences before and after swapping.
 
     Minimises log loss + ``ridge`` |w|² + ``balance`` mean (score change of pairs)², on log-odds scores.
