@@ -21,6 +21,12 @@ def word_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("doc_id").alias("df"))
 
 
+@query("SELECT g AS token, count(*) AS n, count(DISTINCT doc_id) AS df FROM (SELECT doc_id, unnest(list_transform(range(1, length(t)), lambda i: substr(t, i, 2))) AS g FROM (SELECT doc_id, regexp_replace(text, '\\s+', '', 'g') AS t FROM documents WHERE lang = 'es')) GROUP BY g")
+def bigram_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = frame(spark, sf_dir, "documents").where("lang = 'es'").select("doc_id", F.explode(retrieval.character_ngrams(F.col("text"), 2)).alias("token"))
+    return docs.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("doc_id").alias("df"))
+
+
 _GRAMS = "SELECT DISTINCT {key} AS {key}, substr(t, i, 5) AS g FROM (SELECT {key}, regexp_replace(text, '\\s+', '', 'g') AS t FROM {table}), range(1, 400) r(i) WHERE i <= length(t) - 4"
 
 
