@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,3 +63,39 @@ def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in rows:
         if batch.num_rows:
             yield batch
+
+
+#: Bits of a fixed-size table of ids: 1 MB, whatever the number of ids.
+ID_BITS = 1 << 23
+
+
+def id_place(column: str):
+    """The place of an id in such a table."""
+    return F.pmod(F.xxhash64(F.col(column)), F.lit(ID_BITS))
+
+
+def id_table(ids: DataFrame, column: str) -> np.ndarray:
+    """Which of ID_BITS places the hashes of the ids fall on, gathered as at most ID_BITS / 32 rows.
+
+    A reader that keeps only rows on marked places loses none of the ids; what else falls on them is
+    sorted out by a join afterwards, which then moves little more than the rows wanted.
+    """
+    words = ids.select(id_place(column).alias("bit")).select((F.col("bit") / 32).cast("long").alias("word"), F.expr("shiftleft(1L, CAST(bit % 32 AS INT))").alias("bits"))
+    table = np.zeros(ID_BITS // 32, np.uint32)
+    for r in words.groupBy("word").agg(F.expr("bit_or(bits)").alias("bits")).toLocalIterator():
+        table[r.word] = r.bits
+    return np.unpackbits(table.view(np.uint8), bitorder="little").astype(bool)
+
+
+def on_table(df: DataFrame, column: str, table: np.ndarray, hit: bool = True) -> DataFrame:
+    """The rows whose id falls on the table (or does not), all columns as they are."""
+    packed, schema, last = np.packbits(table).tobytes(), df.schema, len(df.columns)
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marked = np.unpackbits(np.frombuffer(packed, np.uint8)).astype(bool)
+        for batch in batches(it):
+            keep = marked[batch.column(last).to_numpy()] == hit
+            if keep.any():
+                yield batch.select(range(last)).filter(pa.array(keep))
+
+    return df.select("*", id_place(column).alias("_place")).mapInArrow(run, schema)

@@ -9,13 +9,13 @@ boundary is where the cost of enumerating and of scanning, by the histogram of s
 
 Shingles are ordered by a fixed-size count sketch of the whole input (rare first, then by digest).
 Any order gives the same links; this one keeps shingles of shared passages out of the lists. A long
-list is first linked through its smallest member, and only members of different components meet
-again. Shingles and sets are told apart by 64-bit digests.
+list is first linked through a few likely pairs of each member, and only members of different
+components meet again. Shingles and sets are told apart by 64-bit digests.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from math import comb
 
 import numpy as np
@@ -25,16 +25,20 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skeinworks.llm._common import batches, materialise, partitions, ready, spread
+from skeinworks.llm._common import batches, id_place, id_table, materialise, on_table, partitions, ready, spread
 from skeinworks.llm.token_counts import balanced
 from skeinworks.operators.components import connected_components
 
 #: Counters of the sketch (fixed) and of a block of it that travels as one row.
-COUNTERS, BLOCK = 1 << 20, 1 << 14
+COUNTERS, BLOCK = 1 << 22, 1 << 16
 #: Cost of a list entry, with what verifying takes, against that of an enumerated subset; sizes considered for the boundary.
 SCAN_COST, LARGEST_LIGHT = 12, 40
+#: Characters of texts that are shingled at a time: their words, digests and sets take some thirty times as many bytes.
+BATCH_CHARS = 2 << 20
 #: Lists up to this length are paired at once.
 SHORT_LIST = 16
+#: Parts of a set's profile, which bounds intersections.
+PARTS = 128
 ABSENT = (1 << 63) - 1  # stands for a null id: never the least
 
 # Odd 64-bit constants of the mixing steps.
@@ -77,6 +81,11 @@ def class_key(s: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
 
 
+def profile(s: np.ndarray) -> bytes:
+    """How many members fall into each of PARTS parts of the digests, up to 255."""
+    return np.minimum(np.bincount((s >> np.uint64(20)).astype(np.int64) % PARTS, minlength=PARTS), 255).astype(np.uint8).tobytes()
+
+
 def spare(size: int, percent: int) -> int:
     """Most shingles of a set of this size that a partner may lack."""
     return size * (100 - percent) // 100
@@ -112,8 +121,8 @@ def subsets(s: np.ndarray, lacking: int) -> Iterator[tuple[int, int]]:
             last = np.concatenate([i for _, i in grown]) if grown else last
 
 
-_ROWS = "doc_id long, n_shingles int, key long, block int, counts binary"
-_ROWS_SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int32()), ("key", pa.int64()), ("block", pa.int32()), ("counts", pa.binary())])
+_ROWS = "doc_id long, n_shingles int, key long, profile binary, block int, counts binary"
+_ROWS_SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int32()), ("key", pa.int64()), ("profile", pa.binary()), ("block", pa.int32()), ("counts", pa.binary())])
 _ENTRIES = "token long, share int, size int, key long, place int"
 _ENTRIES_SCHEMA = pa.schema([("token", pa.int64()), ("share", pa.int32()), ("size", pa.int32()), ("key", pa.int64()), ("place", pa.int32())])
 #: kind 0: a link; 1: a pair to verify; 2: a member of a long list (b: unused).
@@ -129,16 +138,17 @@ def _measured(rows: DataFrame, words: int) -> DataFrame:
     """A row per document, and each task's share of the count sketch in blocks."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(COUNTERS, dtype=np.int64)
-        for ids, texts in balanced(it):
+        counts = np.zeros(COUNTERS, dtype=np.uint32)
+        for ids, texts in balanced(it, BATCH_CHARS):
             sets = shingle_sets(texts, words)
-            counts += np.bincount((np.concatenate(sets) >> np.uint64(44)).astype(np.int64), minlength=COUNTERS)
+            place, n = np.unique((np.concatenate(sets) >> np.uint64(42)).astype(np.uint32), return_counts=True)
+            counts[place] += n.astype(np.uint32)
             n = len(ids)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int32()), pa.array([class_key(s) for s in sets], pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], schema=_ROWS_SCHEMA)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int32()), pa.array([class_key(s) for s in sets], pa.int64()), pa.array([profile(s) for s in sets], pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], schema=_ROWS_SCHEMA)
         if counts.any():
-            kept = [(b, block.astype("<u4").tobytes()) for b, block in enumerate(np.minimum(counts, 0xFFFFFFFF).reshape(-1, BLOCK)) if block.any()]
+            kept = [(b, block.astype("<u4").tobytes()) for b, block in enumerate(counts.reshape(-1, BLOCK)) if block.any()]
             n = len(kept)
-            yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.array([b for b, _ in kept], pa.int32()), pa.array([c for _, c in kept], pa.binary())], schema=_ROWS_SCHEMA)
+            yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array([b for b, _ in kept], pa.int32()), pa.array([c for _, c in kept], pa.binary())], schema=_ROWS_SCHEMA)
 
     return rows.mapInArrow(run, _ROWS)
 
@@ -159,11 +169,11 @@ def _frequent(measured: DataFrame) -> np.ndarray:
     blocks = measured.where("block IS NOT NULL").select("block", "counts")
     summed = blocks.repartition(min(partitions(spark), COUNTERS // BLOCK), "block").mapInArrow(add, "block int, counts binary")
     counts = np.zeros((COUNTERS // BLOCK, BLOCK), dtype=np.int64)
-    for r in summed.collect():  # one row for each block: 8 MB in all
+    for r in summed.collect():  # one row for each block: 32 MB in all
         counts[r.block] += np.frombuffer(r.counts, "<i8")
     counts = counts.ravel()
     mean = counts.mean()
-    return counts > mean + 6 * mean**0.5 + 8
+    return counts > mean + 4 * mean**0.5 + 4
 
 
 def _entries(rows: DataFrame, words: int, percent: int, light: int, frequent: np.ndarray) -> DataFrame:
@@ -173,7 +183,7 @@ def _entries(rows: DataFrame, words: int, percent: int, light: int, frequent: np
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common = np.unpackbits(np.frombuffer(packed, np.uint8)).astype(bool)
         seen: set[int] = set()
-        for _, texts in balanced(it):
+        for _, texts in balanced(it, BATCH_CHARS):
             cols: list[list[np.ndarray]] = [[], [], [], [], []]
 
             def put(tokens: np.ndarray, share: np.ndarray | int, size: int, key: int) -> None:
@@ -190,7 +200,7 @@ def _entries(rows: DataFrame, words: int, percent: int, light: int, frequent: np
                     got = list(subsets(s, spare(size, percent)))
                     put(np.array([x for x, _ in got], dtype=np.int64), np.array([c for _, c in got]), size, key)
                 if 100 * size >= percent * light:
-                    late = common[(s >> np.uint64(44)).astype(np.int64)]
+                    late = common[(s >> np.uint64(42)).astype(np.int64)]
                     ordered = np.concatenate([s[~late], s[late]])
                     put(ordered[: spare(size, percent) + 1].view(np.int64), 0, size, key)
             if cols[0]:
@@ -261,67 +271,138 @@ def _met(entries: DataFrame, percent: int) -> DataFrame:
     return dealt.mapInArrow(run, _FOUND)
 
 
-def _through_smallest(lists: DataFrame, percent: int) -> DataFrame:
-    """Of each long list, the pairs of its smallest member with the others that can be linked to it."""
-    first = lists.groupBy("token").agg(F.min(F.struct("a_size", "a", "place")).alias("c"))
-    pairs = lists.join(first, "token").where("a <> c.a")
-    least = F.ceil(percent * (F.col("a_size") + F.col("c.a_size")) / F.lit(100 + percent))
-    ok = (F.col("c.a_size") >= least) & (F.least(F.col("a_size") - F.col("place"), F.col("c.a_size") - F.col("c.place")) >= least)
-    return pairs.where(ok).select(F.least("a", "c.a").alias("a"), F.greatest("a", "c.a").alias("b")).distinct()
+def _room(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Most that sets of these profiles can have in common: part by part the smaller count, without a bound where a part is cut at 255."""
+    most = np.minimum(x, y).sum(axis=1, dtype=np.int64)
+    most[((x == 255) | (y == 255)).any(axis=1)] = 1 << 40
+    return most
 
 
-def _across(lists: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Of each long list, the pairs of members in different components that can be linked."""
+def _members(lists: DataFrame, labels: DataFrame, profiles: DataFrame) -> DataFrame:
+    """Members of the long lists that hold several components: ``token, a_size, a, place, component, profile``."""
     known = lists.join(labels.withColumnRenamed("node", "a"), "a", "left").withColumn("component", F.coalesce("component", "a"))
-    mixed_lists = known.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("token")
-    rows = known.join(mixed_lists, "token").select("token", "a_size", "a", "place", "component")
-    spark = lists.sparkSession
-    dealt = rows.repartition(partitions(spark), "token").sortWithinPartitions("token", "a_size", "a")
+    known = materialise(known.join(profiles.select(F.col("key").alias("a"), "profile"), "a").select("token", "a_size", "a", "place", "component", "profile"), "members")
+    split = known.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("token")
+    return known.join(split, "token", "left_semi")
+
+
+def _by_list(members: DataFrame, pairs: Callable, percent: int) -> DataFrame:
+    """``a, b`` (a < b) of ``pairs(size, key, place, component, profile)`` over each list, sorted by size. A task gives a pair once."""
+    spark = members.sparkSession
+    dealt = members.repartition(partitions(spark), "token").sortWithinPartitions("token", "a_size", "a")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs(x: np.ndarray) -> Iterator[pa.RecordBatch]:
-            """One list, sorted by size: each member against the larger ones within the size bound."""
-            _, size, key, place, comp = x
-            high = np.searchsorted(100 * size[0:1].repeat(0) if not len(size) else size, 100 * size // percent, side="right")
-            for i in range(len(size) - 1):
-                j = np.arange(i + 1, max(high[i], i + 1))
-                j = j[comp[j] != comp[i]]
-                least = -(-percent * (size[i] + size[j]) // (100 + percent))
-                j = j[(size[i] >= least) & (np.minimum(size[i] - place[i], size[j] - place[j]) >= least)]
-                if len(j):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(key[i], key[j])), pa.array(np.maximum(key[i], key[j]))], schema=schema)
-
-        held: list[np.ndarray] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        out, waiting = [np.zeros((2, 0), dtype=np.int64)], 0
+
+        def close() -> None:
+            nonlocal held, waiting
+            x, parts = np.concatenate([h for h, _ in held], axis=1), np.concatenate([h for _, h in held])
+            held = []
+            for i, j in pairs(*x[1:], parts):
+                found = np.stack([np.minimum(x[2][i], x[2][j]), np.maximum(x[2][i], x[2][j])])
+                out.append(found)
+                waiting += found.shape[1]
+
+        def distinct() -> np.ndarray:
+            nonlocal out, waiting
+            once = np.unique(np.concatenate(out, axis=1), axis=1)
+            out, waiting = [np.zeros((2, 0), dtype=np.int64)], 0
+            return once
+
         for batch in batches(it):
-            x = np.stack([c.to_numpy().astype(np.int64) for c in batch.columns])
+            x = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(5)])
+            parts = np.frombuffer(b"".join(batch.column(5).to_pylist()), np.uint8).reshape(-1, PARTS)
             cuts = np.flatnonzero(np.diff(x[0])) + 1
-            for k, part in enumerate(np.split(x, cuts, axis=1)):
-                if held and (k or held[-1][0, -1] != part[0, 0]):
-                    yield from pairs(np.concatenate(held, axis=1))
-                    held = []
-                held.append(part)
+            for k, (part, own) in enumerate(zip(np.split(x, cuts, axis=1), np.split(parts, cuts), strict=True)):
+                if held and (k or held[-1][0][0, -1] != part[0, 0]):
+                    close()
+                held.append((part, own))
+            if waiting > 4_000_000:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in distinct()], schema=schema)
         if held:
-            yield from pairs(np.concatenate(held, axis=1))
+            close()
+        if waiting:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in distinct()], schema=schema)
 
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs whose whole sets pass. Sets are made again from the text of one document of each class that is in a pair."""
+def _linkable(i: np.ndarray, j: np.ndarray, size: np.ndarray, place: np.ndarray, comp: np.ndarray, parts: np.ndarray, percent: int) -> np.ndarray:
+    """Of index pairs, those of different components that sizes, places and profiles allow to be linked."""
+    least = -(-percent * (size[i] + size[j]) // (100 + percent))
+    ok = (comp[i] != comp[j]) & (np.minimum(size[i], size[j]) >= least) & (np.minimum(size[i] - place[i], size[j] - place[j]) >= least)
+    ok[ok] = _room(parts[i[ok]], parts[j[ok]]) >= least[ok]
+    return ok
+
+
+def _near(members: DataFrame, percent: int) -> DataFrame:
+    """Some likely pairs of each long list, a few for each member: its smallest member, and neighbours in two orders of profiles."""
+
+    def pairs(size, key, place, comp, parts):
+        every = np.arange(len(size))
+        for order in (every[np.lexsort(parts.T[::-1])], every[np.lexsort(parts.T)]):
+            for step in (1, 2, 3):
+                i, j = order[:-step], order[step:]
+                ok = _linkable(i, j, size, place, comp, parts, percent)
+                yield i[ok], j[ok]
+        first = np.zeros(len(size) - 1, dtype=np.int64)
+        ok = _linkable(first, every[1:], size, place, comp, parts, percent)
+        yield first[ok], every[1:][ok]
+
+    return _by_list(members, pairs, percent)
+
+
+def _across(members: DataFrame, percent: int) -> DataFrame:
+    """All pairs of each long list that are of different components and can be linked."""
+
+    def pairs(size, key, place, comp, parts):
+        high = np.searchsorted(size, 100 * size // percent, side="right")
+        for n in range(len(size) - 1):
+            j = np.arange(n + 1, max(high[n], n + 1))
+            i = np.full(len(j), n)
+            ok = _linkable(i, j, size, place, comp, parts, percent)
+            if ok.any():
+                yield i[ok], j[ok]
+
+    return _by_list(members, pairs, percent)
+
+
+def _plausible(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose profiles leave room for a link: part by part an intersection is at most the smaller count."""
+    side = lambda x: profiles.select(F.col("key").alias(x), F.col("n_shingles").alias(f"{x}_size"), F.col("profile").alias(f"{x}_profile"))
+    beside = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_size", "b_size", "a_profile", "b_profile")
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(it):
+            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, PARTS) for i in (4, 5))
+            total = (batch.column(2).to_numpy() + batch.column(3).to_numpy()).astype(np.int64)
+            keep = pa.array((100 + percent) * _room(x, y) >= percent * total)
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], schema=schema)
+
+    return beside.mapInArrow(run, "a long, b long")
+
+
+def _verified(pairs: DataFrame, classes: DataFrame, profiles: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs whose whole sets pass. Sets are made again from the text of one document of each class that is in a plausible pair."""
+    pairs = materialise(_plausible(pairs, profiles, percent), "plausible")
     wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
     ids = classes.join(wanted, "key").select(F.col("first_id").alias("doc_id"))
     schema = pa.schema([("key", pa.int64()), ("members", pa.binary())])
 
     def sets(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in balanced(it, 4 << 20):
+        marked = np.unpackbits(np.frombuffer(packed, np.uint8)).astype(bool)
+        for _, texts in balanced((batch.filter(pa.array(marked[batch.column(2).to_numpy()])) for batch in batches(it)), BATCH_CHARS):
             got = shingle_sets(texts, words)
             for at in range(0, len(got), 200):
                 part = got[at : at + 200]
                 yield pa.RecordBatch.from_arrays([pa.array([class_key(s) for s in part], pa.int64()), pa.array([s.tobytes() for s in part], pa.binary())], schema=schema)
 
-    present = rows.withColumn("doc_id", F.coalesce("doc_id", F.lit(ABSENT))).join(ids, "doc_id", "left_semi")
-    whole = present.select("doc_id", "text").mapInArrow(sets, "key long, members binary").dropDuplicates(["key"])
+    packed = np.packbits(id_table(ids, "doc_id")).tobytes()
+    present = rows.withColumn("doc_id", F.coalesce("doc_id", F.lit(ABSENT))).withColumn("spot", id_place("doc_id"))
+    whole = present.mapInArrow(sets, "key long, members binary").join(wanted, "key", "left_semi").dropDuplicates(["key"])
     beside = pairs.join(whole.select(F.col("key").alias("b"), F.col("members").alias("b_members")), "b").join(whole.select(F.col("key").alias("a"), F.col("members").alias("a_members")), "a")
     edge = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -357,23 +438,24 @@ def near_duplicate_classes(docs: DataFrame, words: int = 5, percent: int = 80, i
     documents = measured.where("block IS NULL").select("doc_id", "n_shingles", "key")
     classes = documents.where("n_shingles > 0").groupBy("key", "n_shingles").agg(F.min(F.coalesce("doc_id", F.lit(ABSENT))).alias("first_id"))
     classes = materialise(classes, "classes")
+    profiles = materialise(measured.where("n_shingles > 0").select("key", "n_shingles", "profile").dropDuplicates(["key"]), "profiles")
     sizes = {r.n_shingles: r["count"] for r in classes.where(F.col("n_shingles") <= 2 * LARGEST_LIGHT).groupBy("n_shingles").count().collect()}
     light = boundary(sizes, percent)
     found = materialise(_met(_entries(dealt, words, percent, light, _frequent(measured)), percent), "met")
     links = found.where("kind = 0").select("a", "b")
-    pairs = found.where("kind = 1").select("a", "b")
     lists = found.where("kind = 2")
-    long = bool(lists.limit(1).collect())
-    if long:
-        pairs = pairs.union(_through_smallest(lists, percent))
-    pairs = materialise(pairs.distinct(), "pairs")
-    links = materialise(links.union(_verified(pairs, classes, rows, words, percent)), "links")
-    labels = connected_components(links)
-    if long:
-        labels = materialise(labels, "labels")
-        rest = materialise(_across(lists, labels, percent).join(pairs, ["a", "b"], "left_anti"), "rest")
-        if rest.limit(1).collect():
-            more = _verified(rest, classes, rows, words, percent)
+    check = lambda pairs: _verified(pairs, classes, profiles, rows, words, percent)
+    tested = materialise(found.where("kind = 1").select("a", "b").distinct(), "pairs")
+    labels = connected_components(materialise(links.union(check(tested)), "links"))
+    if lists.limit(1).collect():
+        # Likely pairs first: what they link needs no further look. Then all pairs of different components that are left.
+        for pairs_of in (_near, _across):
+            labels = materialise(labels, "labels")
+            fresh = materialise(pairs_of(_members(lists, labels, profiles), percent).join(tested, ["a", "b"], "left_anti"), "fresh")
+            if not fresh.limit(1).collect():
+                continue
+            more = materialise(check(fresh), "links")
+            tested = tested.union(fresh)
             labels = connected_components(more.union(labels.select(F.col("node").alias("a"), F.col("component").alias("b"))))
     member = classes.join(labels.withColumnRenamed("node", "key"), "key", "left").select("key", "first_id", F.coalesce("component", "key").alias("component"))
     least = member.groupBy("component").agg(F.min("first_id").alias("component_id"))
@@ -391,6 +473,12 @@ def keep_first(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
 
     Rows with a null id have no class to be the first of and stay, each by itself.
     """
-    found = near_duplicate_classes(docs, words, percent)
-    first = found.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.where("doc_id IS NOT NULL").join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    found = near_duplicate_classes(docs, words, percent).where("doc_id IS NOT NULL")
+    counted = found.groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.count(F.lit(1)).alias("n"))
+    doubtful = materialise(counted.where("doc_id <> component_id OR n > 1"), "doubtful")
+    # Most rows are surely kept and stay where they are; the rest, and what hashes like it, is joined.
+    table = id_table(doubtful, "doc_id")
+    gone = doubtful.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone"))
+    rest = on_table(docs.where("doc_id IS NOT NULL"), "doc_id", table)
+    rest = rest.join(gone, rest["doc_id"] == gone["_gone"], "left_anti").dropDuplicates(["doc_id"]).select(docs.columns)
+    return on_table(docs.where("doc_id IS NOT NULL"), "doc_id", table, hit=False).unionByName(rest).unionByName(docs.where("doc_id IS NULL"))

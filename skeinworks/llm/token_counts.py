@@ -141,6 +141,7 @@ def balanced(rows: Iterator[pa.RecordBatch], limit: int = BATCH_BYTES) -> Iterat
             if total >= limit:
                 yield ids, texts
                 ids, texts, total = [], [], 0
+                pa.default_memory_pool().release_unused()
     if ids:
         yield ids, texts
 
