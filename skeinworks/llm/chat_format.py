@@ -13,6 +13,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skeinworks.llm._common import batch_of, batches, partitions, ready
+from skeinworks.llm.token_counts import encoder
 
 #: The template's marks.
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
@@ -34,28 +36,10 @@ def unescape(text: str) -> str:
     return text.replace("<\\", "<").replace("[\\", "[")
 
 
-def render_turn(role: str | None, text: str | None) -> tuple[str, tuple[int, int]]:
-    """The formatted turn and the span of its text in it. Null role and text are empty."""
-    head = f"{TURN}{escape(role or '')}{TEXT}"
-    body = escape(text or "")
-    return head + body + END, (len(head), len(head) + len(body))
-
-
 def read_turns(formatted: str) -> list[tuple[str, str]]:
     return [(unescape(r), unescape(t)) for r, t in _READ.findall(formatted)]
 
 
-@lru_cache(maxsize=2)
-def marked_tokenizer(path: str):
-    """The tokenizer with the marks as special tokens; offsets keep the spaces that belong to tokens."""
-    from tokenizers import Tokenizer, processors
-
-    tok = Tokenizer.from_file(path)
-    tok.add_special_tokens([TURN, TEXT, END])
-    tok.post_processor = processors.ByteLevel(trim_offsets=False)
-    return tok
-
-
 def token_mask(offsets: np.ndarray, spans: np.ndarray) -> np.ndarray:
     """Which tokens lie in a span: both are sorted, so each token is looked up by binary search.
 
@@ -70,26 +54,85 @@ def token_mask(offsets: np.ndarray, spans: np.ndarray) -> np.ndarray:
 
 def masked_text(text: str, offsets: np.ndarray, mask: np.ndarray) -> str:
     """The text that the masked tokens cover, each character once (a character may be several tokens)."""
-    out, done = [], 0
-    for start, end in offsets[mask].tolist():
-        out.append(text[max(start, done) : end])
-        done = max(done, end)
-    return "".join(out)
+    spans = offsets[mask]
+    if not len(spans):
+        return ""
+    # Runs of spans that touch or overlap are cut out in one piece.
+    new = np.flatnonzero(spans[1:, 0] > spans[:-1, 1]) + 1
+    starts, ends = spans[np.concatenate([[0], new]), 0], spans[np.concatenate([new, [len(spans)]]) - 1, 1]
+    return "".join(text[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True))
+
+
+class Turn(NamedTuple):
+    """A turn with its control strings escaped."""
+
+    role: str
+    text: str
+    trained: bool
 
+    @property
+    def formatted(self) -> str:
+        return f"{TURN}{self.role}{TEXT}{self.text}{END}"
 
-def encode_marked(path: str, parts: list[tuple[str, tuple[int, int] | None]]) -> tuple[str, list[int], np.ndarray, np.ndarray]:
-    """Formatted text, ids, offsets and loss mask of rendered turns (text, trained span or None)."""
-    text = "".join(p for p, _ in parts)
-    starts = np.concatenate([[0], np.cumsum([len(p) for p, _ in parts])])
-    spans = np.array([(starts[i] + a, starts[i] + b) for i, (_, s) in enumerate(parts) if s for a, b in [s]], dtype=np.int64).reshape(-1, 2)
-    enc = marked_tokenizer(path).encode(text, add_special_tokens=False)
-    offsets = np.array(enc.offsets, dtype=np.int64).reshape(-1, 2)
-    return text, enc.ids, offsets, token_mask(offsets, spans)
+
+def turn(role: str | None, text: str | None, trained: str) -> Turn:
+    """Null role and text are empty."""
+    return Turn(escape(role or ""), escape(text or ""), role == trained)
+
+
+def mark_ids(path: str) -> tuple[int, int, int]:
+    """The marks' ids: the first ones that the vocabulary leaves free."""
+    free = encoder(path).core.n_vocab
+    return free, free + 1, free + 2
+
+
+@lru_cache(maxsize=2)
+def token_bytes(path: str) -> np.ndarray:
+    core = encoder(path).core
+    return np.array([len(core.decode_single_token_bytes(i)) for i in range(core.n_vocab)], dtype=np.int64)
+
+
+def character_offsets(text: str, ends: np.ndarray) -> np.ndarray:
+    """(n, 2) character spans of tokens that end at these bytes of the text; a token inside a character spans it."""
+    starts = np.concatenate([[0], ends[:-1]])
+    if not text.isascii():
+        number = np.cumsum(np.frombuffer(text.encode(), np.uint8) & 0xC0 != 0x80) - 1
+        starts, ends = number[starts], number[ends - 1] + 1
+    return np.stack([starts, ends], axis=1)
+
+
+def encode_marked(path: str, runs: list[list[Turn]]) -> Iterator[tuple[str, np.ndarray, np.ndarray, np.ndarray]]:
+    """Formatted text, ids, character offsets and loss mask of each run of turns; all runs are encoded in one call."""
+    segments = [s for turns in runs for t in turns for s in (t.role, t.text)]
+    ids, bounds = encoder(path).encode_many(segments)
+    sizes, marks, n = token_bytes(path), mark_ids(path), 0
+    for turns in runs:
+        found, spans, offsets, at, text = [], [], [], 0, []
+        for t in turns:
+            for mark, name, body in ((TURN, marks[0], t.role), (TEXT, marks[1], t.text)):
+                own = ids[bounds[n] : bounds[n + 1]].astype(np.int64)
+                n += 1
+                found += [[name], own]
+                offsets.append(np.array([[at, at + len(mark)]]))
+                at += len(mark)
+                if len(own):
+                    offsets.append(at + character_offsets(body, np.cumsum(sizes[own])))
+                if t.trained and mark == TEXT:
+                    spans.append((at, at + len(body)))
+                at += len(body)
+            found.append([marks[2]])
+            offsets.append(np.array([[at, at + len(END)]]))
+            at += len(END)
+            text.append(t.formatted)
+        every = np.concatenate(offsets) if offsets else np.zeros((0, 2), np.int64)
+        yield "".join(text), np.concatenate(found).astype(np.int64) if found else np.zeros(0, np.int64), every, token_mask(every, np.array(spans, dtype=np.int64).reshape(-1, 2))
 
 
 FORMATTED = "conv_id long, part int, turns int, formatted string, ids array<int>, loss array<boolean>"
 #: A conversation's turns are encoded in runs of about so many characters. Runs end at a mark, where no token straddles, so ids are those of one call.
 RUN_CHARS = 1 << 20
+#: Characters of runs that are encoded in one call.
+BATCH_CHARS = 4 << 20
 
 
 def _ordered(rows: DataFrame) -> DataFrame:
@@ -99,23 +142,27 @@ def _ordered(rows: DataFrame) -> DataFrame:
     return picked.repartition(partitions(spark), "conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
 
 
-def _runs(it: Iterator[pa.RecordBatch], trained: str) -> Iterator[tuple[int | None, bool, bool, list]]:
-    """(conversation, first run?, last run?, rendered turns) in order."""
-    conv, parts, chars, first, any_row = None, [], 0, True, False
+def _runs(it: Iterator[pa.RecordBatch], trained: str) -> Iterator[list[tuple[int | None, bool, bool, list[Turn]]]]:
+    """(conversation, first run?, last run?, turns) in order, as many together as make some BATCH_CHARS characters."""
+    conv, turns, chars, first, any_row = None, [], 0, True, False
+    done, total = [], 0
     for batch in batches(it):
         for c, role, text in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3)), strict=True):
-            if any_row and c != conv:
-                yield conv, first, True, parts
-                parts, chars, first = [], 0, True
-            elif chars > RUN_CHARS:
-                yield conv, first, False, parts
-                parts, chars, first = [], 0, False
+            ends = any_row and c != conv
+            if ends or chars > RUN_CHARS:
+                done.append((conv, first, ends, turns))
+                total += chars
+                turns, chars, first = [], 0, ends
+                if total > BATCH_CHARS:
+                    yield done
+                    done, total = [], 0
             conv, any_row = c, True
-            formatted, span = render_turn(role, text)
-            parts.append((formatted, span if role == trained else None))
-            chars += len(formatted)
+            turns.append(turn(role, text, trained))
+            chars += len(turns[-1].role) + len(turns[-1].text)
     if any_row:
-        yield conv, first, True, parts
+        done.append((conv, first, True, turns))
+    if done:
+        yield done
 
 
 def format_conversations(rows: DataFrame, path: str, trained: str = "assistant") -> DataFrame:
@@ -128,10 +175,10 @@ def format_conversations(rows: DataFrame, path: str, trained: str = "assistant")
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = 0
-        for conv, first, _, parts in _runs(it, trained):
-            n = 0 if first else n + 1
-            text, ids, _, mask = encode_marked(path, parts)
-            yield batch_of(schema, [conv], [n], [len(parts)], [text], [ids], [mask.tolist()])
+        for runs in _runs(it, trained):
+            for (conv, first, _, turns), (text, ids, _, mask) in zip(runs, encode_marked(path, [r[3] for r in runs]), strict=True):
+                n = 0 if first else n + 1
+                yield batch_of(schema, [conv], [n], [len(turns)], [text], [ids.tolist()], [mask.tolist()])
 
     return _ordered(rows).mapInArrow(run, FORMATTED)
 
@@ -143,25 +190,22 @@ def conversation_digests(rows: DataFrame, path: str, trained: str = "assistant")
     """What reading the formatted conversations back gives, one row each; cases as in ``format_conversations``."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = []
-        for conv, first, last, parts in _runs(it, trained):
-            if first:
-                turns, loss, n, loss_chars, chars = hashlib.sha256(), hashlib.sha256(), 0, 0, 0
-            text, _, offsets, mask = encode_marked(path, parts)
-            chars += len(text)
-            for role, said in read_turns(text):
-                turns.update(f"{role}\n{said}\n".encode())
-                n += 1
-            learnt = unescape(masked_text(text, offsets, mask))
-            loss_chars += len(learnt)
-            loss.update(learnt.encode())
-            if last:
-                out.append((conv, n, turns.hexdigest(), loss_chars, loss.hexdigest(), chars))
-            if len(out) == 1000:
+        for runs in _runs(it, trained):
+            out = []
+            for (conv, first, last, _), (text, _, offsets, mask) in zip(runs, encode_marked(path, [r[3] for r in runs]), strict=True):
+                if first:
+                    turns, loss, n, loss_chars, chars = hashlib.sha256(), hashlib.sha256(), 0, 0, 0
+                chars += len(text)
+                for role, said in read_turns(text):
+                    turns.update(f"{role}\n{said}\n".encode())
+                    n += 1
+                learnt = unescape(masked_text(text, offsets, mask))
+                loss_chars += len(learnt)
+                loss.update(learnt.encode())
+                if last:
+                    out.append((conv, n, turns.hexdigest(), loss_chars, loss.hexdigest(), chars))
+            if out:
                 yield batch_of(DIGESTS, *zip(*out, strict=True))
-                out = []
-        if out:
-            yield batch_of(DIGESTS, *zip(*out, strict=True))
 
     return _ordered(rows).mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 

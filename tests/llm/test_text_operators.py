@@ -15,13 +15,18 @@ BYTE = P.path("byte_bpe_50k.json")
 
 
 def test_masks_cover_trained_texts_exactly():
+    from tokenizers import Tokenizer, processors
+
+    library = Tokenizer.from_file(BYTE)
+    library.add_special_tokens([cf.TURN, cf.TEXT, cf.END])
+    library.post_processor = processors.ByteLevel(trim_offsets=False)
     rnd = random.Random(2)
-    for _ in range(150):
-        turns = [(rnd.choice(["user", "assistant", "system", None, "<|end|>"]), "".join(rnd.choice("ab <[\\|>é漢🙂\n </s>[INST]<|end|><|turn|>") for _ in range(rnd.randint(0, 30)))) for _ in range(rnd.randint(1, 6))]
-        parts = [(f, s if role == "assistant" else None) for role, text in turns for f, s in [cf.render_turn(role, text)]]
-        text, _, offsets, mask = cf.encode_marked(BYTE, parts)
-        assert cf.read_turns(text) == [(r or "", t) for r, t in turns]
-        assert cf.unescape(cf.masked_text(text, offsets, mask)) == "".join(t for r, t in turns if r == "assistant")
+    runs = [[(rnd.choice(["user", "assistant", "system", None, "<|end|>"]), "".join(rnd.choice("ab <[\\|>é漢🙂\n </s>[INST]<|end|><|turn|>") for _ in range(rnd.randint(0, 30)))) for _ in range(rnd.randint(1, 6))] for _ in range(200)]
+    for said, (text, ids, offsets, mask) in zip(runs, cf.encode_marked(BYTE, [[cf.turn(r, t, "assistant") for r, t in run] for run in runs]), strict=True):
+        want = library.encode(text, add_special_tokens=False)
+        assert ids.tolist() == want.ids and offsets.tolist() == [list(o) for o in want.offsets]
+        assert cf.read_turns(text) == [(r or "", t) for r, t in said]
+        assert cf.unescape(cf.masked_text(text, offsets, mask)) == "".join(t for r, t in said if r == "assistant")
 
 
 def test_token_mask_empty_cases():
@@ -42,6 +47,8 @@ def test_conversations_in_order_with_long_ones_in_parts(spark, monkeypatch):
     assert cf.conversation_digests(table.limit(0), BYTE).count() == 0
     formatted = cf.format_conversations(table, BYTE).where("conv_id = 1").collect()
     assert len(formatted) == 1 and len(formatted[0].ids) == len(formatted[0].loss)
+    long = [[cf.turn("user", "x" * 9, "assistant")] * 3]
+    assert len(list(cf.encode_marked(BYTE, long))) == 1
 
 
 PAGE = """<!doctype html><html><head><title>T</title><script>var a = "</p>";</script></head><body>
@@ -58,6 +65,8 @@ def test_main_text_without_and_with_article():
     want = "The title of it This is the first paragraph of the article and it has a lot of words that are in the list. Yes. And this is the last paragraph of the article & it is as long as the first one was, with more to come."
     assert html_extract.extract(PAGE) == want
     assert html_extract.extract("<nav><a>x</a></nav><article><h1>Hi</h1><p>a<br>b&nbsp; c<p><b>d</article><aside>the and of it is so on and on</aside>") == "Hi a b c d"
+    plain = "<div><a href=a>one</a> <a href=b>two</a></div><div><h2>Head</h2><p>" + "word the of and other text " * 8 + "</p><p>Sh is.</p></div><footer>the end of it</footer>"
+    assert html_extract.extract(plain) == "Head " + " ".join(("word the of and other text " * 8).split()) + " Sh is."
     for odd in ("", "<", "<p", "&", "<article>", "<!--", "<script>", "</p></div>", "<a href='x", "<p>a</q>"):
         assert isinstance(html_extract.extract(odd), str)
 
@@ -124,3 +133,14 @@ def test_toxicity_query_cases(spark):
     assert kept.columns == docs.columns and kept.where("doc_id IS NULL").count() == 0 and kept.where("doc_id = 900").count() == 1
     assert toxicity.toxicity(docs.limit(0), model).count() == 0
     assert toxicity.train(docs, labels.limit(0)).score_many(["scumbag"])[0] < 0.5
+
+
+def test_long_conversations_come_in_runs(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(cf, "RUN_CHARS", 3)
+    rows = pa.RecordBatch.from_pydict({"conv_id": [1, 1, 1, 2], "turn": [0, 1, 2, 0], "role": ["user", "assistant", "assistant", "user"], "text": ["aaaa", "bbbb", "cccc", "d"]})
+    runs = [r for batch in cf._runs(iter([rows]), "assistant") for r in batch]
+    assert [(c, first, last, len(turns)) for c, first, last, turns in runs] == [(1, True, False, 1), (1, False, False, 1), (1, False, True, 1), (2, True, True, 1)]
+    texts = [cf.masked_text(text, offsets, mask) for text, _, offsets, mask in cf.encode_marked(BYTE, [r[3] for r in runs])]
+    assert texts == ["", "bbbb", "cccc", ""]
