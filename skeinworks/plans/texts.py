@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skeinworks.functions.generate import instantiate_many
@@ -17,14 +17,30 @@ _RUNS = "regexp_extract_all(lower(text), '[a-z]+|[0-9]+(?:\\.[0-9]+)?')"
 
 @query(f"SELECT token, count(*) AS n, count(DISTINCT doc_id) AS df FROM (SELECT doc_id, unnest({_RUNS}) AS token FROM documents WHERE lang = 'en') GROUP BY token")
 def word_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = frame(spark, sf_dir, "documents").where("lang = 'en'").select("doc_id", F.explode(retrieval.tokens(F.col("text"))).alias("token"))
-    return docs.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("doc_id").alias("df"))
+    return _counted(frame(spark, sf_dir, "documents").where("lang = 'en'"), retrieval.tokens(F.col("text")))
+
+
+@query()
+def word_tokens_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of all documents, whatever their language."""
+    return _counted(frame(spark, sf_dir, "documents"), retrieval.tokens(F.col("text")))
+
+
+def _counted(docs: DataFrame, tokens: Column) -> DataFrame:
+    each = docs.select("doc_id", F.explode(tokens).alias("token"))
+    return each.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("doc_id").alias("df"))
 
 
 @query("SELECT g AS token, count(*) AS n, count(DISTINCT doc_id) AS df FROM (SELECT doc_id, unnest(list_transform(range(1, length(t)), lambda i: substr(t, i, 2))) AS g FROM (SELECT doc_id, regexp_replace(text, '\\s+', '', 'g') AS t FROM documents WHERE lang = 'es')) GROUP BY g")
 def bigram_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = frame(spark, sf_dir, "documents").where("lang = 'es'").select("doc_id", F.explode(retrieval.character_ngrams(F.col("text"), 2)).alias("token"))
-    return docs.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("doc_id").alias("df"))
+    return _counted(frame(spark, sf_dir, "documents").where("lang = 'es'"), retrieval.character_ngrams(F.col("text"), 2))
+
+
+@query()
+def bigram_tokens_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of all documents, whatever their language."""
+    return _counted(frame(spark, sf_dir, "documents"), retrieval.character_ngrams(F.col("text"), 2))
+
 
 
 _GRAMS = "SELECT DISTINCT {key} AS {key}, substr(t, i, 5) AS g FROM (SELECT {key}, regexp_replace(text, '\\s+', '', 'g') AS t FROM {table}), range(1, 400) r(i) WHERE i <= length(t) - 4"
@@ -46,8 +62,11 @@ _TF = f"""WITH t AS (SELECT item_id, token, count(*) AS tf FROM (SELECT item_id,
 
 
 def _weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = frame(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), retrieval.tokens(F.regexp_replace(F.lower("text"), "[^a-z0-9.]+", " ")).alias("tokens"))
-    return retrieval.tfidf(docs)
+    return _weighted(frame(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), "text"))
+
+
+def _weighted(docs: DataFrame) -> DataFrame:
+    return retrieval.tfidf(docs.select("doc_id", retrieval.tokens(F.regexp_replace(F.lower("text"), "[^a-z0-9.]+", " ")).alias("tokens")))
 
 
 @query(_TF + " SELECT item_id AS doc_id, token, round(w, 6) AS w FROM u")
@@ -68,6 +87,24 @@ def tfidf_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_pairs(retrieval.similar_pairs(_weights(spark, sf_dir)), 3)
 
 
+# The same over all documents.
+@query()
+def tfidf_weights_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _weighted(frame(spark, sf_dir, "documents")).select("doc_id", "token", F.round("w", 6).alias("w"))
+
+
+@query()
+def tfidf_pairs_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return retrieval.similar_pairs(_weighted(frame(spark, sf_dir, "documents"))).select("a", "b", F.round("sim", 6).alias("sim"))
+
+
+@query()
+def tfidf_topk_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from skeinworks.operators.candidates import nearest_pairs
+
+    return nearest_pairs(retrieval.similar_pairs(_weighted(frame(spark, sf_dir, "documents"))), 3)
+
+
 # Field-weighted search: benchmark items as queries over names, brands and types of parts.
 _INDEX = """WITH f AS (SELECT p_partkey AS doc_id, 'name' AS field, p_name AS text FROM part UNION ALL SELECT p_partkey, 'thread', concat(p_brand, ' ', p_type) FROM part),
     t AS (SELECT doc_id, field, unnest(regexp_extract_all(lower(text), '[a-z]+|[0-9]+')) AS token FROM f), l AS (SELECT doc_id, field, count(*) AS len FROM t GROUP BY ALL), m AS (SELECT field, CAST(sum(len) AS DOUBLE) / (SELECT count(*) FROM part) AS mean FROM l GROUP BY field),
@@ -149,6 +186,12 @@ sql("normal_terms", "SELECT doc_id, lower(regexp_replace(text, '[^A-Za-z0-9]+',
     "SELECT doc_id, lower(regexp_replace(text, '[^A-Za-z0-9]+', '', 'g')) AS term FROM documents WHERE lang = 'en' AND n_chars < 2000")
 
 
+@query()
+def normal_terms_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of all documents, whatever their language and length; a null text has a null term."""
+    return frame(spark, sf_dir, "documents").select("doc_id", F.lower(F.regexp_replace("text", "[^A-Za-z0-9]+", "")).alias("term"))
+
+
 # Templates: one card of each size of part, seeds by part.
 def _cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     slots = {"a": {"type": "int", "min": 1, "max": 40}, "b": {"type": "int", "min": 2, "max": 12}, "c": {"type": "fraction", "min": "0", "max": "1", "max_denominator": 8}}
