@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skeinworks.functions import numbers
-from skeinworks.operators import lattice
+from skeinworks.operators import lattice, sequence
 from skeinworks.plans.catalogue import query, sql
 from skeinworks.plans.fixtures import frame
 
@@ -66,10 +66,23 @@ def _checked(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     lessons = frame(spark, sf_dir, "lesson").select("lesson_id", "position", "unit_id")
     early = lessons.where("position < CAST(3 AS BIGINT) * 1000000000")
     lines = frame(spark, sf_dir, "lineitem").join(F.broadcast(early.select("lesson_id")), F.col("l_suppkey") % 8 == F.col("lesson_id") % 8)
+    return _held(lines, frame(spark, sf_dir, "fact"), lessons)
+
+
+def _checked_whole(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Every line against the lesson before its order's; those of the first lesson against that lesson."""
+    lessons = frame(spark, sf_dir, "lesson").select("lesson_id", "position", "unit_id")
+    placed = sequence.dense_position(lessons.select("lesson_id", "position"), ["position"], "n")
+    before = placed.select((F.col("n") + 1).alias("n"), F.col("lesson_id").alias("before"))
+    held = placed.join(before, "n", "left").select(F.col("lesson_id").alias("l_orderkey"), F.coalesce("before", "lesson_id").alias("lesson_id"))
+    return _held(frame(spark, sf_dir, "lineitem").join(held, "l_orderkey"), frame(spark, sf_dir, "fact"), lessons)
+
+
+def _held(lines: DataFrame, facts: DataFrame, lessons: DataFrame) -> tuple[DataFrame, DataFrame]:
     item = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("item_id")
     quantity = lines.select(item, "lesson_id", F.lit("quantity").alias("dimension"), F.lit(None).cast("string").alias("op"), F.lit(None).cast("string").alias("token"), F.col("l_quantity").cast("long").alias("need"))
     flags = lines.select(item, "lesson_id", F.lit("flags").alias("dimension"), F.col("l_returnflag").alias("op"), F.concat("l_linestatus", F.col("l_linenumber").cast("string")).alias("token"), F.lit(None).cast("long").alias("need")).distinct()
-    return lattice.check_items(quantity.unionByName(flags), frame(spark, sf_dir, "fact"), lessons)
+    return lattice.check_items(quantity.unionByName(flags), facts, lessons)
 
 
 @query(_CHECK + " SELECT item_id, lesson_id, dimension, op, value, introduced FROM v")
@@ -84,6 +97,16 @@ def check_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _checked(spark, sf_dir)[1].select("item_id", "lesson_id", "verdict", "n_violations")
 
 
+@query()
+def check_item_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _checked_whole(spark, sf_dir)[0].select("item_id", "lesson_id", "dimension", "op", "value", "introduced")
+
+
+@query()
+def check_verdict_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _checked_whole(spark, sf_dir)[1].select("item_id", "lesson_id", "verdict", "n_violations")
+
+
 @query("SELECT count(*) AS units, CAST(0 AS BIGINT) AS broken FROM (SELECT DISTINCT unit_id FROM lesson)")
 def boundary_monotone(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each unit's boundary must be at most the next unit's in the product order."""

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skeinworks.functions import scalars
-from skeinworks.operators import curation, evaluation
+from skeinworks.operators import curation, evaluation, sequence
 from skeinworks.plans.catalogue import query, sql
 from skeinworks.plans.fixtures import frame
 
@@ -179,6 +179,13 @@ def screening_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curation.codes(frame(spark, sf_dir, "point").where("size = 7"), ["position", "node"])
 
 
+@query()
+def screening_codes_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of all points, which are numbered by range instead of in one task."""
+    placed = sequence.dense_position(frame(spark, sf_dir, "point").select("node", "position"), ["position", "node"], "n")
+    return placed.select("node", F.format_string("K%03d", "n").alias("code"))
+
+
 @query("""WITH g AS (SELECT lesson_id, string_agg(CAST(kp_id AS VARCHAR), ',' ORDER BY CAST(kp_id AS VARCHAR)) AS k FROM holds GROUP BY lesson_id), c AS (SELECT k, min(lesson_id) AS card_id FROM g WHERE lesson_id % 2 = 0 GROUP BY k)
     SELECT g.lesson_id AS group_id, c.card_id FROM g LEFT JOIN c ON c.k = g.k""")
 def reusable_cards(spark: SparkSession, sf_dir: str) -> DataFrame:

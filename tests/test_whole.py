@@ -4,6 +4,8 @@ import math
 import re
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from skeinworks.plans.catalogue import QUERIES
 
 LONG = "alpha Beta " * 300
@@ -54,3 +56,40 @@ def test_tfidf_covers_every_document(spark, tmp_path):
     pairs = {(r.a, r.b): r.sim for r in QUERIES["tfidf_pairs_whole"](spark, sf).collect()}
     assert pairs.keys() == sims.keys() and all(abs(x - sims[p]) < 2e-6 for p, x in pairs.items())
     assert {(r.a, r.b) for r in QUERIES["tfidf_topk_whole"](spark, sf).collect()} == sims.keys()
+
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def test_every_line_is_checked_against_the_lesson_before(spark):
+    facts = spark.read.parquet(f"{SMALL}/lineitem.parquet").join(spark.read.parquet(f"{SMALL}/orders.parquet"), F.col("l_orderkey") == F.col("o_orderkey"))
+    lines = facts.selectExpr("o_orderdate", "l_orderkey", "l_linenumber", "CAST(l_quantity AS LONG) AS need", "l_returnflag AS op", "concat(l_linestatus, l_linenumber) AS token").collect()
+    orders = sorted((r.o_orderdate, r.o_orderkey) for r in spark.read.parquet(f"{SMALL}/orders.parquet").select("o_orderdate", "o_orderkey").collect())
+    place = {k: i for i, (_, k) in enumerate(orders)}
+    first, reached = {}, {}
+    for r in lines:
+        first[r.op, r.token] = min(first.get((r.op, r.token), len(orders)), place[r.l_orderkey])
+        reached[r.need] = min(reached.get(r.need, len(orders)), place[r.l_orderkey])
+    items = {}
+    for r in lines:
+        here = max(place[r.l_orderkey] - 1, 0)
+        need, flags = items.setdefault((r.l_orderkey * 10 + r.l_linenumber, orders[here][1], here), ([], set()))
+        need.append(r.need)
+        flags.add((r.op, r.token))
+    want = {}
+    for (item, lesson, here), (need, flags) in items.items():
+        late = min(p for n, p in reached.items() if n >= max(need)) > here
+        want[item, lesson] = late + sum(first[f] > here for f in flags)
+    got = {(r.item_id, r.lesson_id): r.n_violations for r in QUERIES["check_verdict_whole"](spark, SMALL).collect()}
+    assert len(got) == len({(r.l_orderkey, r.l_linenumber) for r in lines}) and got == want
+    assert QUERIES["check_item_whole"](spark, SMALL).count() == sum(want.values()) > 0
+
+
+def test_points_of_every_size_are_coded_and_reviewed(spark):
+    from skeinworks.plans.fixtures import frame
+
+    order = [r.node for r in sorted(frame(spark, SMALL, "point").select("node", "position").collect(), key=lambda r: (r.position, r.node))]
+    assert {(r.node, r.code) for r in QUERIES["screening_codes_whole"](spark, SMALL).collect()} == {(n, f"K{i:03d}") for i, n in enumerate(order)}
+    position = {r.node: r.position for r in frame(spark, SMALL, "point").select("node", "position").collect()}
+    want = {(r.src, 1, position[r.src]) for r in frame(spark, SMALL, "edge").collect() if position[r.src] < 900 * 10**9}
+    assert {(r.node, r.depth, r.position) for r in QUERIES["review_candidates_whole"](spark, SMALL).collect()} == want
