@@ -2,15 +2,16 @@
 
 Documents are tokenised once into a table in the shared folder: digests of their full windows, and
 the ids of the rest. Rests are dealt out by a sketch of their vocabulary into shards of bounded size
-(an id breaks ties, so a hot vocabulary is split). Each shard has a BM25 inverted index: a seed's
-most telling ids are looked up, and its unused neighbours fill the window in order of score; the
-last gap is filled by cutting the best neighbour that did not fit. Only the last window of a shard
-is short.
+(an id breaks ties, so a hot vocabulary is split). Each shard has a BM25 inverted index, weighted by
+the frequencies and the mean length of all rests: a seed's most telling ids are looked up, and its
+unused neighbours fill the window in order of score; the last gap is filled by cutting the best
+neighbour that did not fit. Only the last window of a shard is short. Neighbours in other shards are
+not looked for.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from zlib import crc32
 
@@ -39,18 +40,38 @@ class Rest:
     ids: np.ndarray
 
 
+@dataclass
+class Corpus:
+    """Of all rests: how many there are, their mean length, and how many have each id."""
+
+    n: int
+    mean: float
+    df: np.ndarray
+
+
+def corpus_of(lists: Iterable[np.ndarray], vocabulary: int) -> Corpus:
+    n, total, df = 0, 0, np.zeros(vocabulary, np.int64)
+    for ids in lists:
+        if len(ids):
+            n, total = n + 1, total + len(ids)
+            df[np.unique(ids)] += 1
+    return Corpus(n, total / max(n, 1), df)
+
+
 class Index:
-    """BM25 over the rests' ids; ``near`` ranks unused rests for a seed."""
+    """BM25 over the rests' ids; ``near`` ranks unused rests for a seed. Without ``corpus`` the rests are all there are."""
 
-    def __init__(self, rests: list[Rest], vocabulary: int):
+    def __init__(self, rests: list[Rest], vocabulary: int, corpus: Corpus | None = None):
         n, lengths = len(rests), np.array([len(r.ids) for r in rests])
         doc = np.repeat(np.arange(n), lengths)
         term = np.concatenate([r.ids for r in rests]).astype(np.int64) if n else np.zeros(0, np.int64)
         pair, tf = np.unique(term * max(n, 1) + doc, return_counts=True)
         self.term, self.doc = pair // max(n, 1), (pair % max(n, 1)).astype(np.int64)
         df = np.bincount(self.term, minlength=vocabulary)
-        idf = np.log1p((n - df + 0.5) / (df + 0.5))
-        norm = K1 * (1 - B + B * lengths / max(lengths.mean() if n else 1, 1))
+        corpus = corpus or Corpus(n, lengths.mean() if n else 1, df)
+        every = np.pad(corpus.df, (0, len(df) - len(corpus.df)))
+        idf = np.log1p((corpus.n - every + 0.5) / (every + 0.5))
+        norm = K1 * (1 - B + B * lengths / max(corpus.mean, 1))
         self.weight = idf[self.term] * tf * (K1 + 1) / (tf + norm[self.doc])
         self.first = np.concatenate([[0], np.cumsum(df)])
         # A seed's most telling ids, best first: those of the highest weight that another rest has too.
@@ -72,9 +93,9 @@ class Index:
         return best[np.lexsort((best, -scores[best]))]
 
 
-def fill(rests: list[Rest], length: int, vocabulary: int) -> Iterator[list[tuple[int, int, int]]]:
+def fill(rests: list[Rest], length: int, vocabulary: int, corpus: Corpus | None = None) -> Iterator[list[tuple[int, int, int]]]:
     """Windows as lists of (rest, first id, number of ids). All are full but the last."""
-    index = Index(rests, vocabulary)
+    index = Index(rests, vocabulary, corpus)
     used = np.array([not len(r.ids) for r in rests], dtype=bool)
     begun = [0] * len(rests)
     seeds, pending = iter(range(len(rests))), None
@@ -117,6 +138,7 @@ def fill(rests: list[Rest], length: int, vocabulary: int) -> Iterator[list[tuple
 
 
 TOKENISED = pa.schema([("doc_id", pa.int64()), ("doc_tokens", pa.int64()), ("sketch", pa.int64()), ("crcs", pa.list_(pa.int64())), ("rest", pa.binary())])
+FREQUENCIES = pa.schema([(n, pa.int64()) for n in ("id", "df", "total")])
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -140,6 +162,30 @@ def tokenised(docs: DataFrame, path: str, length: int, end_id: int) -> DataFrame
     return rows.mapInArrow(run, "doc_id long, doc_tokens long, sketch long, crcs array<long>, rest binary")
 
 
+def measured(table: DataFrame, path: str) -> Corpus:
+    """Sums over the tokenised table; what meets in the driver has a row for each id of the vocabulary and one more."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, kind = size_and_kind(path)
+        found = corpus_of((np.frombuffer(r, kind) for batch in batches(it) for r in batch.column(0).to_pylist()), vocabulary)
+        at = np.flatnonzero(found.df)
+        yield batch_of(FREQUENCIES, [*at.tolist(), -1], [*found.df[at].tolist(), found.n], [*np.zeros(len(at), np.int64).tolist(), round(found.mean * found.n)])
+
+    sums = table.select("rest").mapInArrow(run, "id long, df long, total long").groupBy("id").agg(F.sum("df").alias("df"), F.sum("total").alias("total")).collect()
+    df = np.zeros(max((r.id + 1 for r in sums), default=0), np.int64)
+    n, total = next(((r.df, r.total) for r in sums if r.id < 0), (0, 0))
+    for r in sums:
+        if r.id >= 0:
+            df[r.id] = r.df
+    return Corpus(n, total / max(n, 1), df)
+
+
+def size_and_kind(path: str) -> tuple[int, str]:
+    """Ids there are, the end included, and how a rest's ids are written."""
+    size = encoder(path).core.n_vocab
+    return size + 1, "<u2" if size <= 1 << 16 else "<u4"
+
+
 def pack(docs: DataFrame, path: str, length: int = 1024, end_id: int = 0, with_ids: bool = False) -> DataFrame:
     """Pieces of documents in sequences of ``length`` ids: where each piece begins in its document and its sequence.
 
@@ -149,22 +195,21 @@ def pack(docs: DataFrame, path: str, length: int = 1024, end_id: int = 0, with_i
     """
     ready(docs)
     table = materialise(tokenised(docs, path, length, end_id), "tokenised")
+    corpus = measured(table, path)
     shards = max(1, -(-table.count() // SHARD_DOCS))
     # A tokenised row is never altered, so a lost executor's shard is packed again in the same way.
     dealt = table.repartitionByRange(shards, "sketch", "doc_id", "doc_tokens").sortWithinPartitions("sketch", "doc_id", "doc_tokens", F.crc32("rest"))
     schema = pa.schema([*((n, pa.int64()) for n in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")), *([("ids", pa.binary())] if with_ids else [])])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
-        vocabulary = enc.core.n_vocab + 1
-        kind = "<u2" if enc.core.n_vocab <= 1 << 16 else "<u4"
+        vocabulary, kind = size_and_kind(path)
         sequence = TaskContext.get().partitionId() << 32
         rests: list[Rest] = []
 
         def packed() -> pa.RecordBatch:
             nonlocal sequence
             out = []
-            for window in fill(rests, length, vocabulary):
+            for window in fill(rests, length, vocabulary, corpus):
                 offset = 0
                 for i, begin, n in window:
                     r = rests[i]

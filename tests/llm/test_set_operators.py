@@ -87,6 +87,23 @@ def test_neighbours_share_words():
     assert sum(a <= 2 for a in alike) >= len(alike) - 2
 
 
+def test_shards_weigh_by_the_whole_corpus(spark):
+    rnd = random.Random(2)
+    texts = [words(rnd, rnd.choice([3, 20, 150])) for _ in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    enc = ByteEncoder(BYTE)
+    tails = [np.array(enc.exact(t) + [0])[len(enc.exact(t) + [0]) // 64 * 64 :] for t in texts]
+    got = packing.measured(packing.tokenised(docs, BYTE, 64, 0), BYTE)
+    want = packing.corpus_of(tails, packing.size_and_kind(BYTE)[0])
+    assert got.n == want.n == sum(len(t) > 0 for t in tails) and got.mean == want.mean
+    assert got.df.tolist() == want.df[: len(got.df)].tolist() and not want.df[len(got.df) :].any()
+    rests = [packing.Rest(i, len(t), 0, t) for i, t in enumerate(tails) if len(t)]
+    size = packing.size_and_kind(BYTE)[0]
+    whole, shard = packing.Index(rests, size), packing.Index(rests[:10], size, got)
+    known = {(t, d): w for t, d, w in zip(whole.term.tolist(), whole.doc.tolist(), whole.weight.tolist(), strict=True)}
+    assert all(abs(known[t, d] - w) < 1e-9 for t, d, w in zip(shard.term.tolist(), shard.doc.tolist(), shard.weight.tolist(), strict=True))
+
+
 def test_edited_fingerprints_equal_brute_force(spark):
     rnd = random.Random(8)
     rows = [(i * 3, words(rnd, rnd.randrange(0, 12))) for i in range(50)] + [(7, None), (8, "Same  Text"), (10, "same text"), (11, "x"), (13, "é" * 7), (None, "nul")]
