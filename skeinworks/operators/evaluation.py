@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import random
-
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -77,21 +76,24 @@ def ranking_scores(ranks: DataFrame, core: DataFrame, depth: int = 50) -> DataFr
     return out.select("query_id", *(F.round(F.col(f"h{k}") / F.least(F.col("n"), F.lit(k)), 4).alias(f"recall{k}") for k in (5, 10)), (F.col("h5") > 0).cast("int").alias("hit5"), F.round(F.coalesce(1 / F.col("first"), F.lit(0.0)), 4).alias("mrr"))
 
 
-def bootstrap_interval(values: DataFrame, column: str, resamples: int = 10_000, seed: int = 0, most: int = 100_000) -> DataFrame:
-    """``mean, lo, hi`` of percentile bootstrap over at most ``most`` values, in their order; the draws are those of a seeded Mersenne Twister.
+def bootstrap_interval(values: DataFrame, column: str, resamples: int = 10_000, seed: int = 0) -> DataFrame:
+    """``mean, lo, hi`` of percentile bootstrap over all values that are not null; the draws are seeded.
 
-    One group is resampled whole, which its bound allows: probes are labelled by hand.
+    A resample of n rows is a multinomial draw of n over the distinct values, so only their counts are
+    gathered. A few values (labels, scores rounded to some places) stay few at any number of rows.
     """
     schema = "mean double, lo double, hi double"
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        xs = [float(x) for x in pdf.sort_values("place")["value"]]
-        rng = random.Random(seed)
-        means = sorted(sum(rng.choices(xs, k=len(xs))) / len(xs) for _ in range(resamples))
-        return pd.DataFrame([(round(sum(xs) / len(xs), 4), round(means[int(0.025 * resamples)], 4), round(means[int(0.975 * resamples)], 4))], columns=["mean", "lo", "hi"])
-
-    rows = values.select(F.col("place"), F.col(column).cast("double").alias("value")).where("value IS NOT NULL").orderBy("place").limit(most)
-    return rows.groupBy(F.lit(0).alias("g")).applyInPandas(run, schema)
+        pdf = pdf.sort_values("value")
+        xs, counts = pdf["value"].to_numpy(float), pdf["n"].to_numpy(np.int64)
+        n, rng = int(counts.sum()), np.random.default_rng(seed)
+        share = counts / n
+        means = np.sort([float(rng.multinomial(n, share) @ xs) / n for _ in range(resamples)])
+        return pd.DataFrame([(round(float(counts @ xs) / n, 4), round(float(means[int(0.025 * resamples)]), 4), round(float(means[int(0.975 * resamples)]), 4))], columns=["mean", "lo", "hi"])
+
+    counts = values.select(F.col(column).cast("double").alias("value")).where("value IS NOT NULL").groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    return counts.groupBy(F.lit(0).alias("g")).applyInPandas(run, schema)
 
 
 def three_views(rows: DataFrame, gold: str, verdict: str) -> DataFrame:

@@ -85,7 +85,7 @@ def ranking_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def bootstrap_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = frame(spark, sf_dir, "labels").select(F.col("doc_id").alias("place"), "quality")
-    return evaluation.bootstrap_interval(rows, "quality", resamples=1000)
+    return evaluation.bootstrap_interval(rows, "quality")
 
 
 _VERDICT = f"SELECT quality = 0 AS bad, CASE WHEN n_chars < 300 THEN 'out' WHEN n_chars < 600 THEN 'borderline' ELSE 'in' END AS verdict FROM ({_LABELLED})"

@@ -273,3 +273,16 @@ def test_local_points(spark):
     two = spark.createDataFrame([("p1", "l1")], "id string, introduced_in string")
     places = spark.createDataFrame([("l1", 0), ("l2", 1)], "lesson_id string, position int")
     assert {(r.key, r.seq) for r in candidates.local_points([("b", one), ("c", two)], places).collect()} == {("c::p1", 0), ("b::p1", 1), ("b::p2", 2)}
+
+
+def test_bootstrap_draws_from_every_row(spark):
+    rows = spark.range(150_000).select(F.col("id").alias("place"), (F.col("id") >= 100_000).cast("int").alias("v"))
+    got = evaluation.bootstrap_interval(rows, "v", 2000).first()
+    assert got.mean == 0.3333
+    half = 1.96 * (2 / 9 / 150_000) ** 0.5
+    assert abs(got.lo - (1 / 3 - half)) < 3e-4 and abs(got.hi - (1 / 3 + half)) < 3e-4
+    thirds = spark.createDataFrame([(i, float(i % 3)) if i < 30 else (i, None) for i in range(40)], "place int, v double")
+    got = evaluation.bootstrap_interval(thirds, "v").first()
+    rng = random.Random(1)
+    means = sorted(sum(rng.choices([0, 1, 2], k=30)) / 30 for _ in range(10_000))
+    assert got.mean == 1.0 and abs(got.lo - means[250]) < 0.04 and abs(got.hi - means[9750]) < 0.04
