@@ -96,6 +96,12 @@ def theta_self_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return candidates.time_pairs(_points(spark, sf_dir))
 
 
+@query()
+def theta_self_join_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topics are whole, so the pairs grow with the square of a topic."""
+    return candidates.time_pairs(frame(spark, sf_dir, "point"))
+
+
 _COOC = "SELECT other AS a, prim AS b, count(*) AS \"count\" FROM item_ref GROUP BY other, prim"
 
 
@@ -117,9 +123,18 @@ def band_self_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     WITH every AS (SELECT a, b, route, 0 AS n FROM ({_TIME}) UNION ALL SELECT a, b, 'cooccurrence', 1 FROM ({_COOC}) WHERE "count" >= 2 UNION ALL SELECT src, dst, 'extends', 2 FROM edge)
     SELECT a, b, string_agg(route, ',' ORDER BY n, route) AS routes FROM (SELECT DISTINCT a, b, route, n FROM every WHERE a <> b) GROUP BY a, b""")
 def route_union_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _united(spark, sf_dir, _points(spark, sf_dir))
+
+
+@query()
+def route_union_candidates_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _united(spark, sf_dir, frame(spark, sf_dir, "point"))
+
+
+def _united(spark: SparkSession, sf_dir: str, points: DataFrame) -> DataFrame:
     together = candidates.cooccurrence(_items(spark, sf_dir)).where("count >= 2").select("a", "b", F.lit("cooccurrence").alias("route"))
     extends = frame(spark, sf_dir, "edge").select(F.col("src").alias("a"), F.col("dst").alias("b"), F.lit("extends").alias("route"))
-    return candidates.united([candidates.time_pairs(_points(spark, sf_dir)), together, extends])
+    return candidates.united([candidates.time_pairs(points), together, extends])
 
 
 _EVIDENCE = f"""
@@ -167,7 +182,16 @@ def cannot_link_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT a.node AS a, b.node AS b FROM point a JOIN point b ON a.thread = b.thread AND a.domain = b.domain AND a.position < b.position WHERE NOT EXISTS (SELECT 1 FROM edge e WHERE e.src = a.node AND e.dst = b.node)")
 def non_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    points = frame(spark, sf_dir, "point").withColumn("domain", F.concat_ws("|", "thread", "domain"))
+    return _not_linked(spark, sf_dir, frame(spark, sf_dir, "point").withColumn("domain", F.concat_ws("|", "thread", "domain")))
+
+
+@query()
+def non_candidates_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Domains are whole, so the pairs grow with the square of a domain."""
+    return _not_linked(spark, sf_dir, frame(spark, sf_dir, "point"))
+
+
+def _not_linked(spark: SparkSession, sf_dir: str, points: DataFrame) -> DataFrame:
     return candidates.non_candidates(points, frame(spark, sf_dir, "edge").select(F.col("src").alias("a"), F.col("dst").alias("b")))
 
 

@@ -93,3 +93,25 @@ def test_points_of_every_size_are_coded_and_reviewed(spark):
     position = {r.node: r.position for r in frame(spark, SMALL, "point").select("node", "position").collect()}
     want = {(r.src, 1, position[r.src]) for r in frame(spark, SMALL, "edge").collect() if position[r.src] < 900 * 10**9}
     assert {(r.node, r.depth, r.position) for r in QUERIES["review_candidates_whole"](spark, SMALL).collect()} == want
+
+
+def test_pairs_of_whole_topics_and_domains(spark):
+    from skeinworks.plans.fixtures import frame
+
+    points = frame(spark, SMALL, "point").select("node", "position", "domain", "thread", "topic").collect()
+    edges = {(r.src, r.dst) for r in frame(spark, SMALL, "edge").collect()}
+    thread, topic, domain = set(), set(), set()
+    for a in points:
+        for b in points:
+            if a.position < b.position:
+                same = (a.domain, a.thread) == (b.domain, b.thread)
+                (thread if same else topic if a.topic == b.topic else set()).add((a.node, b.node))
+                if a.domain == b.domain and (a.node, b.node) not in edges:
+                    domain.add((a.node, b.node))
+    found = [(r.a, r.b, r.route) for r in QUERIES["theta_self_join_whole"](spark, SMALL).collect()]
+    assert len(found) == len(set(found)) and set(found) == {(*p, "time_same_thread") for p in thread} | {(*p, "time_same_topic") for p in topic}
+    routes = {(r.a, r.b): r.routes for r in QUERIES["route_union_candidates_whole"](spark, SMALL).collect()}
+    assert {p for p, x in routes.items() if "time_same_topic" in x} == topic and {p for p, x in routes.items() if "time_same_thread" in x} == thread
+    assert edges <= routes.keys()
+    got = [(r.a, r.b) for r in QUERIES["non_candidates_whole"](spark, SMALL).collect()]
+    assert len(got) == len(set(got)) and set(got) == domain
