@@ -22,11 +22,14 @@ from pyspark.sql import functions as F
 from skeinworks.llm._common import batch_of, batches, bounded_sample, ready, spread
 from skeinworks.llm.token_counts import balanced
 
-#: Neutral group mentions that are swapped for each other.
+#: Neutral group mentions that are swapped for the next one: plurals, singulars and adjectives.
 IDENTITY_TERMS = (
     "women men girls boys muslims christians jews hindus buddhists atheists immigrants refugees gays lesbians "
     "blacks whites asians latinos africans europeans americans arabs disabled elderly "
-    "femmes hommes musulmans juifs immigrés frauen männer muslime juden einwanderer mujeres hombres musulmanes judíos inmigrantes"
+    "femmes hommes musulmans juifs immigrés frauen männer muslime juden einwanderer mujeres hombres musulmanes judíos inmigrantes "
+    "woman man girl boy muslim christian jew hindu buddhist atheist immigrant refugee gay lesbian "
+    "black white asian latino african european american arab jewish "
+    "femme homme musulman musulmane juif juive frau mann muslimin jüdisch muslimisch mujer hombre musulmán musulmana judío judía inmigrante"
 ).split()
 #: Bounds: labelled texts in the sample, features in the model.
 SAMPLE_TEXTS, FEATURES = 4000, 4000
@@ -80,6 +83,11 @@ def swapped(text: str, terms: list[str]) -> Iterator[tuple[set[str], set[str]]]:
             yield found, {known.get(w, w) for w in found}
 
 
+def pairs_of(text: str, terms: list[str]) -> list[str]:
+    """All distinct swapped pairs of a text, in order, each side's words sorted on a line."""
+    return list(dict.fromkeys(" ".join(sorted(a)) + "\n" + " ".join(sorted(b)) for a, b in swapped(text, terms)))
+
+
 def fit(texts: list[tuple[set[str], int]], pairs: list[tuple[set[str], set[str]]], balance: float = 0.05, ridge: float = 0.02, least: int = 3, steps: int = 2000) -> ToxicModel:
     """``texts``: words and label; ``pairs``: words of labelled sentences before and after swapping.
 
@@ -159,7 +167,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column | None = None, id_co
         for batch in batches(it):
             ids, said, toxic = (batch.column(i).to_pylist() for i in range(3))
             found = [" ".join(sorted(words(t or ""))) for t in said]
-            pairs = [[" ".join(sorted(a)) + "\n" + " ".join(sorted(b)) for a, b in swapped(t or "", swap)][:20] for t in said]
+            pairs = [pairs_of(t or "", swap) for t in said]
             yield batch_of(schema, ids, toxic, found, pairs)
 
     got = rows.select("doc_id", "text", "toxic").mapInArrow(gather, "doc_id long, toxic int, words string, pairs array<string>").limit(2 * texts).collect()

@@ -121,6 +121,18 @@ def test_counterfactual_penalty_protects_neutral_mentions():
     assert fair.score_many(["you scumbag women word3"])[0] > 0.7 > fair.score_many(["the women of word3"])[0]
 
 
+def test_every_mention_of_a_text_is_swapped(spark):
+    rows = [(i, " ".join(f"women of w{chr(97 + n)}{chr(97 + i % 7)}." for n in range(22)) + (" A scumbag woman said so." * 2 if i % 2 else " The man went home."), i % 2) for i in range(40)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    found = {t: toxicity.pairs_of(t, toxicity.IDENTITY_TERMS) for _, t, _ in rows}
+    assert all(len(p) == len(set(p)) == 23 for p in found.values())
+    pairs = [tuple(set(side.split()) for side in p.split("\n")) for _, t, _ in rows for p in found[t]]
+    want = toxicity.fit([(toxicity.words(t), y) for _, t, y in rows], pairs)
+    assert toxicity.train(docs, labels).weights == want.weights
+    assert len(set(toxicity.IDENTITY_TERMS)) == len(toxicity.IDENTITY_TERMS) and {"woman", "muslim", "immigrant", "jewish"} <= set(toxicity.IDENTITY_TERMS)
+
+
 def test_toxicity_query_cases(spark):
     rows = _labelled(400, 2)
     docs = spark.createDataFrame([(i, t, "x") for i, t, _ in rows] + [(900, None, "x"), (None, "scumbag " * 50000, "x")], "doc_id long, text string, score string")
