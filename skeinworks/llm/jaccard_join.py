@@ -431,6 +431,11 @@ def near_duplicate_classes(docs: DataFrame, words: int = 5, percent: int = 80, i
     are linked. Repeated rows are linked; a null id is never the least of others, and alone gives
     null; an empty table gives none; other columns are ignored.
     """
+    return _classified(docs, words, percent, id_column, text_column).select("doc_id", "n_shingles", "component_id")
+
+
+def _classified(docs: DataFrame, words: int, percent: int, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The same with the ``key`` of the row's set and the ``component`` that the key is in (null without shingles)."""
     ready(docs)
     rows = _texts(docs, id_column, text_column)
     dealt = spread(rows)
@@ -459,26 +464,50 @@ def near_duplicate_classes(docs: DataFrame, words: int = 5, percent: int = 80, i
             labels = connected_components(more.union(labels.select(F.col("node").alias("a"), F.col("component").alias("b"))))
     member = classes.join(labels.withColumnRenamed("node", "key"), "key", "left").select("key", "first_id", F.coalesce("component", "key").alias("component"))
     least = member.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    by_key = materialise(member.join(least, "component").select("key", "component_id"), "members")
+    by_key = materialise(member.join(least, "component").select("key", "component", "component_id"), "members")
     full = documents.join(by_key, "key", "left")
     return full.select(
         "doc_id",
         F.col("n_shingles").cast("long").alias("n_shingles"),
         F.when(F.col("n_shingles") == 0, F.col("doc_id")).when(F.col("component_id") == ABSENT, F.lit(None)).otherwise(F.col("component_id")).alias("component_id"),
+        "key",
+        "component",
     )
 
 
 def keep_first(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """One row of each class of near duplicates, that of the least id, all columns as they are.
 
-    Rows with a null id have no class to be the first of and stay, each by itself.
+    Texts under one id are judged apart, by their sets; of a class with several sets under its least
+    id the set of the least key stays. Rows with a null id have no class to be the first of and stay,
+    each by itself.
     """
-    found = near_duplicate_classes(docs, words, percent).where("doc_id IS NOT NULL")
+    found = _classified(docs, words, percent).where("doc_id IS NOT NULL")
     counted = found.groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.count(F.lit(1)).alias("n"))
     doubtful = materialise(counted.where("doc_id <> component_id OR n > 1"), "doubtful")
     # Most rows are surely kept and stay where they are; the rest, and what hashes like it, is joined.
     table = id_table(doubtful, "doc_id")
-    gone = doubtful.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone"))
+    gone = doubtful.select(F.col("doc_id").alias("_gone"))
     rest = on_table(docs.where("doc_id IS NOT NULL"), "doc_id", table)
-    rest = rest.join(gone, rest["doc_id"] == gone["_gone"], "left_anti").dropDuplicates(["doc_id"]).select(docs.columns)
-    return on_table(docs.where("doc_id IS NOT NULL"), "doc_id", table, hit=False).unionByName(rest).unionByName(docs.where("doc_id IS NULL"))
+    once = rest.join(gone, rest["doc_id"] == gone["_gone"], "left_anti").select(docs.columns)
+    kept = on_table(docs.where("doc_id IS NOT NULL"), "doc_id", table, hit=False).unionByName(once).unionByName(docs.where("doc_id IS NULL"))
+    repeated = doubtful.where("n > 1").select("doc_id")
+    if repeated.isEmpty():
+        return kept
+    firsts = found.join(repeated, "doc_id", "left_semi").where("doc_id = component_id").groupBy("doc_id", "component").agg(F.min("key").alias("key"))
+    firsts = firsts.select(F.col("doc_id").alias("_first"), F.col("key").alias("_first_key"))
+    keyed = _keyed(docs.join(repeated, "doc_id", "left_semi").select(docs.columns), words)
+    same = keyed.join(firsts, (keyed["doc_id"] == firsts["_first"]) & (keyed["_key"] == firsts["_first_key"]), "left_semi")
+    return kept.unionByName(same.dropDuplicates(["doc_id", "_key"]).select(docs.columns))
+
+
+def _keyed(docs: DataFrame, words: int) -> DataFrame:
+    """The rows with the key of their set as ``_key``."""
+    last = len(docs.columns)
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(it):
+            keys = [class_key(s) for s in shingle_sets([t or "" for t in batch.column(last).to_pylist()], words)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:last], pa.array(keys, pa.int64())], names=[*batch.schema.names[:last], "_key"])
+
+    return docs.select("*", F.col("text").cast("string").alias("_key")).mapInArrow(run, docs.withColumn("_key", F.lit(0).cast("long")).schema)

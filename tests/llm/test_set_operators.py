@@ -208,3 +208,12 @@ def test_subsets_and_boundary():
     assert without[0] in got
     assert jaccard_join.boundary({}, 90) == 1
     assert 10 <= jaccard_join.boundary({s: 100 for s in range(1, 60)}, 90) <= 20
+
+
+def test_texts_under_one_id_are_judged_apart(spark):
+    rnd = random.Random(6)
+    near, other, third = words(rnd, 60, 9000), words(rnd, 60, 9000), words(rnd, 60, 9000)
+    rows = [(1, near), (5, near + " more"), (5, other), (5, other), (7, other + " tail"), (8, third), (9, third), (9, near), (4, ""), (4, None)]
+    kept = jaccard_join.keep_first(spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, lang string"))
+    assert kept.columns == ["doc_id", "text", "lang"]
+    assert sorted((r.doc_id, r.text or "") for r in kept.collect()) == sorted([(1, near), (5, other), (8, third), (4, "")])
