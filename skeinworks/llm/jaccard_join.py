@@ -1,31 +1,33 @@
 """N-gram Jaccard join: a size-aware heavy-light join of word-shingle sets, and its components.
 
 Equal sets are one class from the start. Sets below a size boundary are *light*: all subsets that a
-partner's intersection may be are enumerated as digests, and sets that share one are linked through
+partner's intersection may be are enumerated as digests, and sets that share one are paired through
 the bucket's smallest set, which is exact and never pairs a bucket with itself. Larger sets are
 *heavy*: their least frequent shingles (as many as a partner must share one of) go to inverted
-lists, and list members that pass the size and place bounds are verified on their whole sets. The
-boundary is where the cost of enumerating and of scanning, by the histogram of sizes, is least.
+lists, and list members that pass the size and place bounds are paired. All pairs are verified on
+their whole sets. The boundary is where the cost of enumerating and of scanning, by the histogram of
+sizes, is least.
 
 Shingles are ordered by a fixed-size count sketch of the whole input (rare first, then by digest).
 Any order gives the same links; this one keeps shingles of shared passages out of the lists. A long
 list is first linked through a few likely pairs of each member, and only members of different
-components meet again. Shingles and sets are told apart by 64-bit digests.
+components meet again, block by block, so no task holds a list. Shingles are 64-bit digests, compared
+within a pair only; sets are told apart by 128 bits.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from math import comb
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skeinworks.llm._common import batches, id_place, id_table, materialise, on_table, partitions, ready, spread
+from skeinworks.llm._common import ARROW_BYTES, batch_of, batches, id_place, id_table, materialise, on_table, partitions, ready, spread
 from skeinworks.llm.token_counts import balanced
 from skeinworks.operators.components import connected_components
 
@@ -35,8 +37,10 @@ COUNTERS, BLOCK = 1 << 22, 1 << 16
 SCAN_COST, LARGEST_LIGHT = 12, 40
 #: Characters of texts that are shingled at a time: their words, digests and sets take some thirty times as many bytes.
 BATCH_CHARS = 2 << 20
-#: Lists up to this length are paired at once.
-SHORT_LIST = 16
+#: Lists up to this length are paired at once; shingles that the sketch counts more often are dealt out by set, not by shingle.
+SHORT_LIST, LONG_LIST = 16, 4096
+#: Members of a long list that meet as a block; partners of a set that are verified beside one copy of it.
+LIST_BLOCK, PARTNERS = 512, 64
 #: Parts of a set's profile, which bounds intersections.
 PARTS = 128
 ABSENT = (1 << 63) - 1  # stands for a null id: never the least
@@ -77,8 +81,16 @@ def shingle_sets(texts: list[str], words: int) -> list[np.ndarray]:
     return out
 
 
-def class_key(s: np.ndarray) -> int:
-    return xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
+def class_keys(s: np.ndarray) -> tuple[int, int]:
+    """Two 64-bit digests of a set."""
+    both = xxhash.xxh3_128_intdigest(s.tobytes())
+    return (both & ((1 << 64) - 1)) - (1 << 63), (both >> 64) - (1 << 63)
+
+
+def class_key(s: np.ndarray, clashing: frozenset[int] = frozenset()) -> int:
+    """The first digest, or the second where the first is that of several sets."""
+    first, second = class_keys(s)
+    return second if first in clashing else first
 
 
 def profile(s: np.ndarray) -> bytes:
@@ -121,13 +133,16 @@ def subsets(s: np.ndarray, lacking: int) -> Iterator[tuple[int, int]]:
             last = np.concatenate([i for _, i in grown]) if grown else last
 
 
-_ROWS = "doc_id long, n_shingles int, key long, profile binary, block int, counts binary"
-_ROWS_SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int32()), ("key", pa.int64()), ("profile", pa.binary()), ("block", pa.int32()), ("counts", pa.binary())])
+_ROWS = "doc_id long, n_shingles int, key long, second long, profile binary, block int, counts binary"
+_ROWS_SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int32()), ("key", pa.int64()), ("second", pa.int64()), ("profile", pa.binary()), ("block", pa.int32()), ("counts", pa.binary())])
+#: share: the size of a light set's subset; 0 for a list's shingle; LONG for one of a list that is surely or possibly long.
 _ENTRIES = "token long, share int, size int, key long, place int"
 _ENTRIES_SCHEMA = pa.schema([("token", pa.int64()), ("share", pa.int32()), ("size", pa.int32()), ("key", pa.int64()), ("place", pa.int32())])
-#: kind 0: a link; 1: a pair to verify; 2: a member of a long list (b: unused).
+LONG = -1
+#: kind 1: a pair to verify; 2: a member of a long list (b: unused).
 _FOUND = "kind int, a long, a_size int, b long, b_size int, token long, place int"
 _FOUND_SCHEMA = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("a_size", pa.int32()), ("b", pa.int64()), ("b_size", pa.int32()), ("token", pa.int64()), ("place", pa.int32())])
+_PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
 def _texts(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -143,18 +158,18 @@ def _measured(rows: DataFrame, words: int) -> DataFrame:
             sets = shingle_sets(texts, words)
             place, n = np.unique((np.concatenate(sets) >> np.uint64(42)).astype(np.uint32), return_counts=True)
             counts[place] += n.astype(np.uint32)
-            n = len(ids)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int32()), pa.array([class_key(s) for s in sets], pa.int64()), pa.array([profile(s) for s in sets], pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], schema=_ROWS_SCHEMA)
+            n, keys = len(ids), [class_keys(s) for s in sets]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int32()), *(pa.array([k[i] for k in keys], pa.int64()) for i in (0, 1)), pa.array([profile(s) for s in sets], pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], schema=_ROWS_SCHEMA)
         if counts.any():
             kept = [(b, block.astype("<u4").tobytes()) for b, block in enumerate(counts.reshape(-1, BLOCK)) if block.any()]
             n = len(kept)
-            yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array([b for b, _ in kept], pa.int32()), pa.array([c for _, c in kept], pa.binary())], schema=_ROWS_SCHEMA)
+            yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array([b for b, _ in kept], pa.int32()), pa.array([c for _, c in kept], pa.binary())], schema=_ROWS_SCHEMA)
 
     return rows.mapInArrow(run, _ROWS)
 
 
-def _frequent(measured: DataFrame) -> np.ndarray:
-    """Which counters of the sketch stand out of its mean: a fixed-size table, whatever the input."""
+def _frequent(measured: DataFrame) -> tuple[bytes, bytes]:
+    """Which counters of the sketch stand out of its mean, and which exceed LONG_LIST: two fixed-size tables of bits."""
     schema = pa.schema([("block", pa.int32()), ("counts", pa.binary())])
 
     def add(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,15 +188,14 @@ def _frequent(measured: DataFrame) -> np.ndarray:
         counts[r.block] += np.frombuffer(r.counts, "<i8")
     counts = counts.ravel()
     mean = counts.mean()
-    return counts > mean + 4 * mean**0.5 + 4
+    return np.packbits(counts > mean + 4 * mean**0.5 + 4).tobytes(), np.packbits(counts > LONG_LIST).tobytes()
 
 
-def _entries(rows: DataFrame, words: int, percent: int, light: int, frequent: np.ndarray) -> DataFrame:
-    """Subsets of light sets (``share``: the subset's size) and rare shingles of sets that may meet a heavy one (``share`` 0)."""
-    packed = np.packbits(frequent).tobytes()
+def _entries(rows: DataFrame, words: int, percent: int, light: int, frequent: tuple[bytes, bytes], clashing: frozenset[int]) -> DataFrame:
+    """Subsets of light sets and rare shingles of sets that may meet a heavy one."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common = np.unpackbits(np.frombuffer(packed, np.uint8)).astype(bool)
+        common, long = (np.unpackbits(np.frombuffer(x, np.uint8)).view(bool) for x in frequent)
         seen: set[int] = set()
         for _, texts in balanced(it, BATCH_CHARS):
             cols: list[list[np.ndarray]] = [[], [], [], [], []]
@@ -193,7 +207,7 @@ def _entries(rows: DataFrame, words: int, percent: int, light: int, frequent: np
 
             for s in shingle_sets(texts, words):
                 size = len(s)
-                if not size or (key := class_key(s)) in seen:
+                if not size or (key := class_key(s, clashing)) in seen:
                     continue
                 seen.add(key)
                 if size < light:
@@ -201,8 +215,8 @@ def _entries(rows: DataFrame, words: int, percent: int, light: int, frequent: np
                     put(np.array([x for x, _ in got], dtype=np.int64), np.array([c for _, c in got]), size, key)
                 if 100 * size >= percent * light:
                     late = common[(s >> np.uint64(42)).astype(np.int64)]
-                    ordered = np.concatenate([s[~late], s[late]])
-                    put(ordered[: spare(size, percent) + 1].view(np.int64), 0, size, key)
+                    chosen = np.concatenate([s[~late], s[late]])[: spare(size, percent) + 1]
+                    put(chosen.view(np.int64), np.where(long[(chosen >> np.uint64(42)).astype(np.int64)], LONG, 0), size, key)
             if cols[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), type=f.type) for c, f in zip(cols, _ENTRIES_SCHEMA, strict=True)], schema=_ENTRIES_SCHEMA)
 
@@ -216,9 +230,14 @@ def fits(a_size: int, a_place: int, b_size: int, b_place: int, percent: int) ->
 
 
 def _met(entries: DataFrame, percent: int) -> DataFrame:
-    """What meets in a bucket or list: links, pairs to verify, members of long lists."""
+    """What meets in a bucket or list: pairs to verify, members of long lists.
+
+    Entries of long lists pass through, dealt out by set, so no task gets such a list. Of a bucket that
+    goes on only its smallest set is held, of a list its members, which are LONG_LIST sets at most.
+    """
     spark = entries.sparkSession
-    dealt = entries.repartition(partitions(spark), "token", "share").sortWithinPartitions("token", "share", "size", "key")
+    spread_out = F.when(F.col("share") == LONG, F.pmod(F.xxhash64("key"), F.lit(1 << 20))).otherwise(0)
+    dealt = entries.repartition(partitions(spark), F.col("token"), F.col("share"), spread_out).sortWithinPartitions("token", "share", "size", "key")
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carry = np.zeros((5, 0), dtype=np.int64)
@@ -234,22 +253,23 @@ def _met(entries: DataFrame, percent: int) -> DataFrame:
             else:
                 ended = True
             x = np.concatenate([carry, *taken], axis=1)
+            carry = x[:, :0]
             if not x.shape[1]:
                 continue
             new = np.ones(x.shape[1], dtype=bool)
             new[1:] = (x[0, 1:] != x[0, :-1]) | (x[1, 1:] != x[1, :-1])
-            starts = np.flatnonzero(new)
-            cut = x.shape[1] if ended else int(starts[-1])
-            carry, x, starts = x[:, cut:], x[:, :cut], starts[starts < cut]
-            if not x.shape[1]:
-                continue
             # Copies of a class come from several tasks: keep one row of each.
             again = np.zeros(x.shape[1], dtype=bool)
-            again[1:] = ~new[1 : x.shape[1]] & (x[3, 1:] == x[3, :-1])
-            group = np.cumsum(new[: x.shape[1]])[~again]
-            x = x[:, ~again]
-            sizes = np.bincount(group)
-            several = sizes[group] > 1
+            again[1:] = ~new[1:] & (x[3, 1:] == x[3, :-1])
+            x, new = x[:, ~again], new[~again]
+            if not ended:
+                last = int(np.flatnonzero(new)[-1])
+                if x[1, -1] == 0:
+                    carry, x, new = x[:, last:], x[:, :last], new[:last]
+                else:
+                    carry = x[:, last : last + 1]
+            group = np.cumsum(new)
+            several = (np.bincount(group)[group] > 1) | (x[1] == LONG)
             x, group = x[:, several], group[several]
             if not x.shape[1]:
                 continue
@@ -257,10 +277,10 @@ def _met(entries: DataFrame, percent: int) -> DataFrame:
             out: list[tuple] = []
             token, share, size, key, place = (c.tolist() for c in x)
             for p, q in zip(edges[:-1], edges[1:], strict=True):
-                if share[p]:
+                if share[p] > 0:
                     most = 100 * share[p] // percent + share[p]  # sizes of a linked pair sum to this at most
-                    out += [(0, key[p], size[p], key[i], size[i], None, None) for i in range(p + 1, q) if size[p] + size[i] <= most]
-                elif q - p <= SHORT_LIST:
+                    out += [(1, min(key[p], key[i]), 0, max(key[p], key[i]), 0, None, None) for i in range(p + 1, q) if size[p] + size[i] <= most]
+                elif share[p] == 0 and q - p <= SHORT_LIST:
                     out += [(1, min(key[i], key[j]), 0, max(key[i], key[j]), 0, None, None) for i in range(p, q) for j in range(i + 1, q) if fits(size[i], place[i], size[j], place[j], percent)]
                 else:
                     out += [(2, key[i], size[i], None, None, token[i], place[i]) for i in range(p, q)]
@@ -278,55 +298,16 @@ def _room(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return most
 
 
-def _members(lists: DataFrame, labels: DataFrame, profiles: DataFrame) -> DataFrame:
-    """Members of the long lists that hold several components: ``token, a_size, a, place, component, profile``."""
+def _members(lists: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
+    """Members of the long lists that hold several components: ``token, a_size, a, place, component, profile, blocks``."""
     known = lists.join(labels.withColumnRenamed("node", "a"), "a", "left").withColumn("component", F.coalesce("component", "a"))
-    known = materialise(known.join(profiles.select(F.col("key").alias("a"), "profile"), "a").select("token", "a_size", "a", "place", "component", "profile"), "members")
-    split = known.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("token")
-    return known.join(split, "token", "left_semi")
-
+    known = materialise(known.join(classes.select(F.col("key").alias("a"), "profile"), "a").select("token", "a_size", "a", "place", "component", "profile"), "members")
+    lists = known.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.ceil(F.count(F.lit(1)) / LIST_BLOCK).cast("int").alias("blocks"))
+    return known.join(lists.where("low < high").select("token", "blocks"), "token")
 
-def _by_list(members: DataFrame, pairs: Callable, percent: int) -> DataFrame:
-    """``a, b`` (a < b) of ``pairs(size, key, place, component, profile)`` over each list, sorted by size. A task gives a pair once."""
-    spark = members.sparkSession
-    dealt = members.repartition(partitions(spark), "token").sortWithinPartitions("token", "a_size", "a")
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        out, waiting = [np.zeros((2, 0), dtype=np.int64)], 0
 
-        def close() -> None:
-            nonlocal held, waiting
-            x, parts = np.concatenate([h for h, _ in held], axis=1), np.concatenate([h for _, h in held])
-            held = []
-            for i, j in pairs(*x[1:], parts):
-                found = np.stack([np.minimum(x[2][i], x[2][j]), np.maximum(x[2][i], x[2][j])])
-                out.append(found)
-                waiting += found.shape[1]
-
-        def distinct() -> np.ndarray:
-            nonlocal out, waiting
-            once = np.unique(np.concatenate(out, axis=1), axis=1)
-            out, waiting = [np.zeros((2, 0), dtype=np.int64)], 0
-            return once
-
-        for batch in batches(it):
-            x = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(5)])
-            parts = np.frombuffer(b"".join(batch.column(5).to_pylist()), np.uint8).reshape(-1, PARTS)
-            cuts = np.flatnonzero(np.diff(x[0])) + 1
-            for k, (part, own) in enumerate(zip(np.split(x, cuts, axis=1), np.split(parts, cuts), strict=True)):
-                if held and (k or held[-1][0][0, -1] != part[0, 0]):
-                    close()
-                held.append((part, own))
-            if waiting > 4_000_000:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in distinct()], schema=schema)
-        if held:
-            close()
-        if waiting:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in distinct()], schema=schema)
-
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+def _profiles(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, PARTS)
 
 
 def _linkable(i: np.ndarray, j: np.ndarray, size: np.ndarray, place: np.ndarray, comp: np.ndarray, parts: np.ndarray, percent: int) -> np.ndarray:
@@ -337,90 +318,164 @@ def _linkable(i: np.ndarray, j: np.ndarray, size: np.ndarray, place: np.ndarray,
     return ok
 
 
+def _once(found: list[np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in np.unique(np.concatenate(found, axis=1), axis=1)], schema=_PAIR)
+
+
 def _near(members: DataFrame, percent: int) -> DataFrame:
-    """Some likely pairs of each long list, a few for each member: its smallest member, and neighbours in two orders of profiles."""
+    """Some likely pairs of each long list, a few for each member: its smallest member, and neighbours in two orders of profiles.
 
-    def pairs(size, key, place, comp, parts):
-        every = np.arange(len(size))
-        for order in (every[np.lexsort(parts.T[::-1])], every[np.lexsort(parts.T)]):
+    The orders are dealt out by range, which cuts a list anywhere; pairs across a cut are left to ``_across``.
+    """
+    spark = members.sparkSession
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, held_parts, found, waiting = np.zeros((5, 0), dtype=np.int64), np.zeros((0, PARTS), np.uint8), [], 0
+        for batch in batches(it):
+            x = np.concatenate([held, np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(5)])], axis=1)
+            parts = np.concatenate([held_parts, _profiles(batch.column(5))])
+            every = np.arange(x.shape[1])
             for step in (1, 2, 3):
-                i, j = order[:-step], order[step:]
-                ok = _linkable(i, j, size, place, comp, parts, percent)
-                yield i[ok], j[ok]
-        first = np.zeros(len(size) - 1, dtype=np.int64)
-        ok = _linkable(first, every[1:], size, place, comp, parts, percent)
-        yield first[ok], every[1:][ok]
+                i, j = every[:-step], every[step:]
+                same = (x[0][i] == x[0][j]) & (j >= held.shape[1])
+                i, j = i[same], j[same]
+                ok = _linkable(i, j, x[1], x[3], x[4], parts, percent)
+                found.append(np.stack([np.minimum(x[2][i[ok]], x[2][j[ok]]), np.maximum(x[2][i[ok]], x[2][j[ok]])]))
+                waiting += found[-1].shape[1]
+            held, held_parts = x[:, -3:], parts[-3:]
+            if waiting > 1_000_000:
+                yield _once(found)
+                found, waiting = [], 0
+        if waiting:
+            yield _once(found)
 
-    return _by_list(members, pairs, percent)
+    turned = F.concat(F.substring("profile", PARTS // 2 + 1, PARTS // 2), F.substring("profile", 1, PARTS // 2))
+    cols = ["token", "a_size", "a", "place", "component", "profile"]
+    ordered = (members.withColumn("_order", order).repartitionByRange(partitions(spark), "token", "_order").sortWithinPartitions("token", "_order", "a").select(*cols) for order in (F.col("profile"), turned))
+    near = [x.mapInArrow(run, "a long, b long") for x in ordered]
+    least = members.groupBy("token").agg(F.min(F.struct("a_size", "a", "place", "component")).alias("m"))
+    low, high = F.least(F.col("a_size"), F.col("m.a_size")), F.lit(percent) * (F.col("a_size") + F.col("m.a_size"))
+    rest = F.least(F.col("a_size") - F.col("place"), F.col("m.a_size") - F.col("m.place"))
+    first = members.join(least, "token").where((F.col("component") != F.col("m.component")) & ((100 + percent) * low >= high) & ((100 + percent) * rest >= high))
+    return near[0].union(near[1]).union(first.select(F.least("a", "m.a").alias("a"), F.greatest("a", "m.a").alias("b"))).distinct()
 
 
 def _across(members: DataFrame, percent: int) -> DataFrame:
-    """All pairs of each long list that are of different components and can be linked."""
+    """All pairs of each long list that are of different components and can be linked, block by block."""
+    spark = members.sparkSession
+    own = F.pmod(F.xxhash64("a"), F.col("blocks")).cast("int")
+    meets = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, own).alias("low"), F.greatest(k, own).alias("high"))))
+    dealt = members.select("token", "a_size", "a", "place", "component", "profile", own.alias("own"), meets.alias("at")).select("token", "at.low", "at.high", "own", "a_size", "a", "place", "component", "profile")
+    dealt = dealt.repartition(partitions(spark), "token", "low", "high").sortWithinPartitions("token", "low", "high", "a_size", "a")
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        found, waiting = [], 0
 
-    def pairs(size, key, place, comp, parts):
-        high = np.searchsorted(size, 100 * size // percent, side="right")
-        for n in range(len(size) - 1):
-            j = np.arange(n + 1, max(high[n], n + 1))
-            i = np.full(len(j), n)
-            ok = _linkable(i, j, size, place, comp, parts, percent)
-            if ok.any():
-                yield i[ok], j[ok]
+        def close() -> None:
+            nonlocal held, waiting
+            (token, low, top, block, size, key, place, comp), parts = np.concatenate([h for h, _ in held], axis=1), np.concatenate([h for _, h in held])
+            held = []
+            if (comp == comp[0]).all():
+                return
+            high = np.searchsorted(size, 100 * size // percent, side="right")
+            for n in range(len(size) - 1):
+                j = np.arange(n + 1, max(high[n], n + 1))
+                j = j if low[0] == top[0] else j[block[j] != block[n]]
+                i = np.full(len(j), n)
+                ok = _linkable(i, j, size, place, comp, parts, percent)
+                if ok.any():
+                    found.append(np.stack([np.minimum(key[n], key[j[ok]]), np.maximum(key[n], key[j[ok]])]))
+                    waiting += found[-1].shape[1]
 
-    return _by_list(members, pairs, percent)
+        for batch in batches(it):
+            x = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(8)])
+            parts = _profiles(batch.column(8))
+            cuts = np.flatnonzero((np.diff(x[:3]) != 0).any(axis=0)) + 1
+            for k, (part, mine) in enumerate(zip(np.split(x, cuts, axis=1), np.split(parts, cuts), strict=True)):
+                if held and (k or (held[-1][0][:3, -1] != part[:3, 0]).any()):
+                    close()
+                held.append((part, mine))
+            if waiting > 1_000_000:
+                yield _once(found)
+                found, waiting = [], 0
+        if held:
+            close()
+        if waiting:
+            yield _once(found)
 
+    return dealt.mapInArrow(run, "a long, b long").distinct()
 
-def _plausible(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
+
+def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The pairs whose profiles leave room for a link: part by part an intersection is at most the smaller count."""
-    side = lambda x: profiles.select(F.col("key").alias(x), F.col("n_shingles").alias(f"{x}_size"), F.col("profile").alias(f"{x}_profile"))
+    side = lambda x: classes.select(F.col("key").alias(x), F.col("n_shingles").alias(f"{x}_size"), F.col("profile").alias(f"{x}_profile"))
     beside = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_size", "b_size", "a_profile", "b_profile")
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(it):
-            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, PARTS) for i in (4, 5))
+            x, y = _profiles(batch.column(4)), _profiles(batch.column(5))
             total = (batch.column(2).to_numpy() + batch.column(3).to_numpy()).astype(np.int64)
             keep = pa.array((100 + percent) * _room(x, y) >= percent * total)
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], schema=schema)
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], schema=_PAIR)
 
     return beside.mapInArrow(run, "a long, b long")
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, profiles: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs whose whole sets pass. Sets are made again from the text of one document of each class that is in a plausible pair."""
-    pairs = materialise(_plausible(pairs, profiles, percent), "plausible")
-    wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+def _whole(wanted: DataFrame, classes: DataFrame, rows: DataFrame, words: int, clashing: frozenset[int]) -> DataFrame:
+    """``key, members`` of the wanted classes, made again from the text of one document of each."""
     ids = classes.join(wanted, "key").select(F.col("first_id").alias("doc_id"))
+    packed = np.packbits(id_table(ids, "doc_id")).tobytes()
     schema = pa.schema([("key", pa.int64()), ("members", pa.binary())])
 
     def sets(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marked = np.unpackbits(np.frombuffer(packed, np.uint8)).astype(bool)
+        marked = np.unpackbits(np.frombuffer(packed, np.uint8)).view(bool)
         for _, texts in balanced((batch.filter(pa.array(marked[batch.column(2).to_numpy()])) for batch in batches(it)), BATCH_CHARS):
-            got = shingle_sets(texts, words)
-            for at in range(0, len(got), 200):
-                part = got[at : at + 200]
-                yield pa.RecordBatch.from_arrays([pa.array([class_key(s) for s in part], pa.int64()), pa.array([s.tobytes() for s in part], pa.binary())], schema=schema)
+            part, size = [], 0
+            for s in shingle_sets(texts, words):
+                part.append((class_key(s, clashing), s.tobytes()))
+                size += s.nbytes
+                if size > ARROW_BYTES:
+                    yield batch_of(schema, *zip(*part, strict=True))
+                    part, size = [], 0
+            if part:
+                yield batch_of(schema, *zip(*part, strict=True))
 
-    packed = np.packbits(id_table(ids, "doc_id")).tobytes()
     present = rows.withColumn("doc_id", F.coalesce("doc_id", F.lit(ABSENT))).withColumn("spot", id_place("doc_id"))
-    whole = present.mapInArrow(sets, "key long, members binary").join(wanted, "key", "left_semi").dropDuplicates(["key"])
-    beside = pairs.join(whole.select(F.col("key").alias("b"), F.col("members").alias("b_members")), "b").join(whole.select(F.col("key").alias("a"), F.col("members").alias("a_members")), "a")
-    edge = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    return present.mapInArrow(sets, "key long, members binary").join(wanted, "key", "left_semi").dropDuplicates(["key"])
+
+
+def _verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, words: int, percent: int, clashing: frozenset[int]) -> DataFrame:
+    """The pairs whose whole sets pass.
+
+    A set is sent once for some PARTNERS partners, which follow it one by one: no row holds two sets, a
+    task holds two at a time, and a set with many partners is dealt out to many tasks.
+    """
+    pairs = materialise(_plausible(pairs, classes, percent), "plausible")
+    whole = _whole(pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct(), classes, rows, words, clashing)
+    degree = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).alias("parts"))
+    pairs = pairs.join(degree, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).alias("part"))
+    partners = pairs.join(whole.withColumnRenamed("key", "b"), "b").select("a", "part", "b", "members")
+    seeds = pairs.select("a", "part").distinct().join(whole.withColumnRenamed("key", "a"), "a").select("a", "part", F.lit(None).cast("long").alias("b"), "members")
+    beside = seeds.union(partners).repartition(partitions(rows.sparkSession), "a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
 
     def check(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mine = np.zeros(0, np.uint64)
         for batch in batches(it):
-            keep = []
-            last, mine = None, None
-            for i, (a, x, y) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3), strict=True)):
-                if a != last:
-                    last, mine = a, np.frombuffer(x.as_py(), np.uint64)
-                other = np.frombuffer(y.as_py(), np.uint64)
-                same = len(mine) + len(other) - len(np.union1d(mine, other))
+            kept = []
+            for a, b, members in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3), strict=True):
+                if b is None:
+                    mine = np.frombuffer(members.as_py(), np.uint64)
+                    continue
+                other = np.frombuffer(members.as_py(), np.uint64)
+                at = np.minimum(np.searchsorted(mine, other), len(mine) - 1)
+                same = int((mine[at] == other).sum())
                 if 100 * same >= percent * (len(mine) + len(other) - same):
-                    keep.append(i)
-            if keep:
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep)), batch.column(1).take(pa.array(keep))], schema=edge)
+                    kept.append((a, b))
+            if kept:
+                yield batch_of(_PAIR, *zip(*kept, strict=True))
 
-    return beside.select("a", "b", "a_members", "b_members").mapInArrow(check, "a long, b long")
+    return beside.mapInArrow(check, "a long, b long")
 
 
 def near_duplicate_classes(docs: DataFrame, words: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -431,32 +486,31 @@ def near_duplicate_classes(docs: DataFrame, words: int = 5, percent: int = 80, i
     are linked. Repeated rows are linked; a null id is never the least of others, and alone gives
     null; an empty table gives none; other columns are ignored.
     """
-    return _classified(docs, words, percent, id_column, text_column).select("doc_id", "n_shingles", "component_id")
+    return _classified(docs, words, percent, id_column, text_column)[0].select("doc_id", "n_shingles", "component_id")
 
 
-def _classified(docs: DataFrame, words: int, percent: int, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The same with the ``key`` of the row's set and the ``component`` that the key is in (null without shingles)."""
+def _classified(docs: DataFrame, words: int, percent: int, id_column: str = "doc_id", text_column: str = "text") -> tuple[DataFrame, frozenset[int]]:
+    """The same with the ``key`` of the row's set and the ``component`` that the key is in (null without shingles), and the digests that are no keys."""
     ready(docs)
     rows = _texts(docs, id_column, text_column)
     dealt = spread(rows)
     measured = materialise(_measured(dealt, words), "measured")
-    documents = measured.where("block IS NULL").select("doc_id", "n_shingles", "key")
-    classes = documents.where("n_shingles > 0").groupBy("key", "n_shingles").agg(F.min(F.coalesce("doc_id", F.lit(ABSENT))).alias("first_id"))
-    classes = materialise(classes, "classes")
-    profiles = materialise(measured.where("n_shingles > 0").select("key", "n_shingles", "profile").dropDuplicates(["key"]), "profiles")
+    documents = measured.where("block IS NULL").select("doc_id", "n_shingles", "key", "second")
+    classes, clashing = _classes(measured)
+    if clashing:
+        documents = documents.withColumn("key", F.when(F.col("key").isin(*clashing), F.col("second")).otherwise(F.col("key")))
     sizes = {r.n_shingles: r["count"] for r in classes.where(F.col("n_shingles") <= 2 * LARGEST_LIGHT).groupBy("n_shingles").count().collect()}
     light = boundary(sizes, percent)
-    found = materialise(_met(_entries(dealt, words, percent, light, _frequent(measured)), percent), "met")
-    links = found.where("kind = 0").select("a", "b")
+    found = materialise(_met(_entries(dealt, words, percent, light, _frequent(measured), clashing), percent), "met")
     lists = found.where("kind = 2")
-    check = lambda pairs: _verified(pairs, classes, profiles, rows, words, percent)
+    check = lambda pairs: _verified(pairs, classes, rows, words, percent, clashing)
     tested = materialise(found.where("kind = 1").select("a", "b").distinct(), "pairs")
-    labels = connected_components(materialise(links.union(check(tested)), "links"))
+    labels = connected_components(materialise(check(tested), "links"))
     if lists.limit(1).collect():
         # Likely pairs first: what they link needs no further look. Then all pairs of different components that are left.
         for pairs_of in (_near, _across):
             labels = materialise(labels, "labels")
-            fresh = materialise(pairs_of(_members(lists, labels, profiles), percent).join(tested, ["a", "b"], "left_anti"), "fresh")
+            fresh = materialise(pairs_of(_members(lists, labels, classes), percent).join(tested, ["a", "b"], "left_anti"), "fresh")
             if not fresh.limit(1).collect():
                 continue
             more = materialise(check(fresh), "links")
@@ -466,13 +520,31 @@ def _classified(docs: DataFrame, words: int, percent: int, id_column: str = "doc
     least = member.groupBy("component").agg(F.min("first_id").alias("component_id"))
     by_key = materialise(member.join(least, "component").select("key", "component", "component_id"), "members")
     full = documents.join(by_key, "key", "left")
-    return full.select(
+    out = full.select(
         "doc_id",
         F.col("n_shingles").cast("long").alias("n_shingles"),
         F.when(F.col("n_shingles") == 0, F.col("doc_id")).when(F.col("component_id") == ABSENT, F.lit(None)).otherwise(F.col("component_id")).alias("component_id"),
         "key",
         "component",
     )
+    return out, clashing
+
+
+def _classes(measured: DataFrame) -> tuple[DataFrame, frozenset[int]]:
+    """``key, n_shingles, profile, first_id`` of each distinct set, and the first digests that several sets have.
+
+    There are about (sets)² / 2^65 of the latter: none up to some 10^9 sets, a few for 10^10.
+    """
+    rows = measured.where("n_shingles > 0").withColumn("first_id", F.coalesce("doc_id", F.lit(ABSENT)))
+
+    def by(key: Column) -> DataFrame:
+        return rows.withColumn("key", key).groupBy("key").agg(*(F.first(c).alias(c) for c in ("n_shingles", "profile")), F.min("first_id").alias("first_id"), (F.min("second") < F.max("second")).alias("several"))
+
+    classes = materialise(by(F.col("key")), "classes")
+    clashing = frozenset(r.key for r in classes.where("several").select("key").collect())
+    if clashing:
+        classes = materialise(by(F.when(F.col("key").isin(*clashing), F.col("second")).otherwise(F.col("key"))), "classes")
+    return classes, clashing
 
 
 def keep_first(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -482,7 +554,8 @@ def keep_first(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     id the set of the least key stays. Rows with a null id have no class to be the first of and stay,
     each by itself.
     """
-    found = _classified(docs, words, percent).where("doc_id IS NOT NULL")
+    found, clashing = _classified(docs, words, percent)
+    found = found.where("doc_id IS NOT NULL")
     counted = found.groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.count(F.lit(1)).alias("n"))
     doubtful = materialise(counted.where("doc_id <> component_id OR n > 1"), "doubtful")
     # Most rows are surely kept and stay where they are; the rest, and what hashes like it, is joined.
@@ -496,18 +569,18 @@ def keep_first(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
         return kept
     firsts = found.join(repeated, "doc_id", "left_semi").where("doc_id = component_id").groupBy("doc_id", "component").agg(F.min("key").alias("key"))
     firsts = firsts.select(F.col("doc_id").alias("_first"), F.col("key").alias("_first_key"))
-    keyed = _keyed(docs.join(repeated, "doc_id", "left_semi").select(docs.columns), words)
+    keyed = _keyed(docs.join(repeated, "doc_id", "left_semi").select(docs.columns), words, clashing)
     same = keyed.join(firsts, (keyed["doc_id"] == firsts["_first"]) & (keyed["_key"] == firsts["_first_key"]), "left_semi")
     return kept.unionByName(same.dropDuplicates(["doc_id", "_key"]).select(docs.columns))
 
 
-def _keyed(docs: DataFrame, words: int) -> DataFrame:
+def _keyed(docs: DataFrame, words: int, clashing: frozenset[int]) -> DataFrame:
     """The rows with the key of their set as ``_key``."""
     last = len(docs.columns)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(it):
-            keys = [class_key(s) for s in shingle_sets([t or "" for t in batch.column(last).to_pylist()], words)]
+            keys = [class_key(s, clashing) for s in shingle_sets([t or "" for t in batch.column(last).to_pylist()], words)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:last], pa.array(keys, pa.int64())], names=[*batch.schema.names[:last], "_key"])
 
     return docs.select("*", F.col("text").cast("string").alias("_key")).mapInArrow(run, docs.withColumn("_key", F.lit(0).cast("long")).schema)
