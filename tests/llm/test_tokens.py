@@ -54,11 +54,38 @@ def test_backtracking_on_random_words(libraries):
 def test_safe_parts_join_to_the_text(libraries):
     _, _, enc, _ = libraries
     text = "some words <|endoftext|>  and   more\n words " * 50
-    parts = list(safe_parts(text, enc.special, limit=64))
+    parts = list(safe_parts(text, limit=64))
     assert "".join(parts) == text and len(parts) > 5
     assert [i for p in parts for i in enc.exact(p)] == enc.exact(text)
 
 
+@pytest.mark.parametrize("text", [" " * 5_000_000, "\n" * 5_000_000, "a\n" * 2_500_000, "x" + " \t\n" * 1_500_000 + "y", "it'" + "s" * 3_000_000 + "'s", "-=" * 1_000_000 + "<|endoftext|>" + "\u3000" * 900_000 + "z"])
+def test_very_long_runs_equal_the_library(libraries, text):
+    lib, _, enc, _ = libraries
+    assert enc.encode_many([text, "a b"])[0].tolist() == lib.encode(text, add_special_tokens=False).ids + lib.encode("a b", add_special_tokens=False).ids
+
+
+def test_a_long_text_without_blanks_and_a_batch_of_long_texts(libraries):
+    lib, _, enc, _ = libraries
+    rnd = random.Random(7)
+    word = "".join(rnd.choices("etaoinshrdlu", k=20_000_000))
+    assert enc.encode_many([word])[0].tolist() == lib.encode(word, add_special_tokens=False).ids
+    several = ["".join(rnd.choices(["the ", "cat\n", "漢字", "x" * 600, "  "], k=400_000 // 20)) * 4 for _ in range(5)]
+    ids, at = enc.encode_many(several)
+    for i, text in enumerate(several):
+        assert ids[at[i] : at[i + 1]].tolist() == lib.encode(text, add_special_tokens=False).ids
+
+
+def test_windows_of_long_runs_meet_at_compatible_tokens(libraries):
+    lib, _, enc, _ = libraries
+    rnd = random.Random(11)
+    kinds = [lambda: "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=rnd.randint(1, 1500))), lambda: "".join(rnd.choices(" \n\t\r\u3000", k=rnd.randint(1, 900))), lambda: "".join(rnd.choices("=-_*#'", k=rnd.randint(1, 900))),
+             lambda: "".join(rnd.choices("0123456789", k=rnd.randint(1, 900))), lambda: "'s", lambda: "<|endoftext|>", lambda: "".join(rnd.choices("中文字é", k=rnd.randint(1, 700))), lambda: "theandofto" * rnd.randint(1, 100)]
+    for _ in range(200):
+        text = "".join(rnd.choice(kinds)() for _ in range(rnd.randint(0, 7)))
+        assert enc.encode_many([text])[0].tolist() == lib.encode(text, add_special_tokens=False).ids
+
+
 def test_queries_cover_nulls_repeats_and_other_columns(spark, libraries):
     lib, word, _, _ = libraries
     rows = [(1, "Hello world", "x"), (1, "Hello world", "y"), (2, None, None), (None, "", "z"), (3, "b " * 3000, "q")]
