@@ -1,10 +1,10 @@
-"""Chat formatting with offset-aligned loss masks.
+"""Chat formatting with offset-aligned masks.
 
 A conversation is rendered as ``<|turn|>role<|text|>text<|end|>`` per turn. Control strings inside
 roles and texts cannot occur: each ``<`` and ``[`` is followed by a backslash, which reading back
-removes. The marks are special tokens, so no token straddles a turn; the rendered text is encoded
-once with character offsets, and the sorted spans of trained turns are intersected with the token
-spans by binary search.
+removes. The marks are special tokens of the encoder, so no token straddles a turn. The rendered text
+is encoded once; the ids' lengths give each token's character offsets, and the sorted spans that the
+renderer has noted for trained turns are intersected with them by binary search.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skeinworks.llm._common import batch_of, batches, partitions, ready
-from skeinworks.llm.token_counts import encoder
+from skeinworks.llm.token_counts import ByteEncoder
 
 #: The template's marks.
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
@@ -70,68 +70,61 @@ class Turn(NamedTuple):
     text: str
     trained: bool
 
-    @property
-    def formatted(self) -> str:
-        return f"{TURN}{self.role}{TEXT}{self.text}{END}"
-
 
 def turn(role: str | None, text: str | None, trained: str) -> Turn:
     """Null role and text are empty."""
     return Turn(escape(role or ""), escape(text or ""), role == trained)
 
 
-def mark_ids(path: str) -> tuple[int, int, int]:
-    """The marks' ids: the first ones that the vocabulary leaves free."""
-    free = encoder(path).core.n_vocab
-    return free, free + 1, free + 2
+def rendered(turns: list[Turn]) -> tuple[str, np.ndarray]:
+    """The turns' text, and the (n, 2) character spans of trained texts in it."""
+    parts, spans, at = [], [], 0
+    for t in turns:
+        head = f"{TURN}{t.role}{TEXT}"
+        parts += [head, t.text, END]
+        if t.trained:
+            spans.append((at + len(head), at + len(head) + len(t.text)))
+        at += len(head) + len(t.text) + len(END)
+    return "".join(parts), np.array(spans, dtype=np.int64).reshape(-1, 2)
 
 
-@lru_cache(maxsize=2)
-def token_bytes(path: str) -> np.ndarray:
-    core = encoder(path).core
-    return np.array([len(core.decode_single_token_bytes(i)) for i in range(core.n_vocab)], dtype=np.int64)
+class MarkedEncoder(ByteEncoder):
+    """The vocabulary with the marks as special tokens, numbered by the first ids that it leaves free."""
+
+    def __init__(self, path: str):
+        super().__init__(path, [TURN, TEXT, END])
+        self.sizes = np.zeros(self.core.n_vocab, np.int64)
+        for i in {*self.core.token_byte_values(), *(m.encode() for m in self.special)}:
+            self.sizes[self.core.encode_single_token(i)] = len(i)
 
+    def with_offsets(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids, and the (n, 2) character spans that they cover; a token inside a character spans it."""
+        ids = self.slow(text).astype(np.int64)
+        ends = np.cumsum(self.sizes[ids])
+        starts = ends - self.sizes[ids]
+        if not text.isascii():
+            number = np.cumsum(np.frombuffer(text.encode(), np.uint8) & 0xC0 != 0x80) - 1
+            starts, ends = number[starts], number[ends - 1] + 1
+        return ids, np.stack([starts, ends], axis=1)
 
-def character_offsets(text: str, ends: np.ndarray) -> np.ndarray:
-    """(n, 2) character spans of tokens that end at these bytes of the text; a token inside a character spans it."""
-    starts = np.concatenate([[0], ends[:-1]])
-    if not text.isascii():
-        number = np.cumsum(np.frombuffer(text.encode(), np.uint8) & 0xC0 != 0x80) - 1
-        starts, ends = number[starts], number[ends - 1] + 1
-    return np.stack([starts, ends], axis=1)
+
+@lru_cache(maxsize=2)
+def marked(path: str) -> MarkedEncoder:
+    return MarkedEncoder(path)
 
 
 def encode_marked(path: str, runs: list[list[Turn]]) -> Iterator[tuple[str, np.ndarray, np.ndarray, np.ndarray]]:
-    """Formatted text, ids, character offsets and loss mask of each run of turns; all runs are encoded in one call."""
-    segments = [s for turns in runs for t in turns for s in (t.role, t.text)]
-    ids, bounds = encoder(path).encode_many(segments)
-    sizes, marks, n = token_bytes(path), mark_ids(path), 0
+    """Formatted text, ids, character offsets and loss mask of each run of turns."""
     for turns in runs:
-        found, spans, offsets, at, text = [], [], [], 0, []
-        for t in turns:
-            for mark, name, body in ((TURN, marks[0], t.role), (TEXT, marks[1], t.text)):
-                own = ids[bounds[n] : bounds[n + 1]].astype(np.int64)
-                n += 1
-                found += [[name], own]
-                offsets.append(np.array([[at, at + len(mark)]]))
-                at += len(mark)
-                if len(own):
-                    offsets.append(at + character_offsets(body, np.cumsum(sizes[own])))
-                if t.trained and mark == TEXT:
-                    spans.append((at, at + len(body)))
-                at += len(body)
-            found.append([marks[2]])
-            offsets.append(np.array([[at, at + len(END)]]))
-            at += len(END)
-            text.append(t.formatted)
-        every = np.concatenate(offsets) if offsets else np.zeros((0, 2), np.int64)
-        yield "".join(text), np.concatenate(found).astype(np.int64) if found else np.zeros(0, np.int64), every, token_mask(every, np.array(spans, dtype=np.int64).reshape(-1, 2))
+        text, spans = rendered(turns)
+        ids, offsets = marked(path).with_offsets(text)
+        yield text, ids, offsets, token_mask(offsets, spans)
 
 
 FORMATTED = "conv_id long, part int, turns int, formatted string, ids array<int>, loss array<boolean>"
 #: A conversation's turns are encoded in runs of about so many characters. Runs end at a mark, where no token straddles, so ids are those of one call.
 RUN_CHARS = 1 << 20
-#: Characters of runs that are encoded in one call.
+#: Characters of runs that are taken together.
 BATCH_CHARS = 4 << 20
 
 
