@@ -1,12 +1,14 @@
 """Lexical retrieval packing: sequences of a fixed length, filled with lexical neighbours.
 
 Documents are tokenised once into a table in the shared folder: digests of their full windows, and
-the ids of the rest. Rests are dealt out by a sketch of their vocabulary into shards of bounded size
-(an id breaks ties, so a hot vocabulary is split). Each shard has a BM25 inverted index, weighted by
-the frequencies and the mean length of all rests: a seed's most telling ids are looked up, and its
-unused neighbours fill the window in order of score; the last gap is filled by cutting the best
-neighbour that did not fit. Only the last window of a shard is short. Neighbours in other shards are
-not looked for.
+the ids of the rest. Rests are dealt out by their most telling ids (rare ones of the vocabulary that
+occur often) into shards of bounded size; an id breaks ties, so a hot vocabulary is split. Each shard
+has a BM25 inverted index, weighted by the frequencies and the mean length of all rests: a seed's most
+telling ids are looked up, and its unused neighbours fill the window in order of score; the last gap
+is filled by cutting the best neighbour that did not fit. A window that is not full when a seed's
+neighbours are used up goes on with those of its last document. Only the last window of a shard is
+short. Neighbours in other shards are not looked for: that would take each seed to every shard, work
+that grows with the square of the input.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from skeinworks.llm._common import batch_of, batches, materialise, ready, spread
 from skeinworks.llm.token_counts import balanced, encoder
 
 #: Documents of a shard (a mean), and most in one index (a bound).
-SHARD_DOCS, INDEX_DOCS = 2048, 8192
+SHARD_DOCS, INDEX_DOCS = 4096, 8192
 #: BM25's constants; ids of a seed that are looked up; neighbours tried for a window.
 K1, B, QUERY_IDS, NEIGHBOURS = 1.2, 0.75, 16, 24
 
@@ -122,18 +124,20 @@ def fill(rests: list[Rest], length: int, vocabulary: int, corpus: Corpus | None
             pending = i if begun[i] < len(rests[i].ids) else pending
 
         take(seed)
-        if room:
-            near = index.near(seed, used)
-            for i in near.tolist():
-                if len(rests[i].ids) <= room and not used[i]:
+        asked = seed
+        while room:
+            near = [i for i in index.near(asked, used).tolist() if not used[i]]
+            for i in near:
+                if room and len(rests[i].ids) <= room:
                     take(i)
-                if not room:
-                    break
-            for i in near.tolist():
+            for i in near:
                 if room and not used[i]:
                     take(i)
-            while room and (i := following()) is not None:
-                take(i)
+            if not near:
+                if (following_one := following()) is None:
+                    break
+                take(following_one)
+            asked = window[-1][0]
         yield window
 
 
@@ -142,21 +146,27 @@ FREQUENCIES = pa.schema([(n, pa.int64()) for n in ("id", "df", "total")])
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+def telling(ids: np.ndarray) -> int:
+    """The three most telling ids as one number: a vocabulary numbers rare tokens last, and repeated ones weigh more."""
+    found, tf = np.unique(ids, return_counts=True)
+    best = found[np.lexsort((found, -(tf / (tf + K1) * found.astype(float) ** 2)))[:3]].tolist()
+    return sum(i << shift for i, shift in zip(best, (42, 21, 0), strict=False))
+
+
 def tokenised(docs: DataFrame, path: str, length: int, end_id: int) -> DataFrame:
     rows = spread(docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         small = enc.core.n_vocab <= 1 << 16
-        order = np.random.default_rng(11).permutation(enc.core.n_vocab + 1)  # a fixed order of the vocabulary, for sketches
-        for docs_, texts in balanced(it, 8 << 20):
+        for docs_, texts in balanced(it, 4 << 20):
             every, bounds = enc.encode_many(texts)
             out = []
             for doc, a, b in zip(docs_, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
                 ids = np.append(every[a:b], end_id).astype("<u4")
                 full = len(ids) // length * length
                 rest = ids[full:]
-                out.append((doc, len(ids), int(order[ids].min()), [crc32(ids[i : i + length].tobytes()) for i in range(0, full, length)], (rest.astype("<u2") if small else rest).tobytes()))
+                out.append((doc, len(ids), telling(rest[:-1]), [crc32(ids[i : i + length].tobytes()) for i in range(0, full, length)], (rest.astype("<u2") if small else rest).tobytes()))
             yield batch_of(TOKENISED, *zip(*out, strict=True))
 
     return rows.mapInArrow(run, "doc_id long, doc_tokens long, sketch long, crcs array<long>, rest binary")

@@ -87,6 +87,68 @@ def test_neighbours_share_words():
     assert sum(a <= 2 for a in alike) >= len(alike) - 2
 
 
+def brute_fill(lists, length):
+    """Windows by plain BM25: telling ids of the seed, unused neighbours in order of score, then those of the last one taken."""
+    n, k1, b = len(lists), packing.K1, packing.B
+    df, mean = defaultdict(int), sum(map(len, lists)) / len(lists)
+    for ids in lists:
+        for t in set(ids):
+            df[t] += 1
+
+    def weight(t, d):
+        tf = lists[d].count(t)
+        return 0.0 if not tf else np.log1p((n - df[t] + 0.5) / (df[t] + 0.5)) * tf * (k1 + 1) / (tf + k1 * (1 - b + b * len(lists[d]) / mean))
+
+    used, begun, out = [False] * n, [0] * n, []
+
+    def near(seed):
+        asked = sorted((t for t in set(lists[seed]) if df[t] > 1), key=lambda t: (-weight(t, seed), t))[: packing.QUERY_IDS]
+        scores = {d: sum(weight(t, d) for t in asked) for d in range(n) if not used[d]}
+        return sorted((d for d, x in scores.items() if x > 0), key=lambda d: (-scores[d], d))[: packing.NEIGHBOURS]
+
+    pending = None
+    while True:
+        seed = pending if pending is not None else next((d for d in range(n) if not used[d]), None)
+        if seed is None:
+            return out
+        window, room, pending = [], length, None
+
+        def take(d):
+            nonlocal room, pending
+            size = min(room, len(lists[d]) - begun[d])
+            window.append((d, begun[d], size))
+            begun[d] += size
+            room -= size
+            used[d] = True
+            if begun[d] < len(lists[d]):
+                pending = d
+
+        take(seed)
+        asked = seed
+        while room:
+            found = near(asked)
+            for fitting in (True, False):
+                for d in found:
+                    if room and not used[d] and (not fitting or len(lists[d]) <= room):
+                        take(d)
+            if not found:
+                rest = next((d for d in range(n) if not used[d]), None)
+                if rest is None:
+                    break
+                take(rest)
+            asked = window[-1][0]
+        out.append(window)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_windows_are_filled_in_order_of_bm25(seed, monkeypatch):
+    monkeypatch.setattr(packing, "NEIGHBOURS", 4)
+    rnd = random.Random(seed)
+    lists = [[rnd.randrange(40) + 40 * (i % 3) for _ in range(rnd.randint(1, 30))] for i in range(60)]
+    got = list(packing.fill([packing.Rest(i, len(x), 0, np.array(x)) for i, x in enumerate(lists)], 64, 200))
+    assert got == brute_fill(lists, 64)
+
+
 def test_shards_weigh_by_the_whole_corpus(spark):
     rnd = random.Random(2)
     texts = [words(rnd, rnd.choice([3, 20, 150])) for _ in range(40)]
@@ -190,6 +252,29 @@ def test_components_equal_brute_force(spark, n, percent):
     assert got == brute_components(rows, n, percent)
 
 
+def test_long_lists_meet_block_by_block(spark, monkeypatch):
+    for name, value in (("SHORT_LIST", 2), ("LONG_LIST", 5), ("LIST_BLOCK", 6), ("PARTNERS", 3)):
+        monkeypatch.setattr(jaccard_join, name, value)
+    rnd = random.Random(6)
+    texts = []
+    for size, copies in ((140, 50), (100, 20), (70, 12)):
+        base = words(rnd, size, 4000)
+        texts += [edited(rnd, base, rnd.randrange(1, 7)) for _ in range(copies)]
+    texts += [texts[0]] * 9 + [words(rnd, 50, 3000) for _ in range(30)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.near_duplicate_classes(docs, 3, 90).collect()}
+    assert got == brute_components(list(enumerate(texts)), 3, 90)
+
+
+def test_sets_of_equal_first_digests_are_told_apart(spark):
+    rows = [(1, 5, 77, 1, b"p"), (2, 5, 77, 1, b"p"), (3, 6, 77, 2, b"q"), (4, 6, 78, 3, b"r")]
+    classes, clashing = jaccard_join._classes(spark.createDataFrame(rows, "doc_id long, n_shingles int, key long, second long, profile binary"))
+    assert clashing == {77} and {(r.key, r.first_id, r.n_shingles) for r in classes.collect()} == {(1, 1, 5), (2, 3, 6), (78, 4, 6)}
+    s = np.arange(3, dtype=np.uint64)
+    first, second = jaccard_join.class_keys(s)
+    assert jaccard_join.class_key(s) == first != second == jaccard_join.class_key(s, frozenset([first]))
+
+
 def test_join_of_odd_tables(spark):
     schema = "doc_id long, text string"
     assert jaccard_join.near_duplicate_classes(spark.createDataFrame([], schema)).count() == 0
