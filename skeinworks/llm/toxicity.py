@@ -1,9 +1,9 @@
 """Toxicity scores by a counterfactual-regularised classifier.
 
 A text's features are its distinct words and their beginnings. Those that tell the labels apart are
-kept, and a logistic model is fitted with a second penalty: for labelled sentences that mention a
-group, the mention is swapped for others and the change of the score is penalised, so that a neutral
-mention does not move it. A score needs one look at each distinct word of a text.
+kept, and a logistic model is fitted with a second penalty: in labelled sentences that mention a group,
+the mention is swapped for others of its kind and the change of the score is penalised, so that a
+neutral mention does not move it. A score needs one look at each distinct word of a text.
 """
 
 from __future__ import annotations
@@ -22,15 +22,23 @@ from pyspark.sql import functions as F
 from skeinworks.llm._common import batch_of, batches, bounded_sample, ready, spread
 from skeinworks.llm.token_counts import balanced
 
-#: Neutral group mentions that are swapped for the next one: plurals, singulars and adjectives.
-IDENTITY_TERMS = (
-    "women men girls boys muslims christians jews hindus buddhists atheists immigrants refugees gays lesbians "
-    "blacks whites asians latinos africans europeans americans arabs disabled elderly "
-    "femmes hommes musulmans juifs immigrés frauen männer muslime juden einwanderer mujeres hombres musulmanes judíos inmigrantes "
-    "woman man girl boy muslim christian jew hindu buddhist atheist immigrant refugee gay lesbian "
-    "black white asian latino african european american arab jewish "
-    "femme homme musulman musulmane juif juive frau mann muslimin jüdisch muslimisch mujer hombre musulmán musulmana judío judía inmigrante"
-).split()
+#: Neutral group mentions, those of a line in one language and form; each is swapped for the next of its line.
+IDENTITY_TERMS = """
+women men girls boys muslims christians jews hindus buddhists atheists immigrants refugees gays lesbians blacks whites asians latinos africans europeans americans arabs
+woman man girl boy muslim christian jew hindu buddhist atheist immigrant refugee gay lesbian latino african european american arab
+black white asian jewish disabled elderly
+femmes filles musulmanes juives chrétiennes immigrées réfugiées
+hommes garçons musulmans juifs chrétiens immigrés réfugiés
+femme fille musulmane juive chrétienne immigrée réfugiée
+homme garçon musulman juif chrétien immigré réfugié
+frauen männer muslime juden christen einwanderer flüchtlinge
+frau mann muslim jude christ
+muslimisch jüdisch christlich
+mujeres musulmanas judías cristianas refugiadas
+hombres musulmanes judíos cristianos inmigrantes refugiados
+mujer musulmana judía cristiana refugiada
+hombre musulmán judío cristiano inmigrante refugiado
+"""
 #: Bounds: labelled texts in the sample, features in the model.
 SAMPLE_TEXTS, FEATURES = 4000, 4000
 _WORD = re.compile(r"[^\W\d_]+")
@@ -74,42 +82,43 @@ class ToxicModel:
         return [self.score(f) for f in found]
 
 
-def swapped(text: str, terms: list[str]) -> Iterator[tuple[set[str], set[str]]]:
-    """For each sentence with group mentions: its words, and those with each mention swapped for the next term."""
-    known = {t: terms[(i + 1) % len(terms)] for i, t in enumerate(terms)}
+def swaps(lines: str = IDENTITY_TERMS) -> dict[str, str]:
+    """What each term is swapped for: the next of its line, so that a line's terms are all held alike. A term of two lines counts in the first."""
+    of: dict[str, str] = {}
+    for line in lines.split("\n"):
+        terms = line.split()
+        if len(terms) > 1:
+            for term, other in zip(terms, [*terms[1:], terms[0]], strict=True):
+                of.setdefault(term, other)
+    return of
+
+
+def digests(found: Iterable[str]) -> np.ndarray:
+    """The features of some words, sorted, each once."""
+    return np.unique(np.array([f for w in found for f in features(w)], dtype=np.uint32))
+
+
+def pairs_of(text: str, known: dict[str, str]) -> list[tuple[bytes, bytes]]:
+    """For each sentence with group mentions, the features that swapping takes away and brings in; each pair once."""
+    out = {}
     for sentence in _SENTENCE.findall(text.lower()):
         found = set(_WORD.findall(sentence))
         if found & known.keys():
-            yield found, {known.get(w, w) for w in found}
-
-
-def pairs_of(text: str, terms: list[str]) -> list[str]:
-    """All distinct swapped pairs of a text, in order, each side's words sorted on a line."""
-    return list(dict.fromkeys(" ".join(sorted(a)) + "\n" + " ".join(sorted(b)) for a, b in swapped(text, terms)))
+            before, after = digests(found), digests(known.get(w, w) for w in found)
+            out[np.setdiff1d(before, after).tobytes(), np.setdiff1d(after, before).tobytes()] = None
+    return list(out)
 
 
-def fit(texts: list[tuple[set[str], int]], pairs: list[tuple[set[str], set[str]]], balance: float = 0.05, ridge: float = 0.02, least: int = 3, steps: int = 2000) -> ToxicModel:
-    """``texts``: words and label; ``pairs``: words of labelled sentences before and after swapping.
+def fit(texts: list[tuple[np.ndarray, int]], pairs: list[tuple[np.ndarray, np.ndarray]], kept: Iterable[str] = (), balance: float = 10.0, ridge: float = 2.5e-6, least: int = 3, steps: int = 2000) -> ToxicModel:
+    """``texts``: features and label; ``pairs``: features that a swap takes away and brings in; ``kept``: words in the model in any case.
 
-    Minimises log loss + ``ridge`` |w|² + ``balance`` mean (score change of pairs)², on log-odds scores.
+    Minimises mean log loss + ``ridge`` |w|² + ``balance`` mean (score change of pairs)², on log-odds scores.
     """
     n1 = sum(y for _, y in texts)
     n0 = len(texts) - n1
     if not n1 or not n0:
         return ToxicModel(bias=20.0 if n1 else -20.0)
-    known: dict[str, list[int]] = {}
-
-    def digests(found: set[str]) -> np.ndarray:
-        out: list[int] = []
-        for w in found:
-            if (got := known.get(w)) is None:
-                got = known[w] = features(w)
-            out += got
-        if len(known) > 200_000:
-            known.clear()
-        return np.unique(np.array(out, dtype=np.uint32))
-
-    of = [digests(found) for found, _ in texts]
+    of = [found for found, _ in texts]
     y = np.array([label for _, label in texts], dtype=float)
     ids1, k1 = np.unique(np.concatenate([f for f, label in zip(of, y, strict=True) if label]), return_counts=True)
     ids0, k0 = np.unique(np.concatenate([f for f, label in zip(of, y, strict=True) if not label]), return_counts=True)
@@ -118,7 +127,7 @@ def fit(texts: list[tuple[set[str], int]], pairs: list[tuple[set[str], set[str]]
     p1, p0 = (k1 + 0.1) / (n1 + 0.2), (other + 0.1) / (n0 + 0.2)
     z = (p1 - p0) / np.sqrt(p1 * (1 - p1) / n1 + p0 * (1 - p0) / n0 + 1e-12)
     good = np.flatnonzero((k1 + other >= least) & (z > 1.6) & (p1 > p0 * 4.5))
-    chosen = np.sort(ids1[good[np.lexsort((ids1[good], -z[good]))][:FEATURES]])
+    chosen = np.union1d(ids1[good[np.lexsort((ids1[good], -z[good]))][:FEATURES]], digests(kept) if pairs else np.zeros(0, np.uint32))
 
     def matrix(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """Row and column of each feature that was chosen."""
@@ -128,17 +137,16 @@ def fit(texts: list[tuple[set[str], int]], pairs: list[tuple[set[str], set[str]]
         return np.repeat(np.arange(len(rows)), lengths)[hit], col[hit]
 
     r, c = matrix(of)
-    sides = [(digests(a), digests(b)) for a, b in pairs]
-    (ra, ca), (rb, cb) = matrix([np.setdiff1d(a, b) for a, b in sides]), matrix([np.setdiff1d(b, a) for a, b in sides])
+    (ra, ca), (rb, cb) = matrix([a for a, _ in pairs]), matrix([b for _, b in pairs])
     w, b = np.zeros(len(chosen)), float(np.log(n1 / n0))
     m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
     for t in range(1, steps + 1):
         z = np.bincount(r, w[c], minlength=len(y)) + b
         e = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / len(y)
-        g = np.bincount(c, e[r], minlength=len(w)) + ridge * w / max(len(y), 1)
+        g = np.bincount(c, e[r], minlength=len(w)) + 2 * ridge * w
         if pairs:
             change = np.bincount(rb, w[cb], minlength=len(pairs)) - np.bincount(ra, w[ca], minlength=len(pairs))
-            change *= 2 * balance / len(pairs) * len(pairs) ** 0.5
+            change *= 2 * balance / len(pairs)
             g = g + np.bincount(cb, change[rb], minlength=len(w)) - np.bincount(ca, change[ra], minlength=len(w))
         grad = np.append(g, e.sum())
         m += 0.1 * (grad - m)
@@ -148,32 +156,35 @@ def fit(texts: list[tuple[set[str], int]], pairs: list[tuple[set[str], set[str]]
     return ToxicModel({int(f): float(x) for f, x in zip(chosen, w, strict=True) if abs(x) > 1e-3}, float(b))
 
 
-def train(docs: DataFrame, labels: DataFrame, learn: Column | None = None, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic", texts: int = SAMPLE_TEXTS, terms: Iterable[str] = IDENTITY_TERMS) -> ToxicModel:
-    """A model fitted on at most ``texts`` labelled rows (those where ``learn`` holds on ``doc_id``).
+def train(docs: DataFrame, labels: DataFrame, learn: Column | None = None, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic", texts: int = SAMPLE_TEXTS, terms: str = IDENTITY_TERMS) -> ToxicModel:
+    """A model fitted on at most ``texts`` labelled rows (those where ``learn`` holds on ``doc_id``), one of each id.
 
-    Null labels and ids take no part; an id labelled twice counts as toxic if one label says so;
-    null text is empty. Without both classes the model gives every text the class there is (0 if none).
+    Null labels and ids take no part; an id labelled twice counts as toxic if one label says so; of
+    several texts under an id the one of the least hash is learnt; null text is empty. Without both
+    classes the model gives every text the class there is (0 if none). What reaches the driver are the
+    sampled texts' features, 4 bytes each.
     """
     ready(docs)
     marked = labels.select(labels[id_column].cast("long").alias("doc_id"), labels[label_column].cast("int").alias("toxic")).where("doc_id IS NOT NULL AND toxic IS NOT NULL")
     if learn is not None:
         marked = marked.where(learn)
     sample = bounded_sample(marked.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "doc_id", texts)
-    rows = docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text_column].cast("string").alias("text")).join(F.broadcast(sample), "doc_id")
-    swap = list(terms)
+    rows = docs.select(docs[id_column].cast("long").alias("doc_id"), F.coalesce(docs[text_column].cast("string"), F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id")
+    known = swaps(terms)
+    schema = pa.schema([("doc_id", pa.int64()), ("toxic", pa.int32()), ("digest", pa.int64()), ("found", pa.binary()), ("away", pa.list_(pa.binary())), ("added", pa.list_(pa.binary()))])
 
     def gather(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("doc_id", pa.int64()), ("toxic", pa.int32()), ("words", pa.string()), ("pairs", pa.list_(pa.string()))])
         for batch in batches(it):
-            ids, said, toxic = (batch.column(i).to_pylist() for i in range(3))
-            found = [" ".join(sorted(words(t or ""))) for t in said]
-            pairs = [pairs_of(t or "", swap) for t in said]
-            yield batch_of(schema, ids, toxic, found, pairs)
-
-    got = rows.select("doc_id", "text", "toxic").mapInArrow(gather, "doc_id long, toxic int, words string, pairs array<string>").limit(2 * texts).collect()
-    got.sort(key=lambda x: (x.doc_id, x.words))
-    pairs = [tuple(set(side.split()) for side in p.split("\n")) for x in got for p in x.pairs]
-    return fit([(set(x.words.split()), min(x.toxic, 1)) for x in got], pairs)
+            ids, said, toxic, digest = (c.to_pylist() for c in batch.columns)
+            pairs = [pairs_of(t, known) for t in said]
+            yield batch_of(schema, ids, toxic, digest, [digests(words(t)).tobytes() for t in said], [[a for a, _ in p] for p in pairs], [[b for _, b in p] for p in pairs])
+
+    each = rows.select("doc_id", "text", "toxic", F.xxhash64("text").alias("digest")).mapInArrow(gather, "doc_id long, toxic int, digest long, found binary, away array<binary>, added array<binary>")
+    one = each.groupBy("doc_id").agg(F.min_by(F.struct("toxic", "found", "away", "added"), "digest").alias("x"))
+    got = sorted(one.select("doc_id", "x.*").collect(), key=lambda x: x.doc_id)
+    array = lambda data: np.frombuffer(bytes(data), np.uint32)
+    pairs = [(array(a), array(b)) for x in got for a, b in zip(x.away, x.added, strict=True)]
+    return fit([(array(x.found), min(x.toxic, 1)) for x in got], pairs, known)
 
 
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
