@@ -55,7 +55,7 @@ def crc_mod(column: str, m: int):
 
 
 def bounded_sample(df: DataFrame, key: str, limit: int) -> DataFrame:
-    """At most ``limit`` rows, those with the least hash of ``key``: the same rows on every run and partitioning.
+    """At most ``limit`` distinct rows, those with the least hash of ``key``: the same rows on every run and partitioning.
 
     Select the columns needed first. A share of the rows that fits the limit is taken by hash before
     the sort, so what meets in one place follows the limit and not the table.
@@ -63,7 +63,7 @@ def bounded_sample(df: DataFrame, key: str, limit: int) -> DataFrame:
     rows = df.count()
     share = min(1.0, 2.0 * limit / max(rows, 1))
     order = F.pmod(F.xxhash64(F.col(key), F.lit(17)), F.lit(1 << 31))
-    return df.where(order < int(share * (1 << 31))).orderBy(order, F.col(key)).limit(limit)
+    return df.where(order < int(share * (1 << 31))).distinct().orderBy(order, F.col(key)).limit(limit)
 
 
 def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -7,7 +7,6 @@ of every text; a text's class comes from its windows' mean scores, weighted by l
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -27,7 +26,10 @@ SAMPLE_TEXTS, SAMPLE_WINDOWS = 4000, 2
 #: Windows scored at a time.
 BLOCK = 2048
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str) -> bool:
+    return any(map(str.isalpha, text))
 
 
 def windows(data: bytes) -> np.ndarray:
@@ -117,7 +119,7 @@ class ByteConvNet:
 
     def predict(self, texts: list[str]) -> list[tuple[str, float]]:
         """Class and probability of each text; ``und`` and 0 for one without a letter."""
-        rows = [windows(t.lower().encode()) if _LETTER.search(t) else windows(b"") for t in texts]
+        rows = [windows(t.lower().encode()) if has_letter(t) else windows(b"") for t in texts]
         counts = np.array([len(r) for r in rows])
         total = np.zeros((len(texts), len(self.classes)))
         weight = np.zeros(len(texts))
@@ -144,9 +146,10 @@ def softmax(x: np.ndarray) -> np.ndarray:
 
 
 def train(docs: DataFrame, learn: Column | None = None, id_column: str = "doc_id", text_column: str = "text", label_column: str = "lang", texts: int = SAMPLE_TEXTS) -> ByteConvNet:
-    """A network fitted on at most ``texts`` labelled rows (those where ``learn`` holds), some windows of each.
+    """A network fitted on at most ``texts`` labelled texts (rows where ``learn`` holds), one of each id, some windows of each.
 
-    Rows with null text or label, or without bytes, take no part; without any row left the network knows no class.
+    Rows with null text or label, or without bytes, take no part; of several under an id the one of
+    the least hash does; without any row left the network knows no class.
     """
     ready(docs)
     rows = docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text_column].cast("string").alias("text"), docs[label_column].cast("string").alias("lang"))
@@ -154,27 +157,26 @@ def train(docs: DataFrame, learn: Column | None = None, id_column: str = "doc_id
     if learn is not None:
         rows = rows.where(learn)
     ids = bounded_sample(rows.select("doc_id"), "doc_id", texts)
+    schema = pa.schema([("doc_id", pa.int64()), ("digest", pa.int64()), ("lang", pa.string()), ("windows", pa.binary())])
 
     def cut(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("lang", pa.string()), ("window", pa.binary())])
         for batch in batches(it):
             out = []
-            for i, text, lang in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for i, text, lang, digest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 block = windows(text.lower().encode())
                 block = block[letters(block) * 4 > WINDOW] if len(block) > 1 else block
-                for n, k in enumerate(sorted({len(block) * j // SAMPLE_WINDOWS for j in range(SAMPLE_WINDOWS)} if len(block) else ())):
-                    out.append((i, n, lang, block[k].tobytes()))
-            if out:
-                yield batch_of(schema, *zip(*out, strict=True))
-
-    sample = rows.join(F.broadcast(ids.distinct()), "doc_id", "left_semi").select("doc_id", "text", "lang").mapInArrow(cut, "doc_id long, n int, lang string, window binary")
-    got = sample.limit(texts * SAMPLE_WINDOWS * 2).collect()  # repeated ids could exceed the sample; the limit bounds what reaches the driver
-    got.sort(key=lambda r: (r.doc_id, r.n, r.window))
-    classes = sorted({r.lang for r in got})
+                places = sorted({len(block) * j // SAMPLE_WINDOWS for j in range(SAMPLE_WINDOWS)}) if len(block) else []
+                out.append((i, digest, lang, block[places].tobytes()))
+            yield batch_of(schema, *zip(*out, strict=True))
+
+    sample = rows.join(F.broadcast(ids), "doc_id", "left_semi").select("doc_id", "text", "lang", F.xxhash64("lang", "text").alias("digest")).mapInArrow(cut, "doc_id long, digest long, lang string, windows binary")
+    one = sample.groupBy("doc_id").agg(F.min_by(F.struct("lang", "windows"), "digest").alias("x")).select("doc_id", "x.*")
+    got = [(r.lang, bytes(r.windows)[k : k + WINDOW]) for r in sorted(one.collect(), key=lambda r: r.doc_id) for k in range(0, len(r.windows), WINDOW)]
+    classes = sorted({lang for lang, _ in got})
     net = ByteConvNet.fresh(classes)
     if classes:
-        x = np.frombuffer(b"".join(bytes(r.window) for r in got), dtype=np.uint8).reshape(-1, WINDOW)
-        net.fit(x, np.array([classes.index(r.lang) for r in got]))
+        x = np.frombuffer(b"".join(window for _, window in got), dtype=np.uint8).reshape(-1, WINDOW)
+        net.fit(x, np.array([classes.index(lang) for lang, _ in got]))
     return net
 
 
