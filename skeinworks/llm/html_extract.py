@@ -7,12 +7,16 @@ or long without stop words). In the second pass undecided blocks take the label
 decided blocks on both sides, in their own container if there are any; where these differ, the
 nearer one decides, then the share of stop words. Where the page marks its article, blocks outside
 it are bad and those inside are decided among themselves.
+
+A form or a box of a telling name that encloses the page's heading or article and most of its text is
+a frame of the page, not a part of it: it decides nothing.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -23,7 +27,7 @@ from skeinworks.llm._common import batch_of, batches, ready, spread
 
 # Tags by their part in a page.
 SKIPPED = frozenset("script style noscript template svg math iframe object embed canvas audio video head title textarea select option button datalist".split())
-RAW = frozenset("script style textarea title noscript template svg iframe".split())
+RAW = frozenset("script style textarea title iframe".split())
 BOILER = frozenset("nav footer aside form menu dialog header".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup "
@@ -33,14 +37,15 @@ BLOCK = frozenset(
 PLAIN = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd ul ol dl blockquote pre center address figure figcaption table tbody thead tfoot tr td th caption".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 MAIN = frozenset(("article", "main"))
-#: Parts of class, id and role names that mark boilerplate.
-BOILER_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adv|advert|adverts|advertisement|adsense|banner|sponsor|sponsored|promo|promotion|sidebar|side|widget|nav|navbar|navigation|menu|breadcrumb|breadcrumbs|"
-    r"footer|header|masthead|topbar|comment|comments|commentlist|reply|replies|respond|discussion|disqus|cookie|cookies|consent|gdpr|notice|notices|notification|alert|popup|modal|overlay|"
-    r"share|sharing|social|related|recommended|recommendations|newsletter|subscribe|subscription|signup|login|search|pagination|pager|copyright|legal|disclaimer|toolbar|skip)(?:$|[\s_-])|"
-    r"comment|advert|sidebar|cookie",
-    re.I,
-)
+#: Words of class and id names that mark boilerplate anywhere, and those that do so outside an article only.
+BOILER_WORDS = (
+    "ad ads adv advert adverts advertisement advertisements adsense adbox banner sponsor sponsored promo promotion sidebar leftsidebar rightsidebar widget nav navbar navigation menu breadcrumb breadcrumbs "
+    "footer masthead topbar comment comments commentlist commentbox commentform reply replies disqus cookie cookies cookiebar cookiebanner cookienotice consent gdpr notice notices notification "
+    "popup modal overlay share sharing social related recommended recommendations newsletter subscribe subscription signup pagination pager copyright"
+).split()
+LAYOUT_WORDS = "side header respond discussion alert login search legal disclaimer toolbar skip".split()
+#: Names are cut into words at separators, digits and inner capitals.
+_NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 BOILER_ROLE = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
 #: Frequent function words of the languages that pages come in.
 STOP_WORDS = frozenset(
@@ -66,6 +71,8 @@ class Block:
     heading: bool
     linked: int  # characters inside links
     container: int  # number of the enclosing element that is no paragraph, heading or cell
+    frames: tuple[int, ...] = ()  # the enclosing boxes that are boilerplate unless they frame the page
+    around: tuple[int, ...] = ()  # those of them that enclose a first heading or the block's article
     label: int = OPEN
     stop: float = 0.0
     words: int = 0
@@ -78,17 +85,22 @@ class _Open:
     skip: bool
     main: int
     container: int
+    frames: tuple[int, ...]
 
 
-def _hidden_or_boiler(tag: str, attrs: str, in_main: bool) -> tuple[bool, bool]:
-    """(boilerplate place, not shown)."""
+def _hidden_or_boiler(tag: str, attrs: str, in_main: bool) -> tuple[bool, bool, bool]:
+    """(boilerplate by its tag or role, a box that is boilerplate unless it frames the page, not shown)."""
+    surely = tag in BOILER and tag != "form" and not (tag == "header" and in_main)
     if not attrs.strip():
-        return tag in BOILER and not (tag == "header" and in_main), False
+        return surely, tag == "form", False
     got = {k.lower(): html.unescape(v.strip("\"'")) for k, v in _ATTR.findall(attrs)}
     hidden = "hidden" in got or got.get("aria-hidden", "").lower() == "true" or bool(re.search(r"display\s*:\s*none", got.get("style", ""), re.I))
-    named = tag not in ("body", "html", "article", "main", "p", "h1", "h2", "h3", "b", "i", "em", "strong", "a") and BOILER_NAME.search(f"{got.get('class', '')} {got.get('id', '')}")
-    boiler = tag in BOILER and not (tag == "header" and in_main) or bool(named) or got.get("role", "").lower() in BOILER_ROLE
-    return boiler, hidden
+    named = False
+    if tag not in ("body", "html", "article", "main"):
+        said = {w.lower() for w in _NAME_WORDS.findall(f"{got.get('class', '')} {got.get('id', '')}")}
+        layout = not in_main and tag not in ("p", "h1", "h2", "h3", "b", "i", "em", "strong", "a")
+        named = not said.isdisjoint(BOILER_WORDS) or layout and not said.isdisjoint(LAYOUT_WORDS)
+    return surely or got.get("role", "").lower() in BOILER_ROLE, named or tag == "form", hidden
 
 
 def blocks(page: str) -> list[Block]:
@@ -96,16 +108,18 @@ def blocks(page: str) -> list[Block]:
     found: list[Block] = []
     stack: list[_Open] = []
     parts: list[str] = []
-    linked = links = mains = containers = 0
-    heading = False
+    linked = links = mains = containers = boxes = 0
+    heading = first_heading = False
+    around: dict[int, tuple[int, ...]] = {}
+    none = _Open("", False, False, 0, 0, ())
 
     def flush() -> None:
         nonlocal linked
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                top = stack[-1] if stack else None
-                found.append(Block(text, bool(top and top.bad), top.main if top else 0, heading, linked, top.container if top else 0))
+                top = stack[-1] if stack else none
+                found.append(Block(text, top.bad, top.main, heading, linked, top.container, top.frames, top.frames if first_heading else around.get(top.main, ())))
             parts.clear()
         linked = 0
 
@@ -142,13 +156,12 @@ def blocks(page: str) -> list[Block]:
             elif tag in BLOCK:
                 flush()
             if tag in BLOCK:
-                heading = False
+                heading = first_heading = False
         elif tag in BLOCK or tag in SKIPPED:
             if tag in RAW:
+                # Without an end, code goes on to the end of the page; other tags of this kind are overlooked.
                 end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-                at = end.end() if end else size
-                if tag in BLOCK:
-                    flush()
+                at = end.end() if end else size if tag in ("script", "style") else at
                 continue
             if tag in BLOCK:
                 flush()
@@ -158,27 +171,46 @@ def blocks(page: str) -> list[Block]:
                     while stack and stack[-1].tag == "p" or stack and tag == stack[-1].tag and tag in ("li", "dt", "dd", "tr", "td", "th", "option"):
                         stack.pop()
                 heading = tag in ("h1", "h2", "h3", "h4", "h5", "h6")
+                first_heading = tag == "h1"
             if tag in VOID or m.group(3).rstrip().endswith("/"):
                 continue
-            top = stack[-1] if stack else _Open("", False, False, 0, 0)
-            boiler, hidden = _hidden_or_boiler(tag, m.group(3), top.main > 0)
+            top = stack[-1] if stack else none
+            boiler, box, hidden = _hidden_or_boiler(tag, m.group(3), top.main > 0)
             main = top.main
             if tag in MAIN and not top.main and not (boiler or top.bad):
                 mains += 1
                 main = mains
+                around[main] = top.frames
             containers += tag not in PLAIN
-            stack.append(_Open(tag, top.bad or boiler, top.skip or hidden or tag in SKIPPED, main, top.container if tag in PLAIN else containers))
+            boxes += box
+            stack.append(_Open(tag, top.bad or boiler, top.skip or hidden or tag in SKIPPED, main, top.container if tag in PLAIN else containers, (*top.frames, boxes) if box else top.frames))
         elif m.group(3):
             # An inline element is followed only if it hides or marks its content.
-            top = stack[-1] if stack else _Open("", False, False, 0, 0)
-            boiler, hidden = _hidden_or_boiler(tag, m.group(3), top.main > 0)
-            if (boiler or hidden) and tag not in VOID and not m.group(3).rstrip().endswith("/"):
+            top = stack[-1] if stack else none
+            boiler, box, hidden = _hidden_or_boiler(tag, m.group(3), top.main > 0)
+            if (boiler or box or hidden) and tag not in VOID and not m.group(3).rstrip().endswith("/"):
                 flush()
-                stack.append(_Open(tag, top.bad or boiler, top.skip or hidden, top.main, top.container))
+                boxes += box
+                stack.append(_Open(tag, top.bad or boiler, top.skip or hidden, top.main, top.container, (*top.frames, boxes) if box else top.frames))
     flush()
+    _without_frames(found)
     return found
 
 
+def _without_frames(found: list[Block]) -> None:
+    """Blocks in a box are bad, unless it encloses the first heading or the article and half of the text that is in no other bad place."""
+    frames = {f for b in found for f in b.around}
+    rest = [b for b in found if not b.bad_place and frames.issuperset(b.frames)]
+    inside: Counter[int] = Counter()
+    for b in rest:
+        for f in b.frames:
+            inside[f] += len(b.text)
+    whole = sum(len(b.text) for b in rest)
+    frames = {f for f in frames if 2 * inside[f] >= whole}
+    for b in found:
+        b.bad_place = b.bad_place or not frames.issuperset(b.frames)
+
+
 def first_pass(found: list[Block]) -> None:
     article = any(b.in_main and not b.bad_place for b in found)
     for b in found:

@@ -71,6 +71,55 @@ def test_main_text_without_and_with_article():
         assert isinstance(html_extract.extract(odd), str)
 
 
+ARTICLE = "This is the first of the paragraphs and it has a lot of the words that are in the list of words."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<body><svg/><p>{}</p></body>",
+        "<body><svg viewBox='0 0 1 1'/><nav>a menu of the site</nav><p>{}</p><svg><title>of the</title><path/></svg></body>",
+        "<body><svg><path/><p>x</svg><p>{}</p></body>",
+        '<body><form id="aspnetForm"><h1></h1><nav>and the menu is in it</nav><h1>{}</h1></form></body>',
+        '<body><form id="aspnetForm"><div class="menu">this and that is the menu of it</div><article><p>{}</p></article></form></body>',
+        '<body><article class="commentary"><p>{}</p></article></body>',
+        '<body><div class="commentary"><p>{}</p></div></body>',
+        '<body><div class="page with-sidebar"><h1>{}</h1><div class="sidebar">this is in the side bar of it</div></div></body>',
+        '<article><p class="advertisement">It is the best of the things that you can buy.</p><p>{}</p></article>',
+        '<article><div class="legal"><p>{}</p></div></article>',
+        '<article><p>{}</p><div class="reader-comments"><p>' + "I was here and this is what I say to it. " * 20 + "</p></div></article>",
+        '<body><main><p>{}</p></main><section id="commentBox7"><p>' + "I was here and this is what I say to it. " * 20 + "</p></section></body>",
+        "<body><template><p>this is not to be shown at all and it is of no use</p></template><p>{}</p><noscript>you have to switch it on for this</noscript></body>",
+        "<body><p>{}</p><textarea></body>",
+        '<body><div class="cookieBanner">We use it for the good of all and you have to say that it is so.</div><div role="main"><p>{}</p></div></body>',
+    ],
+)
+def test_boxes_that_frame_and_boxes_that_do_not(page):
+    assert html_extract.extract(page.format(ARTICLE)) == ARTICLE
+
+
+def _generated(rnd):
+    """A page of one of several templates, and its main text."""
+    def words(n):
+        return " ".join(rnd.choice("the of and to in is that it was for on with house river stone market garden winter people morning letter music".split()) for _ in range(n)).capitalize() + "."
+    def noise():
+        return rnd.choice([
+            "<nav><ul>" + "".join(f"<li><a href='/{i}'>{words(2)}</a></li>" for i in range(5)) + "</ul></nav>", f'<div class="{rnd.choice(["ad", "ads-top", "sidebar", "cookie-notice", "share-links", "newsletter"])}"><p>{words(12)}</p></div>',
+            f"<footer><p>{words(15)}</p></footer>", f"<aside>{words(14)}</aside>", f"<form><label>{words(4)}</label><input><button>{words(1)}</button></form>", f"<script>var x = '<p>{words(9)}</p>';</script>", "<svg/>", f"<!-- {words(8)} -->",
+        ])
+    title, body = words(5), [words(rnd.randint(12, 60)) for _ in range(rnd.randint(2, 8))]
+    inner = f"<h1>{title}</h1>" + "".join(f"<p>{b}</p>" + (rnd.choice(["", "", noise()])) for b in body)
+    opened, closed = rnd.choice([("<article>", "</article>"), ("<main>", "</main>"), ('<div id="content">', "</div>"), ('<form id="aspnetForm"><div>', "</div></form>"), ('<div class="layout has-sidebar">', "</div>")])
+    comments = f'<section class="comments"><h3>{words(2)}</h3>' + "".join(f"<div class='comment'><p>{words(30)}</p></div>" for _ in range(rnd.randint(0, 6))) + "</section>"
+    return f"<html><head><title>{title}</title></head><body>{noise()}{noise()}{opened}{inner}{closed}{comments}{noise()}</body></html>", " ".join([title, *body])
+
+
+def test_planted_truth_of_generated_pages():
+    rnd = random.Random(9)
+    pages = [_generated(rnd) for _ in range(400)]
+    assert [i for i, (page, want) in enumerate(pages) if html_extract.extract(page) != want] == []
+
+
 def test_pages_query_cases(spark):
     pages = spark.createDataFrame([(1, "u", "<article><p>x y</p></article>", 5), (1, "u", "<article><p>x y</p></article>", 6), (2, None, None, 7), (None, "v", "", 8)], "page_id long, url string, html string, text long")
     got = sorted((r.page_id or 0, r.text, r.n_chars) for r in html_extract.main_texts(pages).collect())
@@ -94,6 +143,18 @@ def test_language_network_learns_and_handles_cases(spark):
     assert nothing.classes == [] and language_id.identify(docs, nothing).where("lang_pred <> 'und'").count() == 0
 
 
+def test_letters_are_what_unicode_calls_letters(spark):
+    net = language_id.ByteConvNet.fresh(["aa", "bb"])
+    assert [p for p, _ in net.predict(["²", "½ 3", "Ⅷ", "①②", "_1_", "", "é", "漢", "12 a"])] == ["und"] * 6 + [p for p, _ in net.predict(["é", "漢", "12 a"])]
+    assert all(p != "und" for p, _ in net.predict(["é", "漢", "12 a"]))
+
+
+def test_repeated_ids_do_not_change_the_language_sample(spark):
+    docs = spark.createDataFrame([(i // 3, f"{'bana lano' if i % 2 else 'krzt wxyq'} {i}", "ab"[i % 2]) for i in range(90)], "doc_id long, text string, lang string")
+    first, second = language_id.train(docs), language_id.train(docs.union(docs).repartition(5))
+    assert first.classes == second.classes and all((first.taps[w] == second.taps[w]).all() for w in language_id.WIDTHS)
+
+
 def _labelled(n, seed):
     """Insults make a text toxic; 'women' merely comes along with them, 'men' with clean texts."""
     rnd = random.Random(seed)
@@ -110,27 +171,56 @@ def _labelled(n, seed):
     return out
 
 
+def _pairs(texts, terms):
+    known = toxicity.swaps(terms)
+    return [(np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)) for t in texts for x, y in toxicity.pairs_of(t, known)]
+
+
 def test_counterfactual_penalty_protects_neutral_mentions():
     rows = _labelled(800, 1)
-    pairs = [p for _, t, _ in rows for p in toxicity.swapped(t, ["women", "men"])]
-    texts = [(toxicity.words(t), y) for _, t, y in rows]
-    plain, fair = toxicity.fit(texts, []), toxicity.fit(texts, pairs, balance=0.5)
+    texts = [(toxicity.digests(toxicity.words(t)), y) for _, t, y in rows]
+    plain, fair = toxicity.fit(texts, []), toxicity.fit(texts, _pairs([t for _, t, _ in rows], "women men"), balance=0.5)
     def gap(m):
         return m.score_many(["some women said word1"])[0] - m.score_many(["some men said word1"])[0]
     assert gap(fair) < 0.5 * gap(plain)
     assert fair.score_many(["you scumbag women word3"])[0] > 0.7 > fair.score_many(["the women of word3"])[0]
 
 
+def test_neutral_held_out_sentences_score_alike_for_each_group():
+    rnd = random.Random(4)
+    line = toxicity.IDENTITY_TERMS.strip().split("\n")[0].split()
+    rows = []
+    for i in range(1500):
+        toxic = i % 3 == 0
+        said = [f"word{rnd.randrange(80)}" for _ in range(15)] + [rnd.choice(line[:3] if toxic and rnd.random() < 0.8 else line)]
+        rows.append((" ".join(said + (["scumbag"] if toxic and rnd.random() < 0.8 else [])), int(toxic)))
+    texts = [(toxicity.digests(toxicity.words(t)), y) for t, y in rows]
+    plain, fair = toxicity.fit(texts, []), toxicity.fit(texts, _pairs([t for t, _ in rows], toxicity.IDENTITY_TERMS), toxicity.swaps())
+    neutral = [f"the {group} of word{n} went home" for group in line for n in (200, 201)]
+    spread = lambda m: max(m.score_many(neutral)) - min(m.score_many(neutral))
+    assert spread(plain) > 0.3 and spread(fair) < 0.1 * spread(plain)
+    assert min(fair.score_many([f"a scumbag and {g}" for g in line])) > 0.5
+
+
+def test_swaps_stay_in_language_and_form():
+    known = toxicity.swaps()
+    assert known["women"] == "men" and known["arabs"] == "women" and known["immigrant"] == "refugee" and known["jewish"] == "disabled"
+    assert set(known) == set(known.values()) | set(known) and all(k != v for k, v in known.items())
+    assert {"woman", "muslim", "immigrant", "jewish"} <= set(known)
+
+
 def test_every_mention_of_a_text_is_swapped(spark):
-    rows = [(i, " ".join(f"women of w{chr(97 + n)}{chr(97 + i % 7)}." for n in range(22)) + (" A scumbag woman said so." * 2 if i % 2 else " The man went home."), i % 2) for i in range(40)]
+    rows = [(i, " ".join(f"{w} of w{chr(97 + i % 7)}." for w in ("Women", "men", "Jews") * 3) + (" A scumbag woman said so." * 2 if i % 2 else " The man went home."), i % 2) for i in range(40)]
     docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
     labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
-    found = {t: toxicity.pairs_of(t, toxicity.IDENTITY_TERMS) for _, t, _ in rows}
-    assert all(len(p) == len(set(p)) == 23 for p in found.values())
-    pairs = [tuple(set(side.split()) for side in p.split("\n")) for _, t, _ in rows for p in found[t]]
-    want = toxicity.fit([(toxicity.words(t), y) for _, t, y in rows], pairs)
+    known = toxicity.swaps()
+    changes = [sorted(toxicity.pairs_of(t, known)) for _, t, _ in rows]
+    assert all(len(p) == len(set(p)) == 4 for p in changes)
+    want = toxicity.fit([(toxicity.digests(toxicity.words(t)), y) for _, t, y in rows], _pairs([t for _, t, _ in rows], toxicity.IDENTITY_TERMS), known)
     assert toxicity.train(docs, labels).weights == want.weights
-    assert len(set(toxicity.IDENTITY_TERMS)) == len(toxicity.IDENTITY_TERMS) and {"woman", "muslim", "immigrant", "jewish"} <= set(toxicity.IDENTITY_TERMS)
+    # Copies of an id and other texts under it change what is learnt to one text of the id, whatever the partitions.
+    more = docs.union(docs).union(docs.selectExpr("doc_id", "concat(text, ' scumbag')"))
+    assert toxicity.train(more, labels).weights == toxicity.train(more.repartition(7), labels).weights
 
 
 def test_toxicity_query_cases(spark):
