@@ -10,6 +10,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Settings of the C library's and Arrow's allocators in Python workers: what a batch has used goes back at once, so workers rest small.
+WORKER_MEMORY = {"MALLOC_MMAP_THRESHOLD_": "1048576", "MALLOC_TRIM_THRESHOLD_": "1048576", "MALLOC_ARENA_MAX": "2", "ARROW_DEFAULT_MEMORY_POOL": "system"}
+
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
@@ -36,6 +39,8 @@ def ship(spark: SparkSession) -> SparkSession:
     is then an unused extra path.
     """
     env = spark.sparkContext.environment
+    for name, value in WORKER_MEMORY.items():
+        env.setdefault(name, value)
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if ROOT not in paths:
         env["PYTHONPATH"] = os.pathsep.join([ROOT, *paths])
