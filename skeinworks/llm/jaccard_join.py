@@ -40,7 +40,7 @@ BATCH_CHARS = 2 << 20
 #: Lists up to this length are paired at once; shingles that the sketch counts more often are dealt out by set, not by shingle.
 SHORT_LIST, LONG_LIST = 16, 4096
 #: Members of a long list that meet as a block; partners of a set that are verified beside one copy of it.
-LIST_BLOCK, PARTNERS = 512, 64
+LIST_BLOCK, PARTNERS = 256, 64
 #: Parts of a set's profile, which bounds intersections.
 PARTS = 128
 ABSENT = (1 << 63) - 1  # stands for a null id: never the least
