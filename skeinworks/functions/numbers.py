@@ -6,8 +6,10 @@ Python function with an Arrow-batched UDF around it.
 
 from __future__ import annotations
 
+import operator
 import re
 import unicodedata
+from collections.abc import Callable
 from decimal import Decimal
 from fractions import Fraction
 from typing import NamedTuple
@@ -115,6 +117,64 @@ class Analysis(NamedTuple):
     fraction_types: list[str]
 
 
+class Operation(NamedTuple):
+    """Two operands and how a remainder is treated."""
+
+    x: Number
+    y: Number
+    mode: str | None
+
+    def count(self, *kinds: str) -> int:
+        return (self.x.kind in kinds) + (self.y.kind in kinds)
+
+    @property
+    def kind(self) -> str:
+        return "fraction" if self.count("frac", "mixed") else "decimal" if self.count("dec") else "integer"
+
+    @property
+    def denominators(self) -> int:
+        return len({z.denominator for z in (self.x, self.y) if z.kind in ("frac", "mixed")})
+
+    @property
+    def inexact(self) -> bool:
+        return bool(self.x.value % self.y.value)
+
+
+def _rung(op: str, p: Operation) -> str:
+    """The step of an operation's ladder that two integers need: tables, then one, two, more digits of the shorter factor or the divisor."""
+    a, b = int(p.x.value), int(p.y.value)
+    in_table = b <= 9 and a <= (9 if op == "乘法" else 81)
+    digits = significant_digits(b) if op == "除法" else min(map(significant_digits, (a, b)))
+    return LADDERS[op][0 if in_table else min(digits, 3)]
+
+
+_SUMS = ("加法", "减法")
+#: Operations, kind of operands, condition and form: all rows that hold give their form.
+_RULES: list[tuple[tuple[str, ...], str, Callable[[Operation], bool], str]] = [
+    (_SUMS, "integer", lambda p: True, "整数"),
+    (("加法",), "integer", lambda p: carries(int(p.x.value), int(p.y.value)), "进位"),
+    (("减法",), "integer", lambda p: borrows(int(p.x.value), int(p.y.value)), "退位"),
+    (_SUMS, "decimal", lambda p: True, "小数"),
+    (_SUMS, "decimal", lambda p: p.x.places != p.y.places, "小数·位数不同"),
+    (_SUMS, "fraction", lambda p: p.count("mixed") > 0, "分数·带分数"),
+    (_SUMS, "fraction", lambda p: p.denominators == 1, "分数·同分母"),
+    (_SUMS, "fraction", lambda p: p.denominators > 1, "分数·异分母"),
+    (("乘法",), "decimal", lambda p: p.count("dec") == 2, "小数·乘小数"),
+    (("乘法",), "decimal", lambda p: p.count("dec") == 1, "小数·乘整数"),
+    (("乘法",), "fraction", lambda p: p.count("frac", "mixed") == 2, "分数·乘分数"),
+    (("乘法",), "fraction", lambda p: p.count("frac", "mixed") == 1, "分数·乘整数"),
+    (("除法",), "decimal", lambda p: p.y.kind == "dec", "小数·除数是小数"),
+    (("除法",), "decimal", lambda p: p.y.kind != "dec", "小数·除以整数"),
+    (("除法",), "fraction", lambda p: p.y.kind in ("frac", "mixed"), "分数·除数是分数"),
+    (("除法",), "fraction", lambda p: p.y.kind not in ("frac", "mixed"), "分数·除以整数"),
+    (("除法",), "integer", lambda p: p.inexact and p.mode == "decimal_quotient", "整数·商为小数"),
+    (("除法",), "integer", lambda p: p.inexact and p.mode in ("remainder", None), "整数·有余数"),
+    *((("乘法",), "integer", lambda p, rung=rung: _rung("乘法", p) == rung, rung) for rung in LADDERS["乘法"]),
+    *((("除法",), "integer", lambda p, rung=rung: _rung("除法", p) == rung, rung) for rung in LADDERS["除法"]),
+]
+_RESULT = {"加法": operator.add, "减法": lambda a, b: abs(a - b), "乘法": operator.mul, "除法": lambda a, b: a / b if b else None}
+
+
 def analyse_operation(op: str, left: str, right: str, mode: str | None = None) -> Analysis | None:
     """Operand forms, integers that occur (with the result), decimal places and fraction types of one operation.
 
@@ -124,38 +184,15 @@ def analyse_operation(op: str, left: str, right: str, mode: str | None = None) -
     x, y = parse_number(left), parse_number(right)
     if x is None or y is None or op not in OPERATIONS:
         return None
-    a, b = x.value, y.value
-    fractions = [z for z in (x, y) if z.kind in ("frac", "mixed")]
-    decimals = [z for z in (x, y) if z.kind == "dec"]
-    plain = not fractions and not decimals
-    if op == "除法" and plain and b == 0:
+    p = Operation(x, y, mode)
+    if op == "除法" and p.kind == "integer" and not y.value:
         return None
+    forms = {form for ops, kind, holds, form in _RULES if op in ops and kind == p.kind and holds(p)}
     integers = [int(z.value) for z in (x, y) if z.kind in ("int", "dec")] + [z.whole for z in (x, y) if z.kind == "mixed"]
-    result = {"加法": lambda: a + b, "减法": lambda: abs(a - b), "乘法": lambda: a * b, "除法": lambda: a / b if b else None}[op]()
-    if result is not None and (result.denominator == 1 or op == "除法" and plain):
+    result = _RESULT[op](x.value, y.value)
+    if result is not None and (result.denominator == 1 or op == "除法" and p.kind == "integer"):
         integers.append(int(result))
-    forms: list[str] = []
-    if op in ("加法", "减法"):
-        if fractions:
-            forms = ["分数·带分数"] * any(z.kind == "mixed" for z in fractions) + ["分数·异分母" if len({z.denominator for z in fractions}) > 1 else "分数·同分母"]
-        elif decimals:
-            forms = ["小数"] + ["小数·位数不同"] * (x.places != y.places)
-        else:
-            regroups = carries(int(a), int(b)) if op == "加法" else borrows(int(a), int(b))
-            forms = ["整数"] + [OPERATION_TAGS[op][1]] * regroups
-    else:
-        times = op == "乘法"
-        if fractions:
-            forms = [("分数·乘分数" if len(fractions) == 2 else "分数·乘整数") if times else "分数·除数是分数" if y in fractions else "分数·除以整数"]
-        elif decimals:
-            forms = [("小数·乘小数" if len(decimals) == 2 else "小数·乘整数") if times else "小数·除数是小数" if y.kind == "dec" else "小数·除以整数"]
-        else:
-            table = a <= 9 and b <= 9 if times else a <= 81 and b <= 9
-            digits = min(significant_digits(int(a)), significant_digits(int(b))) if times else significant_digits(int(b))
-            forms = [LADDERS[op][0 if table else min(digits, 3)]]
-            if not times and a % b:
-                forms += {"decimal_quotient": ["整数·商为小数"], "remainder": ["整数·有余数"], None: ["整数·有余数"]}.get(mode, [])
-    return Analysis(sorted(set(forms)), integers, max(x.places, y.places), sorted({fraction_type(z) for z in fractions}))
+    return Analysis(sorted(forms), integers, max(x.places, y.places), sorted({fraction_type(z) for z in (x, y) if z.kind in ("frac", "mixed")}))
 
 
 def fraction_closure(types: set[str]) -> set[str]:

@@ -70,12 +70,13 @@ def text_key(model: str, text: Column) -> Column:
 
 def wilson(k: Column, n: Column, z: float = 1.96) -> Column:
     """``struct(p, lo, hi)`` rounded to 4 places; nulls for no trial."""
-    k, n = k.cast("double"), n.cast("double")
-    p = k / F.nullif(n, F.lit(0.0))
-    d = 1 + z * z / F.nullif(n, F.lit(0.0))
-    centre = (p + z * z / (2 * F.nullif(n, F.lit(0.0)))) / d
-    half = z * F.sqrt(p * (1 - p) / F.nullif(n, F.lit(0.0)) + z * z / (4 * F.nullif(n * n, F.lit(0.0)))) / d
-    return F.struct(F.round(p, 4).alias("p"), F.round(F.greatest(F.lit(0.0), centre - half), 4).alias("lo"), F.round(F.least(F.lit(1.0), centre + half), 4).alias("hi"))
+    k, n = k.cast("double"), F.nullif(n.cast("double"), F.lit(0.0))
+    p = k / n
+    d = 1 + z * z / n
+    centre = (p + z * z / (2 * n)) / d
+    half = z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n)) / d
+    within = lambda x: F.when(n.isNotNull(), F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), x)), 4))
+    return F.struct(F.round(p, 4).alias("p"), within(centre - half).alias("lo"), within(centre + half).alias("hi"))
 
 
 def f1(p: Column, r: Column) -> Column:

@@ -66,6 +66,13 @@ def test_rendering():
     assert generate.unresolved_placeholders("{a} {b} {a+b} {ans} {q}", ["a", "b"]) == ["q"]
 
 
+def test_names_that_look_like_blanks():
+    assert generate.render("{answer+1}", {"answer": 3}) == ("4", []) and generate.render("{ans+b}", {"ans": 2, "b": 3}) == ("5", [])
+    assert generate.render("{ans_1} {results} {Answer}", {}) == ("______ ______ {Answer}", ["Answer"])
+    assert generate.unresolved_placeholders("{ansx y} {answer_2} {a*b} {a*c}", ["a", "b"]) == ["ansx y", "a*c"]
+    assert generate.render("{a*0.5} {}", {"a": 3}) == ("{a*0.5} {}", ["a*0.5"]) and generate.render("}} {a}", {"a": 1})[0] == "}} 1"
+
+
 def test_expressions_are_exact_and_closed():
     ev = generate.evaluate
     assert ev("a/b+0.5", {"a": 1, "b": 3}) == Fraction(5, 6) and ev("6/3", {}) == 2 and ev("0.1+0.2", {}) == Decimal("0.3") and ev("2**8", {}) == 256
@@ -97,6 +104,13 @@ def test_refused_solvers(code):
     assert "error" in generate.solve_all(code, {"a": "int"}, [{"a": 1}])[0]
 
 
+def test_solvers_may_name_the_number_modules():
+    code = "from decimal import Decimal, ROUND_HALF_UP\nimport math\n\ndef solve(a, b):\n    import fractions\n    return [Decimal(a).quantize(Decimal('0.01'), rounding=ROUND_HALF_UP), math.gcd(6, 4), Fraction(1, b), Decimal('1.50')]"
+    got = generate.solve_all(code, {"a": "decimal", "b": "int"}, [{"a": "1.005", "b": "3"}])
+    assert got == [{"result": ["list", [["dec", "1.01"], ["int", "2"], ["frac", "1/3"], ["dec", "1.5"]]]}]
+    assert "error" in generate.solve_all("import math as m\ndef solve(a): return 1", {}, [{"a": 1}])[0] and "error" in generate.solve_all("def solve(a): return '{0.__class__}'.format(a)", {}, [{"a": 1}])[0]
+
+
 def test_solver_timeout():
     assert generate.solve_all("def solve(a):\n    while True: pass", {"a": "int"}, [{"a": 1}], seconds=1) == [{"error": "timeout"}]
 
