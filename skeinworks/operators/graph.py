@@ -20,6 +20,11 @@ def adjacency(edges: DataFrame, nodes: DataFrame, node: str = "node") -> DataFra
     return edges.join(ids, edges["src"] == ids["_n"], "left_semi").join(ids, edges["dst"] == ids["_n"], "left_semi")
 
 
+def dangling(refs: DataFrame, nodes: DataFrame, node: str = "node") -> DataFrame:
+    """References to nodes that there are not."""
+    return refs.join(nodes.select(node).distinct(), node, "left_anti").select(refs.columns)
+
+
 def closure(edges: DataFrame) -> DataFrame:
     """All ``src, dst`` with a path. Paths double in length each round: rounds grow with the logarithm of the depth."""
     known = materialise(edges.select("src", "dst").where("src IS NOT NULL AND dst IS NOT NULL").distinct(), "closure")

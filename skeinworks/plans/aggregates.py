@@ -5,17 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skeinworks.functions.scalars import digits_bucket, places_bucket, steps_bucket
-from skeinworks.operators import grouping
-from skeinworks.plans.catalogue import query, sql
+from skeinworks.functions.scalars import digits_bucket, last_segment, places_bucket, steps_bucket
+from skeinworks.operators import grouping, lattice, reports
+from skeinworks.plans.catalogue import query
 from skeinworks.plans.fixtures import frame
 
-sql("counts_by_group", "SELECT o_orderpriority, o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY o_orderpriority, o_orderstatus")
-sql("totals_rollup", "SELECT o_orderpriority, o_orderstatus, count(*) AS n FROM orders GROUP BY ROLLUP (o_orderpriority, o_orderstatus)")
-sql("review_grouping_sets", "SELECT coalesce(o_orderstatus, '_all') AS kind, count(*) AS n, count_if(o_totalprice > 100000) AS passed FROM orders GROUP BY GROUPING SETS ((o_orderstatus), ())",
-    "SELECT coalesce(o_orderstatus, '_all') AS kind, count(*) AS n, CAST(count_if(o_totalprice > 100000) AS BIGINT) AS passed FROM orders GROUP BY GROUPING SETS ((o_orderstatus), ())")
-sql("pivot_status", "SELECT o_orderpriority, count_if(o_orderstatus = 'F') AS f, count_if(o_orderstatus = 'O') AS o, count_if(o_orderstatus = 'P') AS p FROM orders GROUP BY o_orderpriority",
-    "SELECT o_orderpriority, CAST(count_if(o_orderstatus = 'F') AS BIGINT) AS f, CAST(count_if(o_orderstatus = 'O') AS BIGINT) AS o, CAST(count_if(o_orderstatus = 'P') AS BIGINT) AS p FROM orders GROUP BY o_orderpriority")
+@query("SELECT o_orderpriority, o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY o_orderpriority, o_orderstatus")
+def counts_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = reports.counts(frame(spark, sf_dir, "orders"), ["o_orderpriority", "o_orderstatus"], total=F.col("o_totalprice"))
+    return found.withColumn("total", F.round("total", 2))
+
+
+@query("SELECT o_orderpriority, o_orderstatus, count(*) AS n FROM orders GROUP BY ROLLUP (o_orderpriority, o_orderstatus)")
+def totals_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.counts_with_totals(frame(spark, sf_dir, "orders"), ["o_orderpriority", "o_orderstatus"])
+
+
+@query("SELECT coalesce(o_orderstatus, '_all') AS kind, count(*) AS n, CAST(count_if(o_totalprice > 100000) AS BIGINT) AS passed FROM orders GROUP BY GROUPING SETS ((o_orderstatus), ())")
+def review_grouping_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.review_stats(frame(spark, sf_dir, "orders"), "o_orderstatus", F.col("o_totalprice") > 100000)
+
+
+@query("SELECT o_orderpriority, CAST(count_if(o_orderstatus = 'F') AS BIGINT) AS f, CAST(count_if(o_orderstatus = 'O') AS BIGINT) AS o, CAST(count_if(o_orderstatus = 'P') AS BIGINT) AS p FROM orders GROUP BY o_orderpriority")
+def pivot_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.coverage_matrix(frame(spark, sf_dir, "orders"), "o_orderpriority", "o_orderstatus", {"F": "f", "O": "o", "P": "p"})
 
 
 @query("""
@@ -26,7 +39,10 @@ def mode_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouping.mode_of(frame(spark, sf_dir, "lineitem"), "l_partkey", "l_returnflag", "l_orderkey").select("l_partkey", "n")
 
 
-sql("grants_merged", "SELECT l_partkey AS kp_id, l_returnflag AS op, l_linestatus AS token, CAST(max(l_quantity) AS BIGINT) AS num FROM lineitem GROUP BY l_partkey, l_returnflag, l_linestatus")
+@query("SELECT l_partkey AS kp_id, l_returnflag AS op, l_linestatus AS token, CAST(max(l_quantity) AS BIGINT) AS num FROM lineitem GROUP BY l_partkey, l_returnflag, l_linestatus")
+def grants_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grants = frame(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("kp_id"), F.lit("flags").alias("dimension"), F.col("l_returnflag").alias("op"), F.col("l_linestatus").alias("token"), F.col("l_quantity").cast("long").alias("num"))
+    return lattice.merged_grants(grants, "kp_id").drop("dimension")
 
 
 @query("""
@@ -72,10 +88,9 @@ def answer_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouping.histogram(rows, ["p_brand"], "l_returnflag")
 
 
-sql("context_envelope", """
-    SELECT lang, source, count(*) AS n, min(CAST(x AS DECIMAL(30, 6))) AS low, max(CAST(x AS DECIMAL(30, 6))) AS high FROM
-    (SELECT lang, source, explode(regexp_extract_all(text, '([0-9]{1,9}(?:\\\\.[0-9]{1,6})?)', 1)) AS x FROM documents) GROUP BY lang, source""",
-    "SELECT lang, source, count(*) AS n, min(CAST(x AS DECIMAL(30, 6))) AS low, max(CAST(x AS DECIMAL(30, 6))) AS high FROM (SELECT lang, source, unnest(regexp_extract_all(text, '([0-9]{1,9}(?:\\.[0-9]{1,6})?)', 1)) AS x FROM documents) GROUP BY lang, source")
+@query(r"""SELECT lang, source, count(*) AS n, min(CAST(x AS DECIMAL(30, 6))) AS low, max(CAST(x AS DECIMAL(30, 6))) AS high FROM (SELECT lang, source, unnest(regexp_extract_all(text, '([0-9]{1,9}(?:\.[0-9]{1,6})?)', 1)) AS x FROM documents) GROUP BY lang, source""")
+def context_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.number_envelope(frame(spark, sf_dir, "documents"), ["lang", "source"], "text")
 
 
 @query("SELECT regexp_replace(p_name, '\\s+', '', 'g') AS term, string_agg(alias, ',' ORDER BY k) AS aliases, count(*) AS n_aliases FROM (SELECT p_name, p_type AS alias, min(p_partkey) AS k FROM part GROUP BY p_name, p_type) GROUP BY p_name")
@@ -141,20 +156,44 @@ def stale_difficulty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouping.stale(p.select("node", (1 + F.col("size") % 5).alias("difficulty")), new, "node", "difficulty")
 
 
-sql("kp_slugs", "SELECT node, CASE WHEN count(*) OVER (PARTITION BY last_part) > 1 THEN concat(thread, '_', last_part) ELSE last_part END AS slug FROM (SELECT node, thread, element_at(split(name, ' '), -1) AS last_part FROM point)",
-    "SELECT node, CASE WHEN count(*) OVER (PARTITION BY last_part) > 1 THEN concat(thread, '_', last_part) ELSE last_part END AS slug FROM (SELECT node, thread, list_extract(string_split(name, ' '), -1) AS last_part FROM point)")
-sql("coverage_ratio", "SELECT count(DISTINCT l_partkey) AS covered, count(DISTINCT l_orderkey) AS items, round(count(*) / CAST(count(DISTINCT l_partkey) AS DOUBLE), 4) AS compression FROM lineitem")
-sql("item_verdicts", "SELECT l_orderkey, CASE WHEN count_if(l_linestatus = 'F') = count(*) THEN 'covered' WHEN count_if(l_linestatus = 'F') = 0 THEN 'not_covered' ELSE 'partial' END AS verdict FROM lineitem GROUP BY l_orderkey")
-sql("point_rollup", "SELECT l_partkey, count(*) AS cards, floor(avg(l_linenumber) * 100 + 0.5) / 100 AS mean_level, count_if(l_returnflag = 'A') AS a, count_if(l_returnflag = 'N') AS n, count_if(l_returnflag = 'R') AS r FROM lineitem GROUP BY l_partkey",
-    "SELECT l_partkey, count(*) AS cards, floor(avg(l_linenumber) * 100 + 0.5) / 100 AS mean_level, CAST(count_if(l_returnflag = 'A') AS BIGINT) AS a, CAST(count_if(l_returnflag = 'N') AS BIGINT) AS n, CAST(count_if(l_returnflag = 'R') AS BIGINT) AS r FROM lineitem GROUP BY l_partkey")
-sql("two_way_histogram", "SELECT l_returnflag, l_linenumber, count(*) AS n FROM lineitem GROUP BY l_returnflag, l_linenumber")
-sql("timeline_additions", "SELECT unit_id, count(*) AS n_new, array_join(slice(array_sort(collect_list(node)), 1, 6), ',') AS first_six FROM point GROUP BY unit_id",
-    "SELECT unit_id, count(*) AS n_new, array_to_string(list_slice(list(CAST(node AS VARCHAR) ORDER BY node), 1, 6), ',') AS first_six FROM point GROUP BY unit_id")
-sql("context_members", """
-    SELECT event_type, array_join(transform(slice(array_sort(collect_list(struct(-c AS c, user_id))), 1, 5), x -> CAST(x.user_id AS STRING)), ',') AS members
-    FROM (SELECT event_type, user_id, count(*) AS c FROM events GROUP BY event_type, user_id) GROUP BY event_type""",
-    "SELECT event_type, array_to_string(list_slice(list(CAST(user_id AS VARCHAR) ORDER BY c DESC, user_id), 1, 5), ',') AS members FROM (SELECT event_type, user_id, count(*) AS c FROM events GROUP BY event_type, user_id) GROUP BY event_type")
-sql("observations_outer", "SELECT coalesce(a.user_id, b.c_custkey) AS id, coalesce(a.n, 0) AS n FROM (SELECT user_id, count(*) AS n FROM events WHERE event_type <> 'error' GROUP BY user_id) a FULL OUTER JOIN customer b ON a.user_id = b.c_custkey")
+@query("SELECT node, CASE WHEN count(*) OVER (PARTITION BY last_part) > 1 THEN concat(thread, '_', last_part) ELSE last_part END AS slug FROM (SELECT node, thread, list_extract(string_split(name, ' '), -1) AS last_part FROM point)")
+def kp_slugs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.slugs(frame(spark, sf_dir, "point"), "node", "thread", last_segment(F.col("name"), " "))
+
+
+@query("SELECT count(DISTINCT l_partkey) AS covered, count(DISTINCT l_orderkey) AS items, round(count(*) / CAST(count(DISTINCT l_partkey) AS DOUBLE), 4) AS compression FROM lineitem")
+def coverage_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.coverage_ratios(frame(spark, sf_dir, "lineitem"), "l_partkey", "l_orderkey")
+
+
+@query("SELECT l_orderkey, CASE WHEN count_if(l_linestatus = 'F') = count(*) THEN 'covered' WHEN count_if(l_linestatus = 'F') = 0 THEN 'not_covered' ELSE 'partial' END AS verdict FROM lineitem GROUP BY l_orderkey")
+def item_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.item_verdicts(frame(spark, sf_dir, "lineitem"), "l_orderkey", F.col("l_linestatus") == "F")
+
+
+@query("SELECT l_partkey, count(*) AS cards, floor(avg(l_linenumber) * 100 + 0.5) / 100 AS mean_level, CAST(count_if(l_returnflag = 'A') AS BIGINT) AS a, CAST(count_if(l_returnflag = 'N') AS BIGINT) AS n, CAST(count_if(l_returnflag = 'R') AS BIGINT) AS r FROM lineitem GROUP BY l_partkey")
+def point_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.point_rollup(frame(spark, sf_dir, "lineitem"), "l_partkey", "l_linenumber", "l_returnflag", {"A": "a", "N": "n", "R": "r"})
+
+
+@query("SELECT l_returnflag, l_linenumber, count(*) AS n FROM lineitem GROUP BY l_returnflag, l_linenumber")
+def two_way_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.counts(frame(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linenumber"])
+
+
+@query("SELECT unit_id, count(*) AS n_new, array_to_string(list_slice(list(CAST(node AS VARCHAR) ORDER BY node), 1, 6), ',') AS first_six FROM point GROUP BY unit_id")
+def timeline_additions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.additions_by_unit(frame(spark, sf_dir, "point"), "unit_id", "node")
+
+
+@query("SELECT event_type, array_to_string(list_slice(list(CAST(user_id AS VARCHAR) ORDER BY c DESC, user_id), 1, 5), ',') AS members FROM (SELECT event_type, user_id, count(*) AS c FROM events GROUP BY event_type, user_id) GROUP BY event_type")
+def context_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.most_frequent(frame(spark, sf_dir, "events"), "event_type", "user_id")
+
+
+@query("SELECT coalesce(a.user_id, b.c_custkey) AS id, coalesce(a.n, 0) AS n FROM (SELECT user_id, count(*) AS n FROM events WHERE event_type <> 'error' GROUP BY user_id) a FULL OUTER JOIN customer b ON a.user_id = b.c_custkey")
+def observations_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.observations(frame(spark, sf_dir, "events").where("event_type <> 'error'"), "user_id", frame(spark, sf_dir, "customer"), "c_custkey")
 
 
 @query("""
@@ -164,4 +203,3 @@ def final_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = frame(spark, sf_dir, "part").select(F.col("p_partkey").alias("item_id"), "p_size")
     ids = lambda cond, x: part.where(cond).select("item_id", F.array(F.lit(x)).alias("kp_ids"))
     return grouping.final_mapping(part, ids("p_size <= 10", "p"), ids("(p_size > 5 AND p_size <= 10) OR p_size > 40", "a"), part.where("p_size > 10 AND p_size <= 20"), ids("p_size > 20 AND p_size <= 25", "m"), part.where("p_size > 25 AND p_size <= 30"))
-

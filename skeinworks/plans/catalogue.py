@@ -13,16 +13,6 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def sql(name: str, text: str, other: str | None = None) -> None:
-    """Registers SQL over the stand-ins; ``other`` if DuckDB needs another wording."""
-
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        fixtures.views(spark, sf_dir, text)
-        return spark.sql(text)
-
-    QUERIES[name], ORACLES[name] = run, fixtures.oracle(other or text)
-
-
 def query(oracle: str | None = None) -> Callable[[Query], Query]:
     """Registers a function of operators under its name, with its DuckDB SQL if there is one."""
 
@@ -35,4 +25,4 @@ def query(oracle: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-from skeinworks.plans import aggregates, graphs, lattices, lookups, statistics, texts  # noqa: E402, F401
+from skeinworks.plans import aggregates, facade, graphs, lattices, lookups, statistics, texts  # noqa: E402, F401

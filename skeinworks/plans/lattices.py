@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skeinworks.functions import numbers
-from skeinworks.operators import lattice, sequence
-from skeinworks.plans.catalogue import query, sql
+from skeinworks.operators import lattice, reports, sequence
+from skeinworks.plans.catalogue import query
 from skeinworks.plans.fixtures import frame
 
 
@@ -140,10 +140,16 @@ def _coverage(spark: SparkSession, sf_dir: str, repair: bool) -> DataFrame:
     return lattice.coverage_pass(items.withColumn("dimension", F.lit("quantity")), grants, repair)
 
 
-sql("needed_grant", "SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN v <= 100 THEN v ELSE CAST(power(10, length(CAST(v AS STRING))) AS BIGINT) - 1 END AS grant_to FROM (SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_extendedprice AS BIGINT) AS v FROM lineitem WHERE l_extendedprice = floor(l_extendedprice))",
-    "SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN v <= 100 THEN v ELSE CAST(power(10, length(CAST(v AS VARCHAR))) AS BIGINT) - 1 END AS grant_to FROM (SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_extendedprice AS BIGINT) AS v FROM lineitem WHERE l_extendedprice = floor(l_extendedprice))")
-sql("crosscheck_counts", "SELECT l_returnflag, count_if(l_quantity > 25) AS over, count_if(l_quantity <= 25) AS within, count_if(l_discount = 0) AS no_discount FROM lineitem GROUP BY l_returnflag",
-    "SELECT l_returnflag, CAST(count_if(l_quantity > 25) AS BIGINT) AS over, CAST(count_if(l_quantity <= 25) AS BIGINT) AS within, CAST(count_if(l_discount = 0) AS BIGINT) AS no_discount FROM lineitem GROUP BY l_returnflag")
+@query("SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN v <= 100 THEN v ELSE CAST(power(10, length(CAST(v AS VARCHAR))) AS BIGINT) - 1 END AS grant_to FROM (SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_extendedprice AS BIGINT) AS v FROM lineitem WHERE l_extendedprice = floor(l_extendedprice))")
+def needed_grant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = frame(spark, sf_dir, "lineitem").where("l_extendedprice = floor(l_extendedprice)").withColumn("v", F.col("l_extendedprice").cast("long"))
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", lattice.needed_grant(F.lit("integer_domain"), F.col("v").cast("string")).alias("grant_to"))
+
+
+@query("SELECT l_returnflag, CAST(count_if(l_quantity > 25) AS BIGINT) AS over, CAST(count_if(l_quantity <= 25) AS BIGINT) AS within, CAST(count_if(l_discount = 0) AS BIGINT) AS no_discount FROM lineitem GROUP BY l_returnflag")
+def crosscheck_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.crosscheck(frame(spark, sf_dir, "lineitem"), "l_returnflag", over=F.col("l_quantity") > 25, within=F.col("l_quantity") <= 25, no_discount=F.col("l_discount") == 0)
+
 
 _DIGIT = "(a // CAST(power(10, i) AS BIGINT)) % 10"
 

@@ -5,39 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skeinworks.operators import candidates, curation, sequence
-from skeinworks.plans.catalogue import query, sql
+from skeinworks.operators import candidates, curation, graph, reports, sequence
+from skeinworks.plans.catalogue import query
 from skeinworks.plans.fixtures import frame
+from skeinworks.sources.files import verify_manifest
 
-sql("learned_before", "SELECT thread, count(*) AS learned, min(node) AS first_kp, max(node) AS last_kp FROM point WHERE position < CAST(900 AS BIGINT) * 1000000000 GROUP BY thread")
-sql("not_yet_learned", "SELECT p.p_partkey AS node, p.p_name AS name FROM part p LEFT ANTI JOIN (SELECT node FROM point WHERE position <= CAST(900 AS BIGINT) * 1000000000) k ON p.p_partkey = k.node",
-    "SELECT p_partkey AS node, p_name AS name FROM part WHERE p_partkey NOT IN (SELECT node FROM point WHERE position <= CAST(900 AS BIGINT) * 1000000000)")
-sql("learned_partition", "SELECT domain, grade, count_if(position < CAST(900 AS BIGINT) * 1000000000) AS before, count_if(position >= CAST(900 AS BIGINT) * 1000000000) AS after FROM point GROUP BY domain, grade",
-    "SELECT domain, grade, CAST(count_if(position < CAST(900 AS BIGINT) * 1000000000) AS BIGINT) AS before, CAST(count_if(position >= CAST(900 AS BIGINT) * 1000000000) AS BIGINT) AS after FROM point GROUP BY domain, grade")
-sql("find_by_name_or_alias", "SELECT p_partkey AS node, p_name AS name FROM part WHERE p_name = 'red widget' OR array_contains(split(p_name, ' '), 'bolt')",
-    "SELECT p_partkey AS node, p_name AS name FROM part WHERE p_name = 'red widget' OR list_contains(string_split(p_name, ' '), 'bolt')")
-sql("kp_filter", "SELECT node, name, position FROM point WHERE grade = 2 AND domain = 'PROMO' AND thread IN ('Brand#1', 'Brand#2', 'Brand#3')")
-sql("kp_semi_join", "SELECT node, name FROM point p WHERE EXISTS (SELECT 1 FROM lineitem l WHERE l.l_partkey = p.node AND l.l_returnflag = 'R' AND l.l_quantity >= 45)")
-sql("point_lookup", "SELECT lesson_id, grade, unit_id, position FROM lesson WHERE lesson_id = 17")
-sql("locate_denormalised", "SELECT node, concat(CAST(book_id AS STRING), ' / ', coalesce(CAST(unit_id AS STRING), '?'), ' / ', CAST(lesson_id AS STRING)) AS label, grade, semester FROM point",
-    "SELECT node, concat(CAST(book_id AS VARCHAR), ' / ', coalesce(CAST(unit_id AS VARCHAR), '?'), ' / ', CAST(lesson_id AS VARCHAR)) AS label, grade, semester FROM point")
-sql("lessons_of_unit", "SELECT lesson_id, position FROM lesson WHERE unit_id = 199703 AND book_id = 19971")
-sql("archetype_filter", """
-    SELECT l_partkey AS kp_id, l_orderkey AS lesson_id, l_linenumber AS form, CAST(1 + floor(l_quantity / 10.01) AS INT) AS difficulty
-    FROM lineitem WHERE l_returnflag = 'A' AND l_quantity BETWEEN 20 AND 30 AND l_partkey IN (SELECT node FROM point WHERE domain = 'SMALL')""")
-sql("archetype_grades", "SELECT h.kp_id, array_join(array_sort(collect_set(l.grade)), ',') AS grades FROM holds h JOIN lesson l ON h.lesson_id = l.lesson_id GROUP BY h.kp_id",
-    "SELECT h.kp_id, string_agg(DISTINCT CAST(l.grade AS VARCHAR), ',' ORDER BY CAST(l.grade AS VARCHAR)) AS grades FROM holds h JOIN lesson l ON h.lesson_id = l.lesson_id GROUP BY h.kp_id")
-sql("archetype_lessons", "SELECT h.kp_id, array_join(transform(array_sort(collect_list(struct(l.position, l.lesson_id))), x -> CAST(x.lesson_id AS STRING)), ',') AS lessons FROM holds h JOIN lesson l ON h.lesson_id = l.lesson_id GROUP BY h.kp_id",
-    "SELECT h.kp_id, string_agg(CAST(l.lesson_id AS VARCHAR), ',' ORDER BY l.position) AS lessons FROM holds h JOIN lesson l ON h.lesson_id = l.lesson_id GROUP BY h.kp_id")
-sql("context_text_filter", "SELECT doc_id, lang FROM documents WHERE contains(concat_ws(' ', source, lang, text), 'the of') AND (lang IS NULL OR lang IN ('en', 'fr'))")
-sql("contexts_for", "SELECT e.event_id, e.event_type, u.name FROM (SELECT event_id, event_type, user_id FROM events WHERE event_type = 'purchase') e JOIN (SELECT c_custkey, c_name AS name FROM customer) u ON e.user_id = u.c_custkey")
-sql("glossary_lookup", "SELECT p_partkey AS node, p_name AS name FROM part WHERE p_name = 'small ring' OR p_brand = 'Brand#2' ORDER BY p_partkey LIMIT 1")
-sql("glossary_reverse_contains", "SELECT d.doc_id, t.term FROM documents d JOIN (SELECT DISTINCT r_name AS term FROM region UNION SELECT DISTINCT lower(n_name) FROM nation UNION SELECT DISTINCT split_part(p_name, ' ', 1) FROM part) t ON contains(d.text, t.term)")
-sql("everyday_ignore_list", "SELECT kp_id, line FROM holds LEFT ANTI JOIN (SELECT * FROM VALUES (1), (2), (3) AS t(line)) e USING (line)",
-    "SELECT kp_id, line FROM holds WHERE line NOT IN (1, 2, 3)")
-sql("facet_filter", "SELECT node, grade, domain FROM point WHERE grade IN (1, 3, 5) AND domain IN ('LARGE', 'MEDIUM') AND size BETWEEN 5 AND 25")
-sql("unreadable_ratio", "SELECT lang, count_if(rlike(text, '[0-9]{3}')) AS hits, count(*) AS n FROM documents GROUP BY lang",
-    "SELECT lang, CAST(count_if(regexp_matches(text, '[0-9]{3}')) AS BIGINT) AS hits, count(*) AS n FROM documents GROUP BY lang")
+
+@query("SELECT domain, grade, CAST(count_if(position < CAST(900 AS BIGINT) * 1000000000) AS BIGINT) AS before, CAST(count_if(position >= CAST(900 AS BIGINT) * 1000000000) AS BIGINT) AS after FROM point GROUP BY domain, grade")
+def learned_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.parted_by_lesson(frame(spark, sf_dir, "point"), 900 * 10**9)
+
+
+@query("SELECT d.doc_id, t.term FROM documents d JOIN (SELECT DISTINCT r_name AS term FROM region UNION SELECT DISTINCT lower(n_name) FROM nation UNION SELECT DISTINCT split_part(p_name, ' ', 1) FROM part) t ON contains(d.text, t.term)")
+def glossary_reverse_contains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    terms = frame(spark, sf_dir, "region").select(F.col("r_name").alias("term")).union(frame(spark, sf_dir, "nation").select(F.lower("n_name"))).union(frame(spark, sf_dir, "part").select(F.split("p_name", " ")[0]))
+    return reports.occurring_terms(frame(spark, sf_dir, "documents"), "doc_id", "text", terms, "term")
+
+
+@query("SELECT node, grade, domain FROM point WHERE grade IN (1, 3, 5) AND domain IN ('LARGE', 'MEDIUM') AND size BETWEEN 5 AND 25")
+def facet_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.facets(frame(spark, sf_dir, "point"), {"grade": [1, 3, 5], "domain": ["LARGE", "MEDIUM"]}, {"size": (5, 25)}).select("node", "grade", "domain")
+
+
+@query("SELECT lang, CAST(count_if(regexp_matches(text, '[0-9]{3}')) AS BIGINT) AS hits, count(*) AS n FROM documents GROUP BY lang")
+def unreadable_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.matching_share(frame(spark, sf_dir, "documents"), "lang", "text", "[0-9]{3}")
 
 
 @query("SELECT lesson_id, row_number() OVER (ORDER BY position) - 1 AS place FROM lesson")
@@ -45,8 +37,14 @@ def lesson_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequence.dense_position(frame(spark, sf_dir, "lesson"), ["position"], "place").select("lesson_id", "place")
 
 
-sql("intro_position", "SELECT kp_id, position, last_position FROM first_seen")
-sql("review_lessons", "SELECT h.kp_id, count(*) - 1 AS reviews, max(l.grade) AS last_grade FROM holds h JOIN lesson l ON h.lesson_id = l.lesson_id GROUP BY h.kp_id")
+@query("SELECT kp_id, position, last_position FROM first_seen")
+def intro_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.first_and_last(frame(spark, sf_dir, "holds"), frame(spark, sf_dir, "lesson"))
+
+
+@query("SELECT h.kp_id, count(*) - 1 AS reviews, max(l.grade) AS last_grade FROM holds h JOIN lesson l ON h.lesson_id = l.lesson_id GROUP BY h.kp_id")
+def review_lessons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.review_span(frame(spark, sf_dir, "holds"), frame(spark, sf_dir, "lesson"))
 
 
 @query("SELECT * FROM (SELECT thread, domain, node AS a, lead(node) OVER (PARTITION BY thread, domain ORDER BY position, node) AS b FROM point) WHERE b IS NOT NULL")
@@ -77,7 +75,10 @@ def serial_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequence.serial_ids(frame(spark, sf_dir, "point"), "domain", ["node"], F.concat(F.lit("at."), F.lower("domain"))).select("node", "serial_id")
 
 
-sql("unlearned_next", "SELECT node, position FROM point WHERE position > CAST(1500 AS BIGINT) * 1000000000 ORDER BY position, node LIMIT 20")
+@query("SELECT node, position FROM point WHERE position > CAST(1500 AS BIGINT) * 1000000000 ORDER BY position, node LIMIT 20")
+def unlearned_next(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.unlearned_next(frame(spark, sf_dir, "point"), 1500 * 10**9, 20).select("node", "position")
+
 
 # Joins of candidates.
 _TIME = """
@@ -206,13 +207,36 @@ def set_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curation.symmetric_difference(p.where("grade <= 2"), p.where("size > 25"), "node")
 
 
-sql("manifest_full_outer", """
-    SELECT coalesce(a.k, b.k) AS file, CASE WHEN a.k IS NULL THEN 'unlisted' WHEN b.k IS NULL THEN 'missing' ELSE 'differs' END AS problem
+@query("""SELECT coalesce(a.k, b.k) AS file, CASE WHEN a.k IS NULL THEN 'unlisted' WHEN b.k IS NULL THEN 'missing' ELSE 'differs' END AS problem
     FROM (SELECT p_partkey AS k, p_size AS v FROM part WHERE p_partkey % 7 <> 0) a FULL OUTER JOIN (SELECT node AS k, size + CASE WHEN node % 11 = 0 THEN 1 ELSE 0 END AS v FROM point) b ON a.k = b.k
-    WHERE a.k IS NULL OR b.k IS NULL OR a.v <> b.v""")
-sql("set_intersections", "SELECT node FROM point WHERE grade = 1 INTERSECT SELECT kp_id FROM holds WHERE line = 1")
-sql("edges_union", "SELECT src, dst, type FROM edge UNION ALL SELECT dst, src, 'reverse' FROM edge")
-sql("intro_practice_partition", "SELECT h.lesson_id, h.kp_id, CASE WHEN p.lesson_id = h.lesson_id THEN 'intro' ELSE 'practice' END AS part FROM holds h JOIN point p ON p.node = h.kp_id")
-sql("dangling_refs", "SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem LEFT ANTI JOIN (SELECT p_partkey FROM part WHERE p_size > 2) p ON l_partkey = p.p_partkey",
-    "SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 2)")
-sql("book_end_lesson", "SELECT book_id, max_by(lesson_id, position) AS last_lesson FROM lesson GROUP BY book_id")
+    WHERE a.k IS NULL OR b.k IS NULL OR a.v <> b.v""")
+def manifest_full_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listed = frame(spark, sf_dir, "part").where("p_partkey % 7 <> 0").select(F.col("p_partkey").alias("file"), F.col("p_size").alias("sha256"))
+    actual = frame(spark, sf_dir, "point").select(F.col("node").alias("file"), (F.col("size") + F.when(F.col("node") % 11 == 0, 1).otherwise(0)).alias("sha256"))
+    return verify_manifest(listed, actual)
+
+
+@query("SELECT node FROM point WHERE grade = 1 INTERSECT SELECT kp_id FROM holds WHERE line = 1")
+def set_intersections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.common(frame(spark, sf_dir, "point").where("grade = 1"), frame(spark, sf_dir, "holds").where("line = 1").withColumnRenamed("kp_id", "node"), "node")
+
+
+@query("SELECT src, dst, type FROM edge UNION ALL SELECT dst, src, 'reverse' FROM edge")
+def edges_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.both_ways(frame(spark, sf_dir, "edge"))
+
+
+@query("SELECT h.lesson_id, h.kp_id, CASE WHEN p.lesson_id = h.lesson_id THEN 'intro' ELSE 'practice' END AS part FROM holds h JOIN point p ON p.node = h.kp_id")
+def intro_practice_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.intro_and_practice(frame(spark, sf_dir, "holds"), frame(spark, sf_dir, "point"))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 2)")
+def dangling_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    refs = frame(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("node"))
+    return graph.dangling(refs, frame(spark, sf_dir, "part").where("p_size > 2").select(F.col("p_partkey").alias("node")), "node").withColumnRenamed("node", "l_partkey")
+
+
+@query("SELECT book_id, max_by(lesson_id, position) AS last_lesson FROM lesson GROUP BY book_id")
+def book_end_lesson(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curation.last_lessons(frame(spark, sf_dir, "lesson"))

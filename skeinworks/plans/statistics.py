@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from skeinworks.functions import scalars
 from skeinworks.operators import curation, evaluation, sequence
-from skeinworks.plans.catalogue import query, sql
+from skeinworks.plans.catalogue import query
 from skeinworks.plans.fixtures import frame
 
 _WILSON = """round(k / n, 4) AS p, round(greatest(0.0, (k / n + 3.8416 / (2 * n)) / (1 + 3.8416 / n) - 1.96 * sqrt(k / n * (1 - k / n) / n + 3.8416 / (4 * n * n)) / (1 + 3.8416 / n)), 4) AS lo,
@@ -157,7 +157,9 @@ def page_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("p_partkey", F.array_join(F.col("x").cast("array<string>"), ",").alias("pages"))
 
 
-sql("text_hash", "SELECT doc_id, sha2(concat('model-1\n', text), 256) AS text_hash FROM documents", "SELECT doc_id, sha256(concat('model-1', chr(10), text)) AS text_hash FROM documents")
+@query("SELECT doc_id, sha256(concat('model-1', chr(10), text)) AS text_hash FROM documents")
+def text_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return frame(spark, sf_dir, "documents").select("doc_id", scalars.text_key("model-1", F.col("text")).alias("text_hash"))
 
 
 # Pipeline transforms.

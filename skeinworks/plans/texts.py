@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from skeinworks.functions.generate import instantiate_many
 from skeinworks.operators import probes, retrieval
-from skeinworks.plans.catalogue import query, sql
+from skeinworks.plans.catalogue import query
 from skeinworks.plans.fixtures import frame
 
 _RUNS = "regexp_extract_all(lower(text), '[a-z]+|[0-9]+(?:\\.[0-9]+)?')"
@@ -181,8 +181,7 @@ def highlight(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frame(spark, sf_dir, "part").select(F.col("p_partkey").alias("node"), retrieval.highlighted(F.col("p_name"), ["red", "ring", "widget"]).alias("marked"))
 
 
-sql("normal_terms", "SELECT doc_id, lower(regexp_replace(text, '[^A-Za-z0-9]+', '')) AS term FROM documents WHERE lang = 'en' AND n_chars < 2000",
-    "SELECT doc_id, lower(regexp_replace(text, '[^A-Za-z0-9]+', '', 'g')) AS term FROM documents WHERE lang = 'en' AND n_chars < 2000")
+
 
 
 @query()
