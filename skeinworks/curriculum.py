@@ -226,7 +226,7 @@ class Curriculum:
         each = F.explode(F.array(*(F.struct(F.lit(k).alias("field"), retrieval.tokens(v).alias("tokens")) for k, v in texts.items()))).alias("f")
         return p.select(F.col("kp_id").alias("doc_id"), each).select("doc_id", "f.field", "f.tokens")
 
-    def search(self, query: str, k: int = 10, *, grade: int | None = None, domain: str | None = None, verifiable_type: str | None = None, assessable_only: bool = False, filler: tuple[str, ...] = ()) -> DataFrame:
+    def search(self, query: str, k: int = 10, *, grade: int | None = None, domain: str | None = None, verifiable_type: str | None = None, assessable_only: bool = False, filler: tuple[str, ...] = retrieval.FILLER) -> DataFrame:
         q = retrieval.parse_query(query, filler)
         if self._index is None:
             self._index = retrieval.bm25f_index(self._fields())

@@ -6,18 +6,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skeinworks.functions.scalars import clamp_confidence, last_segment
+from skeinworks.operators.sequence import dense_position
 
 
 def codes(points: DataFrame, order: list[str], prefix: str = "K") -> DataFrame:
-    """``node, code``: the place in the order as a prefixed number of three digits at least. The catalogue is one page a reader is shown, so it is small."""
-    n = F.row_number().over(Window.orderBy(*order)) - 1
-    return points.select("node", F.format_string(f"{prefix}%03d", n).alias("code"))
+    """``node, code``: the place in the order as a prefixed number of three digits at least. Ranges are numbered apart."""
+    return dense_position(points.select("node", *(c for c in order if c != "node")), order, "_place").select("node", F.format_string(f"{prefix}%03d", "_place").alias("code"))
 
 
 def decoded(lists: DataFrame, catalogue: DataFrame, key: str, listed: str) -> DataFrame:
     """``key, node`` of lists of codes; unknown codes are dropped, repeated ones count once."""
     each = lists.select(key, F.explode(listed).alias("code"))
-    return each.join(F.broadcast(catalogue), "code").select(key, "node").distinct()
+    return each.join(catalogue, "code").select(key, "node").distinct()
 
 
 def judgment_records(raw: DataFrame, task: str) -> DataFrame:

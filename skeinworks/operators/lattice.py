@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from skeinworks.functions.numbers import FRACTION_IMPLIES, OPERATION_TAGS, operation_closure
 from skeinworks.operators.sequence import running_max
+from skeinworks.session import materialise
 
 KEY = ["dimension", "op", "token"]
 
@@ -35,14 +36,18 @@ def additions(facts: DataFrame) -> DataFrame:
 
 
 def rebuilt(deltas: DataFrame) -> DataFrame:
-    """Decodes deltas (``position, dimension, op, added``): at each position of a dimension, all tokens so far."""
+    """Decodes deltas (``position, dimension, op, added``): at each position of a dimension, all tokens so far.
+
+    A token is added once, so a dimension has as many deltas as tokens at most: its vocabulary bounds
+    the window, not the number of lessons.
+    """
     w = Window.partitionBy("dimension", "op").orderBy("position").rowsBetween(Window.unboundedPreceding, 0)
     tokens = F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.split("added", ",")).over(w))))
     return deltas.select("position", "dimension", "op", F.array_join(tokens, ",").alias("allowed"))
 
 
 def boundary_at(facts: DataFrame, positions: DataFrame) -> DataFrame:
-    """Tokens allowed at each given position: ``position, dimension, op, token``."""
+    """Tokens allowed at each given position: ``position, dimension, op, token``. Each token has one row to be compared with."""
     at = positions.select(F.col("position").alias("at")).distinct()
     return introduced(facts).join(at, F.col("position") <= F.col("at")).select(F.col("at").alias("position"), *KEY)
 
@@ -50,15 +55,20 @@ def boundary_at(facts: DataFrame, positions: DataFrame) -> DataFrame:
 def steps(facts: DataFrame) -> DataFrame:
     """Where the bound of each maximum dimension rises: ``dimension, num, position``."""
     at = facts.where("num IS NOT NULL").groupBy("dimension", "position").agg(F.max("num").alias("num"))
-    w = Window.partitionBy("dimension").orderBy("position").rowsBetween(Window.unboundedPreceding, -1)
-    return at.withColumn("_before", F.max("num").over(w)).where("_before IS NULL OR num > _before").drop("_before")
+    return running_max(at, "position", "num", ["dimension"], "_before", before=True).where("_before IS NULL OR num > _before").drop("_before")
 
 
 def first_reaching(needs: DataFrame, facts: DataFrame) -> DataFrame:
-    """``dimension, need`` with the first position whose bound is at least ``need`` (null if none is)."""
-    s = steps(facts).select(F.col("dimension").alias("_d"), "num", "position")
-    met = needs.select("dimension", "need").distinct().join(s, (F.col("dimension") == F.col("_d")) & (F.col("num") >= F.col("need")), "left")
-    return met.groupBy("dimension", "need").agg(F.min("position").alias("position"))
+    """``dimension, need`` with the first position whose bound is at least ``need`` (null if none is).
+
+    From the largest number down, the least position so far: needs and facts are one sequence, and no
+    need meets more than one row.
+    """
+    granted = facts.where("num IS NOT NULL").groupBy("dimension", "num").agg(F.min("position").alias("position"))
+    asked = needs.where("need IS NOT NULL").select("dimension", F.col("need").cast("long").alias("num"), F.lit(None).cast("long").alias("position")).distinct()
+    rows = granted.select("dimension", F.col("num").cast("long").alias("num"), F.col("position").cast("long").alias("position"), F.lit(0).alias("_asked")).unionByName(asked.withColumn("_asked", F.lit(1)))
+    folded = running_max(rows.withColumn("_down", -F.col("num")).withColumn("_late", -F.col("position")), ["_down", "_asked"], "_late", ["dimension"], "_first")
+    return folded.where("_asked = 1").select("dimension", F.col("num").alias("need"), (-F.col("_first")).alias("position"))
 
 
 def bound_along(facts: DataFrame, dimension: str) -> DataFrame:
@@ -103,47 +113,42 @@ def check_items(needs: DataFrame, facts: DataFrame, lessons: DataFrame, known_te
     ``item_id, lesson_id, verdict, n_violations, n_unknown``: ``in``; ``borderline`` if all violations
     are introduced later in the lesson's own unit; else ``out``.
     """
-    facts = closed_fractions(facts)
+    facts = materialise(closed_fractions(facts), "facts")
     at = needs.join(lessons.select("lesson_id", F.col("position").alias("here"), "unit_id"), "lesson_id")
     if ignored is not None:
-        at = at.join(F.broadcast(ignored.select("dimension", "token")), ["dimension", "token"], "left_anti")
+        at = at.join(ignored.select("dimension", "token").distinct(), ["dimension", "token"], "left_anti")
+    at = materialise(at.select("item_id", "lesson_id", "here", "unit_id", *KEY, "need"), "needs")
     base = ["item_id", "lesson_id", "here", "unit_id"]
     first = introduced(facts).select(*KEY, F.col("position").alias("raw"))
-    allowed = allowed_from(facts).select(*KEY, F.col("position").alias("allowed"))
-    null_key = lambda t: [at["dimension"] == t["dimension"], at["op"].eqNullSafe(t["op"]), at["token"] == t["token"]]
+    # One row for each token: when it was named, and when it is allowed, also through others.
+    known = materialise(first.unionByName(allowed_from(facts).select(*KEY, F.col("position").alias("allowed")), allowMissingColumns=True).groupBy(*KEY).agg(F.min("raw").alias("raw"), F.min("allowed").alias("allowed")), "tokens")
     # Maxima.
-    reach = first_reaching(needs.where("need IS NOT NULL"), facts).withColumnRenamed("position", "allowed")
-    numbers = at.where("need > 0").groupBy(*base, "dimension").agg(F.max("need").alias("need")).join(reach, ["dimension", "need"], "left")
-    numbers = numbers.where("allowed IS NULL OR allowed > here").select(*base, "dimension", F.lit(None).cast("string").alias("op"), F.col("need").cast("string").alias("value"), F.col("allowed").alias("introduced"))
-    # Tokens.
-    tokens = at.where("token IS NOT NULL AND token <> '分数'").join(allowed, null_key(allowed), "left").select(*base, at["dimension"], at["op"], at["token"], "allowed")
-    tokens = tokens.join(first, [tokens["dimension"] == first["dimension"], tokens["op"].eqNullSafe(first["op"]), tokens["token"] == first["token"]], "left").select(*base, tokens["dimension"], tokens["op"], tokens["token"], "allowed", "raw")
-    closed = F.col("dimension").isin("fraction_types", "operation_forms", "units_of_measure")
+    reach = first_reaching(at.select("dimension", "need"), facts).withColumnRenamed("position", "allowed")
+    numbers = at.where("need > 0").groupBy(*base, "dimension").agg(F.max("need").alias("need")).join(reach, ["dimension", "need"], "left").where("allowed IS NULL OR allowed > here")
+    numbers = numbers.select(*base, "dimension", F.lit(None).cast("string").alias("op"), F.col("need").cast("string").alias("value"), F.col("allowed").alias("introduced"), F.lit(False).alias("doubt"))
+    # Tokens: one not allowed yet is a violation if it is known at all or of a closed vocabulary, else a doubt.
+    said = at.where("token IS NOT NULL AND token <> '分数'")
+    tokens = said.join(known, [said["dimension"] == known["dimension"], said["op"].eqNullSafe(known["op"]), said["token"] == known["token"]], "left").select(*base, *(said[c] for c in KEY), "raw", "allowed")
+    closed = F.col("dimension").isin("fraction_types", "operation_forms", "units_of_measure") | F.col("raw").isNotNull() | F.col("allowed").isNotNull()
     if known_terms is not None:
-        marked = known_terms.select(F.col("dimension").alias("_d"), F.col("token").alias("_t")).distinct().withColumn("_known", F.lit(True))
-        tokens = tokens.join(F.broadcast(marked), (F.col("dimension") == F.col("_d")) & (F.col("token") == F.col("_t")), "left")
-        known = closed | F.coalesce("_known", F.lit(False))
-    else:
-        known = closed
-    unknown = tokens.where(F.col("raw").isNull() & F.col("allowed").isNull() & ~known)
-    missing = tokens.where((F.col("allowed").isNull() | (F.col("allowed") > F.col("here"))) & (F.col("raw").isNotNull() | F.col("allowed").isNotNull() | known))
-    sets = missing.where("dimension <> 'operation_forms'").select(*base, "dimension", "op", F.col("token").alias("value"), F.col("raw").alias("introduced"))
-    forms = missing.where("dimension = 'operation_forms'").groupBy(*base, "dimension", "op").agg(F.array_join(F.array_sort(F.collect_set("token")), "、").alias("value"), F.max("raw").alias("introduced"))
-    forms = forms.select(*base, "dimension", "op", "value", "introduced")
-    # Any fraction, and carrying or borrowing, are allowed by the earliest of several tokens.
+        marked = known_terms.select("dimension", "token", F.lit(True).alias("_marked")).distinct()
+        tokens = tokens.join(marked, ["dimension", "token"], "left")
+        closed = closed | F.coalesce("_marked", F.lit(False))
+    missing = tokens.where("allowed IS NULL OR allowed > here").withColumn("doubt", ~closed)
+    sets = missing.where("dimension <> 'operation_forms'").select(*base, "dimension", "op", F.col("token").alias("value"), F.col("raw").alias("introduced"), "doubt")
+    forms = missing.where("dimension = 'operation_forms'").groupBy(*base, "dimension", "op").agg(F.array_join(F.array_sort(F.collect_set("token")), "、").alias("value"), F.max("raw").alias("introduced")).withColumn("doubt", F.lit(False))
+    # Any fraction, and carrying or borrowing, are allowed by the earliest of several tokens (one row).
     any_of = first.agg(F.min(F.when(F.col("dimension") == "fraction_types", F.col("raw"))).alias("fraction"), F.min(F.when((F.col("dimension") == "operation_forms") & F.col("token").isin("进位", "退位"), F.col("raw"))).alias("carry"))
     special = at.where("token = '分数' OR dimension = 'carry_or_borrow'").crossJoin(F.broadcast(any_of))
     special = special.withColumn("introduced", F.when(F.col("token") == "分数", F.col("fraction")).otherwise(F.col("carry"))).where("introduced IS NULL OR introduced > here")
-    special = special.select(*base, "dimension", F.lit(None).cast("string").alias("op"), F.coalesce("token", F.lit("进位/退位")).alias("value"), "introduced")
+    special = special.select(*base, "dimension", F.lit(None).cast("string").alias("op"), F.coalesce("token", F.lit("进位/退位")).alias("value"), "introduced", F.lit(False).alias("doubt"))
     found = numbers.unionByName(sets).unionByName(forms).unionByName(special)
     units = lessons.select(F.col("position").alias("introduced"), F.col("unit_id").alias("intro_unit"))
-    soft = found.join(units, "introduced", "left").withColumn("soft", F.coalesce((F.col("introduced") > F.col("here")) & (F.col("intro_unit") == F.col("unit_id")), F.lit(False)))
-    judged = soft.groupBy("item_id", "lesson_id").agg(F.count(F.lit(1)).alias("n"), F.every("soft").alias("all_soft"))
-    doubts = unknown.groupBy("item_id", "lesson_id").agg(F.count(F.lit(1)).alias("u"))
-    items = needs.select("item_id", "lesson_id").distinct().join(lessons.select("lesson_id"), "lesson_id", "left_semi")
-    reports = items.join(judged, ["item_id", "lesson_id"], "left").join(doubts, ["item_id", "lesson_id"], "left")
-    verdict = F.when(F.col("n").isNull(), "in").when(F.col("all_soft"), "borderline").otherwise("out")
-    return found.drop("here", "unit_id"), reports.select("item_id", "lesson_id", verdict.alias("verdict"), F.coalesce("n", F.lit(0)).cast("long").alias("n_violations"), F.coalesce("u", F.lit(0)).cast("long").alias("n_unknown"))
+    found = materialise(found.join(units, "introduced", "left").withColumn("soft", F.coalesce((F.col("introduced") > F.col("here")) & (F.col("intro_unit") == F.col("unit_id")), F.lit(False))), "found")
+    items = needs.select("item_id", "lesson_id").join(lessons.select("lesson_id"), "lesson_id", "left_semi").select("item_id", "lesson_id", F.lit(None).cast("boolean").alias("doubt"), F.lit(None).cast("boolean").alias("soft"))
+    judged = items.unionByName(found.select("item_id", "lesson_id", "doubt", "soft")).groupBy("item_id", "lesson_id").agg(F.count_if(~F.col("doubt")).alias("n_violations"), F.count_if("doubt").alias("n_unknown"), F.every(F.col("doubt") | F.col("soft")).alias("soft"))
+    verdict = F.when(F.col("n_violations") == 0, "in").when(F.col("soft"), "borderline").otherwise("out")
+    return found.where("NOT doubt").select("item_id", "lesson_id", "dimension", "op", "value", "introduced"), judged.select("item_id", "lesson_id", verdict.alias("verdict"), "n_violations", "n_unknown")
 
 
 def merged_grants(grants: DataFrame, by: str) -> DataFrame:
@@ -173,8 +178,7 @@ def coverage_pass(items: DataFrame, grants: DataFrame, repair: bool = False) ->
     rows = grants.select("position", "dimension", "num", F.lit(None).cast("string").alias("item_id"), F.lit(0).alias("kind")).unionByName(
         items.select("position", "dimension", F.col("need").alias("num"), "item_id", F.lit(1).alias("kind"))
     )
-    order = Window.partitionBy("dimension").orderBy("position", "kind", "item_id")
     counted = F.col("num") if repair else F.when(F.col("kind") == 0, F.col("num"))
-    before = F.max(counted).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    out = rows.withColumn("ok", F.coalesce(before, F.lit(0)) >= F.col("num")).where("kind = 1")
+    folded = running_max(rows.withColumn("_counted", counted), ["position", "kind", "item_id"], "_counted", ["dimension"], "_before", before=True)
+    out = folded.where("kind = 1").withColumn("ok", F.coalesce("_before", F.lit(0)) >= F.col("num"))
     return out.select("item_id", "dimension", "ok", (~F.col("ok") & F.lit(repair)).alias("repaired"))

@@ -90,8 +90,10 @@ def tfidf(docs: DataFrame, sublinear: bool = True) -> DataFrame:
 def similar_pairs(weights: DataFrame, block: DataFrame | None = None, most_docs: int | None = None) -> DataFrame:
     """Cosine of documents that share a token: ``a, b, sim`` with a < b.
 
-    ``block``: ``doc_id, block``; only documents of one block meet. ``most_docs`` leaves out tokens of
-    more documents as keys of candidates: pairs that share rarer ones keep their whole cosine.
+    ``block``: ``doc_id, block``; only documents of one block meet. Without it all pairs that share a
+    token are the result, which grows with the square of the documents. ``most_docs`` is approximate:
+    tokens of more documents are no keys of candidates, so pairs that share only such tokens are not
+    found; those that share a rarer one have their whole cosine.
     """
     w = weights if block is None else weights.join(block, "doc_id")
     if block is None:
@@ -122,12 +124,12 @@ def normalised(v: Column) -> Column:
 
 def fused(scores: DataFrame, dense_weight: float = DENSE_WEIGHT) -> DataFrame:
     """Adds ``fused`` to ``query_id, lexical, dense``: each scaled by its largest, the dense one above its mean first."""
-    w = Window.partitionBy("query_id")
-    above = F.greatest(F.col("dense") - F.avg("dense").over(w), F.lit(0.0))
-    out = scores.withColumn("_d", above).withColumn("_dm", F.max("_d").over(w)).withColumn("_lm", F.max("lexical").over(w))
+    mean = scores.groupBy("query_id").agg(F.avg("dense").alias("_mean"), F.max("dense").alias("_top"), F.max("lexical").alias("_lm"))
+    stats = mean.select("query_id", "_mean", F.greatest(F.col("_top") - F.col("_mean"), F.lit(0.0)).alias("_dm"), "_lm")
+    out = scores.join(stats, "query_id").withColumn("_d", F.greatest(F.col("dense") - F.col("_mean"), F.lit(0.0)))
     d = F.when(F.col("_dm") > 0, F.col("_d") / F.col("_dm")).otherwise(F.col("_d"))
     lex = F.when(F.col("_lm") > 0, F.col("lexical") / F.col("_lm")).otherwise(F.col("lexical"))
-    return out.withColumn("fused", (1 - dense_weight) * lex + dense_weight * d).drop("_d", "_dm", "_lm")
+    return out.withColumn("fused", (1 - dense_weight) * lex + dense_weight * d).drop("_d", "_dm", "_lm", "_mean")
 
 
 def grade_prior(first: Column, last: Column, grade: Column, same_semester: Column, mentioned_first: Column) -> Column:
@@ -145,16 +147,20 @@ def scope_score(grade: Column, semester: Column, wanted_grade: Column, wanted_se
 
 def ranked(scores: DataFrame, k: int, group: list[str] | None = None, score: str = "score", key: str = "doc_id") -> DataFrame:
     """The k best positive scores, ties by key. Scores are compared to nine decimals, so the order of summation does not matter."""
-    w = Window.partitionBy(*(group or [])).orderBy(F.desc(F.round(score, 9)), key)
-    return scores.where(F.col(score) > 0).withColumn("place", F.row_number().over(w)).where(F.col("place") <= k)
+    return _placed(scores.where(F.col(score) > 0), k, group, [F.desc(F.round(score, 9)), F.col(key)])
+
+
+def _placed(rows: DataFrame, k: int, group: list[str] | None, order: list[Column]) -> DataFrame:
+    """The first k rows with their place. Without a group each task gives its own k first, and k rows are numbered in the end."""
+    rows = rows if group else rows.orderBy(*order).limit(k)
+    return rows.withColumn("place", F.row_number().over(Window.partitionBy(*(group or [])).orderBy(*order))).where(F.col("place") <= k)
 
 
 def diversified(scores: DataFrame, k: int, thread: str = "thread", group: list[str] | None = None, score: str = "score", key: str = "doc_id", penalty: float = THREAD_PENALTY) -> DataFrame:
     """Greedy choice in which a thread's n-th hit counts penalty^n: since that only falls inside a thread, one sort gives the same order."""
     inside = F.row_number().over(Window.partitionBy(*(group or []), thread).orderBy(F.desc(score), key)) - 1
     adjusted = scores.where(F.col(score) > 0).withColumn("adjusted", F.col(score) * F.pow(F.lit(penalty), inside))
-    w = Window.partitionBy(*(group or [])).orderBy(F.desc(F.round("adjusted", 9)), key)
-    return adjusted.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k)
+    return _placed(adjusted, k, group, [F.desc(F.round("adjusted", 9)), F.col(key)])
 
 
 def highlighted(text: Column, terms: list[str]) -> Column:
@@ -176,6 +182,17 @@ _MIXED_IN = re.compile(r"也串|串一遍|带进来|带上|穿插|再串|衔接|
 _WEAK_AIM = re.compile(r"复习一下")
 
 
+#: Phrases of requests that name no content.
+FILLER = (
+    "我想要", "我想", "想要", "能不能", "可以", "出几道", "出一套", "出一道", "出一组", "出几", "出点", "出题", "几道", "一套", "一组", "一道", "一份",
+    "最好", "那种", "这种", "之类的", "之类", "类似的", "新题", "的题目", "的题", "题目", "习题", "有点难度", "拔高", "基础", "难度", "由浅入深",
+    "梯度递增", "从基础到", "贴近", "孩子", "日常", "生活", "情境", "场景", "换几种", "不同的", "每道题", "别老是", "学生", "老师", "需要", "要有",
+    "要能", "都要", "覆盖", "来几道", "来一道", "考一考", "放在一起", "结合起来", "结合", "综合起来", "综合题",
+    "总复习阶段", "总复习", "阶段", "期末", "期中", "考试范围", "综合卷", "综合试卷", "整张卷子", "一张卷子", "所有考点", "全部考点", "这学期", "本学期",
+    "串起来", "揉在", "复习一下", "复习", "把之前", "把前面", "把以前", "学的", "题把", "时把", "也", "回顾", "串一遍", "带进来", "穿插进来", "穿插", "带上", "以前学的", "之前学的", "前面学的", "学过的", "课前热身", "热身", "衔接", "各出一套", "各来几道", "各出", "小升初衔接",
+)
+
+
 @dataclass
 class ParsedQuery:
     raw: str
@@ -191,7 +208,7 @@ class ParsedQuery:
         return any(re.search(r"[一-鿿]{2}|[A-Za-z0-9]", c) for c in self.clauses)
 
 
-def parse_query(raw: str, filler: tuple[str, ...] = ()) -> ParsedQuery:
+def parse_query(raw: str, filler: tuple[str, ...] = FILLER) -> ParsedQuery:
     """Grades, semester, domains and scope of a request; the rest as clauses without ``filler``, weighted by their role in reviewing."""
     q = ParsedQuery(raw, scope=bool(_SCOPE.search(raw)))
     q.grades = list(dict.fromkeys(_GRADES[g] for g in _GRADE.findall(raw)))

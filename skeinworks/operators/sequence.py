@@ -40,15 +40,21 @@ def islands(df: DataFrame, group: list[str], order: list[str], value: str) -> Da
     return runs.groupBy(*group, "island", value).agg(F.min(order[0]).alias("first_at"), F.max(order[0]).alias("last_at"), F.count(F.lit(1)).alias("length"))
 
 
-def running_max(df: DataFrame, order: str, value: str, group: list[str] | None = None, name: str = "bound") -> DataFrame:
-    """The largest value so far. Without a group, ranges are folded apart and joined by the maxima of those before (one row a range)."""
-    if group:
-        return df.withColumn(name, F.max(value).over(Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)))
+def running_max(df: DataFrame, order: str | list[str], value: str, group: list[str] | None = None, name: str = "bound", before: bool = False) -> DataFrame:
+    """The largest value so far (with ``before``: without the row itself), in each group if there are any.
+
+    Rows are dealt out by range of group and order, so a group may lie in many tasks. Each range is
+    folded apart, and the folds of a group's earlier ranges, at most one row for each range and group,
+    are joined.
+    """
+    order, group = [order] if isinstance(order, str) else order, group or []
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = materialise(df.repartitionByRange(n, order).withColumn("_range", F.spark_partition_id()), "ranged")
-    before = ranged.groupBy("_range").agg(F.max(value).alias("_m")).select("_range", F.max("_m").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)).alias("_before"))
-    inside = F.max(value).over(Window.partitionBy("_range").orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
-    return ranged.withColumn("_own", inside).join(F.broadcast(before), "_range").withColumn(name, F.greatest("_own", "_before")).drop("_range", "_own", "_before")
+    key = F.to_json(F.struct(*group)) if group else F.lit("")
+    ranged = materialise(df.repartitionByRange(n, *group, *order).withColumn("_range", F.spark_partition_id()).withColumn("_group", key), "ranged")
+    folds = ranged.groupBy("_range", "_group").agg(F.max(value).alias("_m"))
+    earlier = folds.select("_range", "_group", F.max("_m").over(Window.partitionBy("_group").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)).alias("_earlier"))
+    inside = F.max(value).over(Window.partitionBy("_range", "_group").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1 if before else 0))
+    return ranged.withColumn("_own", inside).join(earlier, ["_range", "_group"]).withColumn(name, F.greatest("_own", "_earlier")).drop("_range", "_group", "_own", "_earlier")
 
 
 def quantile_level(df: DataFrame, group: list[str], score: str, levels: int = 5, name: str = "level") -> DataFrame:

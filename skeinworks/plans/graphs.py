@@ -130,22 +130,11 @@ def degree_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""WITH RECURSIVE e AS (SELECT DISTINCT dst AS src, src AS dst FROM edge), walk(start, node, depth) AS (SELECT DISTINCT src, src, 0 FROM e UNION SELECT w.start, e.dst, w.depth + 1 FROM walk w JOIN e ON w.node = e.src),
-    d AS (SELECT w.node, CAST(min(w.depth) AS INTEGER) AS depth FROM walk w JOIN point t ON t.node = w.start WHERE t.size = 7 AND w.start <> w.node GROUP BY w.node)
+    d AS (SELECT w.node, CAST(min(w.depth) AS INTEGER) AS depth FROM walk w WHERE w.start <> w.node GROUP BY w.node)
     SELECT d.node, d.depth, p.position FROM d JOIN point p ON p.node = d.node WHERE p.position < CAST(900 AS BIGINT) * 1000000000""")
 def review_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = frame(spark, sf_dir, "point")
-    return _review(_edges(spark, sf_dir), p, p.where("size = 7"))
-
-
-@query()
-def review_candidates_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """From all points."""
-    p = frame(spark, sf_dir, "point")
-    return _review(_edges(spark, sf_dir), p, p)
-
-
-def _review(e: DataFrame, p: DataFrame, starts: DataFrame) -> DataFrame:
-    near = graph.reach(e, starts.select(F.col("node").alias("start")), backwards=True).groupBy("node").agg(F.min("depth").alias("depth"))
+    near = graph.reach(_edges(spark, sf_dir), p.select(F.col("node").alias("start")), backwards=True).groupBy("node").agg(F.min("depth").alias("depth"))
     return near.join(p.select("node", "position"), "node").where("position < CAST(900 AS BIGINT) * 1000000000")
 
 

@@ -84,22 +84,12 @@ def unlearned_next(spark: SparkSession, sf_dir: str) -> DataFrame:
 _TIME = """
     SELECT a.node AS a, b.node AS b, 'time_same_thread' AS route FROM point a JOIN point b ON a.domain = b.domain AND a.thread = b.thread AND a.position < b.position
     UNION ALL
-    SELECT a.node, b.node, 'time_same_topic' FROM point a JOIN point b ON a.topic = b.topic AND a.position < b.position AND a.size = b.size WHERE NOT (a.domain = b.domain AND a.thread = b.thread)"""
-
-
-def _points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Topics are taken with the size, so that a topic holds few points at any scale."""
-    return frame(spark, sf_dir, "point").withColumn("topic", F.concat_ws("|", "topic", "size"))
+    SELECT a.node, b.node, 'time_same_topic' FROM point a JOIN point b ON a.topic = b.topic AND a.position < b.position WHERE NOT (a.domain = b.domain AND a.thread = b.thread)"""
 
 
 @query(f"SELECT * FROM ({_TIME})")
 def theta_self_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return candidates.time_pairs(_points(spark, sf_dir))
-
-
-@query()
-def theta_self_join_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Topics are whole, so the pairs grow with the square of a topic."""
+    """All pairs of a topic are the result, so it grows with the square of a topic."""
     return candidates.time_pairs(frame(spark, sf_dir, "point"))
 
 
@@ -124,18 +114,9 @@ def band_self_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     WITH every AS (SELECT a, b, route, 0 AS n FROM ({_TIME}) UNION ALL SELECT a, b, 'cooccurrence', 1 FROM ({_COOC}) WHERE "count" >= 2 UNION ALL SELECT src, dst, 'extends', 2 FROM edge)
     SELECT a, b, string_agg(route, ',' ORDER BY n, route) AS routes FROM (SELECT DISTINCT a, b, route, n FROM every WHERE a <> b) GROUP BY a, b""")
 def route_union_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _united(spark, sf_dir, _points(spark, sf_dir))
-
-
-@query()
-def route_union_candidates_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _united(spark, sf_dir, frame(spark, sf_dir, "point"))
-
-
-def _united(spark: SparkSession, sf_dir: str, points: DataFrame) -> DataFrame:
     together = candidates.cooccurrence(_items(spark, sf_dir)).where("count >= 2").select("a", "b", F.lit("cooccurrence").alias("route"))
     extends = frame(spark, sf_dir, "edge").select(F.col("src").alias("a"), F.col("dst").alias("b"), F.lit("extends").alias("route"))
-    return candidates.united([candidates.time_pairs(points), together, extends])
+    return candidates.united([candidates.time_pairs(frame(spark, sf_dir, "point")), together, extends])
 
 
 _EVIDENCE = f"""
@@ -181,19 +162,10 @@ def cannot_link_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return candidates.cannot_link(lists, "lesson_id", "members")
 
 
-@query("SELECT a.node AS a, b.node AS b FROM point a JOIN point b ON a.thread = b.thread AND a.domain = b.domain AND a.position < b.position WHERE NOT EXISTS (SELECT 1 FROM edge e WHERE e.src = a.node AND e.dst = b.node)")
+@query("SELECT a.node AS a, b.node AS b FROM point a JOIN point b ON a.domain = b.domain AND a.position < b.position WHERE NOT EXISTS (SELECT 1 FROM edge e WHERE e.src = a.node AND e.dst = b.node)")
 def non_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _not_linked(spark, sf_dir, frame(spark, sf_dir, "point").withColumn("domain", F.concat_ws("|", "thread", "domain")))
-
-
-@query()
-def non_candidates_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Domains are whole, so the pairs grow with the square of a domain."""
-    return _not_linked(spark, sf_dir, frame(spark, sf_dir, "point"))
-
-
-def _not_linked(spark: SparkSession, sf_dir: str, points: DataFrame) -> DataFrame:
-    return candidates.non_candidates(points, frame(spark, sf_dir, "edge").select(F.col("src").alias("a"), F.col("dst").alias("b")))
+    """All earlier-later pairs of a domain are looked at, so the result grows with the square of a domain."""
+    return candidates.non_candidates(frame(spark, sf_dir, "point"), frame(spark, sf_dir, "edge").select(F.col("src").alias("a"), F.col("dst").alias("b")))
 
 
 @query("SELECT p_partkey AS kp_id, CAST(coalesce(n, 0) AS BIGINT) AS uses, TRUE AS expected FROM part LEFT JOIN (SELECT kp_id, count(*) AS n FROM holds GROUP BY kp_id) u ON u.kp_id = p_partkey WHERE coalesce(n, 0) <> 1")

@@ -176,16 +176,9 @@ def rejection_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curation.overlaid(customers, reviews, customers.where("decision_id % 5 = 0"))
 
 
-@query("SELECT p.node AS node, concat('K', lpad(CAST(row_number() OVER (ORDER BY position, node) - 1 AS VARCHAR), 3, '0')) AS code FROM point p WHERE size = 7")
+@query("SELECT node, concat('K', repeat('0', CAST(greatest(0, 3 - length(CAST(n AS VARCHAR))) AS BIGINT)), CAST(n AS VARCHAR)) AS code FROM (SELECT node, row_number() OVER (ORDER BY position, node) - 1 AS n FROM point)")
 def screening_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return curation.codes(frame(spark, sf_dir, "point").where("size = 7"), ["position", "node"])
-
-
-@query()
-def screening_codes_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of all points, which are numbered by range instead of in one task."""
-    placed = sequence.dense_position(frame(spark, sf_dir, "point").select("node", "position"), ["position", "node"], "n")
-    return placed.select("node", F.format_string("K%03d", "n").alias("code"))
+    return curation.codes(frame(spark, sf_dir, "point"), ["position", "node"])
 
 
 @query("""WITH g AS (SELECT lesson_id, string_agg(CAST(kp_id AS VARCHAR), ',' ORDER BY CAST(kp_id AS VARCHAR)) AS k FROM holds GROUP BY lesson_id), c AS (SELECT k, min(lesson_id) AS card_id FROM g WHERE lesson_id % 2 = 0 GROUP BY k)

@@ -15,14 +15,8 @@ from skeinworks.plans.fixtures import frame
 _RUNS = "regexp_extract_all(lower(text), '[a-z]+|[0-9]+(?:\\.[0-9]+)?')"
 
 
-@query(f"SELECT token, count(*) AS n, count(DISTINCT doc_id) AS df FROM (SELECT doc_id, unnest({_RUNS}) AS token FROM documents WHERE lang = 'en') GROUP BY token")
+@query(f"SELECT token, count(*) AS n, count(DISTINCT doc_id) AS df FROM (SELECT doc_id, unnest({_RUNS}) AS token FROM documents) GROUP BY token")
 def word_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _counted(frame(spark, sf_dir, "documents").where("lang = 'en'"), retrieval.tokens(F.col("text")))
-
-
-@query()
-def word_tokens_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of all documents, whatever their language."""
     return _counted(frame(spark, sf_dir, "documents"), retrieval.tokens(F.col("text")))
 
 
@@ -31,24 +25,17 @@ def _counted(docs: DataFrame, tokens: Column) -> DataFrame:
     return each.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("doc_id").alias("df"))
 
 
-@query("SELECT g AS token, count(*) AS n, count(DISTINCT doc_id) AS df FROM (SELECT doc_id, unnest(list_transform(range(1, length(t)), lambda i: substr(t, i, 2))) AS g FROM (SELECT doc_id, regexp_replace(text, '\\s+', '', 'g') AS t FROM documents WHERE lang = 'es')) GROUP BY g")
+@query("SELECT g AS token, count(*) AS n, count(DISTINCT doc_id) AS df FROM (SELECT doc_id, unnest(list_transform(range(1, len(c)), lambda i: c[i] || c[i + 1])) AS g FROM (SELECT doc_id, string_split(regexp_replace(text, '\\s+', '', 'g'), '') AS c FROM documents)) GROUP BY g")
 def bigram_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _counted(frame(spark, sf_dir, "documents").where("lang = 'es'"), retrieval.character_ngrams(F.col("text"), 2))
-
-
-@query()
-def bigram_tokens_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of all documents, whatever their language."""
     return _counted(frame(spark, sf_dir, "documents"), retrieval.character_ngrams(F.col("text"), 2))
 
 
-
-_GRAMS = "SELECT DISTINCT {key} AS {key}, substr(t, i, 5) AS g FROM (SELECT {key}, regexp_replace(text, '\\s+', '', 'g') AS t FROM {table}), range(1, 400) r(i) WHERE i <= length(t) - 4"
+_GRAMS = "SELECT DISTINCT {key} AS {key}, substr(t, i, 5) AS g FROM (SELECT {key}, regexp_replace(text, '\\s+', '', 'g') AS t FROM {table}), LATERAL (SELECT unnest(range(1, length(t) - 3)) AS i) r"
 
 
 @query("WITH b AS (" + _GRAMS.format(key="item_id", table="benchmark") + "), n AS (SELECT item_id, count(*) AS n FROM b GROUP BY item_id), d AS (SELECT item_id AS other, g FROM b), o AS (SELECT b.item_id, d.other, count(*) AS c FROM b JOIN d ON b.g = d.g WHERE b.item_id < d.other GROUP BY ALL) SELECT o.item_id, o.other, round(CAST(c AS DOUBLE) / n, 6) AS overlap FROM o JOIN n USING (item_id)")
 def ngram_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Items are paired through shared n-grams; the expression then compares each pair, whole. The SQL reads the first 403 characters without white space, which no given item exceeds."""
+    """Items are paired through shared n-grams; the expression then compares each pair, whole."""
     b = frame(spark, sf_dir, "benchmark").withColumn("text", F.regexp_replace("text", r"\s+", ""))
     grams = b.select("item_id", F.explode(F.array_distinct(retrieval.character_ngrams(F.col("text"), 5))).alias("g"))
     pairs = grams.join(grams.withColumnRenamed("item_id", "other"), "g").where("item_id < other").select("item_id", "other").distinct()
@@ -56,26 +43,22 @@ def ngram_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("item_id", "other", F.round(retrieval.ngram_overlap(F.col("text"), F.col("t2")), 6).alias("overlap"))
 
 
-_TF = f"""WITH t AS (SELECT item_id, token, count(*) AS tf FROM (SELECT item_id, unnest({_RUNS}) AS token FROM benchmark) GROUP BY ALL), n AS (SELECT count(*) AS n FROM benchmark), df AS (SELECT token, count(*) AS df FROM t GROUP BY token),
+_TF = f"""WITH t AS (SELECT item_id, token, count(*) AS tf FROM (SELECT doc_id AS item_id, unnest({_RUNS}) AS token FROM documents) GROUP BY ALL), n AS (SELECT count(*) AS n FROM documents), df AS (SELECT token, count(*) AS df FROM t GROUP BY token),
     w AS (SELECT item_id, token, (1 + ln(tf)) * (ln((1.0 + n) / (1 + df)) + 1) AS w FROM t JOIN df USING (token), n), u AS (SELECT item_id, token, w / sqrt(sum(w * w) OVER (PARTITION BY item_id)) AS w FROM w)"""
 
 
-def _weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _weighted(frame(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), "text"))
-
-
 def _weighted(docs: DataFrame) -> DataFrame:
     return retrieval.tfidf(docs.select("doc_id", retrieval.tokens(F.regexp_replace(F.lower("text"), "[^a-z0-9.]+", " ")).alias("tokens")))
 
 
 @query(_TF + " SELECT item_id AS doc_id, token, round(w, 6) AS w FROM u")
 def tfidf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _weights(spark, sf_dir).select("doc_id", "token", F.round("w", 6).alias("w"))
+    return _weighted(frame(spark, sf_dir, "documents")).select("doc_id", "token", F.round("w", 6).alias("w"))
 
 
 @query(_TF + " SELECT a.item_id AS a, b.item_id AS b, round(sum(a.w * b.w), 6) AS sim FROM u a JOIN u b ON a.token = b.token AND a.item_id < b.item_id GROUP BY ALL")
 def tfidf_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return retrieval.similar_pairs(_weights(spark, sf_dir)).select("a", "b", F.round("sim", 6).alias("sim"))
+    return retrieval.similar_pairs(_weighted(frame(spark, sf_dir, "documents"))).select("a", "b", F.round("sim", 6).alias("sim"))
 
 
 @query(_TF + """, p AS (SELECT a.item_id AS a, b.item_id AS b, round(sum(a.w * b.w), 9) AS sim FROM u a JOIN u b ON a.token = b.token AND a.item_id <> b.item_id GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY sim DESC, b) AS n FROM p)
@@ -83,24 +66,6 @@ def tfidf_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tfidf_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     from skeinworks.operators.candidates import nearest_pairs
 
-    return nearest_pairs(retrieval.similar_pairs(_weights(spark, sf_dir)), 3)
-
-
-# The same over all documents.
-@query()
-def tfidf_weights_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _weighted(frame(spark, sf_dir, "documents")).select("doc_id", "token", F.round("w", 6).alias("w"))
-
-
-@query()
-def tfidf_pairs_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return retrieval.similar_pairs(_weighted(frame(spark, sf_dir, "documents"))).select("a", "b", F.round("sim", 6).alias("sim"))
-
-
-@query()
-def tfidf_topk_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from skeinworks.operators.candidates import nearest_pairs
-
     return nearest_pairs(retrieval.similar_pairs(_weighted(frame(spark, sf_dir, "documents"))), 3)
 
 
@@ -181,12 +146,9 @@ def highlight(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frame(spark, sf_dir, "part").select(F.col("p_partkey").alias("node"), retrieval.highlighted(F.col("p_name"), ["red", "ring", "widget"]).alias("marked"))
 
 
-
-
-
-@query()
-def normal_terms_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of all documents, whatever their language and length; a null text has a null term."""
+@query("SELECT doc_id, lower(regexp_replace(text, '[^A-Za-z0-9]+', '', 'g')) AS term FROM documents")
+def normal_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A null text has a null term."""
     return frame(spark, sf_dir, "documents").select("doc_id", F.lower(F.regexp_replace("text", "[^A-Za-z0-9]+", "")).alias("term"))
 
 

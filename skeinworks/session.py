@@ -48,18 +48,20 @@ def ship(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a temporary one is set only where that is unset (tests)."""
+    """The folder that the driver and all executors share: ``spark.checkpoint.dir``, or the checkpoint folder set on the context.
+
+    In local mode, where every task is on this machine, a temporary one is made; a cluster must name its own.
+    """
     sc = spark.sparkContext
-    path = sc.getConf().get("spark.checkpoint.dir", None)
+    set_on_context = sc._jsc.sc().getCheckpointDir()
+    path = sc.getConf().get("spark.checkpoint.dir", None) or (set_on_context.get() if set_on_context.isDefined() else None)
     if not path:
-        current = sc._jsc.sc().getCheckpointDir()
-        if current.isDefined():
-            path = current.get()
-        else:
-            own = tempfile.mkdtemp(prefix="skeinworks-")
-            atexit.register(shutil.rmtree, own, ignore_errors=True)
-            path = f"file://{own}"
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        own = tempfile.mkdtemp(prefix="skeinworks-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        path = f"file://{own}"
+    if not set_on_context.isDefined():
         sc.setCheckpointDir(path)
     return path.rstrip("/")
 

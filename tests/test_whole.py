@@ -33,13 +33,13 @@ def words(text):
 
 def test_token_counts_cover_every_document(spark, tmp_path):
     sf = documents(spark, tmp_path)
-    got = {name: {(r.token, r.n, r.df) for r in QUERIES[name](spark, sf).collect()} for name in ("word_tokens_whole", "bigram_tokens_whole")}
-    assert got["word_tokens_whole"] == counted(words)
-    assert got["bigram_tokens_whole"] == counted(lambda t: [(s := re.sub(r"\s+", "", t))[i : i + 2] for i in range(len(re.sub(r"\s+", "", t)) - 1)])
+    got = {name: {(r.token, r.n, r.df) for r in QUERIES[name](spark, sf).collect()} for name in ("word_tokens", "bigram_tokens")}
+    assert got["word_tokens"] == counted(words)
+    assert got["bigram_tokens"] == counted(lambda t: [(s := re.sub(r"\s+", "", t))[i : i + 2] for i in range(len(re.sub(r"\s+", "", t)) - 1)])
 
 
 def test_normal_terms_cover_every_document(spark, tmp_path):
-    got = {(r.doc_id, r.term) for r in QUERIES["normal_terms_whole"](spark, documents(spark, tmp_path)).collect()}
+    got = {(r.doc_id, r.term) for r in QUERIES["normal_terms"](spark, documents(spark, tmp_path)).collect()}
     assert got == {(i, t if t is None else re.sub(r"[^a-z0-9]+", "", t.lower())) for i, t, _ in DOCS}
 
 
@@ -49,13 +49,13 @@ def test_tfidf_covers_every_document(spark, tmp_path):
     df = Counter(w for c in tf.values() for w in c)
     raw = {i: {w: (1 + math.log(n)) * (math.log((1 + len(tf)) / (1 + df[w])) + 1) for w, n in c.items()} for i, c in tf.items()}
     unit = {i: {w: x / math.sqrt(sum(y * y for y in c.values())) for w, x in c.items()} for i, c in raw.items()}
-    got = {(r.doc_id, r.token): r.w for r in QUERIES["tfidf_weights_whole"](spark, sf).collect()}
+    got = {(r.doc_id, r.token): r.w for r in QUERIES["tfidf_weights"](spark, sf).collect()}
     assert got.keys() == {(i, w) for i, c in unit.items() for w in c}
     assert all(abs(x - unit[i][w]) < 2e-6 for (i, w), x in got.items())
     sims = {(a, b): sum(unit[a][w] * unit[b][w] for w in unit[a].keys() & unit[b].keys()) for a in unit for b in unit if a < b and unit[a].keys() & unit[b].keys()}
-    pairs = {(r.a, r.b): r.sim for r in QUERIES["tfidf_pairs_whole"](spark, sf).collect()}
+    pairs = {(r.a, r.b): r.sim for r in QUERIES["tfidf_pairs"](spark, sf).collect()}
     assert pairs.keys() == sims.keys() and all(abs(x - sims[p]) < 2e-6 for p, x in pairs.items())
-    assert {(r.a, r.b) for r in QUERIES["tfidf_topk_whole"](spark, sf).collect()} == sims.keys()
+    assert {(r.a, r.b) for r in QUERIES["tfidf_topk"](spark, sf).collect()} == sims.keys()
 
 
 SMALL = "/root/testdata/sf0.001"
@@ -80,19 +80,19 @@ def test_every_line_is_checked_against_the_lesson_before(spark):
     for (item, lesson, here), (need, flags) in items.items():
         late = min(p for n, p in reached.items() if n >= max(need)) > here
         want[item, lesson] = late + sum(first[f] > here for f in flags)
-    got = {(r.item_id, r.lesson_id): r.n_violations for r in QUERIES["check_verdict_whole"](spark, SMALL).collect()}
+    got = {(r.item_id, r.lesson_id): r.n_violations for r in QUERIES["check_verdict"](spark, SMALL).collect()}
     assert len(got) == len({(r.l_orderkey, r.l_linenumber) for r in lines}) and got == want
-    assert QUERIES["check_item_whole"](spark, SMALL).count() == sum(want.values()) > 0
+    assert QUERIES["check_item"](spark, SMALL).count() == sum(want.values()) > 0
 
 
 def test_points_of_every_size_are_coded_and_reviewed(spark):
     from skeinworks.plans.fixtures import frame
 
     order = [r.node for r in sorted(frame(spark, SMALL, "point").select("node", "position").collect(), key=lambda r: (r.position, r.node))]
-    assert {(r.node, r.code) for r in QUERIES["screening_codes_whole"](spark, SMALL).collect()} == {(n, f"K{i:03d}") for i, n in enumerate(order)}
+    assert {(r.node, r.code) for r in QUERIES["screening_codes"](spark, SMALL).collect()} == {(n, f"K{i:03d}") for i, n in enumerate(order)}
     position = {r.node: r.position for r in frame(spark, SMALL, "point").select("node", "position").collect()}
     want = {(r.src, 1, position[r.src]) for r in frame(spark, SMALL, "edge").collect() if position[r.src] < 900 * 10**9}
-    assert {(r.node, r.depth, r.position) for r in QUERIES["review_candidates_whole"](spark, SMALL).collect()} == want
+    assert {(r.node, r.depth, r.position) for r in QUERIES["review_candidates"](spark, SMALL).collect()} == want
 
 
 def test_pairs_of_whole_topics_and_domains(spark):
@@ -108,12 +108,12 @@ def test_pairs_of_whole_topics_and_domains(spark):
                 (thread if same else topic if a.topic == b.topic else set()).add((a.node, b.node))
                 if a.domain == b.domain and (a.node, b.node) not in edges:
                     domain.add((a.node, b.node))
-    found = [(r.a, r.b, r.route) for r in QUERIES["theta_self_join_whole"](spark, SMALL).collect()]
+    found = [(r.a, r.b, r.route) for r in QUERIES["theta_self_join"](spark, SMALL).collect()]
     assert len(found) == len(set(found)) and set(found) == {(*p, "time_same_thread") for p in thread} | {(*p, "time_same_topic") for p in topic}
-    routes = {(r.a, r.b): r.routes for r in QUERIES["route_union_candidates_whole"](spark, SMALL).collect()}
+    routes = {(r.a, r.b): r.routes for r in QUERIES["route_union_candidates"](spark, SMALL).collect()}
     assert {p for p, x in routes.items() if "time_same_topic" in x} == topic and {p for p, x in routes.items() if "time_same_thread" in x} == thread
     assert edges <= routes.keys()
-    got = [(r.a, r.b) for r in QUERIES["non_candidates_whole"](spark, SMALL).collect()]
+    got = [(r.a, r.b) for r in QUERIES["non_candidates"](spark, SMALL).collect()]
     assert len(got) == len(set(got)) and set(got) == domain
 
 
