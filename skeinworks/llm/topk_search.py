@@ -38,7 +38,10 @@ def to_integers(docs: DataFrame, id_column: str, vector_column: str, scale: int
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(it):
             x = batch.column(1)
-            flat = np.floor(scale * x.flatten().to_numpy(zero_copy_only=False).astype(np.float64)).astype("<i8")
+            scaled = np.floor(scale * x.flatten().to_numpy(zero_copy_only=False).astype(np.float64))
+            if len(scaled) and np.abs(scaled).max() >= 2.0**62:
+                raise OverflowError("a component leaves 64 bits")
+            flat = scaled.astype("<i8")
             at = x.offsets.to_numpy() - x.offsets.to_numpy()[0]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([flat[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())], schema=schema)
 
@@ -122,6 +125,8 @@ def build(vectors: DataFrame) -> tuple[DataFrame, Layout, Cells]:
     spark = ready(vectors)
     sizes = vectors.select(F.length("v").alias("n"), F.expr("v").alias("v")).mapInArrow(_norms, "n long, norm double").agg(F.max("n").alias("n"), F.max("norm").alias("norm")).first()
     dim, norm = (sizes.n or 0) // 8, float(sizes.norm or 0)
+    if norm >= 2.0**62:  # no inner product is larger than the largest squared norm
+        raise OverflowError("inner products may leave 64 bits")
     sample = bounded_sample(vectors, "vec_id", SAMPLE).collect()
     layout = Layout.fit(matrix([bytes(r.v) for r in sorted(sample, key=lambda r: (r.vec_id, bytes(r.v)))], dim) if sample else np.zeros((1, dim), np.int64), dim, norm)
 
@@ -196,7 +201,8 @@ def top_k(table: DataFrame, is_query: Column, k: int = 5, id_column: str = "vec_
     ``is_query`` tells queries by ``vec_id``. Null ids, null vectors and those with a null or
     non-finite component take no part; shorter vectors count as filled up with zeros; rows with a
     query's id are its own; repeated rows are candidates of their own, repeated queries are one;
-    fewer than k candidates are all returned; an empty table gives none.
+    fewer than k candidates are all returned; an empty table gives none. Components so large that a
+    score could leave 64 bits raise an error.
     """
     spark = ready(table)
     vectors = materialise(to_integers(table, id_column, vector_column, scale), "vectors")

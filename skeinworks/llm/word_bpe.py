@@ -27,8 +27,8 @@ from skeinworks.llm.token_counts import balanced, byte_symbols
 
 #: Words kept by a worker.
 CACHE_WORDS = 600_000
-#: Longer texts go alone: the joined ids of a batch are one Arrow array of at most 2 GB.
-HUGE = 1 << 27
+#: Longer texts go alone: the joined ids of a batch are one Arrow array of at most 2 GB, and a character is 4 bytes, so 4 ids of 6 digits, at most.
+HUGE = 1 << 26
 
 
 class WordBPE:

@@ -40,6 +40,26 @@ def test_top_k_equals_brute_force(spark, n, monkeypatch):
     assert got == brute_top_k(rows, 3)
 
 
+def test_top_k_of_odd_vectors(spark):
+    rows = [(5 * i % 35, [float(x) for x in range(i % 4)] + [0.5 * i], float(i), "q") for i in range(12)] + [(5, [1.0], 0.0, "again"), (40, [], 0.0, "empty")]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, cell double, score string").withColumn("v", topk_search.F.lit("x")).withColumn("distance", topk_search.F.lit(1))
+    got = topk_search.top_k(table, topk_search.F.col("vec_id") % 5 == 0, k=3).collect()
+    width = max(len(v) for _, v, _, _ in rows)
+    vectors = [(i, [int(np.floor(256 * x)) for x in v] + [0] * (width - len(v))) for i, v, _, _ in rows]
+    # A query id with several vectors is one query with all of them: its best scores are drawn from each.
+    want = {}
+    for i in {i for i, _ in vectors}:
+        found = sorted({(-sum(a * b for a, b in zip(q, w, strict=True)), j, n) for k, q in vectors if k == i for n, (j, w) in enumerate(vectors) if j != i})
+        want[i] = [(j, -s) for s, j, _ in found[:3]]
+    single = [i for i in want if sum(k == i for k, _ in vectors) == 1]
+    assert all([(r.vec_id, r.score) for r in sorted(got, key=lambda r: r.rank) if r.query_id == i] == want[i] for i in single)
+    assert {r.query_id for r in got} == set(want)
+    with pytest.raises(Exception, match="64 bits"):
+        topk_search.top_k(spark.createDataFrame([(0, [1e300]), (1, [1.0])], "vec_id long, embedding array<double>"), topk_search.F.lit(True)).collect()
+    with pytest.raises(Exception, match="64 bits"):
+        topk_search.top_k(spark.createDataFrame([(0, [1e9]), (1, [1e8])], "vec_id long, embedding array<double>"), topk_search.F.lit(True)).collect()
+
+
 def test_top_k_of_nothing(spark):
     assert topk_search.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>"), topk_search.F.lit(True)).count() == 0
 
