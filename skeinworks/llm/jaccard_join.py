@@ -303,7 +303,7 @@ def _members(lists: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFra
     known = lists.join(labels.withColumnRenamed("node", "a"), "a", "left").withColumn("component", F.coalesce("component", "a"))
     known = materialise(known.join(classes.select(F.col("key").alias("a"), "profile"), "a").select("token", "a_size", "a", "place", "component", "profile"), "members")
     lists = known.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.ceil(F.count(F.lit(1)) / LIST_BLOCK).cast("int").alias("blocks"))
-    return known.join(lists.where("low < high").select("token", "blocks"), "token")
+    return materialise(known.join(lists.where("low < high").select("token", "blocks"), "token"), "split")
 
 
 def _profiles(column: pa.Array) -> np.ndarray:
@@ -323,7 +323,7 @@ def _once(found: list[np.ndarray]) -> pa.RecordBatch:
 
 
 def _near(members: DataFrame, percent: int) -> DataFrame:
-    """Some likely pairs of each long list, a few for each member: its smallest member, and neighbours in two orders of profiles.
+    """Some likely pairs of each long list, a few for each member: neighbours in two orders of profiles and in that of sizes.
 
     The orders are dealt out by range, which cuts a list anywhere; pairs across a cut are left to ``_across``.
     """
@@ -351,13 +351,10 @@ def _near(members: DataFrame, percent: int) -> DataFrame:
 
     turned = F.concat(F.substring("profile", PARTS // 2 + 1, PARTS // 2), F.substring("profile", 1, PARTS // 2))
     cols = ["token", "a_size", "a", "place", "component", "profile"]
-    ordered = (members.withColumn("_order", order).repartitionByRange(partitions(spark), "token", "_order").sortWithinPartitions("token", "_order", "a").select(*cols) for order in (F.col("profile"), turned))
+    orders = (["profile", "a"], [turned, "a"], ["a_size", "a"])
+    ordered = [members.repartitionByRange(partitions(spark), "token", *order).sortWithinPartitions("token", *order).select(*cols) for order in orders]
     near = [x.mapInArrow(run, "a long, b long") for x in ordered]
-    least = members.groupBy("token").agg(F.min(F.struct("a_size", "a", "place", "component")).alias("m"))
-    low, high = F.least(F.col("a_size"), F.col("m.a_size")), F.lit(percent) * (F.col("a_size") + F.col("m.a_size"))
-    rest = F.least(F.col("a_size") - F.col("place"), F.col("m.a_size") - F.col("m.place"))
-    first = members.join(least, "token").where((F.col("component") != F.col("m.component")) & ((100 + percent) * low >= high) & ((100 + percent) * rest >= high))
-    return near[0].union(near[1]).union(first.select(F.least("a", "m.a").alias("a"), F.greatest("a", "m.a").alias("b"))).distinct()
+    return near[0].union(near[1]).union(near[2]).distinct()
 
 
 def _across(members: DataFrame, percent: int) -> DataFrame:
