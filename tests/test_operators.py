@@ -81,8 +81,8 @@ def test_chain_provenance(spark):
     assert graph.reach(e, spark.createDataFrame([(9,)], "start int")).count() == 0
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_components(spark, seed):
+@pytest.mark.parametrize(("seed", "small"), [(0, 0), (1, 0), (2, 0), (3, 1 << 20), (4, 1 << 20)])
+def test_components(spark, seed, small):
     rnd = random.Random(seed)
     edges = [(rnd.randrange(60), rnd.randrange(60)) for _ in range(45)] + [(100 + i, 101 + i) for i in range(30)]
     parent = {x: x for ab in edges for x in ab}
@@ -95,9 +95,9 @@ def test_components(spark, seed):
     for a, b in edges:
         ra, rb = root(a), root(b)
         parent[max(ra, rb)] = min(ra, rb)
-    got = rows(components.connected_components(spark.createDataFrame(edges, "a long, b long")))
-    assert got == {(x, root(x)) for x in parent}
-    assert components.connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+    got = rows(components.connected_components(spark.createDataFrame([*edges, (None, 3), (500, 500)], "a long, b long"), small=small))
+    assert got == {(x, root(x)) for x in parent} | {(500, 500)}
+    assert components.connected_components(spark.createDataFrame([], "a long, b long"), small=small).count() == 0
 
 
 def test_constrained_clusters(spark):
