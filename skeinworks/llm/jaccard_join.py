@@ -299,11 +299,12 @@ def _room(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def _members(lists: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
-    """Members of the long lists that hold several components: ``token, a_size, a, place, component, profile, blocks``."""
+    """Members of the long lists that hold several components, with the number of blocks and the smallest member ``m`` of their list."""
     known = lists.join(labels.withColumnRenamed("node", "a"), "a", "left").withColumn("component", F.coalesce("component", "a"))
     known = materialise(known.join(classes.select(F.col("key").alias("a"), "profile"), "a").select("token", "a_size", "a", "place", "component", "profile"), "members")
-    lists = known.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.ceil(F.count(F.lit(1)) / LIST_BLOCK).cast("int").alias("blocks"))
-    return materialise(known.join(lists.where("low < high").select("token", "blocks"), "token"), "split")
+    blocks = F.ceil(F.count(F.lit(1)) / LIST_BLOCK).cast("int").alias("blocks")
+    lists = known.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), blocks, F.min(F.struct("a_size", "a", "place", "component")).alias("m"))
+    return materialise(known.join(lists.where("low < high").select("token", "blocks", "m"), "token").withColumn("own", F.pmod(F.xxhash64("a"), F.col("blocks")).cast("int")), "split")
 
 
 def _profiles(column: pa.Array) -> np.ndarray:
@@ -323,46 +324,55 @@ def _once(found: list[np.ndarray]) -> pa.RecordBatch:
 
 
 def _near(members: DataFrame, percent: int) -> DataFrame:
-    """Some likely pairs of each long list, a few for each member: neighbours in two orders of profiles and in that of sizes.
-
-    The orders are dealt out by range, which cuts a list anywhere; pairs across a cut are left to ``_across``.
-    """
+    """Some likely pairs of each block of a long list, a few for each member: its list's smallest member, and neighbours in three orders."""
     spark = members.sparkSession
+    dealt = members.repartition(partitions(spark), "token", "own").sortWithinPartitions("token", "own", "a_size", "a")
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, held_parts, found, waiting = np.zeros((5, 0), dtype=np.int64), np.zeros((0, PARTS), np.uint8), [], 0
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        found, waiting = [], 0
+
+        def close() -> None:
+            nonlocal held, waiting
+            (_, _, size, key, place, comp), parts = np.concatenate([h for h, _ in held], axis=1), np.concatenate([h for _, h in held])
+            held = []
+            every = np.arange(len(size))
+            for order in (every, np.lexsort(parts.T[::-1]), np.lexsort(parts.T)):
+                for step in (1, 2, 3):
+                    i, j = order[:-step], order[step:]
+                    ok = _linkable(i, j, size, place, comp, parts, percent)
+                    found.append(np.stack([np.minimum(key[i[ok]], key[j[ok]]), np.maximum(key[i[ok]], key[j[ok]])]))
+                    waiting += found[-1].shape[1]
+
         for batch in batches(it):
-            x = np.concatenate([held, np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(5)])], axis=1)
-            parts = np.concatenate([held_parts, _profiles(batch.column(5))])
-            every = np.arange(x.shape[1])
-            for step in (1, 2, 3):
-                i, j = every[:-step], every[step:]
-                same = (x[0][i] == x[0][j]) & (j >= held.shape[1])
-                i, j = i[same], j[same]
-                ok = _linkable(i, j, x[1], x[3], x[4], parts, percent)
-                found.append(np.stack([np.minimum(x[2][i[ok]], x[2][j[ok]]), np.maximum(x[2][i[ok]], x[2][j[ok]])]))
-                waiting += found[-1].shape[1]
-            held, held_parts = x[:, -3:], parts[-3:]
+            x = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(6)])
+            parts = _profiles(batch.column(6))
+            cuts = np.flatnonzero((np.diff(x[:2]) != 0).any(axis=0)) + 1
+            for k, (part, mine) in enumerate(zip(np.split(x, cuts, axis=1), np.split(parts, cuts), strict=True)):
+                if held and (k or (held[-1][0][:2, -1] != part[:2, 0]).any()):
+                    close()
+                held.append((part, mine))
             if waiting > 1_000_000:
                 yield _once(found)
                 found, waiting = [], 0
+        if held:
+            close()
         if waiting:
             yield _once(found)
 
-    turned = F.concat(F.substring("profile", PARTS // 2 + 1, PARTS // 2), F.substring("profile", 1, PARTS // 2))
-    cols = ["token", "a_size", "a", "place", "component", "profile"]
-    orders = (["profile", "a"], [turned, "a"], ["a_size", "a"])
-    ordered = [members.repartitionByRange(partitions(spark), "token", *order).sortWithinPartitions("token", *order).select(*cols) for order in orders]
-    near = [x.mapInArrow(run, "a long, b long") for x in ordered]
-    return near[0].union(near[1]).union(near[2]).distinct()
+    near = dealt.select("token", "own", "a_size", "a", "place", "component", "profile").mapInArrow(run, "a long, b long")
+    low, high = F.least(F.col("a_size"), F.col("m.a_size")), F.lit(percent) * (F.col("a_size") + F.col("m.a_size"))
+    rest = F.least(F.col("a_size") - F.col("place"), F.col("m.a_size") - F.col("m.place"))
+    first = members.where((F.col("component") != F.col("m.component")) & ((100 + percent) * low >= high) & ((100 + percent) * rest >= high))
+    return near.union(first.select(F.least("a", "m.a").alias("a"), F.greatest("a", "m.a").alias("b"))).distinct()
 
 
 def _across(members: DataFrame, percent: int) -> DataFrame:
     """All pairs of each long list that are of different components and can be linked, block by block."""
     spark = members.sparkSession
-    own = F.pmod(F.xxhash64("a"), F.col("blocks")).cast("int")
+    own = F.col("own")
     meets = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, own).alias("low"), F.greatest(k, own).alias("high"))))
-    dealt = members.select("token", "a_size", "a", "place", "component", "profile", own.alias("own"), meets.alias("at")).select("token", "at.low", "at.high", "own", "a_size", "a", "place", "component", "profile")
+    dealt = members.select("token", "a_size", "a", "place", "component", "profile", "own", meets.alias("at")).select("token", "at.low", "at.high", "own", "a_size", "a", "place", "component", "profile")
     dealt = dealt.repartition(partitions(spark), "token", "low", "high").sortWithinPartitions("token", "low", "high", "a_size", "a")
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
