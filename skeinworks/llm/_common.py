@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 from collections.abc import Iterator
 
@@ -87,11 +88,24 @@ def id_table(ids: DataFrame, column: str) -> np.ndarray:
     A reader that keeps only rows on marked places loses none of the ids; what else falls on them is
     sorted out by a join afterwards, which then moves little more than the rows wanted.
     """
-    words = ids.select(id_place(column).alias("bit")).select((F.col("bit") / 32).cast("long").alias("word"), F.expr("shiftleft(1L, CAST(bit % 32 AS INT))").alias("bits"))
-    table = np.zeros(ID_BITS // 32, np.uint32)
-    for r in words.groupBy("word").agg(F.expr("bit_or(bits)").alias("bits")).toLocalIterator():
-        table[r.word] = r.bits
-    return np.unpackbits(table.view(np.uint8), bitorder="little").astype(bool)
+    return marked_places(ids.select(id_place(column).alias("bit")), ID_BITS)
+
+
+def marked_places(places: DataFrame, bits: int) -> np.ndarray:
+    """The places in column ``bit`` as a table of ``bits`` booleans: at most bits / 32 rows of two numbers reach the driver, as Arrow."""
+    words = places.select((F.col("bit") / 32).cast("long").alias("word"), F.expr("shiftleft(1L, CAST(bit % 32 AS INT))").alias("bits"))
+    got = words.groupBy("word").agg(F.expr("bit_or(bits)").alias("bits")).toArrow()
+    table = np.zeros(bits // 32, np.uint32)
+    table[got.column("word").to_numpy()] = got.column("bits").to_numpy().astype(np.uint32)
+    return np.unpackbits(table.view(np.uint8), bitorder="little").view(bool)
+
+
+def give_back() -> None:
+    """Has the C library return what a fit has used; the driver's process goes on for long. Without that call nothing is done."""
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
 
 
 def on_table(df: DataFrame, column: str, table: np.ndarray, hit: bool = True) -> DataFrame:

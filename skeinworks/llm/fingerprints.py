@@ -12,13 +12,12 @@ import hashlib
 import unicodedata
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skeinworks.llm._common import batch_of, batches, partitions, ready, spread
+from skeinworks.llm._common import batch_of, batches, marked_places, partitions, ready, spread
 
 #: Bits of the fixed-size table of digests that occur more than once.
 SHARED_BITS = 1 << 23
@@ -74,11 +73,7 @@ def colliding(rows: DataFrame) -> DataFrame:
             yield batch_of(schema, found, [int(d[:8], 16) % SHARED_BITS for d in found])
 
     several = rows.mapInArrow(digests, "fingerprint string, bit long").groupBy("fingerprint", "bit").count().where("count > 1")
-    words = several.select((F.col("bit") / 32).cast("long").alias("word"), F.expr("shiftleft(1L, CAST(bit % 32 AS INT))").alias("bits")).groupBy("word").agg(F.expr("bit_or(bits)").alias("bits"))
-    table = np.zeros(SHARED_BITS // 32, np.uint32)
-    for r in words.toLocalIterator():  # at most SHARED_BITS / 32 rows
-        table[r.word] = r.bits
-    shared = np.unpackbits(table.view(np.uint8), bitorder="little").astype(bool)
+    shared = marked_places(several.select("bit"), SHARED_BITS)
 
     def members(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("fingerprint", pa.string()), ("data", pa.binary())])

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skeinworks.llm._common import ARROW_BYTES, batch_of, batches, id_place, id_table, materialise, on_table, partitions, ready, spread
+from skeinworks.llm._common import ARROW_BYTES, batch_of, batches, give_back, id_place, id_table, materialise, on_table, partitions, ready, spread
 from skeinworks.llm.token_counts import balanced
 from skeinworks.operators.components import connected_components
 
@@ -184,11 +184,16 @@ def _frequent(measured: DataFrame) -> tuple[bytes, bytes]:
     blocks = measured.where("block IS NOT NULL").select("block", "counts")
     summed = blocks.repartition(min(partitions(spark), COUNTERS // BLOCK), "block").mapInArrow(add, "block int, counts binary")
     counts = np.zeros((COUNTERS // BLOCK, BLOCK), dtype=np.int64)
-    for r in summed.collect():  # one row for each block: 32 MB in all
-        counts[r.block] += np.frombuffer(r.counts, "<i8")
+    got = summed.toArrow()  # one row for each block: 32 MB in all
+    for block, data in zip(got.column("block").to_pylist(), got.column("counts"), strict=True):
+        counts[block] += np.frombuffer(data.as_buffer(), "<i8")
+    del got
     counts = counts.ravel()
     mean = counts.mean()
-    return np.packbits(counts > mean + 4 * mean**0.5 + 4).tobytes(), np.packbits(counts > LONG_LIST).tobytes()
+    tables = np.packbits(counts > mean + 4 * mean**0.5 + 4).tobytes(), np.packbits(counts > LONG_LIST).tobytes()
+    del counts
+    give_back()
+    return tables
 
 
 def _entries(rows: DataFrame, words: int, percent: int, light: int, frequent: tuple[bytes, bytes], clashing: frozenset[int]) -> DataFrame:

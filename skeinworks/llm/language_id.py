@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skeinworks.llm._common import batch_of, batches, bounded_sample, ready, spread
+from skeinworks.llm._common import batch_of, batches, bounded_sample, give_back, ready, spread
 from skeinworks.llm.token_counts import balanced
 
 WINDOW = 256
@@ -177,6 +177,7 @@ def train(docs: DataFrame, learn: Column | None = None, id_column: str = "doc_id
     if classes:
         x = np.frombuffer(b"".join(window for _, window in got), dtype=np.uint8).reshape(-1, WINDOW)
         net.fit(x, np.array([classes.index(lang) for lang, _ in got]))
+        give_back()
     return net
 
 

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skeinworks.llm._common import batch_of, batches, bounded_sample, ready, spread
+from skeinworks.llm._common import batch_of, batches, bounded_sample, give_back, ready, spread
 from skeinworks.llm.token_counts import balanced
 
 #: Neutral group mentions, those of a line in one language and form; each is swapped for the next of its line.
@@ -184,7 +184,10 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column | None = None, id_co
     got = sorted(one.select("doc_id", "x.*").collect(), key=lambda x: x.doc_id)
     array = lambda data: np.frombuffer(bytes(data), np.uint32)
     pairs = [(array(a), array(b)) for x in got for a, b in zip(x.away, x.added, strict=True)]
-    return fit([(array(x.found), min(x.toxic, 1)) for x in got], pairs, known)
+    model = fit([(array(x.found), min(x.toxic, 1)) for x in got], pairs, known)
+    del got, pairs
+    give_back()
+    return model
 
 
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
