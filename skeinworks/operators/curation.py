@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skeinworks.functions.scalars import clamp_confidence, last_segment
+from skeinworks.functions.scalars import clamp_confidence, last_segment, verdict
 from skeinworks.operators.sequence import dense_position
 
 
@@ -218,3 +218,24 @@ def partition_or_whole(groups: DataFrame, proposals: DataFrame) -> DataFrame:
     valid = mine.join(theirs, "group_id").where(F.col("m") == F.col("p")).select("group_id", F.lit(True).alias("_ok"))
     good = proposals.join(valid, "group_id", "left_semi")
     return groups.join(good.select("group_id", "item_id", F.col("part").alias("_part")), ["group_id", "item_id"], "left").select("item_id", "group_id", F.coalesce("_part", F.lit(0)).alias("part"))
+
+
+def standard_coverage(judged: DataFrame, points: DataFrame, phase: str) -> DataFrame:
+    """Coverage of a standard's items before (``pre``) or after (``post``) gaps were filled.
+
+    ``judged``: ``item_id, point, covered, nodes`` (an array); ``points``: ``node, provenance``.
+    Before, only points of textbooks count. Returns ``item_id, phase, verdict, nodes`` (the known
+    ones, sorted, each once) and ``missing``, the points not covered, sorted and joined.
+    """
+    if phase not in ("pre", "post"):
+        raise ValueError("phase is pre or post")
+    known = points.where("provenance = 'textbook'") if phase == "pre" else points
+    met = F.coalesce("covered", F.lit(False))
+    each = judged.groupBy("item_id").agg(
+        verdict(F.count_if(met), F.count(F.lit(1))).alias("verdict"),
+        F.array_join(F.array_sort(F.collect_list(F.when(~met, F.col("point")))), "; ").alias("missing"),
+    )
+    cited = judged.select("item_id", F.explode("nodes").alias("node")).distinct().join(known.select("node").distinct(), "node", "left_semi")
+    lists = cited.groupBy("item_id").agg(F.array_sort(F.collect_list("node")).alias("nodes"))
+    out = each.join(lists, "item_id", "left")
+    return out.select("item_id", F.lit(phase).alias("phase"), "verdict", F.coalesce("nodes", F.array().cast(lists.schema["nodes"].dataType)).alias("nodes"), "missing")

@@ -107,14 +107,57 @@ def three_views(rows: DataFrame, gold: str, verdict: str) -> DataFrame:
 def merged_labels(first: DataFrame, second: DataFrame, arbiter: DataFrame, least: float = 0.7) -> DataFrame:
     """``item_id, label, status`` of two annotators (``item_id, label``) and an arbiter (``item_id, label, confidence``).
 
-    Equal labels are consensus; else the arbiter decides (``arbitrated``), or a human if it is unsure
-    (``queue``); an item that an annotator or the arbiter failed on is ``failed``.
+    Equal labels are consensus; else, also where an annotator failed, the arbiter decides
+    (``arbitrated``), or a human if its confidence is low or missing (``queue``); an item that the
+    arbiter failed on as well is ``failed``.
     """
     both = first.select("item_id", F.col("label").alias("x")).join(second.select("item_id", F.col("label").alias("y")), "item_id", "full").join(arbiter.select("item_id", F.col("label").alias("z"), "confidence"), "item_id", "left")
-    status = F.when(F.col("x").isNull() | F.col("y").isNull(), "failed").when(F.col("x") == F.col("y"), "consensus").when(F.col("z").isNull(), "failed").when(F.col("confidence") < least, "queue").otherwise("arbitrated")
+    status = F.when(F.col("x") == F.col("y"), "consensus").when(F.col("z").isNull(), "failed").when(F.coalesce("confidence", F.lit(0)) < least, "queue").otherwise("arbitrated")
     return both.withColumn("status", status).select("item_id", F.when(F.col("status") == "consensus", F.col("x")).when(F.col("status").isin("queue", "arbitrated"), F.col("z")).alias("label"), "status")
 
 
+def screened_pairs(picks: DataFrame, strong: str = "same") -> DataFrame:
+    """First step of anchor labels: what any annotator picked, as ``anchor, candidate, a, b, screened_by, relation``.
+
+    ``picks``: ``anchor, annotator, candidate, relation``. ``a, b`` is the pair in order,
+    ``screened_by`` the sorted annotators, ``relation`` ``strong`` if one of them says so, else the
+    least. Nothing depends on blocking.
+    """
+    known = picks.where("anchor IS NOT NULL AND candidate IS NOT NULL AND anchor <> candidate")
+    least = F.coalesce(F.max(F.when(F.col("relation") == strong, F.lit(strong))), F.min("relation"))
+    out = known.groupBy("anchor", "candidate").agg(F.array_sort(F.collect_set("annotator")).alias("screened_by"), least.alias("relation"))
+    return out.select("anchor", "candidate", F.least("anchor", "candidate").alias("a"), F.greatest("anchor", "candidate").alias("b"), "screened_by", "relation")
+
+
+def screening_overlap(screened: DataFrame, annotators: int = 2) -> DataFrame:
+    """``n_pairs, overlap``: the share of screened pairs that all annotators picked; null without pairs."""
+    every = (F.size("screened_by") == annotators).cast("int")
+    return screened.agg(F.count(F.lit(1)).alias("n_pairs"), F.round(F.avg(every), 4).alias("overlap"))
+
+
+def anchor_labels(anchors: DataFrame, screened: DataFrame, labels: DataFrame, classes: list[str]) -> DataFrame:
+    """Second step: for each ``anchor`` the sorted candidates of each class, and ``n_decided``.
+
+    ``labels``: ``a, b, label`` of the pairs (``merged_labels`` with the pair as its item). Anchors
+    that nothing was picked for have empty lists; pairs without a label count as decided in no class.
+    """
+    decided = screened.select("anchor", "candidate", "a", "b").join(labels.select("a", "b", "label"), ["a", "b"], "left")
+    lists = [F.array_sort(F.collect_list(F.when(F.col("label") == c, F.col("candidate")))).alias(c) for c in classes]
+    own = decided.groupBy("anchor").agg(*lists, F.count("label").alias("n_decided"))
+    out = anchors.select("anchor").distinct().join(own, "anchor", "left")
+    return out.select("anchor", *(F.coalesce(c, F.array().cast(own.schema[c].dataType)).alias(c) for c in classes), F.coalesce("n_decided", F.lit(0)).alias("n_decided"))
+
+
+def gold_split(development: DataFrame, demoted: DataFrame, holdout: DataFrame, split: str) -> DataFrame:
+    """Gold rows of ``val`` (development and what was a test once, marked ``demoted``), ``test`` (never seen) or ``all``."""
+    marked = lambda df, flag: df.withColumn("demoted", F.lit(flag))
+    seen = marked(development, False).unionByName(marked(demoted, True))
+    parts = {"val": lambda: seen, "test": lambda: marked(holdout, False), "all": lambda: seen.unionByName(marked(holdout, False))}
+    if split not in parts:
+        raise ValueError(f"split is one of {', '.join(parts)}")
+    return parts[split]()
+
+
 def tiered_labels(base: DataFrame, delta: DataFrame) -> DataFrame:
     """``query_id, doc_id, tier`` after an update: the delta's tier replaces, ``none`` removes, core wins over related of the same source."""
     rank = lambda c: F.when(c == "core", 2).when(c == "related", 1).otherwise(0)

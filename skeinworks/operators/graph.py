@@ -123,6 +123,26 @@ def levels(edges: DataFrame) -> DataFrame:
     return current
 
 
+def longest_path(edges: DataFrame) -> DataFrame:
+    """``place, node`` of one longest path of a DAG, from place 0; no row without edges.
+
+    It ends at the least of the deepest nodes, and each step back goes to the least of the nodes one
+    level up. Steps back are joined with themselves, so a path of n nodes takes log2(n) rounds.
+    """
+    depth = levels(edges)
+    upper, lower = depth.select(F.col("node").alias("src"), F.col("depth").alias("_up")), depth.select(F.col("node").alias("dst"), F.col("depth").alias("_low"))
+    tight = edges.select("src", "dst").join(upper, "src").join(lower, "dst").where("_up + 1 = _low")
+    jump = materialise(tight.groupBy(F.col("dst").alias("node")).agg(F.min("src").alias("back")), "back")
+    ends = depth.groupBy("depth").agg(F.min("node").alias("node"))
+    on = materialise(ends.agg(F.max_by("node", "depth").alias("node")).where("node IS NOT NULL"), "path")
+    further = materialise(on.join(jump, "node").select(F.col("back").alias("node")), "further")
+    while not further.isEmpty():
+        on = materialise(on.union(further), "path")
+        jump = materialise(jump.join(jump.select(F.col("node").alias("back"), F.col("back").alias("_far")), "back").select("node", F.col("_far").alias("back")), "back")
+        further = materialise(on.join(jump, "node").select(F.col("back").alias("node")).join(on, "node", "left_anti"), "further")
+    return on.join(depth, "node").select(F.col("depth").alias("place"), "node")
+
+
 def degrees(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """``node, indegree, outdegree`` of every node, 0 where it has none."""
     inn = edges.groupBy(F.col("dst").alias("node")).agg(F.count(F.lit(1)).alias("indegree"))
@@ -248,3 +268,51 @@ def violations(edges: DataFrame, points: DataFrame) -> DataFrame:
     out = out.union(rule("cycle", closed.where("src = dst")))
     marked = transitive_reduction(pair, closed).withColumnRenamed("is_direct", "_right")
     return out.union(rule("wrong mark", e.distinct().join(marked, ["src", "dst"]).where("coalesce(is_direct, true) <> _right")))
+
+
+def placement_violations(points: DataFrame, lessons: DataFrame, listed: DataFrame, reviews: DataFrame, edges: DataFrame) -> DataFrame:
+    """Broken rules of where points are taught, as ``rule, node, lesson_id``; sound data give no rows.
+
+    ``points``: ``node, lesson_id`` (of the introduction), ``origin, moved, note``; ``lessons``:
+    ``lesson_id, position``; ``listed``: ``lesson_id, node, part`` (``intro`` or ``practice``);
+    ``reviews``: ``node, lesson_id``; ``edges``: ``src, dst``. The rules: a lesson lists an unknown
+    point; a point's lesson is unknown; a lesson introduces a point of another one; a point is
+    introduced and practised in one lesson; a reconciled point is not listed where it is introduced; a
+    review precedes the introduction; a moved point stands nowhere one of its successors does; a
+    reconciled point has no note.
+    """
+    p = points.select("node", "lesson_id", "origin", "moved", "note").join(lessons.select("lesson_id", "position"), "lesson_id", "left")
+    home = p.select("node", F.col("lesson_id").alias("_home"), F.col("position").alias("_start"))
+    seen = listed.select("lesson_id", "node", "part").distinct()
+    intro = seen.where("part = 'intro'")
+    reconciled = p.where("origin = 'reconciled'")
+    starts = edges.select(F.col("src").alias("_src"), F.col("dst").alias("node")).join(home, "node").select(F.col("_src").alias("node"), F.col("_start").alias("position"))
+
+    found = {
+        "unknown point": seen.join(home, "node", "left_anti"),
+        "no position": p.where("position IS NULL"),
+        "introduced elsewhere": intro.join(home, "node").where("NOT lesson_id <=> _home"),
+        "introduced and practised": intro.join(seen.where("part = 'practice'"), ["lesson_id", "node"], "left_semi"),
+        "not listed": reconciled.join(intro, ["lesson_id", "node"], "left_anti"),
+        "review too early": reviews.select("node", "lesson_id").join(lessons.select("lesson_id", "position"), "lesson_id").join(home, "node").where("position < _start"),
+        "move not minimal": reconciled.where("moved").join(starts, ["node", "position"], "left_anti"),
+        "no note": reconciled.where("coalesce(note, '') = ''"),
+    }
+    out = None
+    for rule, rows in found.items():
+        part = rows.select(F.lit(rule).alias("rule"), "node", "lesson_id").distinct()
+        out = part if out is None else out.union(part)
+    return out
+
+
+def coverage_violations(items: DataFrame, points: DataFrame) -> DataFrame:
+    """Broken rules of a standard's coverage, as ``rule, item_id``.
+
+    ``items``: ``item_id, status, nodes`` (an array), ``reason``; ``points``: ``node``. An item is
+    uncovered; it counts as covered by no point or by unknown ones; it does not apply for no reason.
+    """
+    covered = items.where("status = 'covered'").select("item_id", F.explode_outer("nodes").alias("node"))
+    wrong = covered.join(points.select("node").distinct(), "node", "left_anti")
+    rule = lambda name, rows: rows.select(F.lit(name).alias("rule"), "item_id").distinct()
+    out = rule("uncovered", items.where("status = 'uncovered'")).union(rule("bad reference", wrong))
+    return out.union(rule("no reason", items.where("status = 'not_applicable' AND coalesce(reason, '') = ''")))

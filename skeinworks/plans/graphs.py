@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from skeinworks.operators import candidates, graph
 from skeinworks.operators.components import connected_components
 from skeinworks.plans.catalogue import query
-from skeinworks.plans.fixtures import frame
+from skeinworks.plans.fixtures import frame, views
 
 _CLOSURE = "WITH RECURSIVE e AS (SELECT DISTINCT src, dst FROM edge), reach(src, dst) AS (SELECT src, dst FROM e UNION SELECT r.src, e.dst FROM reach r JOIN e ON r.dst = e.src)"
 _DEPTH = "WITH RECURSIVE e AS (SELECT DISTINCT src, dst FROM edge), walk(start, node, depth) AS (SELECT DISTINCT src, src, 0 FROM e UNION SELECT w.start, e.dst, w.depth + 1 FROM walk w JOIN e ON w.node = e.src)"
@@ -117,12 +117,20 @@ def weak_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(_DEPTH + " SELECT node, CAST(max(depth) AS INTEGER) AS depth FROM walk GROUP BY node UNION SELECT dst, 0 FROM e WHERE FALSE")
-def longest_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+def path_depths(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _edges(spark, sf_dir)
     inner = e.select(F.col("src").alias("node")).union(e.select("dst")).distinct()
     return graph.levels(e).join(inner, "node")
 
 
+@query(_DEPTH + """, d AS (SELECT node, max(depth) AS depth FROM walk GROUP BY node),
+    b AS (SELECT e.dst AS node, min(e.src) AS back FROM e JOIN d x ON x.node = e.src JOIN d y ON y.node = e.dst WHERE x.depth + 1 = y.depth GROUP BY e.dst),
+    path(node, place) AS (SELECT min(node), depth FROM d WHERE depth = (SELECT max(depth) FROM d) GROUP BY depth UNION SELECT b.back, p.place - 1 FROM path p JOIN b ON b.node = p.node)
+    SELECT CAST(place AS INTEGER) AS place, node FROM path""")
+def longest_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph.longest_path(_edges(spark, sf_dir))
+
+
 @query("SELECT p.node, CAST(coalesce(i.n, 0) AS BIGINT) AS indegree, CAST(coalesce(o.n, 0) AS BIGINT) AS outdegree FROM point p LEFT JOIN (SELECT dst, count(*) AS n FROM edge GROUP BY dst) i ON i.dst = p.node LEFT JOIN (SELECT src, count(*) AS n FROM edge GROUP BY src) o ON o.src = p.node")
 def degree_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _edges(spark, sf_dir)
@@ -207,3 +215,38 @@ def graph_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
     bad = e.union(ends.selectExpr("low", "-1")).union(ends.select("loop", "loop")).union(one).withColumn("is_direct", F.lit(None).cast("boolean"))
     return graph.violations(bad, frame(spark, sf_dir, "point").select("node", "position")).where("rule NOT IN ('cycle', 'wrong mark')")
 
+
+#: Points whose size tells their origin, some named at a lesson that does not hold them, some without a note.
+_PLACED = """SELECT node, CASE WHEN node % 29 = 0 THEN -1 ELSE lesson_id END AS lesson_id, CASE WHEN size % 3 = 0 THEN 'reconciled' ELSE 'textbook' END AS origin,
+    size % 2 = 0 AS moved, CASE WHEN size % 5 > 0 THEN 'moved' END AS note FROM point"""
+_LISTED = "SELECT h.lesson_id, CASE WHEN h.kp_id % 31 = 0 THEN -h.kp_id ELSE h.kp_id END AS node, CASE WHEN h.line % 2 = 1 THEN 'intro' ELSE 'practice' END AS part FROM holds h UNION ALL SELECT lesson_id, kp_id, 'practice' FROM holds WHERE kp_id % 37 = 0"
+_REVIEWED = "SELECT c_custkey % 200 + 1 AS node, o_orderkey AS lesson_id FROM orders JOIN customer ON c_custkey = o_custkey"
+
+
+@query(f"""WITH p AS ({_PLACED}), x AS (SELECT DISTINCT * FROM ({_LISTED}) l), r AS ({_REVIEWED}), s AS (SELECT p.*, l.position FROM p LEFT JOIN lesson l ON l.lesson_id = p.lesson_id), v AS (
+    SELECT 'unknown point' AS rule, node, lesson_id FROM x WHERE node NOT IN (SELECT node FROM p)
+    UNION ALL SELECT 'no position', node, lesson_id FROM s WHERE position IS NULL
+    UNION ALL SELECT 'introduced elsewhere', x.node, x.lesson_id FROM x JOIN p ON p.node = x.node WHERE x.part = 'intro' AND x.lesson_id <> p.lesson_id
+    UNION ALL SELECT 'introduced and practised', x.node, x.lesson_id FROM x JOIN x y ON y.node = x.node AND y.lesson_id = x.lesson_id WHERE x.part = 'intro' AND y.part = 'practice'
+    UNION ALL SELECT 'not listed', node, lesson_id FROM p WHERE origin = 'reconciled' AND NOT EXISTS (SELECT 1 FROM x WHERE x.node = p.node AND x.lesson_id = p.lesson_id AND x.part = 'intro')
+    UNION ALL SELECT 'review too early', r.node, r.lesson_id FROM r JOIN lesson l ON l.lesson_id = r.lesson_id JOIN s ON s.node = r.node WHERE l.position < s.position
+    UNION ALL SELECT 'move not minimal', node, lesson_id FROM s WHERE origin = 'reconciled' AND moved AND NOT EXISTS (SELECT 1 FROM edge e JOIN s t ON t.node = e.dst WHERE e.src = s.node AND t.position = s.position)
+    UNION ALL SELECT 'no note', node, lesson_id FROM p WHERE origin = 'reconciled' AND note IS NULL)
+    SELECT DISTINCT rule, node, lesson_id FROM v""")
+def placement_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    views(spark, sf_dir, f"{_PLACED} {_LISTED} {_REVIEWED} lesson edge")
+    return graph.placement_violations(spark.sql(_PLACED), spark.table("lesson"), spark.sql(_LISTED), spark.sql(_REVIEWED), spark.table("edge"))
+
+
+_STANDARD = "SELECT o_orderkey AS item_id, CASE o_orderstatus WHEN 'F' THEN 'covered' WHEN 'O' THEN 'uncovered' ELSE 'not_applicable' END AS status, CASE WHEN o_custkey % 2 = 0 THEN 'later' END AS reason FROM orders"
+
+
+@query(f"""WITH i AS ({_STANDARD}), h AS (SELECT l_orderkey AS item_id, l_partkey AS node FROM lineitem WHERE l_linenumber <= 2), k AS (SELECT p_partkey AS node FROM part WHERE p_size > 5)
+    SELECT 'uncovered' AS rule, item_id FROM i WHERE status = 'uncovered'
+    UNION ALL SELECT 'bad reference', item_id FROM i WHERE status = 'covered' AND (item_id NOT IN (SELECT item_id FROM h) OR EXISTS (SELECT 1 FROM h WHERE h.item_id = i.item_id AND h.node NOT IN (SELECT node FROM k)))
+    UNION ALL SELECT 'no reason', item_id FROM i WHERE status = 'not_applicable' AND reason IS NULL""")
+def coverage_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    views(spark, sf_dir, f"{_STANDARD} lineitem part")
+    nodes = spark.table("lineitem").where("l_linenumber <= 2").groupBy(F.col("l_orderkey").alias("item_id")).agg(F.collect_list("l_partkey").alias("nodes"))
+    known = spark.table("part").where("p_size > 5").select(F.col("p_partkey").alias("node"))
+    return graph.coverage_violations(spark.sql(_STANDARD).join(nodes, "item_id", "left"), known)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from skeinworks.functions import scalars
 from skeinworks.operators import curation, evaluation, sequence
 from skeinworks.plans.catalogue import query
-from skeinworks.plans.fixtures import frame
+from skeinworks.plans.fixtures import frame, views
 
 _WILSON = """round(k / n, 4) AS p, round(greatest(0.0, (k / n + 3.8416 / (2 * n)) / (1 + 3.8416 / n) - 1.96 * sqrt(k / n * (1 - k / n) / n + 3.8416 / (4 * n * n)) / (1 + 3.8416 / n)), 4) AS lo,
     round(least(1.0, (k / n + 3.8416 / (2 * n)) / (1 + 3.8416 / n) + 1.96 * sqrt(k / n * (1 - k / n) / n + 3.8416 / (4 * n * n)) / (1 + 3.8416 / n)), 4) AS hi"""
@@ -99,12 +99,12 @@ def three_view_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""SELECT item_id, CASE WHEN x = y THEN x WHEN z IS NOT NULL THEN z END AS label, CASE WHEN x = y THEN 'consensus' WHEN z IS NULL THEN 'failed' WHEN conf < 0.7 THEN 'queue' ELSE 'arbitrated' END AS status FROM
-    (SELECT doc_id AS item_id, quality AS x, long_text AS y, CASE WHEN doc_id % 5 <> 0 THEN 1 - toxic END AS z, (doc_id % 10) / 10.0 AS conf FROM ({_LABELLED}))""")
+    (SELECT doc_id AS item_id, quality AS x, CASE WHEN doc_id % 11 <> 0 THEN long_text END AS y, CASE WHEN doc_id % 5 <> 0 THEN 1 - toxic END AS z, (doc_id % 10) / 10.0 AS conf FROM ({_LABELLED}))""")
 def consensus_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = _labelled(spark, sf_dir)
     pick = lambda c: r.select(F.col("doc_id").alias("item_id"), F.col(c).alias("label"))
     arbiter = r.where("doc_id % 5 <> 0").select(F.col("doc_id").alias("item_id"), (1 - F.col("toxic")).alias("label"), (F.col("doc_id") % 10 / 10.0).alias("confidence"))
-    return evaluation.merged_labels(pick("quality"), pick("long_text"), arbiter)
+    return evaluation.merged_labels(pick("quality"), pick("long_text").where("item_id % 11 <> 0"), arbiter)
 
 
 @query("""WITH b AS (SELECT DISTINCT user_id AS query_id, CAST(event_id % 40 AS BIGINT) AS doc_id, CASE event_type WHEN 'purchase' THEN 2 WHEN 'click' THEN 1 END AS t FROM events WHERE event_type IN ('purchase', 'click')), o AS (SELECT query_id, doc_id, max(t) AS t FROM b GROUP BY ALL),
@@ -162,7 +162,61 @@ def text_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frame(spark, sf_dir, "documents").select("doc_id", scalars.text_key("model-1", F.col("text")).alias("text_hash"))
 
 
+_PICKED = "SELECT l_partkey AS anchor, l_linenumber % 2 AS annotator, p.p_size + 100000000 AS candidate, CASE l_returnflag WHEN 'R' THEN 'same' ELSE 'extends' END AS relation FROM lineitem JOIN part p ON p.p_partkey = l_suppkey"
+_PAIRED = "SELECT anchor, candidate, count(DISTINCT annotator) AS by_n, CASE WHEN max(relation) = 'same' THEN 'same' ELSE 'extends' END AS relation FROM k GROUP BY anchor, candidate"
+_X, _Y, _Z = ("CASE (a + b) % 3 WHEN 0 THEN 'same' WHEN 1 THEN 'extends' ELSE 'none' END", "CASE (a * 2 + b) % 3 WHEN 0 THEN 'same' WHEN 1 THEN 'extends' ELSE 'none' END", "CASE WHEN b % 7 <> 0 THEN 'extends' END")
+
+
+@query(f"""WITH k AS ({_PICKED}), s AS ({_PAIRED}), x AS (SELECT *, anchor AS a, candidate AS b FROM s), y AS (SELECT *, {_X} AS l1, {_Y} AS l2, {_Z} AS l3 FROM x), z AS (SELECT *, CASE WHEN l1 = l2 THEN l1 ELSE l3 END AS label FROM y),
+    g AS (SELECT anchor, string_agg(CASE WHEN label = 'same' THEN CAST(candidate AS VARCHAR) END, ',' ORDER BY candidate) AS same, string_agg(CASE WHEN label = 'extends' THEN CAST(candidate AS VARCHAR) END, ',' ORDER BY candidate) AS extends, count(label) AS n_decided FROM z GROUP BY anchor)
+    SELECT p_partkey AS anchor, coalesce(same, '') AS same, coalesce(extends, '') AS extends, coalesce(n_decided, 0) AS n_decided FROM part LEFT JOIN g ON g.anchor = p_partkey""")
+def anchor_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    views(spark, sf_dir, _PICKED)
+    screened = evaluation.screened_pairs(spark.sql(_PICKED))
+    items = screened.select("a", "b").distinct().withColumn("item_id", F.struct("a", "b"))
+    said = lambda text: items.select("item_id", F.expr(text).alias("label")).where("label IS NOT NULL")
+    merged = evaluation.merged_labels(said(_X), said(_Y), said(_Z).withColumn("confidence", F.lit(0.9)))
+    anchors = spark.table("part").select(F.col("p_partkey").alias("anchor"))
+    out = evaluation.anchor_labels(anchors, screened, merged.select("item_id.*", "label"), ["same", "extends"])
+    joined = lambda c: F.array_join(F.col(c).cast("array<string>"), ",").alias(c)
+    return out.select("anchor", joined("same"), joined("extends"), "n_decided")
+
+
+@query(f"WITH k AS ({_PICKED}), s AS ({_PAIRED}) SELECT relation, count(*) AS n_pairs, round(avg(CAST(by_n = 2 AS INTEGER)), 4) AS overlap FROM s GROUP BY relation")
+def screening_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    views(spark, sf_dir, _PICKED)
+    screened = evaluation.screened_pairs(spark.sql(_PICKED))
+    part = lambda r: evaluation.screening_overlap(screened.where(F.col("relation") == r)).where("n_pairs > 0").withColumn("relation", F.lit(r))
+    return part("same").unionByName(part("extends"))
+
+
+@query("""WITH s AS (SELECT event_id, event_type = 'click' AS demoted, CASE event_type WHEN 'purchase' THEN 'test' ELSE 'val' END AS split FROM events WHERE event_type IN ('signup', 'click', 'purchase'))
+    SELECT * FROM s UNION ALL SELECT event_id, demoted, 'all' FROM s""")
+def gold_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = frame(spark, sf_dir, "events")
+    of = lambda kind: e.where(F.col("event_type") == kind).select("event_id")
+    part = lambda split: evaluation.gold_split(of("signup"), of("click"), of("purchase"), split).withColumn("split", F.lit(split))
+    return part("val").unionByName(part("test")).unionByName(part("all"))
+
+
 # Pipeline transforms.
+_JUDGED = "SELECT l_orderkey AS item_id, concat(l_linestatus, '-', CAST(l_linenumber AS STRING)) AS point, l_returnflag <> 'R' AS covered, l_partkey, l_suppkey FROM lineitem"
+
+
+@query(f"""WITH j AS ({_JUDGED.replace("STRING", "VARCHAR")}), k AS (SELECT p_partkey AS node, CASE WHEN p_size <= 25 THEN 'textbook' ELSE 'gap' END AS provenance FROM part WHERE p_size <> 7),
+    v AS (SELECT item_id, CASE WHEN count_if(covered) = count(*) THEN 'covered' WHEN count_if(covered) = 0 THEN 'not_covered' ELSE 'partial' END AS verdict, coalesce(string_agg(CASE WHEN NOT covered THEN point END, '; ' ORDER BY point), '') AS missing FROM j GROUP BY item_id),
+    c AS (SELECT item_id, l_partkey AS node FROM j UNION SELECT item_id, l_suppkey FROM j), f AS (SELECT item_id, phase, c.node FROM c JOIN k ON k.node = c.node, (VALUES ('pre'), ('post')) AS t(phase) WHERE phase = 'post' OR provenance = 'textbook'),
+    n AS (SELECT item_id, phase, string_agg(CAST(node AS VARCHAR), ',' ORDER BY node) AS nodes FROM f GROUP BY ALL)
+    SELECT v.item_id, t.phase, verdict, coalesce(nodes, '') AS nodes, missing FROM v CROSS JOIN (VALUES ('pre'), ('post')) AS t(phase) LEFT JOIN n ON n.item_id = v.item_id AND n.phase = t.phase""")
+def coverage_phases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    views(spark, sf_dir, _JUDGED)
+    judged = spark.sql(_JUDGED).select("item_id", "point", "covered", F.array("l_partkey", "l_suppkey").alias("nodes"))
+    points = frame(spark, sf_dir, "part").where("p_size <> 7").select(F.col("p_partkey").alias("node"), F.when(F.col("p_size") <= 25, "textbook").otherwise("gap").alias("provenance"))
+    both = curation.standard_coverage(judged, points, "pre").unionByName(curation.standard_coverage(judged, points, "post"))
+    return both.withColumn("nodes", F.array_join(F.col("nodes").cast("array<string>"), ","))
+
+
+
 @query("SELECT concat('j.pair.', CAST(l_partkey AS VARCHAR), '.', CAST(l_suppkey AS VARCHAR)) AS id, 'pair' AS task, l_partkey AS src, l_suppkey AS dst, l_returnflag AS answer, greatest(0.0, least(1.0, l_discount * 12)) AS confidence, l_linestatus AS reason FROM lineitem")
 def judgment_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = frame(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("src"), F.col("l_suppkey").alias("dst"), F.col("l_returnflag").alias("answer"), (F.col("l_discount") * 12).alias("confidence"), F.col("l_linestatus").alias("reason"))

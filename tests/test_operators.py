@@ -239,6 +239,75 @@ def test_label_merging(spark):
     s = spark.createDataFrame([(1, "a"), (2, "b"), (3, "b"), (4, "b")], "item_id int, label string")
     z = spark.createDataFrame([(2, "b", 0.9), (3, "c", 0.5)], "item_id int, label string, confidence double")
     assert rows(evaluation.merged_labels(f, s, z)) == {(1, "a", "consensus"), (2, "b", "arbitrated"), (3, "c", "queue"), (4, None, "failed"), (5, None, "failed")}
+    late = z.union(spark.createDataFrame([(4, "c", None), (5, "b", 0.8)], z.schema))
+    assert {(4, "c", "queue"), (5, "b", "arbitrated")} <= rows(evaluation.merged_labels(f, s, late))
+
+
+def test_anchor_labels(spark):
+    picks = spark.createDataFrame([(5, "x", 2, "extends"), (5, "y", 2, "same"), (5, "x", 9, "extends"), (5, "x", 5, "same"), (5, "y", None, "same"), (7, "y", 1, "extends")], "anchor int, annotator string, candidate int, relation string")
+    screened = evaluation.screened_pairs(picks)
+    got = {(r.anchor, r.candidate): (r.a, r.b, r.screened_by, r.relation) for r in screened.collect()}
+    assert got == {(5, 2): (2, 5, ["x", "y"], "same"), (5, 9): (5, 9, ["x"], "extends"), (7, 1): (1, 7, ["y"], "extends")}
+    assert tuple(evaluation.screening_overlap(screened).first()) == (3, 0.3333)
+    assert tuple(evaluation.screening_overlap(screened.limit(0)).first()) == (0, None)
+    labels = spark.createDataFrame([(2, 5, "same"), (5, 9, "same"), (1, 7, None)], "a int, b int, label string")
+    anchors = spark.createDataFrame([(5,), (7,), (8,)], "anchor int")
+    got = {r.anchor: (r.same, r.extends, r.n_decided) for r in evaluation.anchor_labels(anchors, screened, labels, ["same", "extends"]).collect()}
+    assert got == {5: ([2, 9], [], 2), 7: ([], [], 0), 8: ([], [], 0)}
+
+
+def test_gold_split(spark):
+    one = lambda x: spark.createDataFrame([(x,)], "id string")
+    part = lambda split: rows(evaluation.gold_split(one("d"), one("t"), one("h"), split))
+    assert part("val") == {("d", False), ("t", True)} and part("test") == {("h", False)}
+    assert part("all") == part("val") | part("test")
+    with pytest.raises(ValueError):
+        part("dev")
+
+
+def test_standard_coverage(spark):
+    judged = spark.createDataFrame([(1, "p", True, [3, 1]), (1, "q", None, [9]), (2, "p", True, None), (3, "p", False, [])], "item_id int, point string, covered boolean, nodes array<int>")
+    points = spark.createDataFrame([(1, "textbook"), (3, "gap"), (4, None)], "node int, provenance string")
+    got = {r.item_id: (r.verdict, r.nodes, r.missing) for r in curation.standard_coverage(judged, points, "pre").collect()}
+    assert got == {1: ("partial", [1], "q"), 2: ("covered", [], ""), 3: ("not_covered", [], "p")}
+    assert {r.item_id: r.nodes for r in curation.standard_coverage(judged, points, "post").collect()}[1] == [1, 3]
+    assert curation.standard_coverage(judged.limit(0), points, "post").count() == 0
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_longest_path(spark, seed):
+    pairs = random_dag(seed)
+    depth = {}
+    for b in range(25):
+        depth[b] = max((depth[x] + 1 for x, y in pairs if y == b), default=0)
+    inner = {x for p in pairs for x in p}
+    path = [min(n for n in inner if depth[n] == max(depth.values()))]
+    while depth[path[-1]]:
+        path.append(min(x for x, y in pairs if y == path[-1] and depth[x] + 1 == depth[y]))
+    e = spark.createDataFrame(pairs, "src int, dst int")
+    assert [r.node for r in graph.longest_path(e).orderBy("place").collect()] == path[::-1]
+    assert graph.longest_path(e.limit(0)).count() == 0
+
+
+def test_placement_and_coverage_rules(spark):
+    lessons = spark.createDataFrame([(10, 1), (20, 2)], "lesson_id int, position int")
+    schema = "node int, lesson_id int, origin string, moved boolean, note string"
+    listed_schema = "lesson_id int, node int, part string"
+    none = spark.createDataFrame([], "node int, lesson_id int")
+    edges = spark.createDataFrame([(1, 2)], "src int, dst int")
+    good = spark.createDataFrame([(1, 20, "reconciled", True, "why"), (2, 20, "textbook", False, None)], schema)
+    listed = spark.createDataFrame([(20, 1, "intro"), (20, 2, "intro")], listed_schema)
+    assert graph.placement_violations(good, lessons, listed, none, edges).count() == 0
+    bad = spark.createDataFrame([(1, 10, "reconciled", True, None), (2, 20, "textbook", False, None), (3, 99, "textbook", False, None)], schema)
+    wrong = spark.createDataFrame([(20, 1, "intro"), (20, 2, "intro"), (20, 2, "practice"), (10, 8, "practice")], listed_schema)
+    reviews = spark.createDataFrame([(2, 10)], "node int, lesson_id int")
+    got = rows(graph.placement_violations(bad, lessons, wrong, reviews, edges))
+    assert got == {
+        ("unknown point", 8, 10), ("no position", 3, 99), ("introduced elsewhere", 1, 20), ("introduced and practised", 2, 20),
+        ("not listed", 1, 10), ("review too early", 2, 10), ("move not minimal", 1, 10), ("no note", 1, 10),
+    }
+    items = spark.createDataFrame([(1, "covered", [2], None), (2, "covered", [2, 9], None), (3, "covered", None, None), (4, "uncovered", [], None), (5, "not_applicable", [], ""), (6, "not_applicable", [], "no")], "item_id int, status string, nodes array<int>, reason string")
+    assert rows(graph.coverage_violations(items, good)) == {("bad reference", 2), ("bad reference", 3), ("uncovered", 4), ("no reason", 5)}
 
 
 def test_curation(spark):
