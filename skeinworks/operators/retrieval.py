@@ -13,6 +13,11 @@ FIELD_WEIGHTS = {"name": 3.0, "alias": 3.0, "thread": 1.5, "desc": 1.0, "lesson"
 K1, B = 1.4, 0.6
 DOMAIN_BOOST, LATER, EARLIER, DENSE_WEIGHT, THREAD_PENALTY = 1.3, 0.6, 0.8, 0.5, 0.8
 
+#: Fixed values of the search over pooled fields.
+POOLED_WEIGHTS = {"name": 3.2, "aliases": 2.6, "thread": 1.4, "description": 0.9, "topic": 0.8}
+POOLED_K1, POOLED_B, TWO_LETTERS, NAMED = 1.4, 0.72, 1.25, 1.5
+GRADE_FACTORS, SEMESTER_FACTORS, DOMAIN_FACTORS = (1.9, 0.5), (1.35, 0.7), (1.4, 0.8)
+
 
 def tokens(text: Column, unigram: bool = False, trigram: bool = False) -> Column:
     """Bigrams of runs of CJK characters (a single one stays), whole lower-cased runs of letters or numbers.
@@ -77,6 +82,40 @@ def lexical_scores(queries: DataFrame, index: DataFrame, k1: float = K1) -> Data
     return hit.groupBy("query_id", "doc_id").agg(F.sum(F.col("weight") * F.col("idf") * F.col("v") * (k1 + 1) / (F.col("v") + k1)).alias("score"))
 
 
+def pooled_scores(queries: DataFrame, fields: DataFrame, weights: dict[str, float] = POOLED_WEIGHTS, k1: float = POOLED_K1, b: float = POOLED_B) -> DataFrame:
+    """``query_id, doc_id, score`` by BM25 over a document's fields as one text, whose tokens count by the weight of their field.
+
+    ``queries``: ``query_id, tokens``; ``fields``: ``doc_id, field, tokens``. A token counts once a
+    query, one of two characters a quarter more. Documents without tokens count in the mean length.
+    """
+    weight = F.create_map(*(x for k, w in weights.items() for x in (F.lit(k), F.lit(float(w)))))[F.col("field")]
+    known = fields.withColumn("_w", F.coalesce(weight, F.lit(0.0)))
+    lengths = known.groupBy("doc_id").agg(F.sum(F.col("_w") * F.greatest(F.size("tokens"), F.lit(0))).alias("length"))
+    total = lengths.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("length").alias("mean"))
+    counts = known.where("_w > 0").select("doc_id", "_w", F.explode("tokens").alias("token")).groupBy("token", "doc_id").agg(F.sum("_w").alias("f"))
+    df = counts.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    terms = queries.select("query_id", F.explode(F.array_distinct("tokens")).alias("token"))
+    hit = terms.join(counts, "token").join(df, "token").join(lengths, "doc_id").crossJoin(F.broadcast(total))
+    idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    part = F.col("f") * (k1 + 1) / (F.col("f") + k1 * (1 - b + b * F.col("length") / F.col("mean")))
+    boost = F.when(F.length("token") == 2, TWO_LETTERS).otherwise(1.0)
+    return hit.groupBy("query_id", "doc_id").agg(F.sum(idf * part * boost).alias("score"))
+
+
+def scope_factor(*facets: tuple[Column, Column, tuple[float, float]]) -> Column:
+    """Product over (value, wanted value, factors): the first factor if they are equal, else the second; 1 where nothing is wanted."""
+    out = F.lit(1.0)
+    for value, wanted, (same, other) in facets:
+        out = out * F.when(wanted.isNull(), 1.0).when(value == wanted, same).otherwise(other)
+    return out
+
+
+def named_factor(name: Column, text: Column) -> Column:
+    """NAMED for a name that contains the query's text (without white space), else 1."""
+    inner = F.regexp_replace(F.coalesce(text, F.lit("")), r"\s", "")
+    return F.when((inner != "") & F.contains(name, inner), NAMED).otherwise(1.0)
+
+
 def tfidf(docs: DataFrame, sublinear: bool = True) -> DataFrame:
     """L2-normalised weights ``doc_id, token, w`` of rows ``doc_id, tokens``: smooth idf, 1 + ln tf (or tf)."""
     counts = docs.select("doc_id", F.explode("tokens").alias("token")).groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("tf"))

@@ -96,6 +96,26 @@ def bm25f_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieval.ranked(_scores(spark, sf_dir), 10, ["query_id"]).select("query_id", "doc_id", "place")
 
 
+_POOLED = [(1, "small red widget", 3, None), (2, "red", None, "Brand#1"), (3, "bolt 4", 9, "Brand#2")]
+
+
+@query("""WITH f AS (SELECT p_partkey AS doc_id, 3.2 AS w, p_name AS text FROM part UNION ALL SELECT p_partkey, 1.4, concat(p_brand, ' ', p_type) FROM part),
+    t AS (SELECT doc_id, w, unnest(regexp_extract_all(lower(text), '[a-z]+|[0-9]+')) AS token FROM f), n AS (SELECT doc_id, CAST(sum(w) AS DOUBLE) AS len FROM t GROUP BY ALL), a AS (SELECT avg(coalesce(len, 0)) AS mean, count(*) AS n_docs FROM part LEFT JOIN n ON doc_id = p_partkey),
+    c AS (SELECT doc_id, token, CAST(sum(w) AS DOUBLE) AS f FROM t GROUP BY ALL), d AS (SELECT token, count(*) AS df FROM c GROUP BY token),
+    z AS (SELECT * FROM (VALUES (1, 'small red widget', 3, NULL), (2, 'red', NULL, 'Brand#1'), (3, 'bolt 4', 9, 'Brand#2')) AS v(query_id, text, size, brand)), q AS (SELECT query_id, unnest(list_distinct(string_split(text, ' '))) AS token FROM z),
+    s AS (SELECT query_id, c.doc_id, sum(ln(1 + (n_docs - df + 0.5) / (df + 0.5)) * f * 2.4 / (f + 1.4 * (1 - 0.72 + 0.72 * len / mean)) * CASE WHEN length(q.token) = 2 THEN 1.25 ELSE 1 END) AS score FROM q JOIN c ON c.token = q.token JOIN d ON d.token = q.token JOIN n ON n.doc_id = c.doc_id CROSS JOIN a GROUP BY ALL)
+    SELECT s.query_id, s.doc_id, round(score * CASE WHEN size IS NULL THEN 1.0 WHEN size = p_size THEN 1.9 ELSE 0.5 END * CASE WHEN brand IS NULL THEN 1.0 WHEN brand = p_brand THEN 1.4 ELSE 0.8 END * CASE WHEN contains(p_name, replace(z.text, ' ', '')) THEN 1.5 ELSE 1.0 END, 6) AS score
+    FROM s JOIN z ON z.query_id = s.query_id JOIN part ON p_partkey = s.doc_id""")
+def pooled_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = frame(spark, sf_dir, "part")
+    fields = part.select(F.col("p_partkey").alias("doc_id"), F.lit("name").alias("field"), retrieval.tokens(F.col("p_name")).alias("tokens")).union(part.select("p_partkey", F.lit("thread"), retrieval.tokens(F.concat_ws(" ", "p_brand", "p_type"))))
+    asked = spark.createDataFrame(_POOLED, "query_id int, text string, size int, brand string")
+    found = retrieval.pooled_scores(asked.select("query_id", retrieval.tokens(F.col("text")).alias("tokens")), fields)
+    factor = retrieval.scope_factor((F.col("p_size"), F.col("size"), retrieval.GRADE_FACTORS), (F.col("p_brand"), F.col("brand"), retrieval.DOMAIN_FACTORS)) * retrieval.named_factor(F.col("p_name"), F.col("text"))
+    placed = found.join(F.broadcast(asked), "query_id").join(part.select(F.col("p_partkey").alias("doc_id"), "p_size", "p_brand", "p_name"), "doc_id")
+    return placed.select("query_id", "doc_id", F.round(F.col("score") * factor, 6).alias("score"))
+
+
 _PRIOR = "CASE WHEN grade <= 3 AND 3 <= last_grade THEN CASE WHEN grade = 3 THEN CASE WHEN semester = 'a' THEN 1.2 * 1.1 ELSE 1.2 END ELSE 1.0 END WHEN grade > 3 THEN power(0.6, grade - 3) ELSE power(0.8, 3 - last_grade) END"
 _SPAN = "SELECT p.node, p.grade, p.semester, CAST(max(l.grade) AS INT) AS last_grade FROM point p JOIN holds h ON h.kp_id = p.node JOIN lesson l ON l.lesson_id = h.lesson_id GROUP BY p.node, p.grade, p.semester"
 

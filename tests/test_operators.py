@@ -173,6 +173,30 @@ def test_diversified_equals_greedy(spark):
     assert [r.doc_id for r in retrieval.diversified(df, 12).orderBy("place").collect()] == greedy
 
 
+def test_pooled_scores(spark):
+    import math
+
+    texts = {1: {"name": ["a", "bb"], "topic": ["a"]}, 2: {"name": ["c"], "topic": []}, 3: {"name": ["bb", "bb"], "other": ["a"]}}
+    fields = spark.createDataFrame([(d, f, t) for d, x in texts.items() for f, t in x.items()], "doc_id int, field string, tokens array<string>")
+    w = {"name": 2.0, "topic": 1.0}
+    lengths = {d: sum(w.get(f, 0) * len(t) for f, t in x.items()) for d, x in texts.items()}
+    mean = sum(lengths.values()) / 3
+    want = {}
+    for token, df in (("a", 1), ("bb", 2)):
+        for d, x in texts.items():
+            f = sum(w.get(name, 0) * t.count(token) for name, t in x.items())
+            if f:
+                part = math.log(1 + (3 - df + 0.5) / (df + 0.5)) * f * 2.4 / (f + 1.4 * (0.28 + 0.72 * lengths[d] / mean)) * (1.25 if len(token) == 2 else 1)
+                want[d] = want.get(d, 0) + part
+    queries = spark.createDataFrame([(7, ["a", "bb", "a"])], "query_id int, tokens array<string>")
+    got = {r.doc_id: r.score for r in retrieval.pooled_scores(queries, fields, w).collect()}
+    assert got == pytest.approx(want)
+    assert retrieval.pooled_scores(queries, fields.limit(0), w).count() == 0
+    row = spark.createDataFrame([("abc", "a b", 1, None, 2)], "name string, text string, g int, wanted int, other int")
+    scope = retrieval.scope_factor((F.col("g"), F.col("wanted"), (1.9, 0.5)), (F.col("g"), F.col("other"), (1.4, 0.8)))
+    assert tuple(row.select(scope, retrieval.named_factor(F.col("name"), F.col("text"))).first()) == (0.8, 1.5)
+
+
 def test_parse_query():
     q = retrieval.parse_query("三年级下学期数与代数，想复习一下二年级学过的乘法", ("想",))
     assert (q.grades, q.semester, q.domains, q.scope) == ([3, 2], "b", ["na"], False)
