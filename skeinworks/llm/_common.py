@@ -100,6 +100,27 @@ def marked_places(places: DataFrame, bits: int) -> np.ndarray:
     return np.unpackbits(table.view(np.uint8), bitorder="little").view(bool)
 
 
+#: A key with more than one in so many rows is frequent: there are that many such keys at most, whatever the table.
+FREQUENT = 1024
+
+
+def attach(rows: DataFrame, found: DataFrame, keys: list[str], count: str = "_n") -> DataFrame:
+    """Rows with the columns that ``found`` (a written table) has for their keys; null keys are equal; rows without a match are left out.
+
+    ``found`` has one row for each key, with the number of its rows in ``count``. Frequent keys are
+    joined by broadcast (at most FREQUENT rows), so that a hot one stays where its rows are; the others
+    are shuffled. Key columns of ``found`` are dropped.
+    """
+    total = found.agg(F.sum(count).alias("n")).first().n or 0
+    found = found.select(*(F.col(k).alias(f"_k_{k}") for k in keys), *(c for c in found.columns if c not in (*keys,)))
+    often = found.where(F.col(count) * FREQUENT > total)
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    drop = [*(f"_k_{k}" for k in keys), count]
+    hot = rows.join(F.broadcast(often), same, "inner")
+    rest = rows.join(F.broadcast(often), same, "left_anti").join(found.where(F.col(count) * FREQUENT <= total), same, "inner")
+    return hot.drop(*drop).unionByName(rest.drop(*drop))
+
+
 def give_back() -> None:
     """Has the C library return what a fit has used; the driver's process goes on for long. Without that call nothing is done."""
     try:
