@@ -258,17 +258,37 @@ class Curriculum:
 
     # ---- exercises
 
-    def instantiate_many(self, card_id: str, n: int = 1, seed0: int = 0, unique: bool = True) -> DataFrame:
-        """Up to n exercises of consecutive seeds; with ``unique`` the first seed of each set of parameters. At most max(60, 20 n) seeds are tried."""
-        from skeinworks.functions.generate import instantiate_many
+    def instantiate_many(self, card_id: str, n: int = 1, seed0: int = 0, unique: bool = True, lesson_id: str | None = None, only_in_bounds: bool = False, accept_borderline: bool = False, max_tries: int = 50) -> DataFrame:
+        """Up to n exercises of consecutive seeds; with ``unique`` the first seed of each set of parameters. At most max(60, 20 n) seeds are tried.
 
-        card = self.archetype(card_id)
-        spec = json.dumps({"id": card.id, "template": card.template, "slots": json.loads(card.slots or "{}"), "constraints": list(card.constraints or []), "solver": card.solver, "answer": card.answer})
-        seeds = self.spark.range(seed0, seed0 + (max(60, 20 * n) if unique else n)).select(F.lit(card_id).alias("card_id"), F.lit(spec).alias("card"), F.col("id").alias("seed"))
-        made = instantiate_many(seeds).where("error IS NULL")
+        With a lesson each has its ``verdict`` against the lesson's boundary; ``only_in_bounds`` takes
+        the first of ``max_tries`` draws of a seed that is ``in`` (or borderline, if accepted).
+        """
+        made = self._exercises(card_id, (max(60, 20 * n) if unique else n), seed0, lesson_id, only_in_bounds, accept_borderline, max_tries).where("error IS NULL")
         if unique:
-            made = made.groupBy("card_id", "params").agg(F.min("seed").alias("seed"), F.min_by("problem", "seed").alias("problem"), F.min_by("answer", "seed").alias("answer"))
+            keep = [c for c in made.columns if c not in ("card_id", "params", "seed", "error")]
+            made = made.groupBy("card_id", "params").agg(F.min("seed").alias("seed"), *(F.min_by(c, "seed").alias(c) for c in keep))
         return made.orderBy("seed").limit(n)
 
-    def instantiate(self, card_id: str, seed: int = 0) -> Row:
-        return self._one(self.instantiate_many(card_id, 1, seed, unique=False), card_id)
+    def _exercises(self, card_id: str, seeds: int, seed0: int, lesson_id: str | None, only_in_bounds: bool, accept_borderline: bool, max_tries: int) -> DataFrame:
+        from skeinworks.functions.generate import instantiate_many, instantiate_within
+
+        if only_in_bounds and lesson_id is None:
+            raise ValueError("only_in_bounds needs a lesson")
+        card = self.archetype(card_id)
+        spec = json.dumps({"id": card.id, "template": card.template, "slots": json.loads(card.slots or "{}"), "constraints": list(card.constraints or []), "solver": card.solver, "answer": card.answer})
+        rows = self.spark.range(seed0, seed0 + seeds).select(F.lit(card_id).alias("card_id"), F.lit(spec).alias("card"), F.col("id").alias("seed"))
+        if lesson_id is None:
+            return instantiate_many(rows)
+        self.lesson_position(lesson_id)  # an unknown lesson is an error
+        bounds = lattice.snapshots(self.t["facts"], self.places().select("lesson_id", "position", "unit_id")).where(F.col("lesson_id") == lesson_id)
+        return instantiate_within(rows.withColumn("lesson_id", F.lit(lesson_id)), bounds, only_in_bounds, accept_borderline, max_tries)
+
+    def instantiate(self, card_id: str, seed: int = 0, lesson_id: str | None = None, only_in_bounds: bool = False, accept_borderline: bool = False, max_tries: int = 50) -> Row:
+        """The exercise of one seed; NoInBounds if no draw stays within the lesson's boundary, Unsatisfiable if none meets the constraints."""
+        from skeinworks.functions.generate import NoInBounds, Unsatisfiable
+
+        row = self._exercises(card_id, 1, seed, lesson_id, only_in_bounds, accept_borderline, max_tries).first()
+        if row.error is not None:
+            raise {"NoInBounds": NoInBounds, "Unsatisfiable": Unsatisfiable}.get(row.error, ValueError)(f"{card_id}, seed {seed}: {row.error}")
+        return row

@@ -9,7 +9,8 @@ from decimal import Decimal, InvalidOperation
 from fractions import Fraction
 
 from skeinworks.functions import generate, mining
-from skeinworks.functions.numbers import ANY_FRACTION, FRACTION_TYPES, OPERATION_TAGS, fraction_type, parse_number
+from skeinworks.functions.generate import params_features  # noqa: F401
+from skeinworks.functions.numbers import ANY_FRACTION, FRACTION_TYPES, OPERATION_TAGS, number_features  # noqa: F401
 
 # Words that tell the form of an item, tried in this order.
 FORM_WORDS = [
@@ -92,19 +93,6 @@ def sanitised(parsed: dict, units: dict[str, str], geometry: Iterable[str] = (),
     return kept, dropped
 
 
-def number_features(values: Iterable[str]) -> dict:
-    """Largest integer (part), most decimal places and fraction types of written numbers; other text does not count."""
-    found = [n for n in map(parse_number, values) if n is not None]
-    integers = [int(n.value) for n in found if n.kind in ("int", "dec")] + [n.numerator for n in found if n.kind == "frac" and n.denominator == 1]
-    fractions = {fraction_type(n) for n in found if n.kind == "frac" and n.denominator != 1}
-    return {"integer_max": max(integers, default=None), "decimal_places": max((n.places for n in found), default=0) or None, "fraction_types": sorted(fractions)}
-
-
-def params_features(params: dict, slots: dict) -> dict:
-    """Features of an exercise's parameters; choices and truth values do not count."""
-    return number_features(str(v) for k, v in params.items() if slots.get(k, {}).get("type") != "choice" and not isinstance(v, bool))
-
-
 def instance_features(exercise: dict, units: dict[str, str], terms: dict[str, str]) -> dict:
     """Observed features of a textbook exercise: from its recorded operand features and its text.
 
@@ -154,9 +142,12 @@ def _slot_problems(name: str, slot: dict, envelope: dict) -> list[str]:
     return out
 
 
-def card_problems(card: dict, envelope: dict, sources: list[str], seed: int = 0) -> list[str]:
+def card_problems(card: dict, envelope: dict, sources: list[str], seed: int = 0, at: generate.Child | None = None) -> list[str]:
     """What is wrong with a card (empty if it passes): slots within the observed envelope; new examples whose parameters fit and show;
     placeholders that resolve; examples that the solver confirms; constraints that one draw in a hundred meets; probes of three seeds that solve."""
+    if at is None:
+        with generate.Child() as one:
+            return card_problems(card, envelope, sources, seed, one)
     slots, out = card["slots"], []
     for name, slot in slots.items():
         out += _slot_problems(name, slot, envelope)
@@ -180,24 +171,22 @@ def card_problems(card: dict, envelope: dict, sources: list[str], seed: int = 0)
     kinds = {k: s.get("type", "str") for k, s in slots.items()}
     constraints, solver = card.get("constraints") or [], card.get("solver") if card["verifiable_type"] == "program" else None
     if solver:
-        for i, (example, r) in enumerate(zip(card["examples"], generate.solve_all(solver, kinds, [e["params"] for e in card["examples"]]), strict=True), 1):
+        for i, (example, r) in enumerate(zip(card["examples"], generate.solve_all(solver, kinds, [e["params"] for e in card["examples"]], at=at), strict=True), 1):
             if "error" in r:
                 out.append(f"example {i}: {r['error']}")
             elif not generate.holds(constraints, generate.typed_params(example["params"], slots)):
                 out.append(f"example {i}: breaks a constraint")
             elif not generate.answers_equal(generate.decode(r["result"]), example.get("answer_value", example["answer"])):
                 out.append(f"example {i}: another answer")
-    if not out and constraints and generate.acceptance(slots, constraints, 2000, seed) < ACCEPTANCE:
-        out.append("constraints are hardly ever met")
+    if not out and constraints:
+        share = at.ask("acceptance", 20.0, slots=slots, constraints=constraints, n=2000, seed=seed)
+        if share.get("out", 0) < ACCEPTANCE:
+            out.append("constraints are hardly ever met" if "out" in share else f"constraints: {share['error']}")
     for s in (seed, seed + 7919, seed + 104729) if not out else ():
-        import random
-
-        rng, drawn = random.Random(s), []
-        for _ in range(PROBES):
-            drawn.append(generate.draw(slots, constraints, rng))
-        if None in drawn:
-            return ["constraints cannot be met"]
-        results = generate.solve_all(solver, kinds, drawn) if solver else []
+        found = at.ask("candidates", 20.0, slots=slots, constraints=constraints, seed=s, n=PROBES, code=solver or None)
+        if len(found.get("out", ())) < PROBES:
+            return ["constraints cannot be met" if "out" in found else f"probes: {found['error']}"]
+        results = found["out"] if solver else []
         if any("error" in r for r in results):
             return [f"{sum('error' in r for r in results)} of {PROBES} probes fail"]
         if sum(r["result"][0] == "none" for r in results) > PROBES // 4:

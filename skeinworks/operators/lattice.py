@@ -10,11 +10,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skeinworks.functions.numbers import FRACTION_IMPLIES, OPERATION_TAGS, operation_closure
+from skeinworks.functions.numbers import FRACTION_IMPLIES, FRACTION_TYPES, OPERATION_TAGS, operation_closure
 from skeinworks.operators.sequence import running_max
 from skeinworks.session import materialise
 
 KEY = ["dimension", "op", "token"]
+#: Rows of a table of tokens that is broadcast at most; a larger one is shuffled.
+LISTED = 100_000
 
 
 def closed_fractions(facts: DataFrame) -> DataFrame:
@@ -47,9 +49,43 @@ def rebuilt(deltas: DataFrame) -> DataFrame:
 
 
 def boundary_at(facts: DataFrame, positions: DataFrame) -> DataFrame:
-    """Tokens allowed at each given position: ``position, dimension, op, token``. Each token has one row to be compared with."""
-    at = positions.select(F.col("position").alias("at")).distinct()
-    return introduced(facts).join(at, F.col("position") <= F.col("at")).select(F.col("at").alias("position"), *KEY)
+    """Tokens allowed at each given position: ``position, dimension, op, token``.
+
+    Positions are dealt out by range. A token goes once to the range it is introduced in and to each
+    later one (there are as many ranges as shuffle partitions at most), where it meets the positions
+    of that range alone.
+    """
+    n = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    at = materialise(positions.select(F.col("position").cast("long").alias("at")).where("at IS NOT NULL").distinct().repartitionByRange(n, "at").withColumn("_range", F.spark_partition_id()), "positions")
+    ends = sorted((r.last, r._range) for r in at.groupBy("_range").agg(F.max("at").alias("last")).collect())  # a row for each range
+    if not ends:
+        return introduced(facts).select(F.col("position").cast("long").alias("position"), *KEY).limit(0)
+    numbered = F.array(*(F.struct(F.lit(last).alias("last"), F.lit(r).alias("r")) for last, r in ends))
+    tokens = introduced(facts).withColumn("_range", F.explode(F.transform(F.filter(numbered, lambda e: e["last"] >= F.col("position")), lambda e: e["r"])))
+    return at.join(tokens, "_range").where(F.col("position") <= F.col("at")).select(F.col("at").alias("position"), *KEY)
+
+
+def snapshots(facts: DataFrame, lessons: DataFrame) -> DataFrame:
+    """The boundary of each lesson (``lesson_id, position, unit_id``) in a few numbers, at the lesson (``now``) and at the end of its unit:
+    ``lesson_id``, the largest ``integer`` and ``decimal`` places, and ``fractions`` as bits in the order of FRACTION_TYPES.
+
+    Lessons of a unit follow each other, so what is introduced by the unit's last lesson and not yet is introduced in the unit.
+    """
+    facts = closed_fractions(facts)
+    dimensions = {"integer_domain": "integer", "decimal_places": "decimal"}
+    ends = lessons.groupBy("unit_id").agg(F.max("position").alias("_end"))
+    at = materialise(lessons.join(ends, "unit_id").select("lesson_id", F.col("position").cast("long").alias("now"), F.col("_end").cast("long").alias("unit")), "lessons")
+    asked = at.select(F.explode(F.array("now", "unit")).alias("position")).distinct()
+    asked = asked.select(F.explode(F.array(*map(F.lit, dimensions))).alias("dimension"), "position", F.lit(None).cast("long").alias("num"), F.lit(1).alias("kind"))
+    named = facts.where(F.col("num").isNotNull() & F.col("dimension").isin(*dimensions)).select("dimension", F.col("position").cast("long").alias("position"), F.col("num").cast("long").alias("num"), F.lit(0).alias("kind"))
+    reached = running_max(named.unionByName(asked), ["position", "kind"], "num", ["dimension"], "reached").where("kind = 1")
+    first = introduced(facts).where("dimension = 'fraction_types'").agg(*(F.min(F.when(F.col("token") == t, F.col("position"))).alias(f"_f{i}") for i, t in enumerate(FRACTION_TYPES)))
+    bits = sum((F.when(F.col(f"_f{i}") <= F.col("position"), F.lit(1 << i)).otherwise(0) for i in range(len(FRACTION_TYPES))), F.lit(0)).cast("long")
+    found = reached.groupBy("position").agg(*(F.max(F.when(F.col("dimension") == d, F.col("reached"))).alias(n) for d, n in dimensions.items())).crossJoin(F.broadcast(first))  # one row
+    found = materialise(found.select("position", "integer", "decimal", bits.alias("fractions")), "snapshots")
+    for when in ("now", "unit"):
+        at = at.join(found.select(F.col("position").alias(when), *(F.col(c).alias(f"{c}_{when}") for c in ("integer", "decimal", "fractions"))), when)
+    return at.drop("now", "unit")
 
 
 def steps(facts: DataFrame) -> DataFrame:
@@ -114,37 +150,40 @@ def check_items(needs: DataFrame, facts: DataFrame, lessons: DataFrame, known_te
     are introduced later in the lesson's own unit; else ``out``.
     """
     facts = materialise(closed_fractions(facts), "facts")
+    # What is introduced where stays in small tables of tokens and numbers, so that no join of needs meets a hot position.
+    unit = lessons.select(F.col("position").alias("_at"), F.col("unit_id").alias("intro_unit"))
     at = needs.join(lessons.select("lesson_id", F.col("position").alias("here"), "unit_id"), "lesson_id")
     if ignored is not None:
         at = at.join(ignored.select("dimension", "token").distinct(), ["dimension", "token"], "left_anti")
     at = materialise(at.select("item_id", "lesson_id", "here", "unit_id", *KEY, "need"), "needs")
     base = ["item_id", "lesson_id", "here", "unit_id"]
-    first = introduced(facts).select(*KEY, F.col("position").alias("raw"))
+    first = introduced(facts).select(*KEY, F.col("position").alias("raw")).join(unit, F.col("raw") == F.col("_at"), "left").drop("_at")
     # One row for each token: when it was named, and when it is allowed, also through others.
-    known = materialise(first.unionByName(allowed_from(facts).select(*KEY, F.col("position").alias("allowed")), allowMissingColumns=True).groupBy(*KEY).agg(F.min("raw").alias("raw"), F.min("allowed").alias("allowed")), "tokens")
+    known = materialise(first.unionByName(allowed_from(facts).select(*KEY, F.col("position").alias("allowed")), allowMissingColumns=True).groupBy(*KEY).agg(F.min("raw").alias("raw"), F.min("allowed").alias("allowed"), F.min("intro_unit").alias("intro_unit")), "tokens")
+    known = F.broadcast(known) if known.count() <= LISTED else known
     # Maxima.
-    reach = first_reaching(at.select("dimension", "need"), facts).withColumnRenamed("position", "allowed")
+    reach = first_reaching(at.select("dimension", "need"), facts).withColumnRenamed("position", "allowed").join(unit, F.col("allowed") == F.col("_at"), "left").drop("_at")
     numbers = at.where("need > 0").groupBy(*base, "dimension").agg(F.max("need").alias("need")).join(reach, ["dimension", "need"], "left").where("allowed IS NULL OR allowed > here")
-    numbers = numbers.select(*base, "dimension", F.lit(None).cast("string").alias("op"), F.col("need").cast("string").alias("value"), F.col("allowed").alias("introduced"), F.lit(False).alias("doubt"))
+    numbers = numbers.select(*base, "dimension", F.lit(None).cast("string").alias("op"), F.col("need").cast("string").alias("value"), F.col("allowed").alias("introduced"), "intro_unit", F.lit(False).alias("doubt"))
     # Tokens: one not allowed yet is a violation if it is known at all or of a closed vocabulary, else a doubt.
     said = at.where("token IS NOT NULL AND token <> '分数'")
-    tokens = said.join(known, [said["dimension"] == known["dimension"], said["op"].eqNullSafe(known["op"]), said["token"] == known["token"]], "left").select(*base, *(said[c] for c in KEY), "raw", "allowed")
+    tokens = said.join(known, [said["dimension"] == known["dimension"], said["op"].eqNullSafe(known["op"]), said["token"] == known["token"]], "left").select(*base, *(said[c] for c in KEY), "raw", "allowed", "intro_unit")
     closed = F.col("dimension").isin("fraction_types", "operation_forms", "units_of_measure") | F.col("raw").isNotNull() | F.col("allowed").isNotNull()
     if known_terms is not None:
         marked = known_terms.select("dimension", "token", F.lit(True).alias("_marked")).distinct()
         tokens = tokens.join(marked, ["dimension", "token"], "left")
         closed = closed | F.coalesce("_marked", F.lit(False))
     missing = tokens.where("allowed IS NULL OR allowed > here").withColumn("doubt", ~closed)
-    sets = missing.where("dimension <> 'operation_forms'").select(*base, "dimension", "op", F.col("token").alias("value"), F.col("raw").alias("introduced"), "doubt")
-    forms = missing.where("dimension = 'operation_forms'").groupBy(*base, "dimension", "op").agg(F.array_join(F.array_sort(F.collect_set("token")), "、").alias("value"), F.max("raw").alias("introduced")).withColumn("doubt", F.lit(False))
+    sets = missing.where("dimension <> 'operation_forms'").select(*base, "dimension", "op", F.col("token").alias("value"), F.col("raw").alias("introduced"), "intro_unit", "doubt")
+    forms = missing.where("dimension = 'operation_forms'").groupBy(*base, "dimension", "op").agg(F.array_join(F.array_sort(F.collect_set("token")), "、").alias("value"), F.max("raw").alias("introduced"), F.max_by("intro_unit", "raw").alias("intro_unit")).withColumn("doubt", F.lit(False))
     # Any fraction, and carrying or borrowing, are allowed by the earliest of several tokens (one row).
-    any_of = first.agg(F.min(F.when(F.col("dimension") == "fraction_types", F.col("raw"))).alias("fraction"), F.min(F.when((F.col("dimension") == "operation_forms") & F.col("token").isin("进位", "退位"), F.col("raw"))).alias("carry"))
+    which = {"fraction": F.col("dimension") == "fraction_types", "carry": (F.col("dimension") == "operation_forms") & F.col("token").isin("进位", "退位")}
+    any_of = first.agg(*(F.min(F.when(w, F.struct("raw", "intro_unit"))).alias(n) for n, w in which.items()))
     special = at.where("token = '分数' OR dimension = 'carry_or_borrow'").crossJoin(F.broadcast(any_of))
-    special = special.withColumn("introduced", F.when(F.col("token") == "分数", F.col("fraction")).otherwise(F.col("carry"))).where("introduced IS NULL OR introduced > here")
-    special = special.select(*base, "dimension", F.lit(None).cast("string").alias("op"), F.coalesce("token", F.lit("进位/退位")).alias("value"), "introduced", F.lit(False).alias("doubt"))
+    special = special.withColumn("_of", F.when(F.col("token") == "分数", F.col("fraction")).otherwise(F.col("carry"))).withColumn("introduced", F.col("_of.raw")).where("introduced IS NULL OR introduced > here")
+    special = special.select(*base, "dimension", F.lit(None).cast("string").alias("op"), F.coalesce("token", F.lit("进位/退位")).alias("value"), "introduced", F.col("_of.intro_unit").alias("intro_unit"), F.lit(False).alias("doubt"))
     found = numbers.unionByName(sets).unionByName(forms).unionByName(special)
-    units = lessons.select(F.col("position").alias("introduced"), F.col("unit_id").alias("intro_unit"))
-    found = materialise(found.join(units, "introduced", "left").withColumn("soft", F.coalesce((F.col("introduced") > F.col("here")) & (F.col("intro_unit") == F.col("unit_id")), F.lit(False))), "found")
+    found = materialise(found.withColumn("soft", F.coalesce((F.col("introduced") > F.col("here")) & (F.col("intro_unit") == F.col("unit_id")), F.lit(False))), "found")
     items = needs.select("item_id", "lesson_id").join(lessons.select("lesson_id"), "lesson_id", "left_semi").select("item_id", "lesson_id", F.lit(None).cast("boolean").alias("doubt"), F.lit(None).cast("boolean").alias("soft"))
     judged = items.unionByName(found.select("item_id", "lesson_id", "doubt", "soft")).groupBy("item_id", "lesson_id").agg(F.count_if(~F.col("doubt")).alias("n_violations"), F.count_if("doubt").alias("n_unknown"), F.every(F.col("doubt") | F.col("soft")).alias("soft"))
     verdict = F.when(F.col("n_violations") == 0, "in").when(F.col("soft"), "borderline").otherwise("out")

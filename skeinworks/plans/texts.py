@@ -7,8 +7,8 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skeinworks.functions.generate import instantiate_many
-from skeinworks.operators import probes, retrieval
+from skeinworks.functions.generate import instantiate_many, instantiate_within
+from skeinworks.operators import lattice, probes, retrieval
 from skeinworks.plans.catalogue import query
 from skeinworks.plans.fixtures import frame
 
@@ -200,3 +200,16 @@ def bounds_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
     lessons = frame(spark, sf_dir, "lesson").select("lesson_id", "position", "unit_id")
     first = lessons.agg(F.min_by("lesson_id", "position").alias("lesson_id"))
     return probes.bounds_probe(probes.generated_needs(cards), cards.select("card_id").crossJoin(F.broadcast(first)), facts, lessons)
+
+
+@query()
+def instantiated_in_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An exercise for each part, within the boundary of a lesson: an early one for even parts, any other for odd ones."""
+    slots = {"a": {"type": "int", "min": 1, "max": 60}, "b": {"type": "int", "min": 2, "max": 12}}
+    card = json.dumps({"template": "{a}÷{b}={answer}", "slots": slots, "constraints": ["any([a % x == 0 for x in range(2, b + 1)])", "a > b"], "solver": "def solve(a, b):\n    return Fraction(a, b)"})
+    facts = frame(spark, sf_dir, "fact").withColumn("dimension", F.when(F.col("dimension") == "quantity", "integer_domain").otherwise(F.col("dimension")))
+    lessons = frame(spark, sf_dir, "lesson").select("lesson_id", "position", "unit_id")
+    parts = frame(spark, sf_dir, "part").crossJoin(F.broadcast(lessons.agg(F.count(F.lit(1)).alias("n"))))
+    at = F.pmod(F.when(F.col("p_partkey") % 2 == 0, F.col("p_partkey") % 40).otherwise(F.col("p_partkey")), F.col("n"))
+    asked = parts.select(F.concat(F.lit("card-"), "p_size").alias("card_id"), F.lit(card).alias("card"), F.col("p_partkey").alias("seed"), at.alias("position")).join(lessons.select("position", "lesson_id"), "position")
+    return instantiate_within(asked, lattice.snapshots(facts, lessons))

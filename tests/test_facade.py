@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skeinworks.curriculum import SCHEMAS, Curriculum
+from skeinworks.functions.generate import NoInBounds
 from skeinworks.sources import files
 from skeinworks.streaming import introductions
 
@@ -72,6 +73,15 @@ def test_search_boundary_generation(cur):
     made = cur.instantiate_many("at.add.01", 5).collect()
     assert len(made) == 5 and len({r.params for r in made}) == 5 and all(int(r.answer) > 10 for r in made)
     assert cur.instantiate("at.add.01", 3).problem == cur.instantiate("at.add.01", 3).problem
+    with pytest.raises(ValueError):
+        cur.instantiate("at.add.01", 0, only_in_bounds=True)
+    with pytest.raises(KeyError):
+        cur.instantiate("at.add.01", 0, "no.such.lesson")
+    first, small = "g1a.u1.l01", Curriculum(cur.spark, cur.t | {"facts": cur.t["facts"].withColumn("num", F.lit(2).cast("long"))})
+    with pytest.raises(NoInBounds):
+        small.instantiate("at.add.01", 0, first, only_in_bounds=True, max_tries=5)
+    assert small.instantiate("at.add.01", 0, first).verdict == "out" and all(r.verdict == "in" for r in cur.instantiate_many("at.add.01", 3, lesson_id=first, only_in_bounds=True).collect())
+    assert cur.instantiate("at.add.01", 0, first).verdict == "in"
 
 
 def test_empty_knowledge_base(spark):

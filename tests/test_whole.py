@@ -4,6 +4,7 @@ import math
 import re
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from skeinworks.plans.catalogue import QUERIES
@@ -125,3 +126,55 @@ def test_overlap_of_long_items(spark, tmp_path):
     want = {(a, b): round(len(grams[a] & grams[b]) / len(grams[a]), 6) for a in grams for b in grams if a < b and grams[a] & grams[b]}
     assert (1, 3) in want
     assert {(r.item_id, r.other): r.overlap for r in QUERIES["ngram_overlap"](spark, str(tmp_path)).collect()} == want
+
+
+def test_exercises_in_bounds_are_in_by_the_whole_check(spark):
+    """Verdicts by snapshot against ``check_items``, for lessons before, at and after what a card needs."""
+    import json
+
+    from skeinworks.functions.generate import instantiate_within, params_features
+    from skeinworks.operators import lattice
+
+    slots = {"a": {"type": "int", "min": 1, "max": 60}, "d": {"type": "decimal", "min": "0.1", "max": "3", "places": 2}, "f": {"type": "fraction", "min": "0", "max": "3", "max_denominator": 5}}
+    lessons = spark.createDataFrame([(f"l{i}", i, f"u{i // 4}") for i in range(16)], "lesson_id string, position int, unit_id string")
+    facts = [("integer_domain", None, None, 5, 0), ("integer_domain", None, None, 20, 6), ("integer_domain", None, None, 60, 9), ("integer_domain", None, None, 10, 12), ("decimal_places", None, None, 1, 3), ("decimal_places", None, None, 2, 5)]
+    facts += [("fraction_types", None, "几分之一", None, 2), ("fraction_types", None, "假分数", None, 7), ("fraction_types", None, "带分数", None, 11), ("concepts", None, "面积", None, 1)]
+    facts = spark.createDataFrame(facts, "dimension string, op string, token string, num long, position int")
+    card = json.dumps({"template": "{a}{d}{f}", "slots": slots, "constraints": ["a > 3"]})
+    rows = spark.createDataFrame([(f"c{s}", card, s, f"l{i}") for i in range(16) for s in range(6)] + [("c0", card, 0, "nowhere"), ("c1", card, 1, None)], "card_id string, card string, seed long, lesson_id string")
+    bounds = lattice.snapshots(facts, lessons)
+    made = instantiate_within(rows, bounds, only_in_bounds=False).collect()
+    strict = instantiate_within(rows, bounds).collect()
+    soft = instantiate_within(rows, bounds, accept_borderline=True).collect()
+    assert {r.error for r in made if r.lesson_id in (None, "nowhere")} == {"UnknownLesson"} and len(made) == len(rows.collect())
+    needs = []
+    for n, r in enumerate([*made, *strict, *soft]):
+        if r.error is None:
+            f = params_features(json.loads(r.params), slots)
+            needs += [(n, r.lesson_id, d, None, None, v) for d, v in (("integer_domain", f["integer_max"]), ("decimal_places", f["decimal_places"])) if v] + [(n, r.lesson_id, "fraction_types", None, t, None) for t in f["fraction_types"]]
+    _, reports = lattice.check_items(spark.createDataFrame(needs, "item_id long, lesson_id string, dimension string, op string, token string, need long"), facts, lessons)
+    want = {r.item_id: r.verdict for r in reports.collect()}
+    assert set(want.values()) == {"in", "borderline", "out"}
+    for n, r in enumerate([*made, *strict, *soft]):
+        assert r.error is not None or r.verdict == want.get(n, "in")
+    assert {r.verdict for r in strict} == {"in", None} and {r.verdict for r in soft} == {"in", "borderline", None}
+    assert any(r.error == "NoInBounds" for r in strict)
+    # An error row means that no draw of the seed's stream is in bounds.
+    from skeinworks.functions.generate import NoInBounds, instantiate
+
+    by = {r.lesson_id: r.asDict() for r in bounds.collect()}
+    refused = next(r for r in strict if r.error == "NoInBounds")
+    with pytest.raises(NoInBounds):
+        instantiate(json.loads(card), refused.seed, 50, by[refused.lesson_id], ("in",))
+
+
+def test_boundary_at_meets_no_nested_loop(spark):
+    from skeinworks.operators import lattice
+
+    facts = spark.createDataFrame([("d", None, f"t{i}", None, (i * 7) % 50) for i in range(40)] + [("d", None, "t0", None, 9)], "dimension string, op string, token string, num long, position int")
+    asked = spark.createDataFrame([(p,) for p in (-1, 0, 3, 3, 20, 49, 80, None)], "position int")
+    out = lattice.boundary_at(facts, asked)
+    assert "NestedLoop" not in out._jdf.queryExecution().toString() and "CartesianProduct" not in out._jdf.queryExecution().toString()
+    want = sorted((p, f"t{i}") for p in (0, 3, 20, 49, 80) for i in range(40) if (i * 7) % 50 <= p)
+    assert sorted((r.position, r.token) for r in out.collect()) == want
+    assert lattice.boundary_at(facts, asked.limit(0)).count() == 0
