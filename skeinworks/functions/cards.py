@@ -10,6 +10,7 @@ from fractions import Fraction
 
 from skeinworks.functions import generate, mining
 from skeinworks.functions.generate import params_features  # noqa: F401
+from skeinworks.functions.mining import Matcher, normal_term
 from skeinworks.functions.numbers import ANY_FRACTION, FRACTION_TYPES, OPERATION_TAGS, number_features  # noqa: F401
 
 # Words that tell the form of an item, tried in this order.
@@ -35,10 +36,6 @@ def default_envelope(grade: int) -> dict:
     return {"integer_digits": [1, GRADE_DIGITS[grade]], "decimal_places": [0, 2 if grade <= 4 else 3], "grades": [grade], "n_instances": 0}
 
 
-def normal_term(text: str) -> str:
-    return re.sub(r"[\W_]+", "", unicodedata.normalize("NFKC", text)).lower()
-
-
 def normal_unit(text: str, aliases: dict[str, str]) -> str | None:
     """A unit by its folded spelling, then without what is in brackets, then by what is in brackets. ``aliases``: folded spelling -> name."""
     folded = unicodedata.normalize("NFKC", text).strip().lower().replace(" ", "")
@@ -93,7 +90,7 @@ def sanitised(parsed: dict, units: dict[str, str], geometry: Iterable[str] = (),
     return kept, dropped
 
 
-def instance_features(exercise: dict, units: dict[str, str], terms: dict[str, str]) -> dict:
+def instance_features(exercise: dict, units: Matcher, terms: Matcher) -> dict:
     """Observed features of a textbook exercise: from its recorded operand features and its text.
 
     Of integers only the number of digits is recorded, so the least number of that length counts.

@@ -38,8 +38,9 @@ def discovered(reports: DataFrame, least: float = 0.8) -> DataFrame:
 def raw_sources(clues: DataFrame, standards: DataFrame) -> DataFrame:
     """Clues without a nearest point as D001.. and standard items that are not covered as S001..: ``source_id, kind, ref``."""
     def number(df: DataFrame, letter: str, ref: str) -> DataFrame:
-        n = F.row_number().over(Window.orderBy(ref))
-        return df.select(F.concat(F.lit(letter), F.lpad(n.cast("string"), 3, "0")).alias("source_id"), F.lit(letter).alias("kind"), F.col(ref).cast("string").alias("ref"))
+        placed = dense_position(df.select(ref), [ref], "_n")
+        n = (F.col("_n") + 1).cast("string")
+        return placed.select(F.concat(F.lit(letter), F.lpad(n, F.greatest(F.length(n), F.lit(3)), F.lit("0"))).alias("source_id"), F.lit(letter).alias("kind"), F.col(ref).cast("string").alias("ref"))
 
     return number(clues.where("nearest IS NULL"), "D", "clue_id").unionByName(number(standards.where("status <> 'covered'"), "S", "item_id"))
 

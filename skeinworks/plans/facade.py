@@ -30,7 +30,7 @@ def curriculum(spark: SparkSession, sf_dir: str) -> Curriculum:
     units = lesson.groupBy("unit", "book", "unit_id").agg(F.count(F.lit(1)).alias("n")).select(F.col("unit").alias("id"), F.col("book").alias("book_id"), F.col("unit_id").alias("index"), F.concat(F.lit("unit "), "unit").alias("title"))
     lessons = lesson.select("id", F.col("unit").alias("unit_id"), F.expr("CAST(position div 1000000000 AS INT)").alias("index"), F.concat(F.lit("lesson "), text("lesson_id")).alias("title"), F.lit("").alias("summary"))
     later = frame(spark, sf_dir, "holds").join(names, "lesson_id").groupBy(F.col("kp_id").alias("node")).agg(F.array_sort(F.collect_list("lid")).alias("held"))
-    point = frame(spark, sf_dir, "point").join(names, "lesson_id").join(later, "node")
+    point = frame(spark, sf_dir, "point").join(names, "lesson_id").join(later, "node", "left")  # a left join is dropped where no later lesson is asked for
     points = point.select(
         F.concat(F.lit("kp."), text("node")).alias("id"), "name", F.split("name", " ").alias("aliases"), "domain", "thread", "topic", F.concat_ws(" ", "thread", "domain").alias("description"), F.col("lid").alias("introduced_in"),
         F.array_except("held", F.array("lid")).alias("review_lesson_ids"), (F.col("price") > 1000).alias("is_assessable"), F.lit("aware").alias("mastery"), F.lit("textbook").alias("provenance"),

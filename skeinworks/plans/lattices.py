@@ -178,9 +178,9 @@ def _coverage(spark: SparkSession, sf_dir: str, repair: bool) -> DataFrame:
     return lattice.coverage_pass(items.withColumn("dimension", F.lit("quantity")), grants, repair)
 
 
-@query("SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN v <= 100 THEN v ELSE CAST(power(10, length(CAST(v AS VARCHAR))) AS BIGINT) - 1 END AS grant_to FROM (SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_extendedprice AS BIGINT) AS v FROM lineitem WHERE l_extendedprice = floor(l_extendedprice))")
+@query("SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN v <= 100 THEN v ELSE CAST(power(10, length(CAST(v AS VARCHAR))) AS BIGINT) - 1 END AS grant_to FROM (SELECT l_orderkey, l_linenumber, l_partkey, CAST(floor(l_extendedprice) AS BIGINT) AS v FROM lineitem)")
 def needed_grant(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = frame(spark, sf_dir, "lineitem").where("l_extendedprice = floor(l_extendedprice)").withColumn("v", F.col("l_extendedprice").cast("long"))
+    rows = frame(spark, sf_dir, "lineitem").withColumn("v", F.floor("l_extendedprice").cast("long"))
     return rows.select("l_orderkey", "l_linenumber", "l_partkey", lattice.needed_grant(F.lit("integer_domain"), F.col("v").cast("string")).alias("grant_to"))
 
 

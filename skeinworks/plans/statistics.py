@@ -272,10 +272,14 @@ def normalised_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curation.with_topic(rows, known, "other").select("node", "thread", "topic")
 
 
-@query("SELECT event_type AS dimension, CAST(u AS INTEGER) AS grade, lesson_id FROM (SELECT event_type, user_id % 4 AS u, event_id AS lesson_id, row_number() OVER (PARTITION BY event_type, user_id % 4 ORDER BY md5(concat('0:', CAST(event_id AS VARCHAR))), event_id) AS n FROM events) WHERE n <= 3")
+@query("""WITH l AS (SELECT h.lesson_id, min(l.book_id) AS book, min(l.grade) AS grade, count(*) AS points FROM holds h JOIN lesson l ON l.lesson_id = h.lesson_id GROUP BY h.lesson_id),
+    j AS (SELECT lesson_id, grade, d.dimension, row_number() OVER (PARTITION BY d.dimension, grade ORDER BY md5(concat('0:', d.dimension, ':', CAST(lesson_id AS VARCHAR))), lesson_id) AS n
+          FROM l, (VALUES ('quantity'), ('flags')) d(dimension) WHERE points >= 3 AND book < (SELECT max(book) FROM l))
+    SELECT lesson_id, grade, dimension FROM j WHERE n <= 3""")
 def probe_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = frame(spark, sf_dir, "events").withColumn("s", F.concat_ws("|", "event_type", F.col("user_id") % 4))
-    return evaluation.stratified(e, "s", "event_id", 3).select(F.col("event_type").alias("dimension"), (F.col("user_id") % 4).cast("int").alias("grade"), F.col("event_id").alias("lesson_id"))
+    held = frame(spark, sf_dir, "holds").groupBy("lesson_id").agg(F.count(F.lit(1)).alias("points_so_far"))
+    lessons = frame(spark, sf_dir, "lesson").join(held, "lesson_id").select("lesson_id", F.col("book_id").alias("book"), "grade", "points_so_far")
+    return curation.probe_jobs(lessons, ["quantity", "flags"]).select("lesson_id", "grade", "dimension")
 
 
 @query("SELECT l_orderkey AS item_id, CAST(l_suppkey % 10 AS BIGINT) AS group_id, CASE WHEN l_suppkey % 10 <> 3 THEN CAST(l_orderkey % 2 AS INTEGER) ELSE 0 END AS part FROM (SELECT l_orderkey, min(l_suppkey) AS l_suppkey FROM lineitem GROUP BY l_orderkey)")

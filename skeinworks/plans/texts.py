@@ -7,6 +7,7 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skeinworks.functions import mining
 from skeinworks.functions.generate import instantiate_many, instantiate_within
 from skeinworks.operators import lattice, probes, retrieval
 from skeinworks.plans.catalogue import query
@@ -166,10 +167,35 @@ def highlight(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frame(spark, sf_dir, "part").select(F.col("p_partkey").alias("node"), retrieval.highlighted(F.col("p_name"), ["red", "ring", "widget"]).alias("marked"))
 
 
-@query("SELECT doc_id, lower(regexp_replace(text, '[^A-Za-z0-9]+', '', 'g')) AS term FROM documents")
+@query("SELECT doc_id, lower(regexp_replace(text, '[^\\p{L}\\p{N}]+', '', 'g')) AS term FROM documents")
 def normal_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A null text has a null term."""
-    return frame(spark, sf_dir, "documents").select("doc_id", F.lower(F.regexp_replace("text", "[^A-Za-z0-9]+", "")).alias("term"))
+    return frame(spark, sf_dir, "documents").select("doc_id", mining.normal_terms(F.col("text")).alias("term"))
+
+
+#: Words of the benchmark's items that serve as a vocabulary at most; more are an error.
+WORDS = 1_000_000
+
+
+@query()
+def mined_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Longer words of the benchmark's items that each whole text holds, across words and punctuation."""
+    words = frame(spark, sf_dir, "benchmark").select(F.explode(F.regexp_extract_all("text", F.lit(r"(\w{6,})"))).alias("w")).distinct().limit(WORDS + 1).collect()
+    if len(words) > WORDS:
+        raise ValueError(f"more than {WORDS} words")
+    found = mining.terms_in(F.col("text"), mining.term_forms(r.w for r in words))
+    return frame(spark, sf_dir, "documents").select("doc_id", found.alias("f")).select("doc_id", F.size("f").alias("n_terms"), F.array_join("f", ",").alias("terms"))
+
+
+#: Units as they are told by name and aliases, for the queries.
+UNITS = {"厘米": ["cm"], "米": ["m"], "千克": ["kg", "公斤"], "分钟": ["min"], "时": ["小时", "h"], "角": [], "秒": ["s"], "度": ["°"]}
+
+
+@query()
+def mined_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written operations, fraction types and units of each whole text."""
+    t = F.col("text")
+    return frame(spark, sf_dir, "documents").select("doc_id", F.to_json(mining.operations_in(t)).alias("operations"), F.array_join(mining.fraction_types_in(t), ",").alias("fraction_types"), F.array_join(mining.units_in(t, mining.unit_forms(UNITS)), ",").alias("units"))
 
 
 # Templates: one card of each size of part, seeds by part.
@@ -204,12 +230,12 @@ def bounds_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def instantiated_in_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An exercise for each part, within the boundary of a lesson: an early one for even parts, any other for odd ones."""
+    """An exercise for each point, within the boundary of the lesson that introduces it; every fourth one within that of the first lesson."""
     slots = {"a": {"type": "int", "min": 1, "max": 60}, "b": {"type": "int", "min": 2, "max": 12}}
     card = json.dumps({"template": "{a}÷{b}={answer}", "slots": slots, "constraints": ["any([a % x == 0 for x in range(2, b + 1)])", "a > b"], "solver": "def solve(a, b):\n    return Fraction(a, b)"})
     facts = frame(spark, sf_dir, "fact").withColumn("dimension", F.when(F.col("dimension") == "quantity", "integer_domain").otherwise(F.col("dimension")))
     lessons = frame(spark, sf_dir, "lesson").select("lesson_id", "position", "unit_id")
-    parts = frame(spark, sf_dir, "part").crossJoin(F.broadcast(lessons.agg(F.count(F.lit(1)).alias("n"))))
-    at = F.pmod(F.when(F.col("p_partkey") % 2 == 0, F.col("p_partkey") % 40).otherwise(F.col("p_partkey")), F.col("n"))
-    asked = parts.select(F.concat(F.lit("card-"), "p_size").alias("card_id"), F.lit(card).alias("card"), F.col("p_partkey").alias("seed"), at.alias("position")).join(lessons.select("position", "lesson_id"), "position")
+    first = lessons.agg(F.min_by("lesson_id", "position").alias("first"))
+    points = frame(spark, sf_dir, "point").crossJoin(F.broadcast(first))  # one row
+    asked = points.select(F.concat(F.lit("card-"), "size").alias("card_id"), F.lit(card).alias("card"), F.col("node").alias("seed"), F.when(F.col("node") % 4 == 0, F.col("first")).otherwise(F.col("lesson_id")).alias("lesson_id"))
     return instantiate_within(asked, lattice.snapshots(facts, lessons))

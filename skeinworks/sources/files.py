@@ -166,9 +166,17 @@ def answer_costs(answers: DataFrame, input_price: float, output_price: float) ->
 # ---- reports
 
 
+def _small(df: DataFrame, order: list[str], most: int) -> list:
+    """All rows in order; ValueError if there are more than ``most``, for nothing is left out."""
+    rows = df.orderBy(*order).limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} rows: aggregate them, or write them with DataFrame.write")
+    return rows
+
+
 def markdown_table(df: DataFrame, order: list[str], most: int = 1000) -> str:
-    """A small aggregate as a Markdown table, rendered on the driver."""
-    rows = df.orderBy(*order).limit(most).collect()
+    """A small aggregate as a Markdown table, rendered on the driver; ValueError if it has more than ``most`` rows."""
+    rows = _small(df, order, most)
     head = "| " + " | ".join(df.columns) + " |\n|" + "---|" * len(df.columns)
     return "\n".join([head, *("| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in rows)])
 
@@ -179,5 +187,5 @@ def write_report(path: str, sections: dict[str, str]) -> None:
 
 
 def json_payload(df: DataFrame, order: list[str], most: int = 100_000) -> str:
-    """A small aggregate as one deterministic JSON array."""
-    return json.dumps([r.asDict(recursive=True) for r in df.orderBy(*order).limit(most).collect()], ensure_ascii=False, sort_keys=True, default=str)
+    """A small aggregate as one deterministic JSON array; ValueError if it has more than ``most`` rows."""
+    return json.dumps([r.asDict(recursive=True) for r in _small(df, order, most)], ensure_ascii=False, sort_keys=True, default=str)

@@ -1,5 +1,7 @@
 """Golden cases of the scalar functions and of generation."""
 
+import random
+import re
 from decimal import Decimal
 from fractions import Fraction
 
@@ -193,8 +195,30 @@ def test_solver_timeout():
 def test_mining():
     assert mining.mine_operations("计算 3+4×5，13÷4=3……1，10×10方格，7.5-2") == [("乘法", "4", "5", None), ("除法", "13", "4", "remainder"), ("减法", "7.5", "2", None)]
     assert mining.mine_fraction_types("1/2和3又1/4，真分数") == ["几分之一", "带分数", "真分数"]
-    assert mining.mine_units("长5cm，3米，m", {"cm": "厘米", "米": "米", "m": "米"}) == ["厘米", "米"]
-    assert mining.mine_terms("直角三角形", {"三角形": "三角形", "直角三角形": "直角三角形"}) == ["直角三角形"]
+    assert mining.mine_units("长5cm，3米，m", UNITS) == ["厘米", "米"]
+    assert mining.mine_terms("直 角-三角形", mining.Matcher(mining.term_forms(["三角形", "直角三角形", "角"]))) == ["直角三角形"]
+
+
+UNITS = mining.Matcher(mining.unit_forms({"厘米": ["cm"], "米": ["m"], "角": ["角（货币）"], "时": ["小时", "h"], "分钟": ["min", "分(时间)"], "分(货币)": ["分币"], "度": ["°", "度(角度)"], "平方厘米": ["cm²", "cm2"], "升": ["l"], "速度单位": ["米/秒", "km/h"]}))
+
+
+@pytest.mark.parametrize("text, units", [
+    ("7角形", []), ("5角钱", ["角"]), ("8时间", []), ("8时", []), ("3 小时", ["时"]), ("每小时", ["时"]), ("5分", []), ("5分钟", ["分钟"]), ("几分币", []), ("30度", []), ("30°", ["度"]), ("5cm2", ["平方厘米"]), ("5 cm", ["厘米"]), ("5cmx", []),
+    ("cm", []), ("( )米", ["米"]), ("走3米/秒", ["速度单位"]), ("_米", ["米"]), ("玉米", []), ("5 km/h", ["速度单位"]), ("２ｌ", ["升"]), ("5min", ["分钟"]), ("5m", ["米"]), ("", []), (" m", []),
+])
+def test_units_and_what_is_none(text, units):
+    assert mining.mine_units(text, UNITS) == units
+
+
+def test_forms_against_alternation():
+    """The automaton finds what a pattern of all forms, longest first, finds."""
+    rnd = random.Random(8)
+    terms = {"".join(rnd.choice("abc角") for _ in range(rnd.randint(2, 4))) for _ in range(40)}
+    matcher = mining.Matcher(mining.term_forms(terms))
+    pattern = re.compile("|".join(sorted(terms, key=len, reverse=True)))
+    for _ in range(300):
+        text = "".join(rnd.choice("abc角 ，") for _ in range(rnd.randint(0, 60)))
+        assert mining.mine_terms(text, matcher) == sorted(set(pattern.findall(re.sub("[ ，]", "", text))))
 
 
 def test_cards():
@@ -220,7 +244,7 @@ def test_sanitised_and_features():
     assert kept["integer_domain_max"] == 100 and kept["decimal_max_places"] is None and kept["fraction_types"] == {"真分数"} and kept["operation_forms"] == {"加法": {"进位"}} and kept["units_of_measure"] == {"厘米", "升"} and kept["concepts"] == {"面积"} and kept["geometry_vocab"] == {"圆柱"}
     assert dropped == {"fraction_types": ["x"], "operation_forms": ["加法:y", "z"], "units_of_measure": ["个"], "concepts": ["面"], "geometry_vocab": ["形状"]}
     assert cards.params_features({"a": 12, "b": "0.25", "c": "3/4", "d": "5"}, {"d": {"type": "choice"}}) == {"integer_max": 12, "decimal_places": 2, "fraction_types": ["几分之几"]}
-    got = cards.instance_features({"text": "长5cm，3+4=", "operand_features": {"number_types": ["分数"], "integer_digits": 2, "requires_carry_or_borrow": True}}, units, {"长方形": "长方形"})
+    got = cards.instance_features({"text": "长5cm，3+4=", "operand_features": {"number_types": ["分数"], "integer_digits": 2, "requires_carry_or_borrow": True}}, UNITS, mining.Matcher(mining.term_forms(["长方形"])))
     assert (got["integer_max"], got["fraction_types"], got["units_of_measure"], got["operations"]) == (10, ["分数"], ["厘米"], [("加法", "3", "4", None)])
 
 

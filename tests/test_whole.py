@@ -178,3 +178,35 @@ def test_boundary_at_meets_no_nested_loop(spark):
     want = sorted((p, f"t{i}") for p in (0, 3, 20, 49, 80) for i in range(40) if (i * 7) % 50 <= p)
     assert sorted((r.position, r.token) for r in out.collect()) == want
     assert lattice.boundary_at(facts, asked.limit(0)).count() == 0
+
+
+def test_mined_columns_equal_their_functions(spark, tmp_path):
+    from skeinworks.functions import mining
+    from skeinworks.plans.texts import UNITS
+
+    texts = ["3+4×5=23，走5 km", "一条7角形，5角钱，8时间", "1/2又3又1/4", None, "", "fisheyes two-fish peces, alphabet", "10÷4=2.5 30° 5cm " * 4000]
+    rows = [(i, t, None, "web", 0) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "alphabet fisheyes"), (2, None), (3, "twofish")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = {r.doc_id: r for r in QUERIES["mined_numbers"](spark, str(tmp_path)).collect()}
+    units = mining.Matcher(mining.unit_forms(UNITS))
+    import json
+
+    for i, t in enumerate(texts):
+        if t is None:
+            assert got[i].operations is None and got[i].units is None
+        else:
+            assert [(o["op"], o["left"], o["right"], o.get("mode")) for o in json.loads(got[i].operations)] == mining.mine_operations(t)
+            assert got[i].units == ",".join(mining.mine_units(t, units)) and got[i].fraction_types == ",".join(mining.mine_fraction_types(t))
+    found = {r.doc_id: r.terms for r in QUERIES["mined_terms"](spark, str(tmp_path)).collect()}
+    assert found[5] == "alphabet,fisheyes,twofish" and found[0] == "" and found[3] is None
+
+
+def test_reports_leave_nothing_out(spark):
+    from skeinworks.sources import files
+
+    df = spark.range(5).toDF("n")
+    assert files.json_payload(df, ["n"], most=5).count("{") == 5 and files.markdown_table(df, ["n"], most=5).count("\n") == 6
+    for report in (files.json_payload, files.markdown_table):
+        with pytest.raises(ValueError, match="more than 4"):
+            report(df, ["n"], most=4)
