@@ -9,7 +9,11 @@ nearer one decides, then the share of stop words. Where the page marks its artic
 it are bad and those inside are decided among themselves.
 
 A form or a box of a telling name that encloses the page's heading or article and most of its text is
-a frame of the page, not a part of it: it decides nothing.
+a frame of the page, not a part of it: it decides nothing. A name tells if all its words do, those aside
+that only say what kind of box it is; a heading that counts or calls for comments tells of the box that
+it begins.
+
+Time and memory grow with the length of the page, whatever its nesting.
 """
 
 from __future__ import annotations
@@ -18,7 +22,8 @@ import html
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from itertools import takewhile
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -41,9 +46,21 @@ MAIN = frozenset(("article", "main"))
 BOILER_WORDS = (
     "ad ads adv advert adverts advertisement advertisements adsense adbox banner sponsor sponsored promo promotion sidebar leftsidebar rightsidebar widget nav navbar navigation menu breadcrumb breadcrumbs "
     "footer masthead topbar comment comments commentlist commentbox commentform reply replies disqus cookie cookies cookiebar cookiebanner cookienotice consent gdpr notice notices notification "
-    "popup modal overlay share sharing social related recommended recommendations newsletter subscribe subscription signup pagination pager copyright"
+    "popup modal overlay share sharing social related recommended recommendations newsletter subscribe subscription signup pagination pager copyright feedback"
 ).split()
 LAYOUT_WORDS = "side header respond discussion alert login search legal disclaimer toolbar skip".split()
+BOILER_NAMES = frozenset(BOILER_WORDS)
+BOILER_OR_LAYOUT = BOILER_NAMES | frozenset(LAYOUT_WORDS)
+#: Words of names that only say what kind of box it is, or whose or where.
+NEUTRAL_WORDS = frozenset(
+    "site page main post posts article entry blog user users reader readers visitor box list bar link links button buttons icon icons item items section block container wrapper wrap area inner outer "
+    "content top bottom left right head title group panel module unit slot placeholder text small large mobile desktop fixed sticky first last stories the by js id".split()
+)
+#: Headings of reader comments, whole.
+_COMMENTS = re.compile(
+    r"(?:\(?\d+\)?\s+(?:reader\s+|user\s+)?(?:comments?|responses?|repl(?:y|ies)|reactions?|kommentare?|antwort(?:en)?|commentaires?|réponses?|réactions?|comentarios?|respuestas?)"
+    r"|(?:reader\s+|user\s+)?(?:comments|responses|replies|reactions|kommentare|commentaires|comentarios)|leave an? (?:comment|reply)|join the (?:discussion|conversation))"
+    r"(?:\s*\(\d+\))?(?:\s+(?:to|on)\s+[\"“'‘«].*)?[:.!]?", re.I | re.S)
 #: Names are cut into words at separators, digits and inner capitals.
 _NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 BOILER_ROLE = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
@@ -57,13 +74,14 @@ STOP_WORDS = frozenset(
 # Limits of the rules: words of a short and a long block, stop-word shares, link share.
 SHORT, LONG, STOP_LOW, STOP_HIGH, LINKS = 8, 25, 0.12, 0.2, 0.3
 
-_TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)", re.S)
-_ATTR = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+_TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*+(?:\"[^\"]*+(?:\"|$)|'[^']*+(?:'|$)|[^\s\"'>][^\s>]*+)?)*+)(?:>|$)", re.S)
+_ATTR = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*))?""")
+_RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW}
 _WORDS = re.compile(r"[^\W_]+")
 GOOD, BAD, OPEN = 1, -1, 0
 
 
-@dataclass
+@dataclass(slots=True)
 class Block:
     text: str
     bad_place: bool
@@ -71,21 +89,27 @@ class Block:
     heading: bool
     linked: int  # characters inside links
     container: int  # number of the enclosing element that is no paragraph, heading or cell
-    frames: tuple[int, ...] = ()  # the enclosing boxes that are boilerplate unless they frame the page
-    around: tuple[int, ...] = ()  # those of them that enclose a first heading or the block's article
+    box: int = 0  # the innermost enclosing box that is boilerplate unless it frames the page, 0 if none
+    around: int = 0  # the innermost one that encloses a first heading or the block's article
     label: int = OPEN
     stop: float = 0.0
     words: int = 0
 
 
-@dataclass
+@dataclass(slots=True)
 class _Open:
     tag: str
     bad: bool
     skip: bool
     main: int
     container: int
-    frames: tuple[int, ...]
+    box: int
+
+
+def _telling(name: str, words: frozenset[str]) -> bool:
+    """Whether some word of a class or id name is one of these, and all others only say what kind of box it is."""
+    said = {w.lower() for w in _NAME_WORDS.findall(name)}
+    return not said.isdisjoint(words) and said <= words | NEUTRAL_WORDS
 
 
 def _hidden_or_boiler(tag: str, attrs: str, in_main: bool) -> tuple[bool, bool, bool]:
@@ -93,13 +117,12 @@ def _hidden_or_boiler(tag: str, attrs: str, in_main: bool) -> tuple[bool, bool,
     surely = tag in BOILER and tag != "form" and not (tag == "header" and in_main)
     if not attrs.strip():
         return surely, tag == "form", False
-    got = {k.lower(): html.unescape(v.strip("\"'")) for k, v in _ATTR.findall(attrs)}
+    got = {k.lower(): html.unescape(v[1:-1] if v[:1] in ("'", '"') else v) for k, v in _ATTR.findall(attrs)}
     hidden = "hidden" in got or got.get("aria-hidden", "").lower() == "true" or bool(re.search(r"display\s*:\s*none", got.get("style", ""), re.I))
     named = False
     if tag not in ("body", "html", "article", "main"):
-        said = {w.lower() for w in _NAME_WORDS.findall(f"{got.get('class', '')} {got.get('id', '')}")}
         layout = not in_main and tag not in ("p", "h1", "h2", "h3", "b", "i", "em", "strong", "a")
-        named = not said.isdisjoint(BOILER_WORDS) or layout and not said.isdisjoint(LAYOUT_WORDS)
+        named = any(_telling(name, BOILER_OR_LAYOUT if layout else BOILER_NAMES) for name in f"{got.get('class', '')} {got.get('id', '')}".split())
     return surely or got.get("role", "").lower() in BOILER_ROLE, named or tag == "form", hidden
 
 
@@ -108,10 +131,27 @@ def blocks(page: str) -> list[Block]:
     found: list[Block] = []
     stack: list[_Open] = []
     parts: list[str] = []
-    linked = links = mains = containers = boxes = 0
+    linked = links = mains = containers = 0
     heading = first_heading = False
-    around: dict[int, tuple[int, ...]] = {}
-    none = _Open("", False, False, 0, 0, ())
+    around: dict[int, int] = {}
+    within = [0]  # the box around each box; the page's own number is 0
+    opened: Counter[str] = Counter()
+    begun: set[int] = set()  # containers with a block
+    endless: set[str] = set()  # tags of raw text without an end in the rest of the page
+    none = _Open("", False, False, 0, 0, 0)
+
+    def push(o: _Open) -> None:
+        stack.append(o)
+        opened[o.tag] += 1
+
+    def pop() -> str:
+        opened[stack[-1].tag] -= 1
+        return stack.pop().tag
+
+    def boxed(box: bool, inside: int) -> int:
+        if box:
+            within.append(inside)
+        return len(within) - 1 if box else inside
 
     def flush() -> None:
         nonlocal linked
@@ -119,7 +159,14 @@ def blocks(page: str) -> list[Block]:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
                 top = stack[-1] if stack else none
-                found.append(Block(text, top.bad, top.main, heading, linked, top.container, top.frames, top.frames if first_heading else around.get(top.main, ())))
+                if heading and top.container not in begun and _COMMENTS.fullmatch(text):
+                    # The box that this heading begins, unless that is the page or the article itself.
+                    own = list(takewhile(lambda o: o.container == top.container, reversed(stack)))
+                    if own and own[-1].tag in ("div", "section", "details", "fieldset", "dl"):
+                        for o in own:
+                            o.bad = True
+                begun.add(top.container)
+                found.append(Block(text, top.bad, top.main, heading, linked, top.container, top.box, top.box if first_heading else around.get(top.main, 0)))
             parts.clear()
         linked = 0
 
@@ -147,10 +194,10 @@ def blocks(page: str) -> list[Block]:
         elif tag == "a":
             links = 0 if closing else 1
         elif closing:
-            if any(o.tag == tag for o in stack):
-                if tag in BLOCK or any(o.tag in BLOCK for o in stack[next(i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == tag) :]):
+            if opened[tag]:
+                if tag in BLOCK or any(o.tag in BLOCK for o in takewhile(lambda o: o.tag != tag, reversed(stack))):
                     flush()
-                while stack.pop().tag != tag:
+                while pop() != tag:
                     pass
                 links = 0 if tag in BLOCK else links
             elif tag in BLOCK:
@@ -160,7 +207,9 @@ def blocks(page: str) -> list[Block]:
         elif tag in BLOCK or tag in SKIPPED:
             if tag in RAW:
                 # Without an end, code goes on to the end of the page; other tags of this kind are overlooked.
-                end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+                end = None if tag in endless else _RAW_END[tag].search(page, at)
+                if end is None:
+                    endless.add(tag)
                 at = end.end() if end else size if tag in ("script", "style") else at
                 continue
             if tag in BLOCK:
@@ -169,7 +218,7 @@ def blocks(page: str) -> list[Block]:
                 if tag not in VOID:
                     # A paragraph or item ends where the next begins.
                     while stack and stack[-1].tag == "p" or stack and tag == stack[-1].tag and tag in ("li", "dt", "dd", "tr", "td", "th", "option"):
-                        stack.pop()
+                        pop()
                 heading = tag in ("h1", "h2", "h3", "h4", "h5", "h6")
                 first_heading = tag == "h1"
             if tag in VOID or m.group(3).rstrip().endswith("/"):
@@ -180,35 +229,52 @@ def blocks(page: str) -> list[Block]:
             if tag in MAIN and not top.main and not (boiler or top.bad):
                 mains += 1
                 main = mains
-                around[main] = top.frames
+                around[main] = top.box
             containers += tag not in PLAIN
-            boxes += box
-            stack.append(_Open(tag, top.bad or boiler, top.skip or hidden or tag in SKIPPED, main, top.container if tag in PLAIN else containers, (*top.frames, boxes) if box else top.frames))
+            push(_Open(tag, top.bad or boiler, top.skip or hidden or tag in SKIPPED, main, top.container if tag in PLAIN else containers, boxed(box, top.box)))
         elif m.group(3):
             # An inline element is followed only if it hides or marks its content.
             top = stack[-1] if stack else none
             boiler, box, hidden = _hidden_or_boiler(tag, m.group(3), top.main > 0)
             if (boiler or box or hidden) and tag not in VOID and not m.group(3).rstrip().endswith("/"):
                 flush()
-                boxes += box
-                stack.append(_Open(tag, top.bad or boiler, top.skip or hidden, top.main, top.container, (*top.frames, boxes) if box else top.frames))
+                push(_Open(tag, top.bad or boiler, top.skip or hidden, top.main, top.container, boxed(box, top.box)))
     flush()
-    _without_frames(found)
+    _without_frames(found, within)
     return found
 
 
-def _without_frames(found: list[Block]) -> None:
-    """Blocks in a box are bad, unless it encloses the first heading or the article and half of the text that is in no other bad place."""
-    frames = {f for b in found for f in b.around}
-    rest = [b for b in found if not b.bad_place and frames.issuperset(b.frames)]
-    inside: Counter[int] = Counter()
-    for b in rest:
-        for f in b.frames:
-            inside[f] += len(b.text)
-    whole = sum(len(b.text) for b in rest)
-    frames = {f for f in frames if 2 * inside[f] >= whole}
+def _without_frames(found: list[Block], within: list[int]) -> None:
+    """Blocks in a box are bad, unless it encloses the first heading or the article and half of the text that is in no other bad place.
+
+    ``within``: the box around each box, which has a smaller number.
+    """
+    frame = [False] * len(within)
+    for b in found:
+        box = b.around
+        while box and not frame[box]:
+            frame[box] = True
+            box = within[box]
+
+    def clear() -> list[bool]:
+        """Whether a box and all around it are frames."""
+        out = [True] * len(within)
+        for box in range(1, len(within)):
+            out[box] = frame[box] and out[within[box]]
+        return out
+
+    only_frames = clear()
+    inside = [0] * len(within)
+    for b in found:
+        if not b.bad_place and only_frames[b.box]:
+            inside[b.box] += len(b.text)
+    for box in range(len(within) - 1, 0, -1):
+        inside[within[box]] += inside[box]
+    for box in range(1, len(within)):
+        frame[box] = frame[box] and 2 * inside[box] >= inside[0]
+    only_frames = clear()
     for b in found:
-        b.bad_place = b.bad_place or not frames.issuperset(b.frames)
+        b.bad_place = b.bad_place or not only_frames[b.box]
 
 
 def first_pass(found: list[Block]) -> None:
@@ -287,7 +353,7 @@ SCHEMA = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.s
 def main_texts(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:
     """``page_id, url, text, n_chars`` per input row.
 
-    Null or empty html gives empty text; null ids and urls stay; repeated rows repeat; an empty
+    Null or empty html gives empty text; a page may be of any length and depth; null ids and urls stay; repeated rows repeat; an empty
     table gives none; other columns are ignored.
     """
     ready(pages)

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
@@ -98,6 +99,49 @@ def test_boxes_that_frame_and_boxes_that_do_not(page):
     assert html_extract.extract(page.format(ARTICLE)) == ARTICLE
 
 
+OTHER = "The market was in the hall of the old town and it is there that they meet on the first day of it."
+
+
+@pytest.mark.parametrize("name", ["social-history", "market-share", "notice-of-change history", "advert-free reading", "shared-memory", "commentary", "relatedness", "share-price", "nav-chart ocean", "banner-years", "newsletter-archive text"])
+def test_ordinary_names_that_hold_telling_words(name):
+    assert html_extract.extract(f'<article><p>{ARTICLE}</p><section class="{name}"><p>{OTHER}</p></section></article>') == f"{ARTICLE} {OTHER}"
+    assert html_extract.extract(f'<body><h1>{ARTICLE}</h1><div id="{name.replace(" ", "-")}"><p>{OTHER}</p></div></body>') == f"{ARTICLE} {OTHER}"
+
+
+@pytest.mark.parametrize("name", ["social-links", "share-buttons", "related-posts", "site-notice", "ad-slot top", "postComments", "user-feedback", "newsletter-signup-box", "cookie_notice_bar", "widget-area"])
+def test_telling_names(name):
+    assert html_extract.extract(f'<article><p>{ARTICLE}</p><section class="{name}"><p>{OTHER}</p></section></article>') == ARTICLE
+
+
+@pytest.mark.parametrize("heading", ["3 responses", "12 Comments", "Comments (4)", "Leave a reply", "2 responses to “The hall”", "3 Kommentare", "Reader comments:"])
+def test_comments_by_their_heading(heading):
+    said = f'<section class="x1"><h3>{heading}</h3><div><p>{OTHER}</p></div><ol><li>{OTHER}</li></ol></section>'
+    assert html_extract.extract(f"<article><p>{ARTICLE}</p>{said}</article>") == ARTICLE
+    assert html_extract.extract(f"<body><div><p>{ARTICLE}</p></div>{said}</body>") == ARTICLE
+
+
+def test_headings_like_those_of_comments():
+    for page in (f"<article><h2>3 responses</h2><p>{ARTICLE}</p></article>", f"<article><p>{OTHER}</p><section><h2>3 responses to a crisis</h2><p>{ARTICLE}</p></section></article>", f"<article><div><p>{OTHER}</p><h2>Comments</h2><p>{ARTICLE}</p></div></article>"):
+        assert html_extract.extract(page).endswith(ARTICLE)
+
+
+@pytest.mark.parametrize("tag", ["p data-x=don't", "p title=a\"b", "p 'x", 'p "x', "p data-x = 'a>b'", "p a=\"x>y\" b=c'd", "p =x", "p a=", "p a= b", "p/a='>'"])
+def test_attributes_by_the_rules(tag):
+    assert html_extract.extract(f"<article><{tag}>{ARTICLE}</p><p>it's {OTHER}</p></article>") == f"{ARTICLE} it's {OTHER}"
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<div>" * 100_000 + "</span>" * 100_000, "<div>" * 100_000 + "</p></li>" * 50_000, "<div class=ad>" * 100_000, "<b class=ad>x" * 50_000, "<div class=ad><h1>x" * 50_000, "<textarea>" * 100_000, "<title>x" * 100_000, "<a b='" * 50_000, "<p =" * 100_000,
+     "<" * 300_000, "<!--" * 100_000, "<section><h2>Comments</h2>" * 30_000, "<p>" * 200_000, "&amp" * 200_000, "<div>x</div>" * 100_000, "<li>x" * 100_000, "= = " * 100_000, "<x " + "= " * 300_000, "<form>" * 50_000 + "<h1>x</h1>" + "y" * 1000],
+    ids=range(19),
+)
+def test_long_and_deep_pages_take_linear_time(page):
+    began = time.process_time()
+    html_extract.extract(f"{page}<article><p>{ARTICLE}</p></article>")
+    assert time.process_time() - began < 10
+
+
 def _generated(rnd):
     """A page of one of several templates, and its main text."""
     def words(n):
