@@ -27,11 +27,11 @@ def connected_components(edges: DataFrame, most_rounds: int = 64, small: int = S
     longest path. A node with many neighbours is pre-aggregated and its joins can be split by AQE.
     """
     both = edges.select("a", "b").where("a IS NOT NULL AND b IS NOT NULL")
-    current, before = materialise(both.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges"), None
+    current, before = materialise(both.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges", few=True), None
     if current.count() <= small:
         kind = dict(current.dtypes)["a"]
         return current.repartition(1).mapInPandas(_joined, f"node {kind}, component {kind}")
-    loops = materialise(current.select(F.col("a").alias("node")).union(current.select("b")).distinct(), "nodes")
+    loops = materialise(current.select(F.col("a").alias("node")).union(current.select("b")).distinct(), "nodes", few=True)
     current = current.where("a <> b")
     for _ in range(most_rounds):
         # Large star: a node's larger neighbours meet its least neighbour (or itself).
@@ -41,7 +41,7 @@ def connected_components(edges: DataFrame, most_rounds: int = 64, small: int = S
         # Small star: a node and its smaller neighbours meet the least of them.
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select("a", F.col("m").alias("b")))
-        current = materialise(small.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+        current = materialise(small.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges", few=True)
         state = current.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if (state.n, state.h) == before:
             break

@@ -66,17 +66,28 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-def materialise(df: DataFrame, name: str = "step") -> DataFrame:
+#: On local folders Hadoop starts a process for the mode of each file it makes, four times with checksum files and once without.
+PLAIN_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+
+
+def materialise(df: DataFrame, name: str = "step", few: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder as Parquet and read it back.
 
     Cuts lineage: a lost executor costs no recomputation of ``df``, and a
     result that is read more than once is computed once. The table stays
     until ``forget`` or the owner of the shared folder removes it.
+
+    ``few`` is for results that are much smaller than what they are made from: tasks of the last stage
+    are put together, some for each core, so that short ones do not each write a file. Not for
+    functions that use the number of their task.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
     _written.append(path)
-    df.write.parquet(path)
+    if few:
+        df = df.coalesce(max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8))
+    writer = df.write.options(**PLAIN_FILES) if path.startswith("file:") else df.write
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
