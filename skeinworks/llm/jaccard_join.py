@@ -39,8 +39,8 @@ SCAN_COST, LARGEST_LIGHT = 12, 40
 BATCH_CHARS = 2 << 20
 #: Lists up to this length are paired at once; shingles that the sketch counts more often are dealt out by set, not by shingle.
 SHORT_LIST, LONG_LIST = 16, 4096
-#: Members of a long list that meet as a block; partners of a set that are verified beside one copy of it.
-LIST_BLOCK, PARTNERS = 256, 64
+#: Members of a long list that meet as a block, at least, and of very long ones at most: a list is sent once for each of its blocks. Partners of a set that are verified beside one copy of it.
+LIST_BLOCK, LARGEST_BLOCK, PARTNERS = 256, 4096, 64
 #: Parts of a set's profile, which bounds intersections.
 PARTS = 128
 ABSENT = (1 << 63) - 1  # stands for a null id: never the least
@@ -306,10 +306,11 @@ def _room(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 def _members(lists: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
     """Members of the long lists that hold several components, with the number of blocks and the smallest member ``m`` of their list."""
     known = lists.join(labels.withColumnRenamed("node", "a"), "a", "left").withColumn("component", F.coalesce("component", "a"))
-    known = materialise(known.join(classes.select(F.col("key").alias("a"), "profile"), "a").select("token", "a_size", "a", "place", "component", "profile"), "members")
-    blocks = F.ceil(F.count(F.lit(1)) / LIST_BLOCK).cast("int").alias("blocks")
+    known = materialise(known.join(classes.select(F.col("key").alias("a"), "profile"), "a").select("token", "a_size", "a", "place", "component", "profile"), "members", few=True)
+    rows = F.count(F.lit(1))
+    blocks = F.ceil(rows / F.greatest(F.lit(LIST_BLOCK), F.least(F.lit(LARGEST_BLOCK), rows / 64))).cast("int").alias("blocks")
     lists = known.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), blocks, F.min(F.struct("a_size", "a", "place", "component")).alias("m"))
-    return materialise(known.join(lists.where("low < high").select("token", "blocks", "m"), "token").withColumn("own", F.pmod(F.xxhash64("a"), F.col("blocks")).cast("int")), "split")
+    return materialise(known.join(lists.where("low < high").select("token", "blocks", "m"), "token").withColumn("own", F.pmod(F.xxhash64("a"), F.col("blocks")).cast("int")), "split", few=True)
 
 
 def _profiles(column: pa.Array) -> np.ndarray:
@@ -463,7 +464,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, words: int,
     A set is sent once for some PARTNERS partners, which follow it one by one: no row holds two sets, a
     task holds two at a time, and a set with many partners is dealt out to many tasks.
     """
-    pairs = materialise(_plausible(pairs, classes, percent), "plausible")
+    pairs = materialise(_plausible(pairs, classes, percent), "plausible", few=True)
     whole = _whole(pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct(), classes, rows, words, clashing)
     degree = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).alias("parts"))
     pairs = pairs.join(degree, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).alias("part"))
@@ -513,24 +514,24 @@ def _classified(docs: DataFrame, words: int, percent: int, id_column: str = "doc
         documents = documents.withColumn("key", F.when(F.col("key").isin(*clashing), F.col("second")).otherwise(F.col("key")))
     sizes = {r.n_shingles: r["count"] for r in classes.where(F.col("n_shingles") <= 2 * LARGEST_LIGHT).groupBy("n_shingles").count().collect()}
     light = boundary(sizes, percent)
-    found = materialise(_met(_entries(dealt, words, percent, light, _frequent(measured), clashing), percent), "met")
+    found = materialise(_met(_entries(dealt, words, percent, light, _frequent(measured), clashing), percent), "met", few=True)
     lists = found.where("kind = 2")
     check = lambda pairs: _verified(pairs, classes, rows, words, percent, clashing)
-    tested = materialise(found.where("kind = 1").select("a", "b").distinct(), "pairs")
-    labels = connected_components(materialise(check(tested), "links"))
+    tested = materialise(found.where("kind = 1").select("a", "b").distinct(), "pairs", few=True)
+    labels = connected_components(materialise(check(tested), "links", few=True))
     if lists.limit(1).collect():
         # Likely pairs first: what they link needs no further look. Then all pairs of different components that are left.
         for pairs_of in (_near, _across):
-            labels = materialise(labels, "labels")
-            fresh = materialise(pairs_of(_members(lists, labels, classes), percent).join(tested, ["a", "b"], "left_anti"), "fresh")
+            labels = materialise(labels, "labels", few=True)
+            fresh = materialise(pairs_of(_members(lists, labels, classes), percent).join(tested, ["a", "b"], "left_anti"), "fresh", few=True)
             if not fresh.limit(1).collect():
                 continue
-            more = materialise(check(fresh), "links")
+            more = materialise(check(fresh), "links", few=True)
             tested = tested.union(fresh)
             labels = connected_components(more.union(labels.select(F.col("node").alias("a"), F.col("component").alias("b"))))
     member = classes.join(labels.withColumnRenamed("node", "key"), "key", "left").select("key", "first_id", F.coalesce("component", "key").alias("component"))
     least = member.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    by_key = materialise(member.join(least, "component").select("key", "component", "component_id"), "members")
+    by_key = materialise(member.join(least, "component").select("key", "component", "component_id"), "members", few=True)
     full = documents.join(by_key, "key", "left")
     out = full.select(
         "doc_id",
@@ -552,7 +553,7 @@ def _classes(measured: DataFrame) -> tuple[DataFrame, frozenset[int]]:
     def by(key: Column) -> DataFrame:
         return rows.withColumn("key", key).groupBy("key").agg(*(F.first(c).alias(c) for c in ("n_shingles", "profile")), F.min("first_id").alias("first_id"), (F.min("second") < F.max("second")).alias("several"))
 
-    classes = materialise(by(F.col("key")), "classes")
+    classes = materialise(by(F.col("key")), "classes", few=True)
     clashing = frozenset(r.key for r in classes.where("several").select("key").collect())
     if clashing:
         classes = materialise(by(F.when(F.col("key").isin(*clashing), F.col("second")).otherwise(F.col("key"))), "classes")
@@ -569,7 +570,7 @@ def keep_first(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     found, clashing = _classified(docs, words, percent)
     found = found.where("doc_id IS NOT NULL")
     counted = found.groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.count(F.lit(1)).alias("n"))
-    doubtful = materialise(counted.where("doc_id <> component_id OR n > 1"), "doubtful")
+    doubtful = materialise(counted.where("doc_id <> component_id OR n > 1"), "doubtful", few=True)
     # Most rows are surely kept and stay where they are; the rest, and what hashes like it, is joined.
     table = id_table(doubtful, "doc_id")
     gone = doubtful.select(F.col("doc_id").alias("_gone"))
