@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skeinworks.functions.scalars import f1, wilson
+from skeinworks.session import materialise
 
 
 def precision_recall(rows: DataFrame, gold: str, pred: str, group: list[str] | None = None) -> DataFrame:
@@ -79,21 +80,30 @@ def ranking_scores(ranks: DataFrame, core: DataFrame, depth: int = 50) -> DataFr
 def bootstrap_interval(values: DataFrame, column: str, resamples: int = 10_000, seed: int = 0) -> DataFrame:
     """``mean, lo, hi`` of percentile bootstrap over all values that are not null; the draws are seeded.
 
-    A resample of n rows is a multinomial draw of n over the distinct values, so only their counts are
-    gathered. A few values (labels, scores rounded to some places) stay few at any number of rows.
+    A resample of n rows is a multinomial draw of n over the distinct values. These are dealt out by
+    hash: one draw tells how many rows fall to each share of them (the same in every task), and a task
+    draws these from its own values, so any number of values is drawn where it is. What is merged is a
+    sum for each resample.
     """
-    schema = "mean double, lo double, hi double"
+    n_parts = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = values.select(F.col(column).cast("double").alias("value")).where("value IS NOT NULL").groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    counts = materialise(counts.withColumn("part", F.pmod(F.xxhash64("value"), F.lit(n_parts)).cast("int")), "values")
+    sizes = sorted((r.part, r.n) for r in counts.groupBy("part").agg(F.sum("n").alias("n")).collect())  # a row for each share
+    place, rows = {part: i for i, (part, _) in enumerate(sizes)}, np.array([n for _, n in sizes], np.int64)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("value")
-        xs, counts = pdf["value"].to_numpy(float), pdf["n"].to_numpy(np.int64)
-        n, rng = int(counts.sum()), np.random.default_rng(seed)
-        share = counts / n
-        means = np.sort([float(rng.multinomial(n, share) @ xs) / n for _ in range(resamples)])
-        return pd.DataFrame([(round(float(counts @ xs) / n, 4), round(float(means[int(0.025 * resamples)]), 4), round(float(means[int(0.975 * resamples)]), 4))], columns=["mean", "lo", "hi"])
-
-    counts = values.select(F.col(column).cast("double").alias("value")).where("value IS NOT NULL").groupBy("value").agg(F.count(F.lit(1)).alias("n"))
-    return counts.groupBy(F.lit(0).alias("g")).applyInPandas(run, schema)
+        pdf, part = pdf.sort_values("value"), int(pdf["part"].iloc[0])
+        xs, n = pdf["value"].to_numpy(float), pdf["n"].to_numpy(np.int64)
+        dealt, own = np.random.default_rng([seed, n_parts]), np.random.default_rng([seed, n_parts, part + 1])
+        share, inside = rows / rows.sum(), n / n.sum()
+        sums = [float(own.multinomial(dealt.multinomial(rows.sum(), share)[place[part]], inside) @ xs) for _ in range(resamples)]
+        return pd.DataFrame({"resample": np.arange(-1, resamples), "total": [float(n @ xs), *sums]})
+
+    drawn = counts.groupBy("part").applyInPandas(run, "resample int, total double").groupBy("resample").agg((F.sum("total") / F.lit(int(rows.sum()))).alias("mean"))
+    ordered = F.array_sort(F.collect_list(F.when(F.col("resample") >= 0, F.col("mean"))))  # one row, as long as there are resamples
+    at = lambda q: F.round(F.element_at("means", int(q * resamples) + 1), 4)
+    found = drawn.agg(F.round(F.max(F.when(F.col("resample") < 0, F.col("mean"))), 4).alias("mean"), ordered.alias("means")).where("mean IS NOT NULL")
+    return found.select("mean", at(0.025).alias("lo"), at(0.975).alias("hi"))
 
 
 def three_views(rows: DataFrame, gold: str, verdict: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skeinworks.operators.sequence import quantile_level, standard_scores
+from skeinworks.session import materialise
 
 
 def backoff_groups(rows: DataFrame, base: list[str], levels: list[list[str]], least: int = 2) -> DataFrame:
@@ -30,28 +31,38 @@ def attached_singletons(rows: DataFrame, base: list[str], dims: list[str], item:
     """Gives each singleton group of a base to the sibling group whose members agree in the most dimensions on average.
 
     Groups with more members win ties, then the smaller name; a group grows as singletons join it, in
-    order of item. Bases never meet, and each is a template family of bounded size, so one task walks one base.
+    order of item. Null agrees with null. Agreement is a sum of counts, so of larger groups only the
+    counts by dimension and value meet a base's singletons, and a singleton costs as many steps as
+    there are groups and dimensions.
     """
-    out_type = f"{item} {dict(rows.dtypes)[item]}, {group} {dict(rows.dtypes)[group]}"
-
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = sorted(zip(pdf[item], pdf[group], pdf[dims].itertuples(index=False, name=None), strict=True), key=lambda r: r[0])
-        members: dict = {}
-        for _, g, values in rows:
-            members.setdefault(g, []).append(values)
-        own = {}
-        for i, g, mine in rows:
+    kind = dict(rows.dtypes)
+    values = F.array(*(F.coalesce(F.concat(F.lit("="), F.col(d).cast("string")), F.lit("")) for d in dims))
+    held = rows.select(*base, item, group, values.alias("_values"))
+    sizes = held.groupBy(*(F.col(c).alias(f"_k_{c}") for c in (*base, group))).agg(F.count(F.lit(1)).alias("_n"))
+    same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in (*base, group)]
+    sized = materialise(held.join(sizes, same).select(*held.columns, "_n"), "sized")
+    counts = sized.where("_n > 1").select(*base, group, "_n", F.posexplode("_values").alias("_d", "_v")).groupBy(*base, group, "_n", "_d", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    single = sized.where("_n = 1")
+    # Only bases with a singleton are walked.
+    walked = single.select(*(F.col(c).alias(f"_k_{c}") for c in base)).distinct()
+    counts = counts.join(walked, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in base], "left_semi")
+
+    def walk(counts: pd.DataFrame, single: pd.DataFrame) -> pd.DataFrame:
+        size, seen, own = {}, {}, {}
+        if len(counts):
+            size = dict(zip(counts[group], counts["_n"], strict=True))
+            seen = {(g, d, v): c for g, d, v, c in zip(counts[group], counts["_d"], counts["_v"], counts["_c"], strict=True)}
+        for i, g, mine in sorted(zip(single[item], single[group], single["_values"], strict=True), key=lambda r: r[0]):
             own[i] = g
-            if len(members.get(g, ())) != 1:
-                continue
-            others = [(sum(x == y for m in ms for x, y in zip(mine, m, strict=True)) / len(ms), len(ms), name) for name, ms in members.items() if name != g and len(ms) > 1]
-            if others:
-                own[i] = min(others, key=lambda o: (-o[0], -o[1], o[2]))[2]
-                members[own[i]].append(mine)
-                del members[g]
+            if size:
+                own[i] = best = min(size, key=lambda o: (-sum(seen.get((o, d, v), 0) for d, v in enumerate(mine)) / size[o], -size[o], o))
+                size[best] += 1
+                for d, v in enumerate(mine):
+                    seen[best, d, v] = seen.get((best, d, v), 0) + 1
         return pd.DataFrame({item: list(own), group: list(own.values())})
 
-    return rows.groupBy(*base).applyInPandas(walk, out_type)
+    joined = counts.groupBy(*base).cogroup(single.groupBy(*base)).applyInPandas(walk, f"{item} {kind[item]}, {group} {kind[group]}")
+    return sized.where("_n > 1").select(item, group).unionByName(joined)
 
 
 def envelope(rows: DataFrame, by: list[str], ranges: list[str], sets: list[str], flag: str | None = None) -> DataFrame:

@@ -57,11 +57,49 @@ def running_max(df: DataFrame, order: str | list[str], value: str, group: list[s
     return ranged.withColumn("_own", inside).join(earlier, ["_range", "_group"]).withColumn(name, F.greatest("_own", "_earlier")).drop("_range", "_group", "_own", "_earlier")
 
 
+def place_in_group(df: DataFrame, group: list[str], order: list[str], name: str = "place") -> DataFrame:
+    """Adds the dense 0-based place of each row in its group, by ``order``.
+
+    Rows are dealt out by range of group and order, so a large group lies in many tasks and none sorts
+    it; a range's offset is the number of its group's rows in earlier ranges (one row for each range and group).
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = materialise(df.repartitionByRange(n, *group, *order).withColumn("_range", F.spark_partition_id()).withColumn("_group", F.to_json(F.struct(*group))), "ranged")
+    counts = ranged.groupBy("_range", "_group").agg(F.count(F.lit(1)).alias("_c"))
+    offsets = counts.select("_range", "_group", F.coalesce(F.sum("_c").over(Window.partitionBy("_group").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"))
+    inside = F.row_number().over(Window.partitionBy("_range", "_group").orderBy(*order)) - 1
+    return ranged.withColumn("_n", inside).join(offsets, ["_range", "_group"]).withColumn(name, F.col("_offset") + F.col("_n")).drop("_range", "_group", "_n", "_offset")
+
+
+def first_rank(df: DataFrame, group: list[str], score: str, name: str = "rank") -> DataFrame:
+    """Adds the 0-based rank of each row's score in its group, ties with their first, and the size of the group as ``<name>_of``.
+
+    A run of ties may reach over ranges: where one begins is known from the first and last scores of
+    each range, two rows for each range and group at most.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # A hash splits the runs of ties, so a hot score is sorted by many tasks.
+    salted = df.withColumn("_salt", F.xxhash64(*df.columns))
+    ranged = materialise(salted.repartitionByRange(n, *group, score, "_salt").withColumn("_range", F.spark_partition_id()).withColumn("_group", F.to_json(F.struct(*group))), "ranged")
+    key = ["_range", "_group"]
+    edges = ranged.groupBy(*key).agg(F.count(F.lit(1)).alias("_c"), F.min(F.struct(F.col(score).isNotNull().alias("known"), F.col(score).alias("s"))).alias("_first"), F.max(F.struct(F.col(score).isNotNull().alias("known"), F.col(score).alias("s"))).alias("_last"))
+    along = Window.partitionBy("_group").orderBy("_range")
+    edges = edges.withColumn("_offset", F.coalesce(F.sum("_c").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn("_size", F.sum("_c").over(Window.partitionBy("_group")))
+    inside = F.rank().over(Window.partitionBy(*key).orderBy(score)) - 1
+    # The last run of a range begins at its rank there; of a run over several ranges the least place counts.
+    ranked = ranged.withColumn("_n", inside)
+    last = ranked.groupBy(*key).agg(F.max("_n").alias("_last_n"))
+    edges = materialise(edges.join(last, key).withColumn("_last_at", F.col("_offset") + F.col("_last_n")), "edges")
+    starts = edges.select("_group", F.col("_last").alias("s"), F.col("_last_at").alias("at")).union(edges.select("_group", "_first", "_offset")).groupBy("_group", "s").agg(F.min("at").alias("_start"))
+    known = edges.join(starts.withColumnRenamed("s", "_first"), ["_group", "_first"]).select(*key, "_first", "_offset", "_start", "_size")
+    here = F.struct(F.col(score).isNotNull().alias("known"), F.col(score).alias("s"))
+    rank = F.when(here == F.col("_first"), F.col("_start")).otherwise(F.col("_offset") + F.col("_n"))
+    return ranked.join(known, key).withColumn(name, rank).withColumn(f"{name}_of", F.col("_size")).drop("_range", "_group", "_salt", "_n", "_first", "_offset", "_start", "_size")
+
+
 def quantile_level(df: DataFrame, group: list[str], score: str, levels: int = 5, name: str = "level") -> DataFrame:
     """Level 1..levels by the first rank of a score in its group: ties share the first rank."""
-    w = Window.partitionBy(*group)
-    rank = F.rank().over(w.orderBy(score)) - 1
-    return df.withColumn(name, F.least(F.lit(levels), (1 + F.floor(levels * rank / F.count(F.lit(1)).over(w)))).cast("int"))
+    return first_rank(df, group, score, "_rank").withColumn(name, F.least(F.lit(levels), (1 + F.floor(levels * F.col("_rank") / F.col("_rank_of")))).cast("int")).drop("_rank", "_rank_of")
 
 
 def standard_scores(df: DataFrame, columns: list[str], name: str = "score") -> DataFrame:
@@ -76,11 +114,10 @@ def standard_scores(df: DataFrame, columns: list[str], name: str = "score") -> D
 
 def serial_ids(df: DataFrame, group: str, order: list[str], prefix: Column, name: str = "serial_id") -> DataFrame:
     """``prefix.NN``: a running number in each group, two digits at least."""
-    n = F.row_number().over(Window.partitionBy(group).orderBy(*order))
-    return df.withColumn(name, F.concat(prefix, F.lit("."), F.when(n < 10, F.concat(F.lit("0"), n.cast("string"))).otherwise(n.cast("string"))))
+    n = (F.col("_place") + 1).cast("string")
+    return place_in_group(df, [group], order, "_place").withColumn(name, F.concat(prefix, F.lit("."), F.when(F.length(n) < 2, F.concat(F.lit("0"), n)).otherwise(n))).drop("_place")
 
 
 def alternate_split(df: DataFrame, group: list[str], order: list[str], name: str = "split") -> DataFrame:
     """Even places of each group go to ``val``, odd ones to ``test``."""
-    n = F.row_number().over(Window.partitionBy(*group).orderBy(*order)) - 1
-    return df.withColumn(name, F.when(n % 2 == 0, "val").otherwise("test"))
+    return place_in_group(df, group, order, "_place").withColumn(name, F.when(F.col("_place") % 2 == 0, "val").otherwise("test")).drop("_place")

@@ -379,3 +379,54 @@ def test_bootstrap_draws_from_every_row(spark):
     rng = random.Random(1)
     means = sorted(sum(rng.choices([0, 1, 2], k=30)) / 30 for _ in range(10_000))
     assert got.mean == 1.0 and abs(got.lo - means[250]) < 0.04 and abs(got.hi - means[9750]) < 0.04
+
+
+def test_places_and_ranks_in_large_groups(spark):
+    """One group holds most rows and one score a third of them; both reach over several ranges."""
+    rnd = random.Random(3)
+    data = [(i, rnd.choice(["big", "big", "big", "small", None]), rnd.choice([5.0, 5.0, None, *map(float, range(9))])) for i in range(400)] + [(1000, "one", 1.0)]
+    df = spark.createDataFrame(data, "id int, g string, s double")
+    by: dict = {}
+    for i, g, s in data:
+        by.setdefault(g, []).append((s is not None, s or 0.0, i))
+    places = {(g, i): n for g, members in by.items() for n, (_, _, i) in enumerate(sorted(members))}
+    got = sequence.place_in_group(df, ["g"], ["s", "id"]).collect()
+    assert {(r.g, r.id): r.place for r in got} == places
+    ranks = {(g, i): sum(m[:2] < (k, s) for m in members) for g, members in by.items() for k, s, i in members}
+    got = sequence.first_rank(df, ["g"], "s").collect()
+    assert {(r.g, r.id): r.rank for r in got} == ranks and all(r.rank_of == len(by[r.g]) for r in got) and len(got) == len(data)
+    split = sequence.alternate_split(df, ["g"], ["id"]).collect()
+    order = {(g, i): n for g, members in by.items() for n, i in enumerate(sorted(m[2] for m in members))}
+    assert all(r.split == ("val" if order[r.g, r.id] % 2 == 0 else "test") for r in split)
+    assert sequence.place_in_group(df.limit(0), ["g"], ["id"]).count() == 0 and sequence.first_rank(df.limit(0), ["g"], "s").count() == 0
+
+
+def test_attachment_equals_the_walk_over_members(spark):
+    rnd = random.Random(4)
+    data = [(i, rnd.choice(["hot", "hot", "hot", "cold", None]), f"g{rnd.choice([1, 2, 3, *range(10, 200)])}", rnd.choice(["a", "b", None]), rnd.choice([1, 2, None])) for i in range(300)]
+    want = {}
+    for base in {r[1] for r in data}:
+        rows_ = sorted(r for r in data if r[1] == base) if base else sorted((r for r in data if r[1] is None), key=lambda r: r[0])
+        members: dict = {}
+        for i, _, g, *mine in rows_:
+            members.setdefault(g, []).append(mine)
+        for i, _, g, *mine in rows_:
+            want[i] = g
+            others = [(sum(x == y for m in ms for x, y in zip(mine, m, strict=True)) / len(ms), len(ms), name) for name, ms in members.items() if name != g and len(ms) > 1]
+            if len(members.get(g, ())) == 1 and others:
+                want[i] = min(others, key=lambda o: (-o[0], -o[1], o[2]))[2]
+                members[want[i]].append(mine)
+                del members[g]
+    table = spark.createDataFrame(data, "id int, base string, g string, d string, e int")
+    assert {r.id: r.g for r in grouping.attached_singletons(table, ["base"], ["d", "e"], "id", "g").collect()} == want
+
+
+def test_bootstrap_of_values_that_all_differ(spark):
+    rows = spark.range(3000).select((F.col("id") * F.lit(0.37) % 11).alias("v"))
+    xs = [r.v for r in rows.collect()]
+    mean = sum(xs) / len(xs)
+    half = 1.96 * (sum((x - mean) ** 2 for x in xs) / len(xs) / len(xs)) ** 0.5
+    got = evaluation.bootstrap_interval(rows, "v", 2000).first()
+    assert abs(got.mean - mean) < 1e-4 and abs(got.lo - (mean - half)) < 0.1 * half and abs(got.hi - (mean + half)) < 0.1 * half
+    assert tuple(got) == tuple(evaluation.bootstrap_interval(rows, "v", 2000).first())
+    assert evaluation.bootstrap_interval(rows.where("v IS NULL"), "v").count() == 0
