@@ -145,8 +145,8 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def train(docs: DataFrame, learn: Column | None = None, id_column: str = "doc_id", text_column: str = "text", label_column: str = "lang", texts: int = SAMPLE_TEXTS) -> ByteConvNet:
-    """A network fitted on at most ``texts`` labelled texts (rows where ``learn`` holds), one of each id, some windows of each.
+def train(docs: DataFrame, learn: Column | None = None, id_column: str = "doc_id", text_column: str = "text", label_column: str = "lang", texts: int = SAMPLE_TEXTS, windows_each: int = SAMPLE_WINDOWS) -> ByteConvNet:
+    """A network fitted on at most ``texts`` labelled texts (rows where ``learn`` holds), one of each id, ``windows_each`` windows of each.
 
     Rows with null text or label, or without bytes, take no part; of several under an id the one of
     the least hash does; without any row left the network knows no class.
@@ -165,7 +165,7 @@ def train(docs: DataFrame, learn: Column | None = None, id_column: str = "doc_id
             for i, text, lang, digest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 block = windows(text.lower().encode())
                 block = block[letters(block) * 4 > WINDOW] if len(block) > 1 else block
-                places = sorted({len(block) * j // SAMPLE_WINDOWS for j in range(SAMPLE_WINDOWS)}) if len(block) else []
+                places = sorted({len(block) * j // windows_each for j in range(windows_each)}) if len(block) else []
                 out.append((i, digest, lang, block[places].tobytes()))
             yield batch_of(schema, *zip(*out, strict=True))
 
