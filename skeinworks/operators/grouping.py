@@ -46,6 +46,7 @@ def attached_singletons(rows: DataFrame, base: list[str], dims: list[str], item:
     # Only bases with a singleton are walked.
     walked = single.select(*(F.col(c).alias(f"_k_{c}") for c in base)).distinct()
     counts = counts.join(walked, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in base], "left_semi")
+    counts = materialise(counts, "counts")
 
     def walk(counts: pd.DataFrame, single: pd.DataFrame) -> pd.DataFrame:
         size, seen, own = {}, {}, {}
