@@ -116,11 +116,16 @@ def named_factor(name: Column, text: Column) -> Column:
     return F.when((inner != "") & F.contains(name, inner), NAMED).otherwise(1.0)
 
 
-def tfidf(docs: DataFrame, sublinear: bool = True) -> DataFrame:
-    """L2-normalised weights ``doc_id, token, w`` of rows ``doc_id, tokens``: smooth idf, 1 + ln tf (or tf)."""
-    counts = docs.select("doc_id", F.explode("tokens").alias("token")).groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("tf"))
-    n = docs.agg(F.count(F.lit(1)).alias("n"))
-    idf = counts.groupBy("token").agg(F.count(F.lit(1)).alias("df")).crossJoin(F.broadcast(n)).select("token", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
+def tfidf(docs: DataFrame, sublinear: bool = True, copies: str | None = None) -> DataFrame:
+    """L2-normalised weights ``doc_id, token, w`` of rows ``doc_id, tokens``: smooth idf, 1 + ln tf (or tf).
+
+    ``copies`` names a column that tells for how many equal documents a row stands.
+    """
+    times = F.lit(1) if copies is None else F.col(copies)
+    each = docs.select("doc_id", times.alias("_times"), F.explode("tokens").alias("token"))
+    counts = each.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("tf"), F.max("_times").alias("_times"))
+    n = docs.agg(F.sum(times).alias("n"))
+    idf = counts.groupBy("token").agg(F.sum("_times").alias("df")).crossJoin(F.broadcast(n)).select("token", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
     raw = counts.join(idf, "token").withColumn("w", ((1 + F.log("tf")) if sublinear else F.col("tf")) * F.col("idf"))
     norm = raw.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     return raw.join(norm, "doc_id").select("doc_id", "token", (F.col("w") / F.col("norm")).alias("w"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from skeinworks.functions import mining
 from skeinworks.functions.generate import instantiate_many, instantiate_within
-from skeinworks.operators import lattice, probes, retrieval
+from skeinworks.operators import lattice, probes, retrieval, sparse_topk
 from skeinworks.plans.catalogue import query
 from skeinworks.plans.fixtures import frame
 
@@ -48,8 +48,12 @@ _TF = f"""WITH t AS (SELECT item_id, token, count(*) AS tf FROM (SELECT doc_id A
     w AS (SELECT item_id, token, (1 + ln(tf)) * (ln((1.0 + n) / (1 + df)) + 1) AS w FROM t JOIN df USING (token), n), u AS (SELECT item_id, token, w / sqrt(sum(w * w) OVER (PARTITION BY item_id)) AS w FROM w)"""
 
 
+def _tokenised(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", retrieval.tokens(F.regexp_replace(F.lower("text"), "[^a-z0-9.]+", " ")).alias("tokens"))
+
+
 def _weighted(docs: DataFrame) -> DataFrame:
-    return retrieval.tfidf(docs.select("doc_id", retrieval.tokens(F.regexp_replace(F.lower("text"), "[^a-z0-9.]+", " ")).alias("tokens")))
+    return retrieval.tfidf(_tokenised(docs))
 
 
 @query(_TF + " SELECT item_id AS doc_id, token, round(w, 6) AS w FROM u")
@@ -65,9 +69,41 @@ def tfidf_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_TF + """, p AS (SELECT a.item_id AS a, b.item_id AS b, round(sum(a.w * b.w), 9) AS sim FROM u a JOIN u b ON a.token = b.token AND a.item_id <> b.item_id GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY sim DESC, b) AS n FROM p)
     SELECT DISTINCT least(a, b) AS a, greatest(a, b) AS b, 'similar' AS route FROM r WHERE n <= 3""")
 def tfidf_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from skeinworks.operators.candidates import nearest_pairs
+    near = sparse_topk.nearest_texts(_tokenised(frame(spark, sf_dir, "documents")), 3)
+    return near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.lit("similar").alias("route")).distinct()
+
+
+@query(_TF + """, p AS (SELECT a.item_id AS a, b.item_id AS b, round(sum(a.w * b.w), 9) AS sim FROM u a JOIN u b ON a.token = b.token AND a.item_id <> b.item_id GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY sim DESC, b) AS n FROM p)
+    SELECT a, b, round(sim, 6) AS sim, CAST(n AS INTEGER) AS place FROM r WHERE n <= 8""")
+def nearest_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The eight nearest of every document."""
+    return sparse_topk.nearest_texts(_tokenised(frame(spark, sf_dir, "documents")), 8).withColumn("sim", F.round(F.round("sim", 9), 6))
+
+
+_ASKED = f"""WITH f AS (SELECT doc_id, 'desc' AS field, text FROM documents UNION ALL SELECT doc_id, 'thread', source FROM documents), t AS (SELECT doc_id, field, unnest({_RUNS}) AS token FROM f), l AS (SELECT doc_id, field, count(*) AS len FROM t GROUP BY ALL), m AS (SELECT field, CAST(sum(len) AS DOUBLE) / (SELECT count(*) FROM documents) AS mean FROM l GROUP BY field),
+    c AS (SELECT doc_id, field, token, count(*) AS n FROM t GROUP BY ALL), v AS (SELECT token, doc_id, sum(CASE field WHEN 'desc' THEN 1.0 ELSE 1.5 END * n / (1 - 0.6 + 0.6 * len / mean)) AS v FROM c JOIN l USING (doc_id, field) JOIN m USING (field) GROUP BY ALL),
+    d AS (SELECT token, count(*) AS df FROM v GROUP BY token), x AS (SELECT token, doc_id, v, df, ln(1 + ((SELECT count(*) FROM documents) - df + 0.5) / (df + 0.5)) AS idf FROM v JOIN d USING (token)),
+    q AS (SELECT DISTINCT item_id AS query_id, unnest({_RUNS}) AS token FROM benchmark), s AS (SELECT query_id, doc_id, sum(idf * v * 2.4 / (v + 1.4)) AS score FROM q JOIN x USING (token) GROUP BY ALL)"""
+
+
+def _searched(spark: SparkSession, sf_dir: str, k: int) -> sparse_topk.TopProducts:
+    words = lambda c: retrieval.tokens(F.regexp_replace(F.lower(c), "[^a-z0-9.]+", " ")).alias("tokens")
+    docs = frame(spark, sf_dir, "documents")
+    fields = docs.select("doc_id", F.lit("desc").alias("field"), words("text")).union(docs.select("doc_id", F.lit("thread"), words("source")))
+    requests = frame(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.lit(0).alias("clause"), F.lit(1.0).alias("weight"), words("text"))
+    return sparse_topk.search_all(requests, retrieval.bm25f_index(fields, {"desc": 1.0, "thread": 1.5}), k)
+
+
+@query(_ASKED + " SELECT query_id, doc_id, round(round(score, 9), 6) AS score, place FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, doc_id) AS INTEGER) AS place FROM s WHERE score > 0) WHERE place <= 10")
+def requests_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item, all items at once."""
+    return _searched(spark, sf_dir, 10).results().withColumn("score", F.round(F.round("score", 9), 6))
+
 
-    return nearest_pairs(retrieval.similar_pairs(_weighted(frame(spark, sf_dir, "documents"))), 3)
+@query(_ASKED + " SELECT query_id, count(*) AS n_terms, CAST(sum(df) AS BIGINT) AS entries FROM q JOIN d USING (token) GROUP BY query_id")
+def requests_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lists that each item has; ``reads`` also tells those read whole."""
+    return _searched(spark, sf_dir, 10).reads().select("query_id", "n_terms", "entries")
 
 
 # Field-weighted search: benchmark items as queries over names, brands and types of parts.
