@@ -6,11 +6,9 @@ shared folder, so plans stay short and a lost executor repeats one round at most
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skeinworks.operators.components import connected_components
 from skeinworks.session import materialise
 
 
@@ -43,26 +41,26 @@ def reach(edges: DataFrame, starts: DataFrame, depth: int | None = None, backwar
     """``start, node, depth, via``: everything within ``depth`` of each start, by shortest depth.
 
     ``via`` is the parent that comes first in breadth-first order with neighbours sorted by node. The
-    start itself is left out.
+    start itself is left out. That order is the order of the paths themselves, node by node, so each
+    row of a frontier carries its own (``depth`` nodes) and no frontier is sorted or ranked.
     """
     e = edges.select(*((F.col("dst").alias("src"), F.col("src").alias("dst")) if backwards else ("src", "dst"))).distinct()
-    frontier = materialise(starts.select(F.col("start"), F.col("start").alias("node"), F.lit(0).cast("long").alias("place")).distinct(), "frontier")
+    kind = dict(e.dtypes)["dst"]
+    frontier = materialise(starts.select("start", F.col("start").alias("node"), F.array().cast(f"array<{kind}>").alias("path")).distinct(), "frontier")
     seen = materialise(frontier.select("start", "node"), "seen")
     found: list[DataFrame] = []
     at = 0
     while depth is None or at < depth:
         at += 1
-        stepped = frontier.join(e, frontier["node"] == e["src"]).select("start", F.col("dst").alias("node"), F.col("node").alias("via"), "place")
+        stepped = frontier.join(e, frontier["node"] == e["src"]).select("start", F.col("dst").alias("node"), F.concat("path", F.array(F.col("node").cast(kind))).alias("path"))
         fresh = stepped.join(seen, ["start", "node"], "left_anti")
-        best = fresh.groupBy("start", "node").agg(F.min(F.struct("place", "via")).alias("p"))
-        ranked = best.select("start", "node", F.col("p.via").alias("via"), F.row_number().over(Window.partitionBy("start").orderBy("p.place", "node")).cast("long").alias("place"))
-        frontier = materialise(ranked, "frontier")
+        frontier = materialise(fresh.groupBy("start", "node").agg(F.min("path").alias("path")), "frontier")
         if frontier.isEmpty():
             break
-        found.append(frontier.select("start", "node", F.lit(at).alias("depth"), "via"))
+        found.append(frontier.select("start", "node", F.lit(at).alias("depth"), F.element_at("path", -1).alias("via")))
         seen = materialise(seen.union(frontier.select("start", "node")), "seen")
     if not found:
-        return frontier.select("start", "node", F.lit(0).alias("depth"), "via").limit(0)
+        return frontier.select("start", "node", F.lit(0).alias("depth"), F.element_at("path", -1).alias("via")).limit(0)
     out = found[0]
     for f in found[1:]:
         out = out.union(f)
@@ -191,54 +189,6 @@ def without_mutual(edges: DataFrame, stages: DataFrame) -> DataFrame:
     return edges.join(mutual, ["src", "dst"], "left_anti")
 
 
-def constrained_clusters(links: DataFrame, apart: DataFrame) -> DataFrame:
-    """``node, cluster`` from ``a, b, confidence`` links under cannot-link pairs ``a, b``.
-
-    While a cluster holds a forbidden pair, its link of the least (confidence, a, b) goes. Only
-    components that hold a forbidden pair are cut, each by itself: they never meet.
-    """
-    links = materialise(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "confidence").groupBy("a", "b").agg(F.max("confidence").alias("confidence")), "links")
-    labels = materialise(connected_components(links), "labels")
-    end = {x: labels.select(F.col("node").alias(x), F.col("component").alias(f"c{x}")) for x in "ab"}
-    bad = apart.select("a", "b").join(end["a"], "a").join(end["b"], "b").where("ca = cb").select("a", "b", F.col("ca").alias("component"))
-    bad = materialise(bad, "apart")
-    troubled = bad.select("component").distinct()
-    inside = links.join(end["a"], "a").select("a", "b", "confidence", F.col("ca").alias("component")).join(troubled, "component", "left_semi")
-    rows = inside.select("component", "a", "b", "confidence", F.lit(0).alias("kind")).unionByName(bad.select("component", "a", "b", F.lit(0.0).alias("confidence"), F.lit(1).alias("kind")))
-
-    def cut(pdf: pd.DataFrame) -> pd.DataFrame:
-        edges = sorted(zip(pdf.confidence[pdf.kind == 0], pdf.a[pdf.kind == 0], pdf.b[pdf.kind == 0], strict=True))
-        forbidden = list(zip(pdf.a[pdf.kind == 1], pdf.b[pdf.kind == 1], strict=True))
-        todo, out = [edges], {x: x for _, a, b in edges for x in (a, b)}
-        while todo:
-            group = todo.pop()
-            parent: dict = {}
-
-            def root(x, parent=parent):
-                while parent.setdefault(x, x) != x:
-                    x = parent[x]
-                return x
-
-            for _, a, b in group:
-                ra, rb = root(a), root(b)
-                parent[max(ra, rb)] = min(ra, rb)
-            parts: dict = {}
-            for e in group:
-                parts.setdefault(root(e[1]), []).append(e)
-            for r, part in parts.items():
-                members = {x for _, a, b in part for x in (a, b)}
-                if any(a in members and b in members for a, b in forbidden):
-                    todo.append(part[1:])  # sorted: the first is the least
-                else:
-                    out.update((n, r) for n in members)
-        return pd.DataFrame({"node": list(out), "cluster": list(out.values())})
-
-    kind = dict(links.dtypes)["a"]
-    split = rows.groupBy("component").applyInPandas(cut, f"node {kind}, cluster {kind}")
-    calm = labels.join(troubled, "component", "left_anti").select("node", F.col("component").alias("cluster"))
-    return calm.unionByName(split)
-
-
 def relations(edges: DataFrame, node: str = "node") -> DataFrame:
     """Undirected kinds seen from each end: ``node, type, other, direction``."""
     out = edges.select(F.col("src").alias(node), "type", F.col("dst").alias("other"), F.lit("out").alias("direction"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skeinworks.operators import candidates, graph
+from skeinworks.operators import candidates, clusters, graph
 from skeinworks.operators.components import connected_components
 from skeinworks.plans.catalogue import query
 from skeinworks.plans.fixtures import frame, views
@@ -193,7 +193,7 @@ def constrained_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     links = e.select(F.col("src").alias("a"), F.col("dst").alias("b"), ((F.col("src") * 7 + F.col("dst")) % 100 / 100.0).alias("confidence"))
     p = frame(spark, sf_dir, "point")
     apart = p.select(F.col("node").alias("a"), "thread", "domain", "size").join(p.select(F.col("node").alias("b"), "thread", "domain", "size"), ["thread", "domain", "size"]).where("a < b").select("a", "b")
-    return graph.constrained_clusters(links, apart)
+    return clusters.constrained_clusters(links, apart)
 
 
 #: Four edges that break rules: a missing end, a loop, one twice, one turned round.

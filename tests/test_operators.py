@@ -1,11 +1,14 @@
 """Operators on small tables, against hand-made or brute-force results."""
 
 import random
+import time
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from skeinworks.operators import candidates, components, curation, evaluation, graph, grouping, lattice, retrieval, sequence
+from skeinworks.operators import candidates, clusters, components, curation, evaluation, graph, grouping, lattice, retrieval, sequence
 
 
 def rows(df):
@@ -100,10 +103,63 @@ def test_components(spark, seed, small):
     assert components.connected_components(spark.createDataFrame([], "a long, b long"), small=small).count() == 0
 
 
+def cut_walk(links, apart):
+    """Cuts the least link of a cluster that holds a forbidden pair, until none does."""
+    nodes = {x for _, a, b in links for x in (a, b)}
+    out, todo = {x: x for x in nodes}, [sorted(links)]
+    while todo:
+        group = todo.pop()
+        near = {}
+        for _, a, b in group:
+            near.setdefault(a, set()).add(b)
+            near.setdefault(b, set()).add(a)
+        left = set(near)
+        while left:
+            members, more = set(), [left.pop()]
+            while more:
+                x = more.pop()
+                if x not in members:
+                    members.add(x)
+                    more += near[x]
+            left -= members
+            if any(a in members and b in members for a, b in apart):
+                todo.append([e for e in group if e[1] in members][1:])
+            else:
+                out.update((x, min(members)) for x in members)
+    return set(out.items())
+
+
 def test_constrained_clusters(spark):
-    links = spark.createDataFrame([(1, 2, 0.9), (2, 3, 0.4), (3, 4, 0.8), (7, 8, 0.1)], "a long, b long, confidence double")
-    apart = spark.createDataFrame([(1, 4)], "a long, b long")
-    assert rows(graph.constrained_clusters(links, apart)) == {(1, 1), (2, 1), (3, 3), (4, 3), (7, 7), (8, 7)}
+    links = spark.createDataFrame([(1, 2, 0.9), (2, 3, 0.4), (3, 4, 0.8), (7, 8, 0.1), (9, 9, 0.5), (None, 1, 0.5)], "a long, b long, confidence double")
+    apart = spark.createDataFrame([(1, 4), (None, 2)], "a long, b long")
+    assert rows(clusters.constrained_clusters(links, apart)) == {(1, 1), (2, 1), (3, 3), (4, 3), (7, 7), (8, 7), (9, 9)}
+    assert rows(clusters.constrained_clusters(links.limit(0), apart)) == set()
+    assert rows(clusters.constrained_clusters(links, apart.limit(0))) == {(1, 1), (2, 1), (3, 1), (4, 1), (7, 7), (8, 7), (9, 9)}
+
+
+@pytest.mark.parametrize(("seed", "small"), [(1, 0), (2, 8), (3, 1 << 20), (4, 1 << 20), (5, 1 << 20)])
+def test_constrained_clusters_against_cuts(spark, seed, small):
+    rnd = random.Random(seed)
+    pairs = sorted({tuple(sorted(rnd.sample(range(30), 2))) for _ in range(45)} | {(40 + i, 41 + i) for i in range(6)})
+    links = [(rnd.randrange(10) / 10, a, b) for a, b in pairs]
+    apart = {tuple(rnd.sample(range(30), 2)) for _ in range(4 + 2 * seed)} | {(40, 46), (44, 44)}
+    got = clusters.constrained_clusters(spark.createDataFrame([(b, a, c) for c, a, b in links], "a long, b long, confidence double"), spark.createDataFrame(sorted(apart), "a long, b long"), small)
+    assert rows(got) == cut_walk(links, apart)
+
+
+def test_growing_of_a_large_component():
+    """A million links in one component, of which a tenth of the nodes have a foe, in seconds."""
+    n = 250_000
+    rnd = np.random.default_rng(1)
+    a, b = np.concatenate([np.arange(n - 1), rnd.integers(0, n, 3 * n)]), np.concatenate([np.arange(1, n), rnd.integers(0, n, 3 * n)])
+    links = pd.DataFrame({"x": np.minimum(a, b), "y": np.maximum(a, b), "confidence": rnd.random(len(a)), "kind": 0})
+    foes = pd.DataFrame({"x": rnd.integers(0, n, n // 10), "y": rnd.integers(0, n, n // 10), "confidence": 0.0, "kind": 1}).query("x != y")
+    pdf = pd.concat([links.query("x != y"), foes])
+    pdf["a"], pdf["b"] = pdf["x"], pdf["y"]
+    began = time.time()
+    final = clusters._grown(pdf).set_index("cluster")["final"]
+    assert time.time() - began < 60
+    assert len(final) == n and (final.loc[foes["x"]].to_numpy() != final.loc[foes["y"]].to_numpy()).all()
 
 
 def test_mutual_and_inserted(spark):
