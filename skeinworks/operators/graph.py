@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skeinworks.operators.reachability import node_levels, peeled, redundant_edges, spread_least, strong_components, turned
 from skeinworks.session import materialise
 
 
@@ -67,58 +68,47 @@ def reach(edges: DataFrame, starts: DataFrame, depth: int | None = None, backwar
     return out
 
 
-def redundant_edges(edges: DataFrame, closed: DataFrame | None = None) -> DataFrame:
-    """Edges (a, b) of a DAG with a longer path: some edge (a, c), c not b, with b reachable from c."""
-    closed = closure(edges) if closed is None else closed
-    step = edges.select("src", F.col("dst").alias("mid")).distinct()
-    far = closed.select(F.col("src").alias("mid"), "dst")
-    return edges.join(step.join(far, "mid").select("src", "dst").distinct(), ["src", "dst"], "left_semi")
-
-
-def transitive_reduction(edges: DataFrame, closed: DataFrame | None = None) -> DataFrame:
-    """The edges with ``is_direct``."""
-    redundant = redundant_edges(edges, closed).select("src", "dst", F.lit(True).alias("_r"))
+def transitive_reduction(edges: DataFrame) -> DataFrame:
+    """The edges with ``is_direct``: no longer path beside them. Edges at nodes on cycles are not direct."""
+    redundant = redundant_edges(edges).select("src", "dst", F.lit(True).alias("_r"))
     return edges.join(redundant, ["src", "dst"], "left").withColumn("is_direct", F.col("_r").isNull()).drop("_r")
 
 
 def witnesses(edges: DataFrame) -> DataFrame:
-    """For each implied edge, the inner nodes of a shortest path of the reduced graph, joined by commas."""
-    marked = materialise(transitive_reduction(edges), "marked")
+    """For each implied edge, the inner nodes of a shortest path of the reduced graph, joined by commas; edges at nodes on cycles have none.
+
+    Paths start only where an implied edge does, and end when all of its kind are found.
+    """
+    marked = materialise(transitive_reduction(edges.select("src", "dst").distinct()), "marked")
     direct = marked.where("is_direct").select("src", "dst")
-    paths = direct.select("src", F.col("dst").alias("node"), F.array("dst").alias("path"))
     wanted = materialise(marked.where("NOT is_direct").select("src", "dst"), "wanted")
-    done = None
+    paths = direct.select("src", F.col("dst").alias("node"), F.array("dst").alias("path"))
+    done = wanted.limit(0).select("src", "dst", F.lit("").alias("implied_via"))
     while not wanted.isEmpty():
-        longer = paths.join(direct.select(F.col("src").alias("node"), F.col("dst").alias("far")), "node")
+        near = paths.join(wanted.select("src").distinct(), "src", "left_semi")
+        longer = near.join(direct.select(F.col("src").alias("node"), F.col("dst").alias("far")), "node")
         longer = longer.select("src", F.col("far").alias("node"), F.concat("path", F.array("far")).alias("path"))
         paths = materialise(longer.groupBy("src", "node").agg(F.min("path").alias("path")), "paths")
+        if paths.isEmpty():
+            break
         got = wanted.join(paths.select("src", F.col("node").alias("dst"), "path"), ["src", "dst"])
-        got = got.select("src", "dst", F.concat_ws(",", F.slice("path", F.lit(1), F.size("path") - 1).cast("array<string>")).alias("implied_via"))
-        done = got if done is None else done.unionByName(got)
+        got = materialise(got.select("src", "dst", F.concat_ws(",", F.slice("path", F.lit(1), F.size("path") - 1).cast("array<string>")).alias("implied_via")), "got")
+        done = done.unionByName(got)
         wanted = materialise(wanted.join(got, ["src", "dst"], "left_anti"), "wanted")
-    return done if done is not None else wanted.select("src", "dst", F.lit("").alias("implied_via"))
+    return done
 
 
 def nodes_on_cycles(edges: DataFrame) -> DataFrame:
     """Nodes that reach themselves; none for a DAG."""
-    return closure(edges).where("src = dst").select(F.col("src").alias("node"))
+    return strong_components(edges).select("node")
 
 
 def levels(edges: DataFrame) -> DataFrame:
     """``node, depth``: the longest path (in edges) that ends at each node of a DAG. A cycle raises."""
-    e = materialise(edges.select("src", "dst").where("src IS NOT NULL AND dst IS NOT NULL").distinct(), "edges")
-    nodes = e.select(F.col("src").alias("node")).union(e.select("dst")).distinct()
-    current = materialise(nodes.select("node", F.lit(0).alias("depth")), "levels")
-    most, rounds = nodes.count(), 0
-    changed = current
-    while not changed.isEmpty():
-        rounds += 1
-        if rounds > most:
-            raise ValueError("the graph has a cycle")
-        pushed = changed.join(e, changed["node"] == e["src"]).groupBy(F.col("dst").alias("node")).agg((F.max("depth") + 1).alias("to"))
-        changed = materialise(pushed.join(current, "node").where("to > depth").select("node", F.col("to").alias("depth")), "changed")
-        current = materialise(current.join(changed.select("node", F.col("depth").alias("to")), "node", "left").select("node", F.greatest("depth", "to").alias("depth")), "levels")
-    return current
+    levelled, rest = peeled(edges)
+    if not rest.isEmpty():
+        raise ValueError("the graph has a cycle")
+    return node_levels(levelled)
 
 
 def longest_path(edges: DataFrame) -> DataFrame:
@@ -157,9 +147,8 @@ def order_conflicts(edges: DataFrame, positions: DataFrame) -> DataFrame:
 
 def moved_to_fixpoint(edges: DataFrame, positions: DataFrame) -> DataFrame:
     """Positions after moving each source to its earliest dependant: the least of its own and all descendants' positions."""
-    p = positions.select(F.col("node").alias("dst"), F.col("position").alias("_p"))
-    least = closure(edges).join(p, "dst").groupBy(F.col("src").alias("node")).agg(F.min("_p").alias("_least"))
-    return positions.join(least, "node", "left").select("node", "position", F.least("position", "_least").alias("moved_to"))
+    least = spread_least(turned(edges), positions.select("node", F.col("position").alias("value")))
+    return positions.join(least, "node", "left").select("node", "position", F.least("position", "value").alias("moved_to"))
 
 
 def placed_gaps(gaps: DataFrame) -> DataFrame:
@@ -195,7 +184,6 @@ def relations(edges: DataFrame, node: str = "node") -> DataFrame:
     return out.union(edges.select(F.col("dst").alias(node), "type", F.col("src").alias("other"), F.lit("in").alias("direction")))
 
 
-
 def violations(edges: DataFrame, points: DataFrame) -> DataFrame:
     """Broken rules as ``rule, src, dst``: missing ends, self loops, repeated and mutual edges, edges against the order, nodes on cycles, wrong ``is_direct`` marks.
 
@@ -214,9 +202,8 @@ def violations(edges: DataFrame, points: DataFrame) -> DataFrame:
     out = out.union(rule("repeated", e.groupBy("src", "dst").count().where("count > 1")))
     out = out.union(rule("mutual", pair.join(pair.select(F.col("dst").alias("src"), F.col("src").alias("dst")), ["src", "dst"]).where("src < dst")))
     out = out.union(rule("against order", order_conflicts(pair, points)))
-    closed = closure(pair)
-    out = out.union(rule("cycle", closed.where("src = dst")))
-    marked = transitive_reduction(pair, closed).withColumnRenamed("is_direct", "_right")
+    out = out.union(rule("cycle", nodes_on_cycles(pair).select(F.col("node").alias("src"), F.col("node").alias("dst"))))
+    marked = transitive_reduction(pair).withColumnRenamed("is_direct", "_right")
     return out.union(rule("wrong mark", e.distinct().join(marked, ["src", "dst"]).where("coalesce(is_direct, true) <> _right")))
 
 

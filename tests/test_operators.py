@@ -8,7 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from skeinworks.operators import candidates, clusters, components, curation, evaluation, graph, grouping, lattice, retrieval, sequence
+from skeinworks.operators import candidates, clusters, components, curation, evaluation, graph, grouping, lattice, reachability, retrieval, sequence
 
 
 def rows(df):
@@ -71,6 +71,45 @@ def test_graph_against_brute_force(spark, seed):
     assert {(r.node, r.moved_to) for r in moved.collect()} == {(n, min([place[n], *(place[d] for s, d in closed if s == n)])) for n in touched}
 
 
+@pytest.mark.parametrize(("seed", "n", "p", "small"), [(1, 12, 0.12, 0), (2, 24, 0.06, 1 << 20)])
+def test_reachability_with_cycles(spark, seed, n, p, small):
+    rnd = random.Random(seed)
+    edges = [(a, b) for a in range(n) for b in range(n) if rnd.random() < p and (a != b or rnd.random() < 0.2)]
+    # A long way round with one edge beside it, and a cycle that an edge avoids.
+    edges += [(100, 101), (101, 102), (102, 103), (103, 104), (100, 104), (110, 111), (111, 112), (112, 111), (112, 113), (110, 113), (120, 120)]
+    e = spark.createDataFrame([*edges, (None, 1), (5, None), edges[0]], "src int, dst int")
+    closed = closure_of(set(edges))
+    strong = {x: max(y for y in {b for a, b in closed if a == x} if (y, x) in closed) for x, y in closed if x == y}
+    assert rows(reachability.strong_components(e, small)) == set(strong.items())
+    assert rows(reachability.redundant_edges(e, small)) == {(a, b) for a, b in edges if any(x == a and (y, b) in closed for x, y in edges)}
+    place = {x: rnd.randrange(40) for ab in edges for x in ab if rnd.random() < 0.8}
+    moved = graph.moved_to_fixpoint(e, spark.createDataFrame(list(place.items()), "node int, position int"))
+    assert rows(moved.select("node", "moved_to")) == {(x, min([place[x], *(place[d] for s, d in closed if s == x and d in place)])) for x in place}
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_walk_against_brute_force(seed):
+    rnd = random.Random(seed)
+    edges = [(rnd.randrange(15), rnd.randrange(15)) for _ in range(rnd.randrange(1, 30))]
+    closed = closure_of(set(edges))
+    got = next(reachability._walked(iter([pd.DataFrame(edges, columns=["src", "dst"])])))
+    want = {x: max(y for a, y in closed if a == x and (y, x) in closed) for x, y in closed if x == y}
+    assert len(got) == len(want) and dict(zip(got["node"], got["component"], strict=True)) == want
+
+
+def test_reachability_of_nothing(spark):
+    e = spark.createDataFrame([(None, 1)], "src int, dst int")
+    assert graph.levels(e).count() == graph.nodes_on_cycles(e).count() == reachability.redundant_edges(e).count() == graph.witnesses(e.where("src = 0")).count() == 0
+    assert {r.is_direct for r in graph.transitive_reduction(e).collect()} == {True}
+
+
+def test_shortcuts_at_a_hub(spark):
+    """A hub with 300 edges in and out: each way through it is known from the ends, not from its pairs."""
+    edges = [(i, 1000) for i in range(300)] + [(1000, 2000 + i) for i in range(300)] + [(i, 2000 + i) for i in range(0, 300, 3)]
+    got = rows(reachability.shortcut_edges(spark.createDataFrame(edges, "src int, dst int")))
+    assert got == {(i, 2000 + i) for i in range(0, 300, 3)}
+
+
 def test_levels_refuse_cycles(spark):
     with pytest.raises(ValueError):
         graph.levels(spark.createDataFrame([(1, 2), (2, 1)], "src int, dst int"))
