@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skeinworks.operators import candidates, clusters, graph
+from skeinworks.operators import candidates, clusters, graph, reachability
 from skeinworks.operators.components import connected_components
 from skeinworks.plans.catalogue import query
 from skeinworks.plans.fixtures import frame, views
@@ -75,11 +75,28 @@ def reduction_keeps_reach(spark: SparkSession, sf_dir: str) -> DataFrame:
 _TURNED = "SELECT src, dst FROM edge UNION SELECT b.dst, a.src FROM edge a JOIN edge b ON a.dst = b.src WHERE a.src % 50 = 0"
 
 
-@query(f"WITH RECURSIVE e AS ({_TURNED}), reach(src, dst) AS (SELECT src, dst FROM e UNION SELECT r.src, e.dst FROM reach r JOIN e ON r.dst = e.src) SELECT src AS node FROM reach WHERE src = dst")
-def cycle_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+_TURNED_REACH = f"WITH RECURSIVE e AS ({_TURNED}), reach(src, dst) AS (SELECT src, dst FROM e UNION SELECT r.src, e.dst FROM reach r JOIN e ON r.dst = e.src)"
+
+
+def _turned(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _edges(spark, sf_dir).select("src", "dst")
     through = e.where("src % 50 = 0").select(F.col("src").alias("dst"), F.col("dst").alias("m")).join(e.select(F.col("src").alias("m"), F.col("dst").alias("src")), "m").select("src", "dst")
-    return graph.nodes_on_cycles(e.union(through).distinct())
+    return e.union(through).distinct()
+
+
+@query(_TURNED_REACH + " SELECT src AS node FROM reach WHERE src = dst")
+def cycle_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph.nodes_on_cycles(_turned(spark, sf_dir))
+
+
+@query(_TURNED_REACH + " SELECT a.src AS node, max(a.dst) AS component FROM reach a JOIN reach b ON b.src = a.dst AND b.dst = a.src GROUP BY a.src")
+def strong_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reachability.strong_components(_turned(spark, sf_dir))
+
+
+@query(_TURNED_REACH + " SELECT src, dst FROM e WHERE EXISTS (SELECT 1 FROM e m JOIN reach r ON r.src = m.dst WHERE m.src = e.src AND r.dst = e.dst)")
+def redundant_with_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reachability.redundant_edges(_turned(spark, sf_dir))
 
 
 # Positions shifted by size, so that some edges run against the order.
