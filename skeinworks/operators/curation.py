@@ -103,8 +103,8 @@ def applied_grants(points: DataFrame, grants: DataFrame) -> tuple[DataFrame, Dat
 
 
 def example_pool(texts: DataFrame, most: int = 4, length: int = 170) -> DataFrame:
-    """The first examples of each owner by tier (primary here, secondary here, elsewhere), then order; texts are cut. ``owner, tier, ord, text``."""
-    n = F.row_number().over(Window.partitionBy("owner").orderBy("tier", "ord"))
+    """The first examples of each owner by tier (primary here, secondary here, elsewhere), then order, unknown ones last; texts are cut. ``owner, tier, ord, text``."""
+    n = F.row_number().over(Window.partitionBy("owner").orderBy(F.asc_nulls_last("tier"), F.asc_nulls_last("ord")))
     return texts.withColumn("n", n).where(F.col("n") <= most).withColumn("text", F.substring("text", 1, length))
 
 
