@@ -163,6 +163,8 @@ def check_items(needs: DataFrame, facts: DataFrame, lessons: DataFrame, known_te
     known = F.broadcast(known) if known.count() <= LISTED else known
     # Maxima.
     reach = first_reaching(at.select("dimension", "need"), facts).withColumnRenamed("position", "allowed").join(unit, F.col("allowed") == F.col("_at"), "left").drop("_at")
+    reach = materialise(reach, "reach", few=True)
+    reach = F.broadcast(reach) if reach.count() <= LISTED else reach  # few numbers are asked for by many needs
     numbers = at.where("need > 0").groupBy(*base, "dimension").agg(F.max("need").alias("need")).join(reach, ["dimension", "need"], "left").where("allowed IS NULL OR allowed > here")
     numbers = numbers.select(*base, "dimension", F.lit(None).cast("string").alias("op"), F.col("need").cast("string").alias("value"), F.col("allowed").alias("introduced"), "intro_unit", F.lit(False).alias("doubt"))
     # Tokens: one not allowed yet is a violation if it is known at all or of a closed vocabulary, else a doubt.
