@@ -2,67 +2,76 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skeinworks.operators.sequence import quantile_level, standard_scores
-from skeinworks.session import materialise
+from skeinworks.session import materialise, tasks_for
 
 
-def backoff_groups(rows: DataFrame, base: list[str], levels: list[list[str]], least: int = 2) -> DataFrame:
+def backoff_groups(rows: DataFrame, base: list[str], levels: list[list[str]], least: int = 2, tasks: int | None = None) -> DataFrame:
     """Adds ``level`` and ``group_key``: the finest level whose group holds ``least`` rows; the last level keeps all.
 
     ``levels`` name the extra key columns of each level, finest first. Rows settled at a finer level
-    leave the coarser counts, as they are taken out level by level.
+    leave the coarser counts. Rows are dealt once, by the keys that all counted levels share, among
+    ``tasks`` tasks (by their number, if not given), and sorted once, those keys first.
     """
-    left, done = rows, None
+    counted = levels[:-1]
+    dims = list(dict.fromkeys(c for extra in counted for c in extra))
+    dims.sort(key=lambda c: -sum(c in extra for extra in counted))
+    shared = [c for c in dims if all(c in extra for extra in counted)]
+    out = rows.repartition(tasks or tasks_for(rows), *base, *shared) if counted else rows
+    level, last = F.lit(None).cast("int"), len(levels) - 1
+    for n, extra in enumerate(counted):
+        alone = F.count(F.when(level.isNull(), 1)).over(Window.partitionBy(*base, *(c for c in dims if c in extra)))
+        out = out.withColumn("level", F.when(level.isNull() & (alone >= least), last - n).otherwise(level))
+        level = F.col("level")
+    key = None
     for n, extra in enumerate(levels):
-        keys = [*base, *extra]
-        counted = left.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
-        key = F.concat_ws("|", *(F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys))
-        settled = (counted if n + 1 == len(levels) else counted.where(F.col("_n") >= least)).withColumn("level", F.lit(len(levels) - 1 - n)).withColumn("group_key", key).drop("_n")
-        done = settled if done is None else done.unionByName(settled)
-        left = counted.where(F.col("_n") < least).drop("_n")
-    return done
+        text = F.concat_ws("|", *(F.coalesce(F.col(k).cast("string"), F.lit("")) for k in (*base, *extra)))
+        key = F.when(F.col("level") == last - n, text) if key is None else key.when(F.col("level") == last - n, text)
+    return out.withColumn("level", F.coalesce(level, F.lit(0))).withColumn("group_key", key)
 
 
-def attached_singletons(rows: DataFrame, base: list[str], dims: list[str], item: str, group: str) -> DataFrame:
+def attached_singletons(rows: DataFrame, base: list[str], dims: list[str], item: str, group: str, tasks: int | None = None) -> DataFrame:
     """Gives each singleton group of a base to the sibling group whose members agree in the most dimensions on average.
 
     Groups with more members win ties, then the smaller name; a group grows as singletons join it, in
     order of item. Null agrees with null. Agreement is a sum of counts, so of larger groups only the
     counts by dimension and value meet a base's singletons, and a singleton costs as many steps as
-    there are groups and dimensions.
+    there are groups and dimensions. Rows are dealt among ``tasks`` tasks (by their number, if not given).
     """
     kind = dict(rows.dtypes)
+    tasks = tasks or tasks_for(rows)
     values = F.array(*(F.coalesce(F.concat(F.lit("="), F.col(d).cast("string")), F.lit("")) for d in dims))
-    held = rows.select(*base, item, group, values.alias("_values"))
-    sizes = held.groupBy(*(F.col(c).alias(f"_k_{c}") for c in (*base, group))).agg(F.count(F.lit(1)).alias("_n"))
-    same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in (*base, group)]
-    sized = materialise(held.join(sizes, same).select(*held.columns, "_n"), "sized")
-    counts = sized.where("_n > 1").select(*base, group, "_n", F.posexplode("_values").alias("_d", "_v")).groupBy(*base, group, "_n", "_d", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    single = sized.where("_n = 1")
+    held = rows.select(*base, item, group, values.alias("_values")).repartition(tasks, *base, group)
+    sized = materialise(held.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*base, group))), "sized")
+    # Dealt again, as a table that was read back is in tasks of any size.
+    larger = sized.where("_n > 1").select(*base, group, "_n", "_values").repartition(tasks, *base, group)
+    counts = larger.select(*base, group, "_n", F.posexplode("_values").alias("_d", "_v")).groupBy(*base, group, "_n", "_d", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    single = sized.where("_n = 1").select(*base, group, "_n", F.lit(None).cast("int").alias("_d"), F.lit(None).cast("string").alias("_v"), F.lit(None).cast("long").alias("_c"), item, "_values")
+    both = counts.withColumn(item, F.lit(None).cast(kind[item])).withColumn("_values", F.lit(None).cast("array<string>")).unionByName(single)
     # Only bases with a singleton are walked.
-    walked = single.select(*(F.col(c).alias(f"_k_{c}") for c in base)).distinct()
-    counts = counts.join(walked, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in base], "left_semi")
-    counts = materialise(counts, "counts")
-
-    def walk(counts: pd.DataFrame, single: pd.DataFrame) -> pd.DataFrame:
-        size, seen, own = {}, {}, {}
-        if len(counts):
-            size = dict(zip(counts[group], counts["_n"], strict=True))
-            seen = {(g, d, v): c for g, d, v, c in zip(counts[group], counts["_d"], counts["_v"], counts["_c"], strict=True)}
-        for i, g, mine in sorted(zip(single[item], single[group], single["_values"], strict=True), key=lambda r: r[0]):
+    walked = both.repartition(tasks, *base).withColumn("_least", F.min("_n").over(Window.partitionBy(*base))).where("_least = 1")
+
+    def walk(met: pa.Table) -> pa.Table:
+        size, seen, own, single = {}, {}, {}, []
+        for i, g, n, d, v, c, mine in zip(*(met.column(x).to_pylist() for x in (item, group, "_n", "_d", "_v", "_c", "_values")), strict=True):
+            if n == 1:
+                single.append((i, g, mine))
+            else:
+                size[g], seen[g, d, v] = n, c
+        for i, g, mine in sorted(single, key=lambda r: r[0]):
             own[i] = g
             if size:
                 own[i] = best = min(size, key=lambda o: (-sum(seen.get((o, d, v), 0) for d, v in enumerate(mine)) / size[o], -size[o], o))
                 size[best] += 1
                 for d, v in enumerate(mine):
                     seen[best, d, v] = seen.get((best, d, v), 0) + 1
-        return pd.DataFrame({item: list(own), group: list(own.values())})
+        return pa.table({item: pa.array(list(own), met.schema.field(item).type), group: pa.array(list(own.values()), met.schema.field(group).type)})
 
-    joined = counts.groupBy(*base).cogroup(single.groupBy(*base)).applyInPandas(walk, f"{item} {kind[item]}, {group} {kind[group]}")
+    joined = walked.groupBy(*base).applyInArrow(walk, f"{item} {kind[item]}, {group} {kind[group]}")
     return sized.where("_n > 1").select(item, group).unionByName(joined)
 
 

@@ -9,6 +9,7 @@ from skeinworks.functions.scalars import digits_bucket, last_segment, places_buc
 from skeinworks.operators import grouping, lattice, reports
 from skeinworks.plans.catalogue import query
 from skeinworks.plans.fixtures import frame
+from skeinworks.session import tasks_for
 
 @query("SELECT o_orderpriority, o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY o_orderpriority, o_orderstatus")
 def counts_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,20 +114,27 @@ _BACKOFF = """
          g AS (SELECT *, CASE WHEN n2 >= 2 THEN 2 WHEN n1 >= 2 THEN 1 ELSE 0 END AS level FROM b)"""
 
 
-def _backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return grouping.backoff_groups(frame(spark, sf_dir, "lineitem"), ["l_partkey"], [["l_returnflag", "l_linestatus", "l_linenumber"], ["l_returnflag"], []])
+def _backoff(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
+    """The lines with their groups, and the number of tasks that they are dealt among."""
+    lines = frame(spark, sf_dir, "lineitem")
+    tasks = tasks_for(lines)
+    return grouping.backoff_groups(lines, ["l_partkey"], [["l_returnflag", "l_linestatus", "l_linenumber"], ["l_returnflag"], []], tasks=tasks), tasks
 
 
 @query(_BACKOFF + " SELECT l_partkey, level, count(*) AS n FROM g GROUP BY l_partkey, level")
 def backoff_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _backoff(spark, sf_dir).groupBy("l_partkey", "level").agg(F.count(F.lit(1)).alias("n"))
+    """Lines are counted where they were dealt, by flag; only these counts are dealt by part."""
+    rows, tasks = _backoff(spark, sf_dir)
+    by_flag = rows.groupBy("l_partkey", "l_returnflag", "level").agg(F.count(F.lit(1)).alias("n"))
+    return by_flag.repartition(tasks, "l_partkey").groupBy("l_partkey", "level").agg(F.sum("n").alias("n"))
 
 
 @query()
 def singleton_attachment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A task walks the groups of one brand and flag, so each base is one part's lines: bounded."""
-    rows = _backoff(spark, sf_dir).select("l_partkey", F.concat_ws("-", "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice").alias("item_id"), "group_key", F.col("l_returnflag").alias("d1"), F.col("l_linestatus").alias("d2"), F.col("l_linenumber").cast("string").alias("d3"))
-    return grouping.attached_singletons(rows, ["l_partkey"], ["d1", "d2", "d3"], "item_id", "group_key")
+    rows, tasks = _backoff(spark, sf_dir)
+    rows = rows.select("l_partkey", F.concat_ws("-", "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice").alias("item_id"), "group_key", F.col("l_returnflag").alias("d1"), F.col("l_linestatus").alias("d2"), F.col("l_linenumber").cast("string").alias("d3"))
+    return grouping.attached_singletons(rows, ["l_partkey"], ["d1", "d2", "d3"], "item_id", "group_key", tasks)
 
 
 @query("""
