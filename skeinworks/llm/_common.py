@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import ctypes
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,24 +10,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skeinworks.session import materialise, shared_dir, ship  # noqa: F401
-
-#: Rows and bytes in an Arrow batch: texts and sets may be long, so batches are smaller than Spark's defaults (10,000 rows, 64 MB).
-BATCH_ROWS, ARROW_BYTES = 1000, 4 << 20
-
+from skeinworks.session import ARROW_BYTES, BATCH_ROWS, materialise, shared_dir, ship, short_batches  # noqa: F401
 
 def ready(df: DataFrame) -> SparkSession:
-    """The session of ``df``, with this package on the workers' path and short Arrow batches.
-
-    Spark reads the batch limits when a plan runs, which is after an operator has returned it, so they
-    stay lowered in the session; they change how rows travel to Python and no result.
-    """
-    spark = ship(df.sparkSession)
-    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", ARROW_BYTES)):
-        now = int(re.sub(r"\D", "", spark.conf.get(f"spark.sql.execution.arrow.{name}")) or 0)
-        if not 0 < now <= most:
-            spark.conf.set(f"spark.sql.execution.arrow.{name}", str(most))
-    return spark
+    """The session of ``df``, with this package on the workers' path and short Arrow batches."""
+    return short_batches(ship(df.sparkSession))
 
 
 def spread(df: DataFrame) -> DataFrame:

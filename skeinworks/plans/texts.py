@@ -226,7 +226,7 @@ def mined_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     if len(words) > WORDS:
         raise ValueError(f"more than {WORDS} words")
     found = mining.terms_in(F.col("text"), mining.term_forms(r.w for r in words))
-    return frame(spark, sf_dir, "documents").select("doc_id", found.alias("f")).select("doc_id", F.size("f").alias("n_terms"), F.array_join("f", ",").alias("terms"))
+    return _documents(spark, sf_dir).select("doc_id", found.alias("f")).select("doc_id", F.size("f").alias("n_terms"), F.array_join("f", ",").alias("terms"))
 
 
 #: Units as they are told by name and aliases, for the queries.
@@ -237,7 +237,7 @@ UNITS = {"厘米": ["cm"], "米": ["m"], "千克": ["kg", "公斤"], "分钟": [
 def mined_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Written operations, fraction types and units of each whole text."""
     t = F.col("text")
-    return frame(spark, sf_dir, "documents").select("doc_id", F.to_json(mining.operations_in(t)).alias("operations"), F.array_join(mining.fraction_types_in(t), ",").alias("fraction_types"), F.array_join(mining.units_in(t, mining.unit_forms(UNITS)), ",").alias("units"))
+    return _documents(spark, sf_dir).select("doc_id", F.to_json(mining.operations_in(t)).alias("operations"), F.array_join(mining.fraction_types_in(t), ",").alias("fraction_types"), F.array_join(mining.units_in(t, mining.unit_forms(UNITS)), ",").alias("units"))
 
 
 # Templates: one card of each size of part, seeds by part.
