@@ -38,9 +38,10 @@ def attached_singletons(rows: DataFrame, base: list[str], dims: list[str], item:
     """Gives each singleton group of a base to the sibling group whose members agree in the most dimensions on average.
 
     Groups with more members win ties, then the smaller name; a group grows as singletons join it, in
-    order of item. Null agrees with null. Agreement is a sum of counts, so of larger groups only the
-    counts by dimension and value meet a base's singletons, and a singleton costs as many steps as
-    there are groups and dimensions. Rows are dealt among ``tasks`` tasks (by their number, if not given).
+    order of item and own name, nulls first; an item that is in several groups stays one row of each.
+    Null agrees with null. Agreement is a sum of counts, so of larger groups only the counts by dimension
+    and value meet a base's singletons, and a singleton costs as many steps as there are groups and
+    dimensions. Rows are dealt among ``tasks`` tasks (by their number, if not given).
     """
     kind = dict(rows.dtypes)
     tasks = tasks or tasks_for(rows)
@@ -56,20 +57,21 @@ def attached_singletons(rows: DataFrame, base: list[str], dims: list[str], item:
     walked = both.repartition(tasks, *base).withColumn("_least", F.min("_n").over(Window.partitionBy(*base))).where("_least = 1")
 
     def walk(met: pa.Table) -> pa.Table:
-        size, seen, own, single = {}, {}, {}, []
+        size, seen, own, single = {}, {}, [], []
         for i, g, n, d, v, c, mine in zip(*(met.column(x).to_pylist() for x in (item, group, "_n", "_d", "_v", "_c", "_values")), strict=True):
             if n == 1:
                 single.append((i, g, mine))
             else:
                 size[g], seen[g, d, v] = n, c
-        for i, g, mine in sorted(single, key=lambda r: r[0]):
-            own[i] = g
+        for i, g, mine in sorted(single, key=lambda r: [(x is not None, x) for x in r[:2]]):
+            best = g
             if size:
-                own[i] = best = min(size, key=lambda o: (-sum(seen.get((o, d, v), 0) for d, v in enumerate(mine)) / size[o], -size[o], o))
+                best = min(size, key=lambda o: (-sum(seen.get((o, d, v), 0) for d, v in enumerate(mine)) / size[o], -size[o], o is not None, o))
                 size[best] += 1
                 for d, v in enumerate(mine):
                     seen[best, d, v] = seen.get((best, d, v), 0) + 1
-        return pa.table({item: pa.array(list(own), met.schema.field(item).type), group: pa.array(list(own.values()), met.schema.field(group).type)})
+            own.append((i, best))
+        return pa.table({c: pa.array([r[n] for r in own], met.schema.field(c).type) for n, c in enumerate((item, group))})
 
     joined = walked.groupBy(*base).applyInArrow(walk, f"{item} {kind[item]}, {group} {kind[group]}")
     return sized.where("_n > 1").select(item, group).unionByName(joined)

@@ -131,7 +131,7 @@ def backoff_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def singleton_attachment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A task walks the groups of one brand and flag, so each base is one part's lines: bounded."""
+    """A part has one group of lines left at the last level, so one singleton at most is walked for it: bounded."""
     rows, tasks = _backoff(spark, sf_dir)
     rows = rows.select("l_partkey", F.concat_ws("-", "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice").alias("item_id"), "group_key", F.col("l_returnflag").alias("d1"), F.col("l_linestatus").alias("d2"), F.col("l_linenumber").cast("string").alias("d3"))
     return grouping.attached_singletons(rows, ["l_partkey"], ["d1", "d2", "d3"], "item_id", "group_key", tasks)
