@@ -13,18 +13,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skeinworks.operators.components import SMALL, connected_components
-from skeinworks.session import materialise
+from skeinworks.session import materialise, tasks_of
 
 
 def constrained_clusters(links: DataFrame, apart: DataFrame, small: int = SMALL) -> DataFrame:
     """``node, cluster`` from ``a, b, confidence`` links under cannot-link pairs ``a, b``; a cluster is named by its least node.
 
+    ``apart`` may be ``node, ...`` instead: nodes that are equal in all other columns are apart (nulls are equal
+    to none). Their pairs are made inside components only, where alone they count.
+
     While a cluster holds a forbidden pair, its link of the least (confidence, a, b) goes. Repeated
     links count by the highest confidence and a null one is below all; links and pairs with a null end
     take no part; a pair of a node with itself leaves the node alone; no links give no rows.
 
     Only components that hold a forbidden pair are worked on. Those of up to ``small`` links and pairs,
-    counted beforehand, are grown by a union-find, one task each. In larger ones all clusters that are
+    counted beforehand, are grown by a union-find, each in one task. In larger ones all clusters that are
     each other's strongest neighbour join at once, round by round, until what is left of the component
     is small. Links between joined clusters fall together, so rounds shrink the component by a share;
     only a path of more than ``small`` links whose confidences rise along it joins one pair a round.
@@ -33,7 +36,13 @@ def constrained_clusters(links: DataFrame, apart: DataFrame, small: int = SMALL)
     links = materialise(ends.groupBy("a", "b").agg(F.max("confidence").alias("confidence")), "links")
     labels = materialise(connected_components(links), "labels")
     of_a, of_b = labels.select(F.col("node").alias("a"), F.col("component").alias("ca")), labels.select(F.col("node").alias("b"), F.col("component").alias("cb"))
-    foes = apart.where("a IS NOT NULL AND b IS NOT NULL").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(of_a, "a").join(of_b, "b").where("ca = cb").select(F.col("ca").alias("component"), F.col("a").alias("x"), F.col("b").alias("y"))
+    if "node" in apart.columns:
+        alike = [c for c in apart.columns if c != "node"]
+        placed = materialise(apart.dropna().distinct().join(labels, "node"), "placed")
+        x, y = (placed.withColumnRenamed("node", c) for c in "xy")
+        foes = x.join(y, ["component", *alike]).where("x < y").select("component", "x", "y").distinct()
+    else:
+        foes = apart.where("a IS NOT NULL AND b IS NOT NULL").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(of_a, "a").join(of_b, "b").where("ca = cb").select(F.col("ca").alias("component"), F.col("a").alias("x"), F.col("b").alias("y"))
     foes = materialise(foes, "foes")
     troubled = foes.select("component").distinct()
     inside = links.where("a <> b").join(of_a, "a").withColumnRenamed("ca", "component").join(troubled, "component", "left_semi")
@@ -52,7 +61,9 @@ def constrained_clusters(links: DataFrame, apart: DataFrame, small: int = SMALL)
     open_ = inside.select("component").distinct()
     rows = inside.select("component", "x", "y", "key.*", F.lit(0).alias("kind")).unionByName(plain(foes.join(open_, "component", "left_semi"), 1))
     rows = rows.unionByName(plain(ended.join(open_, "component", "left_semi").select("component", F.col("cluster").alias("x"), F.col("cluster").alias("y")), 2))
-    grown = rows.groupBy("component").applyInPandas(_grown, f"cluster {kind}, final {kind}")
+    # Components share no node, so many small ones are grown in one call.
+    parts = tasks_of(links.sparkSession, inside.count() + foes.count())
+    grown = rows.groupBy(F.pmod(F.xxhash64("component"), F.lit(parts)).alias("_part")).applyInPandas(_grown, f"cluster {kind}, final {kind}")
     settled = at.join(grown, "cluster", "left").select("node", F.coalesce("final", "cluster").alias("cluster"))
     calm = labels.join(troubled, "component", "left_anti").select("node", F.col("component").alias("cluster"))
     return calm.unionByName(settled)
@@ -92,7 +103,7 @@ def _joined_once(inside: DataFrame, foes: DataFrame, ended: DataFrame, at: DataF
 
 
 def _grown(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One component: links from the strongest down, pairs and ended clusters known beforehand."""
+    """Whole components: links from the strongest down, pairs and ended clusters known beforehand."""
     parent = {c: c for c in pdf["x"].tolist() + pdf["y"].tolist()}
     least, weight, foes = dict(parent), dict.fromkeys(parent, 1), {}
     kinds = pdf["kind"].to_numpy()
